@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, packing, sharding
+from tidemark.llm import embedding_dedup, mil_quality, packing, secret_scan, sharding, toxic_segments
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,17 +17,36 @@ def op1_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_quality(spark, sf_dir):
+    return mil_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxic_segments.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_secret_scan(spark, sf_dir):
+    """Findings without the secrets themselves: their digest, length and first characters."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "nth", F.sha2("value", 256).alias("value_sha256"), F.length("value").alias("length"), F.left("value", F.lit(4)).alias("begins"), "score", "secret"
+    )
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_quality": op2_quality,
     "op4_sharding": op4_sharding,
+    "op8_toxicity": op8_toxicity,
+    "op9_secret_scan": op9_secret_scan,
     "op10_packing": op10_packing,
 }
 ORACLES: dict[str, str] = {}
