@@ -97,7 +97,7 @@ def segment_rate(lexicon_scores: np.ndarray, share: np.ndarray, drift: float) ->
     return (low + high) / 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, held_out: int, folds: int, max_labelled: int, prior_mass: float = 500.0, least_z: float = 2.5, max_lexicon: int = 20_000) -> ToxicModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, held_out: int, folds: int, max_labelled: int, prior_mass: float = 500.0, least_z: float = 3.0, max_lexicon: int = 20_000) -> ToxicModel:
     """Train on at most max_labelled labelled rows outside the held-out fold; the lexicon has at most max_lexicon words."""
     sample = labelled_sample(docs, labels, label_col, in_fold(folds) != held_out, max_labelled, id_col, text_col)
     text_batches(docs.sparkSession)
