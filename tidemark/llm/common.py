@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch for columns of whole texts, so that a batch of long texts still fits a Python worker.
-TEXT_BATCH_ROWS = 256
+TEXT_BATCH_ROWS = 512
 
 
 def scratch_dir(spark: SparkSession) -> str:

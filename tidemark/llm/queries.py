@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, mil_quality, packing, secret_scan, sharding, toxic_segments
+from tidemark.llm import embedding_dedup, mil_quality, ngram_join, packing, secret_scan, sharding, toxic_segments
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_quality(spark, sf_dir):
     return mil_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_quality": op2_quality,
+    "op3_ngram_join": op3_ngram_join,
     "op4_sharding": op4_sharding,
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
