@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, mil_quality, ngram_join, packing, secret_scan, sharding, toxic_segments
+from tidemark.llm import embedding_dedup, mil_quality, ngram_join, packing, pitman_yor, secret_scan, sharding, toxic_segments
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scores(spark, sf_dir):
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark, sf_dir):
     return toxic_segments.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_ngram_join": op3_ngram_join,
     "op4_sharding": op4_sharding,
+    "op7_lm_scores": op7_lm_scores,
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
     "op10_packing": op10_packing,
