@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import embedding_dedup, mil_quality, ngram_join, packing, pitman_yor, secret_scan, sharding, toxic_segments
+from tidemark.llm import embedding_dedup, mil_quality, ngram_join, packing, piece_viterbi, pitman_yor, progressive_jpeg, secret_scan, sharding, toxic_segments
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,14 @@ def op4_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op5_progressive_jpeg(spark, sf_dir):
+    return progressive_jpeg.media_features(table(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece(spark, sf_dir):
+    return piece_viterbi.encoding_digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_lm_scores(spark, sf_dir):
     return pitman_yor.score(table(spark, sf_dir, "documents"))
 
@@ -54,6 +62,8 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_ngram_join": op3_ngram_join,
     "op4_sharding": op4_sharding,
+    "op5_progressive_jpeg": op5_progressive_jpeg,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_lm_scores": op7_lm_scores,
     "op8_toxicity": op8_toxicity,
     "op9_secret_scan": op9_secret_scan,
