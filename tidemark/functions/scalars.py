@@ -98,7 +98,7 @@ def normalize_indicator(kind: Column | str, value: Column | str) -> Column:
 
 def members(c: Column | str) -> Column:
     """A dimension's members: split on |, trimmed, empties dropped."""
-    return F.filter(F.transform(F.split(F.coalesce(col(c).cast("string"), F.lit("")), "[|]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(col(c).cast("string"), F.lit("")), "[|]"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def score_band(c: Column | str) -> Column:
