@@ -122,7 +122,7 @@ def is_live(trigger: Column | str, purpose: Column | str) -> Column:
 
 def fact(facts: Column | str, predicate: str, kind: str = "string") -> Column:
     """The value of the last fact with this predicate; empty text and, for a number, other text are null."""
-    value = F.element_at(F.filter(col(facts), lambda x: x["predicate"] == predicate), -1)["value"]
+    value = F.try_element_at(F.filter(col(facts), lambda x: x["predicate"] == predicate), F.lit(-1))["value"]
     value = F.when(value != "", value)
     return value if kind == "string" else value.try_cast(kind)
 
@@ -143,7 +143,7 @@ def ip_version(c: Column | str) -> Column:
 
 def origin_asns(path: Column | str) -> Column:
     """The last element of an AS path as an array of one, or empty for a set or no number. path: array of strings."""
-    last = F.element_at(col(path), -1).try_cast("bigint")
+    last = F.try_element_at(col(path), F.lit(-1)).try_cast("bigint")
     return F.when(last.isNotNull(), F.array(last)).otherwise(F.array().cast("array<bigint>"))
 
 

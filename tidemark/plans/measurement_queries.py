@@ -12,7 +12,7 @@ from tidemark.plans.registry import query
 
 S = "'%Y-%m-%d %H:%M:%S'"
 KEY = ["source_key"]
-NOW = F.lit("2024-01-31 12:00:00").cast("timestamp")
+NOW = "2024-01-31 12:00:00"
 AVAILABLE = f"""{KEYS}, {DAYS}, {WINDOWS}, av AS (SELECT t.source_key, d, CASE WHEN w_end IS NULL THEN 'UNAVAILABLE' WHEN w_end < d + INTERVAL 1 DAY OR availability = 'PARTIAL' THEN 'PARTIAL' ELSE 'AVAILABLE' END AS available
   FROM types t CROSS JOIN days LEFT JOIN win w ON w.source_key = t.source_key AND w.w_start = d)"""
 
@@ -212,7 +212,7 @@ EXPECTED = f"""{KEYS}, {DAYS}, {RUNS}, ex AS (SELECT source_key, t FROM types, (
 
 def day_coverage(spark, d):
     grid = M.spine(source_keys(spark, d), START, END, "DAY")
-    return C.schedule_coverage(schedules(spark, d), runs(spark, d), grid, KEY, START, END, 86400, NOW)
+    return C.schedule_coverage(schedules(spark, d), runs(spark, d), grid, KEY, START, END, 86400, F.lit(NOW).cast("timestamp"))
 
 
 @query("schedule_coverage_daily", f"WITH {EXPECTED} SELECT source_key, strftime(d, {S}) AS bucket, expected, satisfied, partial, failed, missing, status, 'FINAL' AS evaluation FROM st")
