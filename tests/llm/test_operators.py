@@ -1,0 +1,452 @@
+"""The ten operators against brute force, with nulls, empty texts, ties, repeated rows, empty tables and clashing columns."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+from math import isclose, log10
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import embedding_dedup, mil_quality, ngram_join, packing, piece_viterbi, pitman_yor, progressive_jpeg, secret_scan, sharding, toxic_segments
+from tidemark.llm.common import connected_components
+
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def prose(seed, n):
+    r = np.random.default_rng(seed)
+    return " ".join("".join(r.choice(list("aeinorst"), r.integers(1, 7))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Every case of the contracts in one small table."""
+    base = prose(1, 120)
+    words = base.split()
+    near = words.copy()
+    near[10] = "changed"
+    far = words[:60] + prose(2, 60).split()
+    texts = [base, base, " ".join(near), " ".join(far), None, "", "  \n\t ", "one two", "ONE  two", "a b c d e", prose(3, 3000), "x" * 3000, prose(4, 40) + " é ß 😀", base.upper()]
+    texts += [prose(10 + i, 60 + i) for i in range(12)]
+    rows = [(i, t, None if i % 5 == 0 else "en", None if i % 7 == 0 else "s", 0) for i, t in enumerate(texts)]
+    rows += [(None, "text without an id", "en", "s", 1), (3, texts[3], "en", "s", 1)]
+    return spark.createDataFrame(rows, DOCS).withColumns({"score": F.lit("clash"), "w": F.lit(1), "shard": F.lit(2), "id": F.lit(9), "node": F.lit(8), "label": F.lit(7), "path": F.lit("p")})
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.limit(0)
+
+
+def components(n, links):
+    root = list(range(n))
+    for _ in range(n):
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    return root
+
+
+def test_connected_components(spark):
+    pairs = [(1, 2), (2, 3), (10, 11), (11, 12), (12, 13), (13, 14), (14, 9), (7, 7)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, **{k: 9 for k in range(9, 15)}}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("tile", [4, 1024])
+def test_embeddings_link_as_in_brute_force(spark, tile):
+    r = np.random.default_rng(5)
+    base = r.standard_normal((12, 16))
+    rows = []
+    for i in range(80):
+        v = base[i % 12] + r.standard_normal(16) * (0.02 + 0.1 * (i % 4))
+        rows.append((i, [float(np.float32(x)) for x in v], i % 2))
+    rows += [(100, rows[0][1], 0), (101, rows[0][1], 0), (102, rows[0][1], 1), (103, None, 0), (104, [0.0] * 16, 0), (105, [None] + [1.0] * 15, 0), (106, [float("nan")] * 16, 0), (107, rows[0][1], None), (108, [1.0] * 8, 0), (109, [], 0)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("node", F.lit("clash"))
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in embedding_dedup.near_duplicates(vectors, tile_rows=tile).collect()}
+    sound = [(i, np.array(v, float), b) for i, v, b in rows if b is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
+    links = [(a, b) for a in range(len(sound)) for b in range(a) if sound[a][2] == sound[b][2] and len(sound[a][1]) == len(sound[b][1]) and sound[a][1] @ sound[b][1] / np.linalg.norm(sound[a][1]) / np.linalg.norm(sound[b][1]) >= 0.93]
+    n = Counter(x for pair in links for x in pair)
+    root = components(len(sound), links)
+    least = defaultdict(lambda: 10**9)
+    for k, (i, _, _) in enumerate(sound):
+        least[root[k]] = min(least[root[k]], i)
+    want = {i: (0, i, True) for i, _, _ in rows} | {i: (n[k], least[root[k]], least[root[k]] == i) for k, (i, _, _) in enumerate(sound)}
+    assert links and got == want
+    assert embedding_dedup.near_duplicates(vectors.limit(0)).count() == 0
+
+
+def test_int8_bound_is_rigorous():
+    r = np.random.default_rng(2)
+    x = embedding_dedup.unit_rows(r.standard_normal((300, 24)) * r.exponential(1, (300, 24)))
+    q, s, n, e = embedding_dedup.quantise(x)
+    rough = (q.astype(float) * s[:, None]) @ (q.astype(float) * s[:, None]).T
+    bound = np.outer(e, n) + np.outer(n, e) + np.outer(e, e) + embedding_dedup.SLACK
+    assert (np.abs(x @ x.T - rough) <= bound).all()
+
+
+def shingles(text):
+    w = WORD.findall((text or "").encode().lower())
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def brute_jaccard(rows):
+    sets = [shingles(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    root = components(len(rows), links)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[root[k]] = min(least.get(root[k], i), i)
+    return sorted(((str(i), len(sets[k]), str(least.get(root[k]))) for k, (i, _) in enumerate(rows)))
+
+
+def test_ngram_join_is_brute_force(docs, empty):
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.jaccard_components(docs).collect())
+    assert got == brute_jaccard([(r.doc_id, r.text) for r in docs.collect()])
+    assert ngram_join.jaccard_components(empty).count() == 0
+    kept = {r.doc_id for r in ngram_join.drop_near_copies(docs).collect()}
+    assert 1 not in kept and {0, 4, 5, 6, None} <= kept
+
+
+def test_ngram_join_of_many_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", 4)
+    r = np.random.default_rng(8)
+    base, common = prose(50, 90).split(), prose(51, 14).split()
+    rows = []
+    for i in range(60):
+        w = list(base) if i < 30 else prose(100 + i % 20, 70).split()
+        for k in r.choice(len(w), i % 6, replace=False):
+            w[k] = f"edit{i}{k}"
+        rows.append((i, " ".join(w + common)))
+    got = sorted((str(x.doc_id), x.n_shingles, str(x.component_id)) for x in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute_jaccard(rows)
+
+
+def test_bitmap_bounds_overlap_from_above():
+    r = np.random.default_rng(1)
+    for n, m, both in ((300, 320, 290), (40, 50, 10), (700, 600, 600), (5, 5, 5)):
+        pool = r.integers(0, 2**63, n + m - both).astype(np.uint64)
+        a, b = np.unique(pool[:n]), np.unique(pool[n - both :])
+        x, y = ngram_join.bitmap(a), ngram_join.bitmap(b)
+        size = min(len(x), len(y))
+        real = ngram_join.linked(len(a), len(b), len(np.intersect1d(a, b)), 75)
+        assert not real or ngram_join.may_link(len(a), ngram_join.folded(x, size), np.array([len(b)]), ngram_join.folded(y, size)[None, :], 75)[0]
+
+
+def test_shards_are_near_equal_and_slots_gapless(spark, docs, empty):
+    many = spark.range(4000).selectExpr("id as doc_id", "repeat('é', cast(20 + id % 300 as int)) as text", "1 as place")
+    rows = sharding.shard(many).toPandas()
+    sizes = rows.groupby("shard")["size"].sum()
+    assert len(sizes) == 24 and sizes.max() <= 1.01 * sizes.mean() and sizes.min() >= 0.95 * sizes.mean()
+    for frame in (rows, sharding.shard(docs).toPandas()):
+        assert all(sorted(g) == list(range(len(g))) for _, g in frame.groupby("shard")["slot"])
+    first = next(r for r in sharding.shard(docs).collect() if r.doc_id == 12)
+    text = docs.where("doc_id = 12").first().text.encode()
+    assert (first["size"], first.text_crc32, first.law, first.grown_shard) == (len(text) + 8, zlib.crc32(text), "bytes", None)
+    assert next(r for r in sharding.shard(docs).collect() if r.doc_id == 4)["size"] == 8
+    assert sharding.shard(empty).count() == 0
+
+
+def test_bounded_loads_move_only_overflow():
+    weights = {p: 1 + p % 7 for p in range(0, 4096, 2)}
+    plain = sharding.bounded_loads(weights, 8, 64, 4096, 100.0)
+    tight = sharding.bounded_loads(weights, 8, 64, 4096, 0.01)
+    load = Counter()
+    for p, s in tight.items():
+        load[s] += weights[p]
+    assert max(load.values()) <= 1.01 * sum(weights.values()) / 8 + 7
+    home = Counter()
+    for p, s in plain.items():
+        home[s] += weights[p]
+    over = sum(max(0, x - sum(weights.values()) / 8) for x in home.values())
+    assert sum(weights[p] for p in weights if plain[p] != tight[p]) <= 3 * over + 50
+    more = sharding.bounded_loads(weights, 9, 64, 4096, 100.0)
+    assert all(more[p] in (plain[p], 8) for p in weights)
+
+
+def test_packing_covers_every_id_once(docs, empty):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(BPE)
+    rows = packing.pack(docs, BPE).toPandas()
+    texts = [(r.doc_id, r.text or "") for r in docs.collect()]
+    for i in {i for i, _ in texts if i is not None and i != 3}:
+        ids = np.array([*own.encode(dict(texts)[i], add_special_tokens=False).ids, 1], dtype="<u4")
+        mine = rows[rows.doc_id == i].sort_values("start")
+        assert mine["length"].sum() == len(ids) and list(mine["start"]) == [0, *np.cumsum(mine["length"])[:-1]]
+        assert all(zlib.crc32(ids[p.start : p.start + p.length].tobytes()) == p.ids_crc32 for p in mine.itertuples())
+    for _, g in rows.sort_values("offset").groupby("sequence_id"):
+        assert g["length"].sum() <= 2048 and list(g["offset"]) == [0, *np.cumsum(g["length"])[:-1]]
+    assert packing.pack(empty, BPE).count() == 0
+
+
+def test_dot_product_bins_keep_all_limits():
+    r = np.random.default_rng(3)
+    demand = np.column_stack([r.random(500) * 0.6, np.full(500, 1 / 8), r.random(500) * 0.5])
+    bins = packing.dot_product_bins(demand)
+    assert sorted(np.concatenate(bins)) == list(range(500))
+    assert all((demand[b].sum(axis=0) <= 1 + 1e-9).all() for b in bins)
+    assert len(bins) <= 1.1 * max(demand.sum(axis=0).max(), 500 / 8) + 2
+
+
+def test_jpeg_round_trip(docs, empty):
+    rows = {r.doc_id: r for r in progressive_jpeg.media_features(docs).collect()}
+    for r in docs.where("doc_id is not null").collect():
+        n, payload = progressive_jpeg.padded_text(r.text)
+        media = progressive_jpeg.store_payload(payload)
+        got = rows[r.doc_id]
+        assert (got.n_bytes, got.payload_bytes, got.tail_crc32, got.media_bytes) == (n, len(payload), zlib.crc32(payload[-64:]), len(media))
+    assert rows[0].feature == rows[1].feature and rows[4].media_sha256 == rows[5].media_sha256
+    assert progressive_jpeg.media_features(empty).count() == 0
+
+
+def test_jpeg_reads_symbol_by_symbol_as_by_arrays(monkeypatch):
+    _, payload = progressive_jpeg.padded_text(prose(9, 300))
+    fast = progressive_jpeg.decode_coefficients(progressive_jpeg.store_payload(payload))
+    monkeypatch.setattr(progressive_jpeg, "read_even_scan", lambda *a: False)
+    slow = progressive_jpeg.decode_coefficients(progressive_jpeg.store_payload(payload))
+    assert all((a == b).all() for a, b in zip(fast.coefficients, slow.coefficients))
+    assert progressive_jpeg.read_payload(slow) == payload
+
+
+def bits_of(code, n):
+    return [code >> i & 1 for i in range(n - 1, -1, -1)]
+
+
+def magnitude(v):
+    size = abs(v).bit_length()
+    return size, bits_of(v if v > 0 else v + (1 << size) - 1, size)
+
+
+def grey_progressive(blocks, cols, rows):
+    """A grey progressive file by the book: eight-bit codes for all symbols, runs of zeros, end-of-band runs, refinement."""
+    tables = b"".join(progressive_jpeg.marker(0xC4, bytes([t]) + bytes([0, 0, 0, 0, 0, 0, 0, len(s) if len(s) < 255 else 0, *([0] * 8)]) + bytes(s)) for t, s in ((0x00, range(12)), (0x10, [r << 4 | s for r in range(16) for s in range(3)] + [r << 4 for r in range(1, 15) if r << 4 not in ()])))
+    ac = [r << 4 | s for r in range(16) for s in range(3)]
+    code = {s: bits_of(i, 8) for i, s in enumerate(ac)}
+    out = [b"\xff\xd8", progressive_jpeg.marker(0xDB, b"\x00" + bytes(range(1, 65))), progressive_jpeg.marker(0xC2, b"\x08" + (8 * rows).to_bytes(2, "big") + (8 * cols).to_bytes(2, "big") + b"\x01\x01\x11\x00")]
+    out.append(progressive_jpeg.marker(0xC4, b"\x00" + bytes([0] * 7 + [12] + [0] * 8) + bytes(range(12))))
+    out.append(progressive_jpeg.marker(0xC4, b"\x10" + bytes([0] * 7 + [len(ac)] + [0] * 8) + bytes(ac)))
+    del tables
+
+    def scan(first, last, high, low, bits):
+        out.append(progressive_jpeg.marker(0xDA, bytes([1, 1, 0, first, last, high << 4 | low])))
+        out.append(progressive_jpeg.with_ones(np.array(bits, dtype=np.uint8)))
+
+    bits, before = [], 0
+    for b in blocks:
+        v = int(b[0]) >> 1
+        size, extra = magnitude(v - before) if v != before else (0, [])
+        bits += bits_of(size, 8) + extra
+        before = v
+    scan(0, 0, 0, 1, bits)
+    scan(0, 0, 1, 0, [int(b[0]) & 1 for b in blocks])
+    cut = lambda v: int(abs(v) >> 1) * (1 if v > 0 else -1)
+    bits, run = [], 0
+
+    def end_run():
+        nonlocal run, bits
+        if run:
+            size = run.bit_length() - 1
+            bits += code[size << 4] + bits_of(run - (1 << size), size)
+            run = 0
+
+    for b in blocks:
+        zeros, k = 0, 1
+        last = max([i for i in range(1, 64) if cut(b[i])], default=0)
+        while k <= last:
+            v = cut(b[k])
+            if v:
+                end_run()
+                while zeros > 15:
+                    bits += code[0xF0]
+                    zeros -= 16
+                size, extra = magnitude(v)
+                bits += code[zeros << 4 | size] + extra
+                zeros = 0
+            else:
+                zeros += 1
+            k += 1
+        if last < 63:
+            run += 1
+    end_run()
+    scan(1, 63, 0, 1, bits)
+    bits = []
+    for b in blocks:
+        k, last = 1, max([i for i in range(1, 64) if abs(b[i]) == 1], default=0)
+        zeros, held = 0, []
+        while k <= last:
+            v = int(b[k])
+            if abs(v) > 1:
+                held.append(abs(v) & 1)
+            elif v == 0:
+                zeros += 1
+                if zeros == 16:
+                    bits += code[0xF0] + held
+                    zeros, held = 0, []
+            else:
+                bits += code[zeros << 4 | 1] + [1 if v > 0 else 0] + held
+                zeros, held = 0, []
+            k += 1
+        if last < 63:
+            bits += code[0] + held + [abs(int(b[i])) & 1 for i in range(k, 64) if abs(b[i]) > 1]
+    scan(1, 63, 1, 0, bits)
+    return b"".join(out) + b"\xff\xd9"
+
+
+def test_jpeg_general_scans():
+    r = np.random.default_rng(4)
+    blocks = np.where(r.random((12, 64)) < 0.15, r.integers(-5, 6, (12, 64)), 0)
+    blocks[3], blocks[4, 1:], blocks[7, 1:] = 0, 0, 0
+    blocks[:, 0] = r.integers(-300, 300, 12)
+    frame = progressive_jpeg.decode_coefficients(grey_progressive(blocks, 4, 3))
+    assert (frame.coefficients[0] == blocks).all()
+    rgb = progressive_jpeg.to_rgb(frame)
+    quantised = (blocks * np.arange(1, 65)).astype(float)
+    natural = np.zeros(64)
+    natural[progressive_jpeg.ZIGZAG] = quantised[5]
+    pixel = sum(natural[u * 8 + v] * progressive_jpeg.COSINE[u][3] * progressive_jpeg.COSINE[v][2] for u in range(8) for v in range(8)) + 128
+    assert abs(float(rgb[8 + 3, 8 + 2, 0]) - min(255, max(0, pixel))) <= 1
+
+
+def test_broken_media_say_why(spark):
+    files = spark.createDataFrame([(1, bytearray(b"no")), (2, None), (3, bytearray(progressive_jpeg.store_payload(bytes(64))))], "id long, content binary")
+    rows = {r.id: r for r in progressive_jpeg.decode_media(files).collect()}
+    assert rows[1].error and rows[2].error and rows[3].error is None and len(rows[3].rgb) == rows[3].height * rows[3].width * 3
+
+
+def test_pieces_are_those_of_the_library(docs, empty):
+    from sentencepiece import SentencePieceProcessor
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    library = SentencePieceProcessor(model_file=model)
+    encoded = piece_viterbi.encode_texts(docs, model)
+    for r in encoded.join(docs.select("doc_id", "text"), "doc_id").collect():
+        assert r.ids == library.encode(r.text or "")
+    back = {r.doc_id: r.text for r in piece_viterbi.decode_ids(encoded, model).collect()}
+    assert all(back[r.doc_id] == (r.text or "") for r in docs.where("doc_id is not null").collect())
+    assert piece_viterbi.encoding_digest(empty, model).count() == 0
+    own = piece_viterbi.Pieces(model)
+    for text in ("x" * 4000, "ab" * 900, " " * 37, "a" + " " * 20 + "ﬁ  ﬁ", "\x00\x01", "１２ ▁a ▁", "<s> </s>", "\n\n\tA"):
+        assert own.encode(text).tolist() == library.encode(text)
+    window = max(len(x) for x in [own.name[i] for i in own.id.values()])
+    assert own.longest == window
+
+
+def test_language_model_against_brute_force(docs, empty):
+    rows = [(r.doc_id, WORD.findall((r.text or "").encode().lower()) + [b" "]) for r in docs.where("doc_id is not null and doc_id <> 3").collect()]
+    got = {r.doc_id: r for r in pitman_yor.score(docs.where("doc_id is not null and doc_id <> 3")).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
+    count = Counter(w for i, ws in rows if not held[i] for w in ws)
+    n, v = sum(count.values()), len(count)
+    for i, ws in rows:
+        r = got[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(ws), sum(count[w] > 0 for w in ws), n)
+        assert isclose(r.base_score, sum(log10((count[w] + 1) / (n + v + 1)) for w in ws), rel_tol=1e-9)
+        assert r.score < 0
+    assert pitman_yor.score(empty).count() == 0
+
+
+def test_predictive_probabilities_sum_to_one(spark):
+    docs = spark.createDataFrame([(i, prose(i % 9, 50)) for i in range(40)], "doc_id long, text string")
+    model, history = pitman_yor.train(docs.select(F.col("doc_id").alias("id"), "text"))
+    rows = model.collect()
+    for k in (pitman_yor.START, zlib.crc32(rows[0].w) % pitman_yor.CONTEXTS):
+        total = 0.0
+        for s, h in enumerate(history):
+            up = h.share_up()[k]
+            total += up * h.new_dish() / len(history)
+        for r in rows:
+            own = {int(e["k"]): float(e["q"]) for e in np.frombuffer(r.entries, pitman_yor.ENTRY)}
+            total += own.get(k, sum(h.share_up()[k] * p for h, p in zip(history, r.ps)) / len(history))
+        assert isclose(total, 1, rel_tol=1e-3)
+
+
+def test_maximal_segments_are_brute_force():
+    r = np.random.default_rng(6)
+    for _ in range(200):
+        n = int(r.integers(1, 25))
+        score = np.where(r.random(n) < 0.4, r.random(n) * 3, -0.5)
+        on = np.flatnonzero(score > 0)
+        got = toxic_segments.maximal_segments(on.tolist(), score[on].tolist(), 0.5)
+        best = max((score[i : j + 1].sum() for i in range(n) for j in range(i, n)), default=0)
+        assert not len(on) or isclose(max(s for _, _, s in got), best)
+        assert all(isclose(score[a : b + 1].sum(), s) for a, b, s in got)
+        assert all(x[1] < y[0] for x, y in zip(got, got[1:]))
+
+
+def classified(spark, bad):
+    rows, labels = [], []
+    for i in range(300):
+        is_bad = i % 3 == 0
+        rows.append((i, bad(i) if is_bad else prose(i, 80)))
+        labels.append((i, 0 if is_bad else 1, int(is_bad)))
+    rows += [(900, None), (901, "")]
+    labels += [(None, 1, 0), (902, None, None), (903, 5, 5)]
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash")), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_quality_learns_and_keeps_clean(spark, empty):
+    docs, labels = classified(spark, lambda i: " ".join(["buy", "now!!"] * 40))
+    rows = mil_quality.score_quality(docs, labels).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 for r in rows)
+    assert np.mean([r.predicted == (0 if r.doc_id % 3 == 0 else 1) for r in rows if r.doc_id < 300 and r.held_out]) >= 0.95
+    assert {"doc_id", "text", "score"} == set(mil_quality.keep_quality(docs, labels).columns)
+    assert mil_quality.score_quality(docs.limit(0), labels).count() == 0
+    assert {r.score for r in mil_quality.score_quality(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_attention_gradient_is_that_of_the_loss():
+    r = np.random.default_rng(0)
+    model = mil_quality.AttentionModel(hidden=4, gate=3)
+    model.w = {k: v.astype(np.float64) for k, v in model.w.items()}
+    x, sizes, y = r.random((9, mil_quality.WIDTH)), np.array([2, 3, 4]), np.array([1.0, 0.0, 1.0])
+    first, bag = np.array([0, 2, 5]), np.repeat(np.arange(3), sizes)
+    loss = lambda: -np.mean(y * np.log(model.forward(x, first, bag)["p"]) + (1 - y) * np.log(1 - model.forward(x, first, bag)["p"]))
+    g = model.gradient(x, first, bag, y, 0.0)
+    for name in model.w:
+        at = tuple(0 for _ in model.w[name].shape)
+        old = model.w[name][at]
+        model.w[name][at] = old + 1e-6
+        up = loss()
+        model.w[name][at] = old - 1e-6
+        down = loss()
+        model.w[name][at] = old
+        assert abs((up - down) / 2e-6 - g[name][at]) < 1e-4
+
+
+def test_toxicity_learns_and_leaves_clean(spark):
+    docs, labels = classified(spark, lambda i: prose(i, 30) + " vile Rotten! scoundrel " + prose(i + 500, 30))
+    rows = toxic_segments.score_toxicity(docs, labels).collect()
+    assert all(r.predicted == int(r.doc_id % 3 == 0) for r in rows if r.doc_id < 300)
+    assert all(r.predicted == 0 for r in rows if r.doc_id >= 900)
+    hit = next(r for r in rows if r.doc_id == 3)
+    assert (hit.first_token, hit.last_token, hit.passages) == (30, 32, 1)
+    assert toxic_segments.score_toxicity(docs.limit(0), labels).count() == 0
+    assert {r.predicted for r in toxic_segments.score_toxicity(docs, labels.limit(0)).collect()} == {0}
+    assert toxic_segments.keep_clean(docs, labels).count() == 202
+
+
+def test_secrets_are_found_and_masked(spark, empty):
+    key = "AKIA" + "Q7ZX2M4K9P1L8N5T"
+    token = "9f8e7d6c5b4a39281706f5e4d3c2b1a098765432"
+    texts = [f"{prose(i, 20)} key {key[:-2]}{i % 10}{i // 10 % 10} {prose(i + 1, 5)}" if i % 3 == 0 else f'{prose(i, 10)} token = "{token[:-2]}{i:02d}" {prose(i, 9)}' if i % 3 == 1 else f"{prose(i, 10)} order 48575280760362{i:02d} and file/path/number{i:03d} {prose(i, 3)}" for i in range(90)]
+    docs = spark.createDataFrame([(i, t, "src/test" if i % 2 else None) for i, t in enumerate([*texts, None, ""])], "doc_id long, text string, source string").withColumn("value", F.lit("clash"))
+    rows = secret_scan.scan(docs).collect()
+    for r in rows:
+        wanted = r.value.startswith("AKIA") or r.value.startswith(token[:8])
+        assert r.secret == wanted, r
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert len(clean) == 92 and clean[90] is None and "AKIA" not in clean[0] and "[SECRET]" in clean[1] and clean[2] == texts[2]
+    assert secret_scan.scan(docs.limit(0)).count() == 0
+
+
+def test_candidates_keep_order_and_neighbours(spark):
+    text = "a token=abc123def4567 then " + "x9" * 8 + " end abcdefghijklmnop"
+    row = spark.createDataFrame([(text,)], "t string").select(secret_scan.candidates(F.col("t")).alias("c")).first()
+    assert [(c.nth, c.value, c.before[-6:], c.after[:5]) for c in row.c] == [(1, "abc123def4567", "token=", " then"), (2, "x9" * 8, " then ", " end ")]

@@ -177,7 +177,7 @@ def quality_scorer(
     rows = sample.select("id", "text", "label").toPandas().sort_values("id", kind="stable")
     y = rows["label"].to_numpy(dtype=np.float32)
     model, share = None, float(y.mean()) if len(y) else 0.5
-    if 0 < share < 1:
+    if len(y) and 0 < share < 1:
         model = AttentionModel().train(*encode(rows["text"].tolist(), WordCodes()), y)
 
     @F.pandas_udf("double")
