@@ -183,6 +183,17 @@ def harvest_cvss(json: Column | str) -> Column:
     return F.array_compact(F.array(*[F.when(text.contains(f'"{k}"'), v) for k, v in keys.items()]))
 
 
+def config_counts(json: Column | str) -> Column:
+    """struct(nodes, matches) of the configurations in a JSON text: nodes two levels deep, their match criteria."""
+    match = "cpeMatch:array<struct<criteria:string>>"
+    schema = f"struct<configurations:array<struct<nodes:array<struct<{match},children:array<struct<{match}>>>>>>>"
+    nodes = F.flatten(F.transform(F.from_json(col(json), schema)["configurations"], lambda c: F.coalesce(c["nodes"], F.array())))
+    inner = F.flatten(F.transform(nodes, lambda n: F.coalesce(n["children"], F.array())))
+    size = lambda rows: F.aggregate(rows, F.lit(0), lambda a, n: a + F.coalesce(F.array_size(n["cpeMatch"]), F.lit(0)))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return F.struct((zero(F.array_size(nodes)) + zero(F.array_size(inner))).alias("nodes"), (zero(size(nodes)) + zero(size(inner))).alias("matches"))
+
+
 def v4_number(ip: Column | str) -> Column:
     """The address as a number, null if it is none."""
     octet = r"(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"

@@ -274,3 +274,45 @@ def acquisition_windows(spark, d):
     rules = source_keys(spark, d).select("source_key", F.when(k.isin("click", "view"), "INTERVAL").when(k == "error", "SNAPSHOT").otherwise("DATASET_DATE").alias("kind"), F.lit(21600).alias("horizon_s"))
     out = C.acquisition_windows(runs(spark, d), rules)
     return out.select("source_key", "kind", stamp("start").alias("w_start"), stamp("end").alias("w_end"), F.date_format("dataset_date", "yyyy-MM-dd").alias("dataset_date"), "availability")
+
+
+@query(
+    "coverage_read",
+    f"""WITH {EXPECTED} SELECT source_key, 'COVERAGE' AS kind, strftime(d, {S}) AS at, status FROM st WHERE d >= TIMESTAMP '2024-01-10' AND d < TIMESTAMP '2024-01-13'
+    UNION ALL SELECT source_key, 'WINDOW', strftime(w_start, {S}), availability FROM (WITH {KEYS}, {DAYS}, {WINDOWS} SELECT * FROM win) WHERE w_start < TIMESTAMP '2024-01-13' AND w_end > TIMESTAMP '2024-01-10'""",
+)
+def coverage_read(spark, d):
+    """Coverage of the buckets of a range, and the windows that overlap it."""
+    a, b = F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-13").cast("timestamp")
+    own = M.in_period(day_coverage(spark, d), "2024-01-10", "2024-01-13", "bucket_start").select("source_key", F.lit("COVERAGE").alias("kind"), stamp("bucket_start").alias("at"), "status")
+    near = windows(spark, d).where((F.col("start") < b) & (F.col("end") > a))
+    return own.unionByName(near.select("source_key", F.lit("WINDOW").alias("kind"), stamp("start").alias("at"), F.col("availability").alias("status")))
+
+
+@query(
+    "distribution_read",
+    f"""WITH c AS (SELECT date_trunc('day', ts) AS b, user_id, count(*) AS n FROM events GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY n DESC, CAST(user_id AS VARCHAR)) AS r FROM c)
+    SELECT strftime(b, {S}) AS bucket, CAST(r AS INTEGER) AS rank, CAST(user_id AS VARCHAR) AS member, n FROM r WHERE r <= 5""",
+)
+def distribution_read(spark, d):
+    """The first five ranks of each day's users (the length that the reader asks for)."""
+    rows = M.with_buckets(facts(spark, d), "event_time", ["DAY"])
+    out = M.distribution(rows, ["bucket_start"], "entity_key", 20).where("rank <= 5 and not is_other")
+    return out.select(stamp("bucket_start").alias("bucket"), "rank", "member", "n")
+
+
+@query(
+    "measurement_fan_out",
+    """SELECT m AS measurement_key, count(*) AS n, count(DISTINCT user_id) AS entities FROM events, (VALUES ('received', 1), ('published', 2), ('updated', 3)) v(m, o) WHERE event_type IN ('click', 'purchase') AND (o < 3 OR event_id % 3 = 0) GROUP BY 1""",
+)
+def fan_out(spark, d):
+    """Records times the measurements of their source, each on its own time axis."""
+    from tidemark.plans.catalogue import Measurement, definitions_frame
+    from tidemark.plans.catalogue import fan_out as fan
+
+    axes = {"received": "RECEIVED", "published": "PUBLISHED", "updated": "UPSTREAM_UPDATED"}
+    own = [Measurement(f"{s}.{m}", "COUNT_EVENTS", a, ("DAY",), "TIME_AVAILABILITY") for s in ("click", "purchase") for m, a in axes.items()]
+    e = events(spark, d)
+    records = e.select(F.col("event_type").alias("source_key"), "user_id", F.col("ts").alias("received_at"), F.col("ts").alias("published_at"), F.when(F.col("event_id") % 3 == 0, F.col("ts")).alias("updated_at"), F.lit(None).cast("timestamp").alias("effective_at"))
+    rows = fan(records, definitions_frame(spark, own))
+    return rows.groupBy(F.element_at(F.split("measurement_key", "[.]"), 2).alias("measurement_key")).agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("entities"))
