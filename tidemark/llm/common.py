@@ -37,6 +37,11 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df dealt by a hash of key rather than by key, so that a join on key deals both of its sides and can split a hot key."""
+    return df.repartition(F.xxhash64(key))
+
+
 def text_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches that carry whole texts to Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
@@ -65,10 +70,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # Large star: every larger neighbour of u is tied to the smallest of u's neighbourhood.
         sides = now.select("u", "v").union(now.select(F.col("v"), F.col("u"))).toDF("x", "y")
         least = sides.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = sides.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+        large = sides.where("y > x").join(spread(least, "x"), "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u and its smaller neighbours are tied to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        tied = large.join(low, "u")
+        tied = large.join(spread(low, "u"), "u")
         small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         now = written(small.where("u <> v").distinct(), "edges")
     spark.catalog.clearCache()

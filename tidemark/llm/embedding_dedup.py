@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, written
+from tidemark.llm.common import connected_components, spread, written
 
 #: Room for the rounding of the double-precision bound itself.
 SLACK = 1e-9
@@ -131,7 +131,7 @@ def near_duplicates(
         .join(roots, "node", "left")
         .select("node", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("root", "node").alias("root"))
     )
-    named = stats.join(stats.groupBy("root").agg(F.min("least").alias("component")), "root").select("node", "links", "component")
+    named = stats.join(spread(stats.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("node", "links", "component")
     out = keyed.select("id", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component"))
     return out.select(

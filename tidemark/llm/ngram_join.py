@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, text_batches, written
+from tidemark.llm.common import connected_components, discard, spread, text_batches, written
 
 #: Shingle hashes that a task holds at once.
 AT_ONCE = 4_000_000
@@ -30,6 +30,8 @@ WORD_MEMORY = 500_000
 #: At most this many shingles count as frequent, since each holds more than this share of all.
 FREQUENT = 1_000_000
 TILE_ROWS = 256
+#: Rows of two numbers that are broadcast at most.
+BROADCAST_ROWS = 500_000
 #: Odd multipliers, one for each place in a shingle.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -76,9 +78,9 @@ def linked(size_a, size_b, both, percent: int):
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Bits at hash modulo a power of two of at least twice the set's size, 256 at least, as bytes."""
+    """Bits at hash modulo a power of two of at least the set's size, 256 at least, as bytes."""
     width = 256
-    while width < 2 * len(shingles):
+    while width < len(shingles):
         width *= 2
     bits = np.zeros(width, dtype=bool)
     bits[(shingles % np.uint64(width)).astype(np.int64)] = True
@@ -104,7 +106,7 @@ def as_signed(x: np.ndarray) -> pa.Array:
 
 
 def pass_sets(docs: DataFrame, n: int) -> DataFrame:
-    """Rows of kind 0: id, text_key, n_shingles and node of a document. Rows of kind 1: a shingle that several different
+    """Rows of kind 0: id, text_key, n_shingles, node and bitmap of a document. Rows of kind 1: a shingle that several different
     texts of one task hold, and how many. Alone, a shingle of one text says nothing of frequency and stays in its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,27 +120,28 @@ def pass_sets(docs: DataFrame, n: int) -> DataFrame:
             held = 0
             value, count = value[count > 1], count[count > 1]
             size, none = len(value), pa.nulls(len(value), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(size, np.int32)), none, none, pa.array(count), as_signed(value)], names=["kind", "id", "text_key", "n", "node"])
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(size, np.int32)), none, none, pa.array(count), as_signed(value), pa.nulls(size, pa.binary())], names=["kind", "id", "text_key", "n", "node", "bits"])
 
         for batch in batches:
-            size, node = [], []
+            size, node, bits = [], [], []
             for text in batch.column(2).to_pylist():
                 found = shingle_set(text, hashes, n)
                 size.append(len(found))
                 node.append(node_key(found) if len(found) else None)
+                bits.append(bitmap(found).tobytes() if len(found) else None)
                 if len(found) and node[-1] not in met:
                     met.add(node[-1])
                     pool.append(found)
                     held += len(found)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(size), np.int32)), batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(node, pa.int64())], names=["kind", "id", "text_key", "n", "node"]
+                [pa.array(np.zeros(len(size), np.int32)), batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary())], names=["kind", "id", "text_key", "n", "node", "bits"]
             )
             if held > AT_ONCE:
                 yield frequent()
         if pool:
             yield frequent()
 
-    return docs.mapInArrow(run, "kind int, id long, text_key long, n long, node long")
+    return docs.mapInArrow(run, "kind int, id long, text_key long, n long, node long, bits binary")
 
 
 def pass_prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -236,55 +239,73 @@ def shared_only(rows: DataFrame) -> DataFrame:
     return rows.repartition("x").sortWithinPartitions("x", "n", "node").mapInArrow(run, schema)
 
 
+def distinct_groups(shared: DataFrame) -> DataFrame:
+    """Of shingles that the same nodes hold, only one: a passage that two texts share counts once, not once a shingle."""
+    sets = shared.groupBy("x").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("t"))
+    return shared.join(sets.groupBy("c", "s", "t").agg(F.min("x").alias("x")).select("x"), "x", "left_semi")
+
+
 def pass_arrays(docs: DataFrame, n: int) -> DataFrame:
-    """node, n, its shingles and its bitmap, of the given documents."""
+    """node and its shingles, of the given documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             found = [shingle_set(t, hashes, n) for t in batch.column(0).to_pylist()]
             found = [f for f in found if len(f)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([node_key(f) for f in found], pa.int64()), pa.array([len(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary()), pa.array([bitmap(f).tobytes() for f in found], pa.binary())],
-                names=["node", "n", "shingles", "bits"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([node_key(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())], names=["node", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "node long, n long, shingles binary, bits binary")
+    return docs.select("text").mapInArrow(run, "node long, shingles binary")
 
 
-def verified(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs a, b: those that link. Bitmaps first, then exact intersections of the arrays that are left."""
+def beside(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """pairs a, b with columns of their nodes: <column>_a and <column>_b."""
+    left = rows.select(F.col("node").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = rows.select(F.col("node").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return pairs.join(left, "a").join(right, "b")
 
-    def by_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that their bitmaps don't rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, na, nb, ba, bb = (batch.column(i).to_pylist() for i in range(6))
+            na, nb, ba, bb = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))
             on = []
-            for i in range(len(a)):
+            for i in range(len(na)):
                 x, y = np.frombuffer(ba[i], np.uint8), np.frombuffer(bb[i], np.uint8)
                 size = min(len(x), len(y))
                 on.append(bool(may_link(na[i], folded(x, size), np.array([nb[i]]), folded(y, size)[None, :], percent)[0]))
-            yield batch.select([0, 1]).filter(pa.array(on, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return beside(pairs, nodes, "n", "bits").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+
+
+def linked_pairs(likely: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs that link, by the exact intersection of their sorted arrays. One document of each node is read again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sa, sb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             on = []
-            for x, y in zip(sa, sb):
+            for x, y in zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 on.append(bool(linked(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True)), percent)))
-            yield batch.select([0, 1]).filter(pa.array(on, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
-    def beside(rows: DataFrame, column: str) -> DataFrame:
-        left = arrays.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(column).alias("ca"))
-        right = arrays.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(column).alias("cb"))
-        return rows.join(left, "a").join(right, "b")
+    likely = written(likely, "likely")
+    ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    wanted = written(nodes.join(ends, "node").select(F.col("d.id").alias("wid"), F.col("d.text_key").alias("wkey")), "wanted")
+    if wanted.count() <= BROADCAST_ROWS:  # two numbers a row; beyond that both sides are shuffled
+        wanted = F.broadcast(wanted)
+    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("text_key") == F.col("wkey")), "left_semi")
+    arrays = written(pass_arrays(texts.dropDuplicates(["id", "text_key"]), words), "arrays")
+    out = written(beside(likely, arrays, "shingles").select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long"), "links")
+    discard(arrays)
+    return out
 
-    likely = written(beside(pairs, "bits").select("a", "b", "na", "nb", "ca", "cb").mapInArrow(by_bits, "a long, b long"), "likely")
-    return written(beside(likely, "shingles").select("a", "b", "ca", "cb").mapInArrow(exact, "a long, b long"), "links")
 
-
-def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of different roots that may link, from rows (x, node, n, root, bits) dealt into size-banded tiles.
+def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of different roots that may link, from rows (x, node, n, root) dealt into size-banded tiles.
 
     A band holds sizes within a factor 100/percent; a node is put into its own band and into the next, so two nodes that can
     link meet in the band of the larger. A large (shingle, band) is dealt into pairs of tiles of about TILE_ROWS rows.
@@ -295,11 +316,11 @@ def tile_pairs(rows: DataFrame, percent: int) -> DataFrame:
     sizes = put.groupBy("x", "band").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("tiles"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     sizes = sizes.where("lo < hi").drop("lo", "hi")
     dealt = (
-        put.join(sizes, ["x", "band"])
+        put.join(sizes.repartition(F.xxhash64("x", "band")), ["x", "band"])
         .withColumn("tile", F.pmod(F.hash("node"), "tiles"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("x", "band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "n", "root", "own_band", "bits")
-    )
+        .select("x", "band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "n", "root", "own_band")
+    ).join(nodes.select("node", "bits"), "node")
 
     def compare(i, j, tile, node, n, root, own_band, at_band, bits, out_a, out_b):
         width = min(len(b) for b in bits)
@@ -360,33 +381,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text_batches(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     first = written(pass_sets(slim, words), "sets")
-    sets = first.where("kind = 0").drop("kind")
+    sets = first.where("kind = 0").drop("kind", "bits")
     total = sets.agg(F.sum("n")).first()[0] or 0
     often = first.where("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).where(F.col("n") >= max(32, total // FREQUENT))
     frequent = np.sort(often.select("node").toPandas()["node"].to_numpy(np.int64).view(np.uint64))
+    nodes = first.where("kind = 0 and node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min(F.struct("id", "text_key")).alias("d"))
+    nodes = written(nodes, "nodes")
 
-    shared = written(shared_only(pass_prefixes(slim, words, percent, frequent)), "shared")
-    # One document for each node that shares a shingle, and its arrays.
-    wanted = shared.select("node").distinct().join(sets.groupBy("node").agg(F.min(F.struct("id", "text_key")).alias("d")), "node")
-    wanted = wanted.select(F.col("d.id").alias("wid"), F.col("d.text_key").alias("wkey"))
-    texts = slim.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("text_key") == F.col("wkey")), "left_semi")
-    arrays = written(pass_arrays(texts, words).dropDuplicates(["node"]), "arrays")
-
+    every = written(shared_only(pass_prefixes(slim, words, percent, frequent)), "shared")
+    shared = written(distinct_groups(every), "groups")
+    discard(every)
     ends = shared.select("node", "n", F.col("center").alias("to"), F.col("center_n").alias("to_n")).union(shared.select("node", "n", "prev", "prev_n"))
     near = ends.where(f"node <> to and 100 * least(n, to_n) >= {percent} * greatest(n, to_n)")
     pairs = near.select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")).distinct()
-    links = verified(pairs, arrays, percent)
+    links = linked_pairs(likely_pairs(pairs, nodes, percent), nodes, slim, words, percent)
 
     roots = connected_components(links)
     rooted = shared.select("x", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("x").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("x")
-    open_rows = rooted.join(mixed, "x").join(arrays.select("node", "bits"), "node")
-    more = verified(tile_pairs(open_rows, percent), arrays, percent)
+    # The first step has compared all pairs of a shingle with three nodes or fewer.
+    mixed = rooted.groupBy("x").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("held")).where("lo < hi and held > 3").select("x")
+    more = linked_pairs(tile_pairs(rooted.join(spread(mixed, "x"), "x"), nodes, percent), nodes, slim, words, percent)
 
     final = connected_components(links.union(more))
     named = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("least")).join(final, "node", "left")
     named = written(named.select("node", "least", F.coalesce("root", "node").alias("root")), "roots")
-    component = named.groupBy("root").agg(F.min("least").alias("component")).join(named, "root").select("node", "component")
+    component = named.join(spread(named.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("node", "component")
     return sets.join(component, "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id")
     )
