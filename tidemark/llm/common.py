@@ -76,5 +76,4 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         tied = large.join(spread(low, "u"), "u")
         small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         now = written(small.where("u <> v").distinct(), "edges")
-    spark.catalog.clearCache()
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).union(now.select(F.col("v"), F.col("v")).distinct())

@@ -69,4 +69,17 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {}
+REACH = "r AS (SELECT id AS a, id AS m FROM every UNION SELECT l.b, r.m FROM r JOIN l ON l.a = r.a), c AS (SELECT a, min(m) AS component_id FROM r GROUP BY 1)"
+ORACLES: dict[str, str] = {
+    "op1_embedding_dedup": f"""WITH RECURSIVE every AS (SELECT vec_id AS id FROM embeddings),
+      v AS (SELECT vec_id, label, len(embedding) AS d, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+      l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.d = y.d AND x.vec_id <> y.vec_id WHERE list_cosine_similarity(x.e, y.e) >= 0.93), {REACH}
+      SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept FROM every JOIN c ON c.a = id LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY 1) k ON k.a = id""",
+    "op3_ngram_join": f"""WITH RECURSIVE every AS (SELECT doc_id AS id FROM documents),
+      w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+      s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS x FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM w WHERE len(ws) > 0)),
+      n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1), p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.x = y.x AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+      l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)), {REACH}
+      SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id FROM every JOIN c ON c.a = id LEFT JOIN n ON n.doc_id = id""",
+}
