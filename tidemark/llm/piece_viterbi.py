@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +25,7 @@ from tidemark.llm.common import text_batches
 
 SPACE = "▁"
 #: Known words and piece pairs of a worker; beyond that its memory starts anew.
-WORD_MEMORY, PAIR_MEMORY = 500_000, 1_000_000
+WORD_MEMORY, PAIR_MEMORY = 800_000, 1_000_000
 #: Words longer than this are not kept in memory.
 LONG_WORD = 64
 
@@ -55,6 +56,7 @@ class Pieces:
             node[""] = i
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
+        self.makeable: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
 
     def last_merge(self, piece: int) -> tuple[int, int] | None:
@@ -74,7 +76,10 @@ class Pieces:
         return self.parts[piece]
 
     def usable(self, piece: int) -> bool:
-        return len(self.name[piece]) == 1 or self.last_merge(piece) is not None
+        known = self.makeable.get(piece)
+        if known is None:
+            known = self.makeable[piece] = len(self.name[piece]) == 1 or self.last_merge(piece) is not None
+        return known
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merges on the joined text of a and b leave the boundary between them: undo the merges that made a and b,
@@ -153,11 +158,52 @@ class Pieces:
                     back = back[meet - base :]
                     base = meet
 
+    def search_short(self, word: str) -> list[int]:
+        """The same search for a word no longer than the window, whose paths need not be committed before its end."""
+        size = len(word)
+        ends: list[int | None] = [None] * (size + 1)  # the piece that ends at a boundary
+        starts = [0] * (size + 1)
+        trie, pairs, compatible = self.trie, self.pairs, self.compatible
+        for i in range(size):
+            before = ends[i] if i else -1
+            if before is None:
+                continue
+            node, whole = trie, False
+            for j in range(i, size):
+                node = node.get(word[j])
+                if node is None:
+                    break
+                piece = node.get("")
+                if piece is None:
+                    continue
+                if j == i:
+                    whole = True
+                if before >= 0:
+                    good = pairs.get(before << 20 | piece)
+                    if good is None:
+                        good = compatible(before, piece)
+                    if not good:
+                        continue
+                if self.usable(piece):
+                    ends[j + 1], starts[j + 1] = piece, i
+            if not whole:
+                ends[i + 1], starts[i + 1] = -1 - ord(word[i]), i
+        path, k = [], size
+        while k:
+            piece = ends[k]
+            if piece >= 0:
+                path.append(piece)
+            else:
+                path += [self.byte_id[b] for b in reversed(chr(-1 - piece).encode("utf-8", "surrogatepass"))]
+            k = starts[k]
+        return path[::-1]
+
     def word_ids(self, word: str) -> bytes:
         """Ids of the space mark and a word, as little-endian 32-bit numbers."""
         known = self.words.get(word)
         if known is None:
-            known = np.fromiter(self.search(SPACE + word), dtype="<u4").tobytes()
+            found = self.search_short(SPACE + word) if len(word) < 2 * self.longest else list(self.search(SPACE + word))
+            known = struct.pack(f"<{len(found)}I", *found)
             if len(word) <= LONG_WORD:
                 if len(self.words) > WORD_MEMORY:
                     self.words.clear()
