@@ -97,7 +97,7 @@ def segment_rate(lexicon_scores: np.ndarray, share: np.ndarray, drift: float) ->
     return (low + high) / 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, held_out: int, folds: int, max_labelled: int, prior_mass: float = 500.0, least_z: float = 3.0, max_lexicon: int = 20_000) -> ToxicModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, held_out: int, folds: int, max_labelled: int, prior_share: float = 0.025, least_z: float = 3.0, least_odds: float = 1.0, max_lexicon: int = 20_000) -> ToxicModel:
     """Train on at most max_labelled labelled rows outside the held-out fold; the lexicon has at most max_lexicon words."""
     sample = labelled_sample(docs, labels, label_col, in_fold(folds) != held_out, max_labelled, id_col, text_col)
     text_batches(docs.sparkSession)
@@ -136,8 +136,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     leaning = per_word.where(plain & (F.col("toxic") >= 2) & (F.col("toxic") * docs_c > F.col("clean") * docs_t))
     rows = leaning.orderBy(F.desc("toxic"), "word").limit(max_lexicon).toPandas()
     toxic, clean = rows["toxic"].to_numpy(float), rows["clean"].to_numpy(float)
+    prior_mass = prior_share * (docs_t + docs_c)
     delta, z = log_odds(toxic, clean, docs_t, docs_c, prior_mass)
-    on = z >= least_z
+    # Long documents lend common words a small, significant lean; a toxic word is commoner by a factor e at least.
+    on = (z >= least_z) & (delta >= least_odds)
     lexicon = dict(zip(map(bytes, rows["word"][on]), delta[on]))
     if not lexicon:
         return ToxicModel({}, 0.5, 1.0, 1.0)
