@@ -100,24 +100,24 @@ def pack(
                 offset += p[2]
             number += 1
 
+        def demand() -> np.ndarray:
+            """The rests' shares of each limit."""
+            length = np.array([p[2] for p in rests], dtype=np.float64)
+            return np.column_stack([length / max_tokens, np.full(len(rests), 1 / max_segments), (length - 1) / max_loss_tokens])
+
         def settle(last: bool) -> None:
+            """Place the pool's full bins and keep the rests of the others; at the end, or where half a pool would stay,
+            place them all, so that memory stays bounded."""
             nonlocal rests
-            length = np.array([p[2] for p in rests], dtype=np.float64)
-            demand = np.column_stack([length / max_tokens, np.full(len(rests), 1 / max_segments), (length - 1) / max_loss_tokens])
-            kept = []
-            for chosen in dot_product_bins(demand):
-                if last or demand[chosen].sum(axis=0).max() >= full_enough:
-                    put([rests[i] for i in chosen])
-                else:
-                    kept += [rests[i] for i in chosen]
-            if len(kept) > pool // 2:  # such a pool can't be packed tighter: place it, so that memory stays bounded
-                rests = kept
-                length = np.array([p[2] for p in rests], dtype=np.float64)
-                demand = np.column_stack([length / max_tokens, np.full(len(rests), 1 / max_segments), (length - 1) / max_loss_tokens])
-                for chosen in dot_product_bins(demand):
+            need = demand()
+            bins = dot_product_bins(need)
+            full = [last or need[b].sum(axis=0).max() >= full_enough for b in bins]
+            if sum(len(b) for b, f in zip(bins, full) if not f) > pool // 2:
+                full = [True] * len(bins)
+            for chosen, on in zip(bins, full):
+                if on:
                     put([rests[i] for i in chosen])
-                kept = []
-            rests = kept
+            rests = [rests[i] for chosen, on in zip(bins, full) if not on for i in chosen]
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*rows)) or [()] * 8
