@@ -47,11 +47,6 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
 
 
-def fold(counts_by: str) -> "F.Column":
-    """Unsigned crc32 of the id as text; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(counts_by).cast("string"), F.lit("")).cast("binary"))
-
-
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Label every node of an edge list with the smallest node of its component: columns node, root.
 
@@ -70,7 +65,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # Large star: every larger neighbour of u is tied to the smallest of u's neighbourhood.
         sides = now.select("u", "v").union(now.select(F.col("v"), F.col("u"))).toDF("x", "y")
         least = sides.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = sides.where("y > x").join(spread(least, "x"), "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+        large = sides.where("y > x").join(spread(least, "x"), "x").select(F.col("y").alias("u"), F.col("m").alias("v"))
         # Small star: u and its smaller neighbours are tied to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         tied = large.join(spread(low, "u"), "u")

@@ -78,9 +78,9 @@ def linked(size_a, size_b, both, percent: int):
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    """Bits at hash modulo a power of two of at least the set's size, 256 at least, as bytes."""
+    """Bits at hash modulo a power of two of at least twice the set's size, 256 at least, as bytes."""
     width = 256
-    while width < len(shingles):
+    while width < 2 * len(shingles):
         width *= 2
     bits = np.zeros(width, dtype=bool)
     bits[(shingles % np.uint64(width)).astype(np.int64)] = True
@@ -402,7 +402,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     mixed = rooted.groupBy("x").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("held")).where("lo < hi and held > 3").select("x")
     more = linked_pairs(tile_pairs(rooted.join(spread(mixed, "x"), "x"), nodes, percent), nodes, slim, words, percent)
 
-    final = connected_components(links.union(more))
+    # Links found later tie whole components of the first step together.
+    first_root = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+    ties = more.join(first_root("a"), "a", "left").join(first_root("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    second = connected_components(ties).toDF("root", "top")
+    final = roots.join(second, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    alone = second.join(roots, second["root"] == roots["node"], "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+    final = final.union(alone)
     named = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("least")).join(final, "node", "left")
     named = written(named.select("node", "least", F.coalesce("root", "node").alias("root")), "roots")
     component = named.join(spread(named.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("node", "component")
