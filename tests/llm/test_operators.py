@@ -450,3 +450,42 @@ def test_candidates_keep_order_and_neighbours(spark):
     text = "a token=abc123def4567 then " + "x9" * 8 + " end abcdefghijklmnop"
     row = spark.createDataFrame([(text,)], "t string").select(secret_scan.candidates(F.col("t")).alias("c")).first()
     assert [(c.nth, c.value, c.before[-6:], c.after[:5]) for c in row.c] == [(1, "abc123def4567", "token=", " then"), (2, "x9" * 8, " then ", " end ")]
+
+
+def test_every_context_has_its_own_restaurant(spark):
+    """Scores are those of a single-process model with the same seating; more contexts than any fixed number of hash buckets."""
+    train = [(i, " ".join(f"w{(i * 37 + j * j) % 700}" for j in range(60)) + f" w{i} next{i % 2}") for i in range(120)]
+    other = [(1000 + i, f"w{i} next{i % 3} w{i + 1} unseen") for i in range(40)] + [(2000, None), (None, "w1 next1")]
+    schema = "id long, text string"
+    model = pitman_yor.fit(spark.createDataFrame(train, schema))
+    count = Counter()
+    for _, text in train:
+        words = [pitman_yor.number_of(w) for w in pitman_yor.words_of(text)]
+        count.update(zip([pitman_yor.START, *words], words))
+    seating = {(r.k, r.w): (r.c, r.ts) for r in model.pairs.collect()}
+    assert {p: c for p, (c, _) in seating.items()} == count
+    assert model.contexts.count() == len({k for k, _ in count}) > 600
+    assert all(1 <= t <= c for c, ts in seating.values() for t in ts)
+    customers, tables, dish, of_word = Counter(), Counter(), Counter(), Counter()
+    for (k, w), (c, ts) in seating.items():
+        customers[k] += c
+        of_word[w] += c
+        for s, t in enumerate(ts):
+            tables[k, s] += t
+            dish[w, s] += t
+    d1, d0, v = model.history[0].d1, model.history[0].d0, len(of_word)
+    top = [sum(t for (_, s), t in dish.items() if s == sample) for sample in range(2)]
+
+    def probability(k, w):
+        total = 0.0
+        for s in range(2):
+            p = (dish[w, s] - d0) / (1 + top[s]) if dish[w, s] else (1 + d0 * v) / (1 + top[s])
+            c, ts = seating.get((k, w), (0, (0, 0)))
+            total += (c - d1 * ts[s] + (1 + d1 * tables[k, s]) * p) / (1 + customers[k])
+        return total / 2
+
+    got = {r.id: r for r in pitman_yor.weighed(spark.createDataFrame(train + other, schema), model).collect()}
+    for i, text in train + other:
+        words = [pitman_yor.number_of(w) for w in pitman_yor.words_of(text)]
+        assert isclose(got[i].score, sum(log10(probability(k, w)) for k, w in zip([pitman_yor.START, *words], words)), rel_tol=1e-9), i
+        assert got[i].known == sum(of_word[w] > 0 for w in words)

@@ -1,20 +1,22 @@
 """Language-model scores by a hierarchical Pitman-Yor model, seated by Gibbs sampling.
 
-Every previous word picks one of CONTEXTS restaurants by its hash (text starts have their own); all restaurants share one
-parent, whose customers are their tables. The parent's base is continuous, so a word never seen is served by its mass for
-new dishes. The state is one row per word: the word's customers and tables in each restaurant, at most CONTEXTS + 1
-entries. A Gibbs sweep is a map over these rows: all customers of a dish leave a restaurant and are seated again one at a
-time, given the totals of the restaurants, which are the only figures that reach the driver. Scores average the predictive
-probabilities of the kept sweeps.
-
-Words that hold more than 1/FREQUENT_SHARE of all tokens number less than FREQUENT_SHARE whatever the corpus; their
-probabilities are broadcast, and only tokens of other words are shuffled, packed by word.
+Every distinct previous word has a restaurant of its own (text starts have one too); all share one parent, whose customers
+are their tables. The parent's base is continuous, so a word never seen is served by its mass for new dishes. Words are
+held as 62-bit hashes. The state is a table with a row for each pair of context and word, dealt by both; the totals of
+restaurants and of words are tables too, joined to it, so no figure for each context or word reaches the driver. A pair
+seen once sits at one table in every seating, so only pairs seen more often are seated anew. In a Gibbs sweep all
+customers of a dish leave a restaurant and come in again one at a time, given the totals of the sweep before. Scores
+average the predictive probabilities of the kept sweeps.
+
+Pairs that make up more than 1/FREQUENT_SHARE of all tokens number less than FREQUENT_SHARE whatever the corpus; their
+probabilities are broadcast, and only tokens of other pairs are shuffled.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,40 +24,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, text_batches, written
+from tidemark.llm.common import discard, spread, text_batches, written
 from tidemark.llm.mil_quality import in_fold
 
-CONTEXTS = 256
+#: Numbers of words, and so of contexts, lie below this.
+CONTEXTS = 1 << 62
 START = CONTEXTS
-PLACES = CONTEXTS + 1
 #: The end of a text as a word; it holds a space, which no word does.
 END = b" "
 FREQUENT_SHARE = 50_000
 #: Tokens that a task packs at once.
 AT_ONCE = 3_000_000
+#: Rows that a task seats at once, and rows of a batch it gives out.
+SEATED_AT_ONCE, ROWS_OUT = 200_000, 50_000
 #: Customers that are seated one by one; later ones in growing blocks.
 ONE_BY_ONE = 48
-COUNT = np.dtype([("k", "<u2"), ("n", "<u4")])
-TOKEN = np.dtype([("k", "<u2"), ("doc", "<u2")])
-ENTRY = np.dtype([("k", "<u2"), ("q", "<f4")])
+ENTRY = np.dtype([("k", "<i8"), ("q", "<f8")])
 SUM = np.dtype([("doc", "<u2"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
+TEXT = np.dtype([("doc", "<u2"), ("none", "?"), ("id", "<i8"), ("n", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
 #: Texts that a task packs at once, so that a text's number takes two bytes.
 TEXTS_AT_ONCE = 1 << 16
+#: Kinds of payload: rows of TEXT, rows of SUM, numbers of the texts that hold a pair the model lacks.
+OF_TEXTS, OF_SUMS, OF_TOKENS = 0, 1, 2
+THETA1 = THETA0 = 1.0
+
+
+def number_of(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little") >> 2
 
 
 class Vocabulary(dict):
-    """Numbers of words in order of appearance, and the restaurant that each leads into."""
+    """Places of words in order of appearance, and their numbers."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.words: list[bytes] = []
-        self.leads: list[int] = []
+        self.numbers: list[int] = []
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words)
-        self.words.append(word)
-        self.leads.append(zlib.crc32(word) % CONTEXTS)
-        return number
+        place = self[word] = len(self.numbers)
+        self.numbers.append(number_of(word))
+        return place
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -66,7 +74,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: int):
-    """Batches of the input put together up to AT_ONCE tokens: (ids, numbers of all tokens, tokens of each text, vocabulary)."""
+    """Batches of the input put together up to AT_ONCE tokens: (ids, places of all tokens, tokens of each text, vocabulary)."""
     ids, parts, sizes, known, total = [], [], [], Vocabulary(), 0
     for batch in batches:
         for i, text in zip(batch.column(0).to_pylist(), batch.column(column).to_pylist()):
@@ -82,113 +90,85 @@ def chunks(batches: Iterator[pa.RecordBatch], column: int):
         yield ids, np.concatenate(parts), np.array(sizes), known
 
 
-def contexts_of(tokens: np.ndarray, sizes: np.ndarray, known: Vocabulary) -> np.ndarray:
-    leads = np.array(known.leads, dtype=np.int64)[tokens]
-    k = np.concatenate([[START], leads[:-1]])
-    k[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = START
-    return k
-
-
-def packed(number: np.ndarray, order_by: np.ndarray, rows: np.ndarray, known: Vocabulary) -> tuple[list[bytes], list[bytes]]:
-    """rows grouped by word number, as bytes."""
-    order = np.lexsort((order_by, number))
-    number, rows = number[order], rows[order]
-    first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
-    raw, width = rows.tobytes(), rows.dtype.itemsize
-    stops = np.append(first[1:], len(number)) * width
-    return [known.words[i] for i in number[first]], [raw[a:b] for a, b in zip((first * width).tolist(), stops.tolist())]
+def pairs_of(tokens: np.ndarray, sizes: np.ndarray, known: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(for each token the place of its pair of context and word, context and word numbers of each pair)."""
+    size = len(known.numbers)
+    before = np.concatenate([[size], tokens[:-1]])
+    before[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = size
+    key, at = np.unique(before * size + tokens, return_inverse=True)
+    numbers = np.array([*known.numbers, START], dtype=np.int64)
+    return at, numbers[key // size], numbers[key % size]
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """The state before the first sweep: w, c, ks, cs, ts (a table for each dish)."""
+def count_pairs(docs: DataFrame) -> DataFrame:
+    """k, w, c: tokens of each pair of context and word, counted in each task before they are shuffled."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, tokens, sizes, known in chunks(batches, 1):
-            key, n = np.unique(tokens * 512 + contexts_of(tokens, sizes, known), return_counts=True)
-            rows = np.zeros(len(key), dtype=COUNT)
-            rows["k"], rows["n"] = key % 512, n
-            words, raw = packed(key // 512, key, rows, known)
-            for at in range(0, len(words), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(words[at : at + 50_000], pa.binary()), pa.array(raw[at : at + 50_000], pa.binary())], names=["w", "counts"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, pieces, total = None, [], None
-        words: list[bytes] = []
-        parts: list[np.ndarray] = []
-
-        def summed() -> np.ndarray:
-            rows = np.frombuffer(b"".join(pieces), dtype=COUNT)
-            return np.bincount(rows["k"], rows["n"], PLACES).astype(np.int64) + (0 if total is None else total)
-
-        def put() -> None:
-            if total is None and len(pieces) == 1:
-                rows = np.frombuffer(pieces[0], dtype=COUNT)
-                parts.append(np.column_stack([rows["k"].astype(np.int64), rows["n"].astype(np.int64)]))
-            else:
-                counts = summed()
-                on = np.flatnonzero(counts)
-                parts.append(np.column_stack([on, counts[on]]))
-            words.append(now)
+            at, k, w = pairs_of(tokens, sizes, known)
+            n = np.bincount(at, minlength=len(k))
+            for s in range(0, len(k), ROWS_OUT):
+                yield pa.RecordBatch.from_arrays([pa.array(x[s : s + ROWS_OUT]) for x in (k, w, n)], names=["k", "w", "n"])
 
-        def flush() -> pa.RecordBatch:
-            sizes = np.array([0, *(len(p) for p in parts)])
-            flat = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
-            ends = pa.array(np.cumsum(sizes).astype(np.int32))
-            lists = lambda v: pa.ListArray.from_arrays(ends, pa.array(v))
-            total = np.add.reduceat(flat[:, 1], np.cumsum(sizes)[:-1]) if parts else np.zeros(0, np.int64)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(total), lists(flat[:, 0].astype(np.int32)), lists(flat[:, 1]), lists(np.ones(len(flat), np.int64))], names=["w", "c", "ks", "cs", "ts"]
-            )
-            words.clear()
-            parts.clear()
-            return out
+    return docs.mapInArrow(gather, "k long, w long, n long").groupBy("k", "w").agg(F.sum("n").alias("c"))
 
-        for batch in batches:
-            for word, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if word != now:
-                    if now is not None:
-                        put()
-                    now, pieces, total = word, [], None
-                pieces.append(raw)
-                if len(pieces) >= 512:  # a word of many chunks is summed as it comes
-                    pieces, total = [], summed()
-            if len(words) >= 20_000:
-                yield flush()
-        if now is not None:
-            put()
-        yield flush()
 
-    rows = docs.mapInArrow(gather, "w binary, counts binary")
-    return rows.repartition("w").sortWithinPartitions("w").mapInArrow(merge, "w binary, c long, ks array<int>, cs array<long>, ts array<long>")
+@dataclass
+class Totals:
+    """Figures of one seating: discounts, words, tables in all; share_up looks up restaurants in the table of contexts."""
 
+    d1: float
+    d0: float
+    words: int
+    top: float
+    contexts: DataFrame | None = None
+    sample: int = 0
+    shares: "Shares | None" = None
 
-class Totals:
-    """Customers and tables of the restaurants, words, and the discounts."""
-
-    def __init__(self, state: DataFrame, discounts: tuple[float, float] | None = None):
-        flat = state.select(F.explode(F.arrays_zip("ks", "cs", "ts")).alias("x"))
-        per = flat.groupBy("x.ks").agg(F.sum("x.cs").alias("c"), F.sum("x.ts").alias("t"), F.sum((F.col("x.cs") == 1).cast("long")).alias("one"), F.sum((F.col("x.cs") == 2).cast("long")).alias("two"))
-        self.c, self.t, one, two = np.zeros(PLACES), np.zeros(PLACES), 0, 0
-        for r in per.collect():
-            self.c[r.ks], self.t[r.ks], one, two = r.c, r.t, one + r.one, two + r.two
-        seen = state.agg(F.count("*"), F.sum(F.when(F.aggregate("ts", F.lit(0).cast("long"), lambda a, x: a + x) == 1, 1)), F.sum(F.when(F.aggregate("ts", F.lit(0).cast("long"), lambda a, x: a + x) == 2, 1))).first()
-        self.words, top_one, top_two = seen[0], seen[1] or 0, seen[2] or 0
-        estimate = lambda a, b: min(0.95, max(0.05, a / max(1, a + 2 * b)))
-        self.d1, self.d0 = discounts or (estimate(one, two), estimate(top_one, top_two))
-        self.theta1 = self.theta0 = 1.0
-        self.top = self.t.sum()
-
-    def share_up(self) -> np.ndarray:
+    def share_up(self) -> "Shares":
         """For each restaurant, the probability of a new table."""
-        return (self.theta1 + self.d1 * self.t) / (self.theta1 + self.c)
+        if self.shares is None:
+            self.shares = Shares(self.contexts, self.sample)
+        return self.shares
 
     def new_dish(self) -> float:
         """The parent's mass for a word that nobody has ordered."""
-        return float((self.theta0 + self.d0 * self.words) / (self.theta0 + self.top))
+        return float((THETA0 + self.d0 * self.words) / (THETA0 + self.top))
 
     def parent(self, tables: np.ndarray) -> np.ndarray:
         """The parent's probability of a word by its tables below; that of a word without any is one of words + 1."""
-        return np.where(tables > 0, np.maximum(tables - self.d0, 0), self.new_dish() * (self.theta0 + self.top) / (self.words + 1)) / (self.theta0 + self.top)
+        return np.where(tables > 0, np.maximum(tables - self.d0, 0), self.new_dish() * (THETA0 + self.top) / (self.words + 1)) / (THETA0 + self.top)
+
+
+class Shares(dict):
+    """Probabilities of a new table by context, read when asked for; an empty restaurant always opens one."""
+
+    def __init__(self, contexts: DataFrame, sample: int):
+        super().__init__()
+        self.contexts, self.sample = contexts, sample
+
+    def __missing__(self, k: int) -> float:
+        row = self.contexts.where(F.col("k") == k).first()
+        value = self[k] = float(row.ups[self.sample]) if row else 1.0
+        return value
+
+
+@dataclass
+class Model:
+    """n and the seatings' totals; contexts (k, customers, ups), words (w, cw, ps), pairs (k, w, c, ts), an array item a seating."""
+
+    n: int
+    history: list[Totals]
+    contexts: DataFrame
+    words: DataFrame
+    pairs: DataFrame
+
+    def probabilities(self, pairs: DataFrame) -> DataFrame:
+        """k, w, cw and the mean predictive probability q of pairs that the model holds."""
+        d1 = self.history[0].d1
+        met = pairs.join(spread(self.contexts, "k"), "k").join(spread(self.words, "w"), "w")
+        each = lambda s: (F.col("c") - d1 * F.col("ts")[s]) / (THETA1 + F.col("customers")) + F.col("ups")[s] * F.col("ps")[s]
+        return met.select("k", "w", "cw", (sum((each(s) for s in range(len(self.history))), F.lit(0.0)) / len(self.history)).alias("q"))
 
 
 def seat(c: np.ndarray, up: np.ndarray, d: float, random: np.random.Generator) -> np.ndarray:
@@ -206,76 +186,92 @@ def seat(c: np.ndarray, up: np.ndarray, d: float, random: np.random.Generator) -
     return np.minimum(t, c)
 
 
-def sweep(state: DataFrame, totals: Totals, keep: bool, move: bool, seed: int) -> DataFrame:
-    """Add the predictive probabilities of this state if keep; seat all customers anew if move."""
-    width = "w binary, c long, ks array<int>, cs array<long>, ts array<long>, ps array<double>, qs array<double>"
+def moved(many: DataFrame, sums: dict[str, DataFrame], totals: Totals, keep: bool, seed: int) -> DataFrame:
+    """many with all customers seated anew; the new tables are added to ts if keep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def seated() -> pa.RecordBatch:
+            part = pa.Table.from_batches(pool).combine_chunks().to_batches()[0]
+            k, w, c, t, in_k, in_w = (part.column(x).to_numpy() for x in ("k", "w", "c", "t", "k_tables", "w_tables"))
+            random = np.random.default_rng([seed, int(k[0]), int(w[0])])
+            up = (THETA1 + totals.d1 * np.maximum(in_k - t, 0)) * totals.parent((in_w - t).astype(float))
+            t = seat(c, up, totals.d1, random)
+            return pa.RecordBatch.from_arrays([part.column("k"), part.column("w"), part.column("c"), pa.array(t), part.column("ts")], names=["k", "w", "c", "t", "ts"])
+
+        pool, held = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ks, cs, ts = (batch.column(i) for i in (2, 3, 4))
-            ends = ks.offsets.to_numpy() - ks.offsets[0].as_py()
-            k, c, t = (x.flatten().to_numpy() for x in (ks, cs, ts))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-            tables = np.bincount(row, t, batch.num_rows)
-            p = totals.parent(tables)
-            ps, qs = batch.column(5), batch.column(6)
-            offsets = pa.array(ends.astype(np.int32))
-            if keep:
-                q = (c - totals.d1 * t + (totals.theta1 + totals.d1 * totals.t[k]) * p[row]) / (totals.theta1 + totals.c[k])
-                old = ps.flatten().to_numpy().reshape(batch.num_rows, -1)
-                new = np.column_stack([old, p])
-                ps = pa.ListArray.from_arrays(pa.array(np.arange(0, new.size + 1, new.shape[1], dtype=np.int32)), pa.array(new.ravel()))
-                qs = pa.ListArray.from_arrays(offsets, pa.array(qs.flatten().to_numpy() + q))
-            if move:
-                random = np.random.default_rng([seed, zlib.crc32(batch.column(0)[0].as_py())])
-                others = totals.parent((tables[row] - t).astype(float))
-                t = seat(c, (totals.theta1 + totals.d1 * np.maximum(totals.t[k] - t, 0)) * others, totals.d1, random)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, pa.array(k)), pa.ListArray.from_arrays(offsets, pa.array(c)), pa.ListArray.from_arrays(offsets, pa.array(t)), ps, qs],
-                names=["w", "c", "ks", "cs", "ts", "ps", "qs"],
-            )
+            if batch.num_rows:
+                pool.append(batch)
+                held += batch.num_rows
+            if held >= SEATED_AT_ONCE:
+                yield seated()
+                pool, held = [], 0
+        if pool:
+            yield seated()
+
+    met = many
+    for key in ("k", "w"):
+        tables = many.groupBy(key).agg(F.sum("t").alias("more")).join(sums[key].select(key, "one"), key).select(key, (F.col("more") + F.col("one")).alias(f"{key}_tables"))
+        met = met.join(spread(tables, key), key)
+    after = met.select("k", "w", "c", "t", "ts", "k_tables", "w_tables").mapInArrow(run, "k long, w long, c long, t long, ts array<long>")
+    return after.withColumn("ts", F.concat("ts", F.array("t"))) if keep else after
+
+
+def fit(docs: DataFrame, burn_in: int = 1, kept: int = 2) -> Model:
+    """The model of a table id, text."""
+    counts = written(count_pairs(docs), "pairs")
+    is_one = lambda n: (F.col("c") == n).cast("long")
+    sums = {key: written(counts.groupBy(key).agg(F.sum("c").alias("customers"), F.sum(is_one(1)).alias("one"), F.count("*").alias("dishes")), "sums") for key in ("k", "w")}
+    seen = counts.agg(F.sum("c"), F.sum(is_one(1)), F.sum(is_one(2)), F.count("*")).first()
+    words = sums["w"].agg(F.count("*"), *[F.sum((F.col("dishes") == n).cast("long")) for n in (1, 2)]).first()
+    estimate = lambda a, b: min(0.95, max(0.05, (a or 0) / max(1, (a or 0) + 2 * (b or 0))))
+    d1, d0 = estimate(seen[1], seen[2]), estimate(words[1], words[2])
+    ones = seen[1] or 0
+    totals = Totals(d1, d0, words[0], float(seen[3]))
+    many = counts.where("c > 1").withColumns({"t": F.lit(1).cast("long"), "ts": F.array().cast("array<long>")})
+    history, held = [], None
+    for turn in range(burn_in + kept):
+        keep = turn >= burn_in
+        many = written(moved(many, sums, totals, keep, turn), "seating")
+        if held is not None:
+            discard(held)
+        held = many
+        totals = Totals(d1, d0, words[0], float(ones + (many.agg(F.sum("t")).first()[0] or 0)), None, len(history))
+        if keep:
+            history.append(totals)
 
-    return state.mapInArrow(run, width)
+    def tables(key: str) -> DataFrame:
+        more = many.groupBy(key).agg(*[F.sum(F.col("ts")[s]).alias(f"m{s}") for s in range(kept)])
+        return sums[key].join(more, key, "left").select(key, "customers", *[(F.col("one") + F.coalesce(f"m{s}", F.lit(0))).alias(f"t{s}") for s in range(kept)])
 
+    ups = F.array(*[(THETA1 + d1 * F.col(f"t{s}")) / (THETA1 + F.col("customers")) for s in range(kept)])
+    ps = F.array(*[F.greatest(F.col(f"t{s}") - d0, F.lit(0.0)) / (THETA0 + h.top) for s, h in enumerate(history)])
+    contexts = written(tables("k").select("k", "customers", ups.alias("ups")), "contexts")
+    known = written(tables("w").select("w", F.col("customers").alias("cw"), ps.alias("ps")), "words")
+    single = counts.where("c = 1").select("k", "w", "c", F.array_repeat(F.lit(1).cast("long"), kept).alias("ts"))
+    for h in history:
+        h.contexts = contexts
+    for df in sums.values():
+        discard(df)
+    return Model(seen[0] or 0, history, contexts, known, single.unionByName(many.select("k", "w", "c", "ts")))
 
-def model_rows(state: DataFrame, kept: int) -> DataFrame:
-    """w, c, entries (packed restaurants and their mean predictive probabilities), ps (the parent's, of each kept sweep)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ks, qs = batch.column("ks"), batch.column("qs")
-            ends = ((ks.offsets.to_numpy() - ks.offsets[0].as_py()) * ENTRY.itemsize).tolist()
-            rows = np.zeros(len(ks.flatten()), dtype=ENTRY)
-            rows["k"], rows["q"] = ks.flatten().to_numpy(), qs.flatten().to_numpy() / kept
-            raw = rows.tobytes()
-            packed_rows = pa.array([raw[a:b] for a, b in zip(ends[:-1], ends[1:])], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("w"), batch.column("c"), packed_rows, batch.column("ps")], names=["w", "c", "entries", "ps"])
+def train(docs: DataFrame, burn_in: int = 1, kept: int = 2) -> tuple[DataFrame, list[Totals]]:
+    """The model to look at: a row for each word (w, its number in bytes; c, entries, ps), and the totals of the kept sweeps.
 
-    return state.mapInArrow(run, "w binary, c long, entries binary, ps array<double>")
+    Scores do not pass here: a common word's row holds all its contexts.
+    """
+    model = fit(docs, burn_in, kept)
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            entries = [np.array([(e["k"], e["q"]) for e in own], dtype=ENTRY).tobytes() for own in batch.column("own").to_pylist()]
+            numbers = [w.to_bytes(8, "little") for w in batch.column("w").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.binary()), batch.column("c"), pa.array(entries, pa.binary()), batch.column("ps")], names=["w", "c", "entries", "ps"])
 
-def train(docs: DataFrame, burn_in: int = 1, kept: int = 2) -> tuple[DataFrame, list[Totals]]:
-    """The model's rows and the totals of the kept sweeps."""
-    first = written(count_words(docs), "words")
-    totals = Totals(first)
-    discounts = (totals.d1, totals.d0)
-    empty = F.array().cast("array<double>")
-    state = first.withColumns({"ps": empty, "qs": F.transform("ks", lambda _: F.lit(0.0))})
-    history, held = [], first
-    for turn in range(burn_in + kept + 1):
-        keep = turn > burn_in
-        if keep:
-            history.append(totals)
-        last = turn == burn_in + kept
-        after = sweep(state, totals, keep, not last, turn)
-        after = written(model_rows(after, kept) if last else after, "model" if last else "seating")
-        discard(held)
-        state = held = after
-        if not last:
-            totals = Totals(state, discounts)
-    return state, history
+    own = model.probabilities(model.pairs).groupBy("w").agg(F.collect_list(F.struct("k", "q")).alias("own"))
+    by_word = own.join(model.words, "w").select("w", F.col("cw").alias("c"), "own", "ps")
+    return by_word.mapInArrow(pack, "w binary, c long, entries binary, ps array<double>"), model.history
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 2, folds: int = 7, burn_in: int = 1, kept: int = 2) -> DataFrame:
@@ -285,150 +281,143 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     model's. Null and empty texts are the end alone; repeated rows are scored each; a null id counts as the empty text for
     its fold. Without training texts every token is unknown. Other columns are ignored; an empty table gives an empty table.
     """
-    spark = docs.sparkSession
-    text_batches(spark)
+    text_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    model, history = train(slim.where(in_fold(folds) != held_out), burn_in, kept)
-    samples = len(history)
-    n, v = int(history[0].c.sum()), int(history[0].words)
-    up = np.column_stack([h.share_up() for h in history])  # restaurant by sample
-    fresh = np.array([h.new_dish() for h in history])
-    if not n:
-        up, fresh = np.ones_like(up), np.ones_like(fresh)
-    # Fewer than FREQUENT_SHARE words pass this, each with at most PLACES numbers.
-    top = model.where(F.col("c") > n / FREQUENT_SHARE).toPandas() if n else model.limit(0).toPandas()
-    table = np.zeros((len(top), PLACES), dtype=np.float32)
-    for i, (entries, ps) in enumerate(zip(top["entries"], top["ps"])):
-        own = np.frombuffer(entries, dtype=ENTRY)
-        table[i] = up @ np.asarray(ps) / samples
-        table[i][own["k"]] = own["q"]
-    shared = spark.sparkContext.broadcast(
-        {"row": {bytes(w): i for i, w in enumerate(top["w"])}, "log": np.log10(np.maximum(table, 1e-300)) if len(top) else table, "base": np.log10((top["c"].to_numpy(float) + 1) / (n + v + 1))}
+    model = fit(slim.where(in_fold(folds) != held_out), burn_in, kept)
+    per = weighed(slim, model)
+    return per.select(
+        F.col("id").alias(id_col),
+        (in_fold(folds) == held_out).alias("held_out"),
+        F.col("n").alias("n_tokens"),
+        F.col("known").alias("n_known"),
+        F.lit(model.n).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"),
+        "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n")).alias("perplexity"),
+    )
+
+
+def weighed(slim: DataFrame, model: Model) -> DataFrame:
+    """id, n, known, base, score of every row of a table id, text under the model."""
+    n, v, samples = model.n, model.history[0].words, len(model.history)
+    # Fewer than FREQUENT_SHARE pairs pass this.
+    top = model.probabilities(model.pairs.where(F.col("c") > n / FREQUENT_SHARE)).toPandas()
+    shared = slim.sparkSession.sparkContext.broadcast(
+        {"at": {p: i for i, p in enumerate(zip(top["k"].tolist(), top["w"].tolist()))}, "log": np.log10(np.maximum(top["q"].to_numpy(float), 1e-300)), "base": np.log10((top["cw"].to_numpy(float) + 1) / (n + v + 1))}
     )
-    del table, top
-    columns = "w binary, chunk long, tokens binary, doc int, id long, n long, known long, base double, score double"
-    names = [c.split()[0] for c in columns.split(", ")]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row per text with what its frequent words give, and a row per other word with its tokens."""
+        """Rows of texts with what their frequent pairs give, and a row per other pair with its texts' numbers."""
         context = TaskContext.get()
         chunk = (context.partitionId() if context else 0) << 24
-        row, logs, base = shared.value["row"], shared.value["log"], shared.value["base"]
+        place, logs, base = shared.value["at"], shared.value["log"], shared.value["base"]
+        wanted = np.sort(np.array([k ^ w for k, w in place], dtype=np.int64))
+
+        def out(k: np.ndarray, w: np.ndarray, payload: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(w), pa.array(np.full(len(k), chunk)), pa.array(payload, pa.binary())], names=["k", "w", "chunk", "payload"])
+
         for ids, tokens, sizes, known in chunks(batches, 1):
-            k = contexts_of(tokens, sizes, known)
+            at, k, w = pairs_of(tokens, sizes, known)
             doc = np.repeat(np.arange(len(sizes)), sizes)
-            at = np.array([row.get(w, -1) for w in known.words])[tokens]
-            on = at >= 0
-            size = len(sizes)
-            sums = [np.bincount(doc[on], x, size) for x in (np.ones(on.sum()), base[at[on]], logs[at[on], k[on]] if len(logs) else np.zeros(on.sum()))]
-            marks = [b"\t" + (chunk + i).to_bytes(8, "big") for i in range(size)]  # no word begins with a tab: evenly dealt, never met
-            for s in range(0, size, 20_000):
-                part = slice(s, s + 20_000)
-                m = len(ids[part])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(marks[part], pa.binary()), pa.array(np.full(m, chunk)), pa.nulls(m, pa.binary()), pa.array(np.arange(s, s + m, dtype=np.int32)), pa.array(ids[part], pa.int64()), pa.array(sizes[part]), pa.array(sums[0][part].astype(np.int64)), pa.array(sums[1][part]), pa.array(sums[2][part])], names=names
-                )
-            rows = np.zeros((~on).sum(), dtype=TOKEN)
-            rows["k"], rows["doc"] = k[~on], doc[~on]
-            words, raw = packed(tokens[~on], rows["doc"], rows, known) if len(rows) else ([], [])
-            for s in range(0, len(words), 50_000):
-                m = len(words[s : s + 50_000])
-                none = [pa.nulls(m, t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(words[s : s + 50_000], pa.binary()), pa.array(np.full(m, chunk)), pa.array(raw[s : s + 50_000], pa.binary()), *none], names=names)
+            held = np.full(len(k), -1)
+            if len(wanted):
+                mixed = k ^ w
+                for i in np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, mixed), len(wanted) - 1)] == mixed):
+                    held[i] = place.get((int(k[i]), int(w[i])), -1)
+            own = held[at]
+            on = own >= 0
+            rows = np.zeros(len(sizes), dtype=TEXT)
+            rows["doc"], rows["n"] = np.arange(len(sizes)), sizes
+            rows["none"], rows["id"] = [x is None for x in ids], [x or 0 for x in ids]
+            rows["known"] = np.bincount(doc[on], minlength=len(sizes))
+            if on.any():
+                rows["base"], rows["score"] = np.bincount(doc[on], base[own[on]], len(sizes)), np.bincount(doc[on], logs[own[on]], len(sizes))
+            parts = [rows[s : s + 1000].tobytes() for s in range(0, len(rows), 1000)]
+            # No context or word has a number below 0: evenly dealt, never met.
+            yield out(-1 - chunk - np.arange(len(parts)), np.full(len(parts), -1), parts)
+            at, doc = at[~on], doc[~on].astype("<u2")
+            order = np.argsort(at, kind="stable")
+            at, raw = at[order], doc[order].tobytes()
+            first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.zeros(0, np.int64)
+            stops = np.append(first[1:], len(at))
+            for s in range(0, len(first), ROWS_OUT):
+                f, e = first[s : s + ROWS_OUT], stops[s : s + ROWS_OUT]
+                yield out(k[at[f]], w[at[f]], [raw[2 * i : 2 * j] for i, j in zip(f.tolist(), e.tolist())])
             chunk += 1
 
+    def summed(pool: list[tuple]) -> tuple[np.ndarray, list[bytes]]:
+        """Chunks and their packed sums, from (chunk, doc, known, base, score) of tokens."""
+        chunk, doc, known, base, value = (np.concatenate(x) for x in zip(*pool))
+        key, inverse = np.unique(chunk.astype(np.int64) << 16 | doc, return_inverse=True)
+        rows = np.zeros(len(key), dtype=SUM)
+        rows["doc"], rows["known"] = key & 0xFFFF, np.bincount(inverse, known)
+        rows["base"], rows["score"] = np.bincount(inverse, base), np.bincount(inverse, value)
+        first = np.flatnonzero(np.concatenate([[True], (key[1:] >> 16) != (key[:-1] >> 16)]))
+        raw, ends = rows.tobytes(), np.append(first[1:], len(key))
+        return key[first] >> 16, [raw[i * SUM.itemsize : j * SUM.itemsize] for i, j in zip(first.tolist(), ends.tolist())]
+
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Text rows as they are, and a row for each chunk with the packed sums of its texts over some batches."""
-        out_names = ["chunk", "sums", "doc", "id", "n", "known", "base", "score"]
-
-        def summed(pool: list[np.ndarray]) -> pa.RecordBatch:
-            chunk, doc, known, base, value = (np.concatenate(x) for x in zip(*pool))
-            key, inverse = np.unique(chunk.astype(np.int64) << 16 | doc, return_inverse=True)
-            rows = np.zeros(len(key), dtype=SUM)
-            rows["doc"], rows["known"] = key & 0xFFFF, np.bincount(inverse, known)
-            rows["base"], rows["score"] = np.bincount(inverse, base), np.bincount(inverse, value)
-            first = np.flatnonzero(np.concatenate([[True], (key[1:] >> 16) != (key[:-1] >> 16)]))
-            raw, stops = rows.tobytes(), np.append(first[1:], len(key))
-            parts = [raw[i * SUM.itemsize : j * SUM.itemsize] for i, j in zip(first.tolist(), stops.tolist())]
-            none = [pa.nulls(len(parts), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-            return pa.RecordBatch.from_arrays([pa.array(key[first] >> 16), pa.array(parts, pa.binary()), *none], names=out_names)
+        """Rows of texts and of pairs without q as they are; a row for each chunk with the packed sums of the other tokens."""
+        names = ["kind", "k", "w", "chunk", "payload"]
+
+        def sums() -> pa.RecordBatch:
+            chunk, parts = summed(pool)
+            m = len(parts)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(m, OF_SUMS)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(chunk), pa.array(parts, pa.binary())], names=names)
 
         pool, held = [], 0
         for batch in batches:
-            is_text = batch.column("tokens").is_null()
-            if is_text.true_count:
-                own = batch.filter(is_text)
-                yield pa.RecordBatch.from_arrays([pa.nulls(own.num_rows, pa.binary()) if c == "sums" else own.column(c) for c in out_names], names=out_names)
-            part = batch.filter(pa.compute.invert(is_text))
+            texts = pa.compute.less(batch.column("w"), 0)
+            hit = pa.compute.is_valid(batch.column("q"))
+            rest = batch.filter(pa.compute.invert(hit))
+            if rest.num_rows:
+                kind = np.where(rest.column("w").to_numpy() < 0, OF_TEXTS, OF_TOKENS)
+                yield pa.RecordBatch.from_arrays([pa.array(kind), *(rest.column(c) for c in names[1:])], names=names)
+            part = batch.filter(pa.compute.and_(hit, pa.compute.invert(texts)))
             if not part.num_rows:
                 continue
-            raw = part.column("tokens").to_pylist()
-            token = np.frombuffer(b"".join(raw), dtype=TOKEN)
-            row = np.repeat(np.arange(len(raw)), [len(x) // TOKEN.itemsize for x in raw])
-            k = token["k"].astype(np.int64)
-            c = part.column("c").fill_null(0).to_numpy()
-            ps = np.zeros((part.num_rows, samples))
-            found = np.flatnonzero(c > 0)
-            ps[:] = fresh
-            if len(found):
-                ps[found] = part.column("ps").flatten().to_numpy().reshape(len(found), samples)
-            q = (up[k] * ps[row]).sum(axis=1) / samples
-            held_by = [x or b"" for x in part.column("entries").to_pylist()]
-            own = np.frombuffer(b"".join(held_by), dtype=ENTRY)
-            if len(own):
-                key = np.repeat(np.arange(part.num_rows), [len(x) // ENTRY.itemsize for x in held_by]) * 512 + own["k"]
-                at = np.minimum(np.searchsorted(key, row * 512 + k), len(key) - 1)
-                hit = key[at] == row * 512 + k
-                q[hit] = own["q"][at[hit]]
-            base = np.log10((c + 1) / (n + v + 1))
-            pool.append((part.column("chunk").to_numpy()[row], token["doc"].astype(np.int64), (c > 0)[row].astype(float), base[row], np.log10(q)))
-            held += len(token)
+            raw = part.column("payload").to_pylist()
+            doc = np.frombuffer(b"".join(raw), dtype="<u2").astype(np.int64)
+            row = np.repeat(np.arange(len(raw)), [len(x) // 2 for x in raw])
+            c = part.column("cw").to_numpy()
+            known, base, value = (c > 0).astype(float), np.log10((c + 1) / (n + v + 1)), np.log10(part.column("q").to_numpy())
+            pool.append((part.column("chunk").to_numpy()[row], doc, known[row], base[row], value[row]))
+            held += len(doc)
             if held >= AT_ONCE // 2:
-                yield summed(pool)
+                yield sums()
                 pool, held = [], 0
         if pool:
-            yield summed(pool)
+            yield sums()
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row per text: its own row and all sums of its chunk. Rows come by chunk; one chunk is held at a time."""
         now, texts, sums = None, [], []
 
         def flush() -> pa.RecordBatch:
-            own = pa.Table.from_batches(texts).combine_chunks().to_batches()[0]
-            doc, size = own.column("doc").to_numpy(), TEXTS_AT_ONCE
+            own = np.frombuffer(b"".join(texts), dtype=TEXT)
             rows = np.frombuffer(b"".join(sums), dtype=SUM)
-            added = [np.bincount(rows["doc"], rows[c], size)[doc] for c in ("known", "base", "score")]
+            known, base, value = (own[c] + np.bincount(rows["doc"], rows[c], TEXTS_AT_ONCE)[own["doc"]] for c in ("known", "base", "score"))
             return pa.RecordBatch.from_arrays(
-                [own.column("id"), own.column("n"), pa.array((own.column("known").to_numpy() + added[0]).astype(np.int64)), pa.array(own.column("base").to_numpy() + added[1]), pa.array(own.column("score").to_numpy() + added[2])],
-                names=["id", "n", "known", "base", "score"],
+                [pa.array(own["id"], mask=own["none"]), pa.array(own["n"]), pa.array(known.astype(np.int64)), pa.array(base), pa.array(value)], names=["id", "n", "known", "base", "score"]
             )
 
         for batch in batches:
-            chunk = batch.column("chunk").to_numpy()
-            first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])) if len(chunk) else []
-            for i, j in zip(first, [*first[1:], len(chunk)]):
-                if chunk[i] != now:
+            for kind, chunk, payload in zip(*(batch.column(c).to_pylist() for c in ("kind", "chunk", "payload"))):
+                if chunk != now:
                     if now is not None:
                         yield flush()
-                    now, texts, sums = chunk[i], [], []
-                part = batch.slice(i, j - i)
-                is_text = part.column("sums").is_null()
-                if is_text.true_count:
-                    texts.append(part.filter(is_text))
-                sums += part.column("sums").drop_null().to_pylist()
+                    now, texts, sums = chunk, [], []
+                (texts if kind == OF_TEXTS else sums).append(payload)
         if now is not None:
             yield flush()
 
-    met = slim.mapInArrow(split, columns).join(model, "w", "left")
-    weighed = met.select(*names[1:], "c", "entries", "ps").mapInArrow(weigh, "chunk long, sums binary, doc int, id long, n long, known long, base double, score double")
-    per = weighed.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(put_together, "id long, n long, known long, base double, score double")
-    return per.select(
-        F.col("id").alias(id_col),
-        (in_fold(folds) == held_out).alias("held_out"),
-        F.col("n").alias("n_tokens"),
-        F.col("known").alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        F.col("base").alias("base_score"),
-        "score",
-        F.pow(F.lit(10.0), -F.col("score") / F.col("n")).alias("perplexity"),
-    )
+    weigh_schema = "kind long, k long, w long, chunk long, payload binary"
+    met = slim.mapInArrow(split, "k long, w long, chunk long, payload binary").join(model.probabilities(model.pairs), ["k", "w"], "left")
+    sums = written(met.mapInArrow(weigh, weigh_schema), "weighed")
+    # A pair that the model lacks gets its restaurant's share of new tables times the parent's probability.
+    other = sums.where(F.col("kind") == OF_TOKENS).select("k", "w", "chunk", "payload")
+    other = other.join(spread(model.contexts, "k"), "k", "left").join(spread(model.words, "w"), "w", "left")
+    each = [F.coalesce(F.col("ups")[s], F.lit(1.0)) * F.coalesce(F.col("ps")[s], F.lit(h.new_dish())) for s, h in enumerate(model.history)]
+    other = other.select("k", "w", "chunk", "payload", F.coalesce("cw", F.lit(0)).alias("cw"), (sum(each, F.lit(0.0)) / samples).alias("q"))
+    rows = sums.where(F.col("kind") != OF_TOKENS).unionByName(other.mapInArrow(weigh, weigh_schema)).select("kind", "chunk", "payload")
+    return rows.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(put_together, "id long, n long, known long, base double, score double")
