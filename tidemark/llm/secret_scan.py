@@ -27,6 +27,8 @@ CREDENTIAL = r"(pass(word|wd|phrase)?|pwd|secret|token|api[_ -]?key|access[_ -]?
 OTHER = r"(sha(1|256)?|md5|hash|digest|commit|uuid|checksum|card|phone|tel|iban|isbn|order|invoice|version)"
 TEST_PATH = r"(test|example|sample|mock|fixture|demo|placeholder)"
 FEATURES = 18
+#: Findings of a label that is rarer than this are repeated, so that the sample of every tree holds them.
+FEWEST = 200
 
 
 def candidates(text: Column) -> Column:
@@ -137,18 +139,26 @@ class SecretForest:
 
 
 def train(labelled: DataFrame, trees: int = 15, depth: int = 6, max_labelled: int = 20_000, dictionary_words: int = 300) -> SecretForest:
-    """Fit a forest on at most max_labelled findings (value, before, after, path, label 0/1), those with the smallest
-    hashes. Labels of one kind only give that kind's constant; none give 0. The dictionary holds the commonest words beside them."""
+    """Fit a forest on at most max_labelled distinct findings (value, before, after, path, label 0/1): of each label half of
+    them, those with the smallest hashes. A table whose labels are all of one kind gives that kind's constant; none give 0.
+    The dictionary holds the commonest words beside the findings."""
     rows = labelled.where(F.col("label").isin(0, 1) & F.col("value").isNotNull() & (F.length("value") > 0))
-    rows = written(rows.orderBy(F.xxhash64("value", "before"), "value", "before", "after").limit(max_labelled), "findings")
-    kinds = [r[0] for r in rows.select("label").distinct().collect()]
+    rows = rows.select("value", "before", "after", "path", "label").distinct()
+    order = [F.xxhash64("value", "before", "after", "path"), "value", "before", "after", "path"]
+    bad, good = (rows.where(F.col("label") == kind).orderBy(*order).limit(max(1, max_labelled // 2)) for kind in (1, 0))
+    rows = written(bad.unionByName(good), "findings")
+    kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(kinds) < 2:
-        return SecretForest(None, float(kinds[0]) if kinds else 0.0, [])
+        return SecretForest(None, float(*kinds) if kinds else 0.0, [])
     near = rows.select(F.explode(F.split(F.lower(F.concat_ws(" ", "before", "after")), r"[^\p{L}]+")).alias("w")).where(F.length("w") >= 3)
     top = near.groupBy("w").count().where("count >= 5").orderBy(F.desc("count"), "w").limit(dictionary_words).collect()
     dictionary = [r.w for r in top]
     c = F.struct("value", "before", "after")
     ready = rows.select(array_to_vector(feature_array(c, F.col("path"), dictionary)).alias("features"), F.col("label").cast("double").alias("label"))
+    for kind, n in kinds.items():
+        if n < FEWEST <= max(kinds.values()):
+            again = F.explode(F.array_repeat(F.lit(0), -(-FEWEST // n)))
+            ready = ready.where(F.col("label") != kind).unionByName(ready.where(F.col("label") == kind).select("features", "label", again.alias("nth")).drop("nth"))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="sqrt", subsamplingRate=0.8)
     return SecretForest(forest.fit(ready).toDebugString, 0.0, dictionary)
 
