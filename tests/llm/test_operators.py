@@ -502,3 +502,20 @@ def test_rare_secrets_and_copies_reach_the_sample(spark):
         df = spark.createDataFrame([*plain[:5], secret], schema)
         scores = [r.s for r in df.select(forest.score(F.struct("value", "before", "after"), F.col("path")).alias("s")).collect()]
         assert scores[-1] > max(scores[:-1]) and (most == 40 or scores[-1] >= 0.5 > max(scores[:-1]))
+
+
+def test_short_and_letters_only_secrets_are_candidates(spark):
+    """What a gate of twelve key characters with a digit dropped: it is judged, and masked whole; words are left alone."""
+    pad = lambda i: prose(3000 + i, 12)
+    kinds = ["hunter2x{:02d}", "correcthorse{}", "p.ss!w@rd#{:02d}zz", "QWertyUIopASdfGH{}", "sk-livekeyx{}"]
+    letters = lambda i: "abcdefghij"[i % 10] + "klmnopqrst"[i // 10 % 10]
+    secrets = [kinds[i % 5].format(i % 100 if i % 5 in (0, 2) else letters(i)) for i in range(100)]
+    signs = ["password={}", "secret: '{}'", 'my_db_password="{}"', '"api_key": "{}",', "use {}"]
+    texts = [f"{pad(i)} {signs[i % 5].format(s)} {pad(i + 200)}" for i, s in enumerate(secrets)]
+    plain = [f"{pad(i + 400)} order 4857528076036{i:03d} password: required and path/to/Some-File{letters(i)} {pad(i + 600)}" for i in range(100)]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts + plain)], "doc_id long, text string, source string")
+    found = {(r.doc_id, r.value): r.secret for r in secret_scan.scan(docs).collect()}
+    assert all(found.get((i, s)) for i, s in enumerate(secrets)), [s for i, s in enumerate(secrets) if not found.get((i, s))]
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert all(s not in clean[i] and "[SECRET]" in clean[i] for i, s in enumerate(secrets))
+    assert all(clean[100 + i] == t for i, t in enumerate(plain))

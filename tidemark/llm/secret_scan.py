@@ -1,6 +1,8 @@
 """Secret scans: candidate strings judged by a random forest that removes false positives.
 
-Candidates are long runs of key characters with a digit. Features of a candidate: length, shares of character kinds,
+Candidates are what follows a credential word and a sign of assignment (six characters or more of any kind but spaces and
+quotes), what has the form of a provider's key, and long runs of key characters that are not lower-case letters alone,
+which are words. Features of a candidate: length, shares of character kinds,
 character transitions, dictionary coverage, path shape, the record's path, and the neighbouring words. The forest learns
 from labelled findings; where none are given, they are labelled by rule from the corpus: provider formats and credential
 assignments are findings, the rest is not. Everything runs as DataFrame and SQL expressions; the trained trees become a
@@ -18,14 +20,24 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import written
 
-CANDIDATE = r"[A-Za-z0-9+/_-]{12,}+={0,2}"
 NEAR_BEFORE, NEAR_AFTER = 48, 32
 #: Beginnings that providers give their keys.
 PROVIDER = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^xox[abpr]-|^sk[-_](live|test|proj)?|^AIza[A-Za-z0-9_-]{30,}$|^eyJ[A-Za-z0-9_-]{10,}"
 #: Words beside a credential, and beside other identifiers.
 CREDENTIAL = r"(pass(word|wd|phrase)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth(orization)?|bearer|credential)"
+#: Between a credential word and its value.
+SIGN = r"[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}[\"']?"
 OTHER = r"(sha(1|256)?|md5|hash|digest|commit|uuid|checksum|card|phone|tel|iban|isbn|order|invoice|version)"
 TEST_PATH = r"(test|example|sample|mock|fixture|demo|placeholder)"
+#: A value ends before the marks that close a sentence or a bracket. The short look-behinds come first, as they fail soonest.
+VALUE = r"[^\s\"'<>]{5,}[^\s\"'<>.,;:)\]}]"
+ASSIGNED = r"(?<=[:=>][\s\"']{0,4})(?<=(?i:" + CREDENTIAL + r")" + SIGN + r")(?!(?i:bearer|basic)\s)" + VALUE
+BEARER = r"(?<=\s)(?<=(?i:bearer)\s{1,2})(?=\S*[0-9A-Z])" + VALUE
+FORMED = r"(?<![A-Za-z0-9])(?:xox[abpr]-|sk[-_])[A-Za-z0-9_-]{6,}|eyJ[A-Za-z0-9_-]{10,}(?:\.[A-Za-z0-9_-]+)*"
+RUN = r"[A-Za-z0-9+/_-]{12,}={0,2}"
+CANDIDATE = "|".join([ASSIGNED, BEARER, FORMED, RUN])
+#: The end of what stands before an assigned value.
+BEFORE_VALUE = r"(" + CREDENTIAL + SIGN + r"|bearer\s+)$"
 FEATURES = 18
 #: Findings of a label that is rarer than this are repeated, so that the sample of every tree holds them.
 FEWEST = 200
@@ -40,14 +52,16 @@ def candidates(text: Column) -> Column:
     body = F.coalesce(text, F.lit(""))
     found = F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0))
     pieces = F.split(body, CANDIDATE)
+    ahead = F.concat(F.array(F.lit("")), found)
     paired = F.transform(
-        F.arrays_zip(found.alias("value"), F.slice(pieces, 1, F.size(found)).alias("before"), F.slice(pieces, 2, F.size(found)).alias("after")),
+        F.arrays_zip(found.alias("value"), F.slice(ahead, 1, F.size(found)).alias("last"), F.slice(pieces, 1, F.size(found)).alias("before"), F.slice(pieces, 2, F.size(found)).alias("after")),
         lambda c, i: F.struct(
-            (i + 1).alias("nth"), c["value"].alias("value"), F.right(c["before"], F.lit(NEAR_BEFORE)).alias("before"), F.left(c["after"], F.lit(NEAR_AFTER)).alias("after")
+            (i + 1).alias("nth"), c["value"].alias("value"), F.right(F.concat(c["last"], c["before"]), F.lit(NEAR_BEFORE)).alias("before"), F.left(c["after"], F.lit(NEAR_AFTER)).alias("after")
         ),
     )
     none = F.array().cast("array<struct<nth:int,value:string,before:string,after:string>>")
-    return F.when(body.rlike(CANDIDATE), F.filter(paired, lambda c: c["value"].rlike("[0-9]"))).otherwise(none)
+    wanted = lambda c: c["value"].rlike("[^a-z]") | F.lower(c["before"]).rlike(BEFORE_VALUE)
+    return F.when(body.rlike(CANDIDATE), F.filter(paired, wanted)).otherwise(none)
 
 
 def share_of(value: Column, drop: str) -> Column:
@@ -89,9 +103,13 @@ def feature_array(c: Column, path: Column, dictionary: list[str]) -> Column:
 
 
 def rule_label(c: Column) -> Column:
-    """1 for a provider's format or an assignment to a credential word of a mixed or hexadecimal value, else 0."""
-    assigned = F.lower(c["before"]).rlike(CREDENTIAL + r"\s*[:=]\s*[\"']?$") & c["value"].rlike("[A-Za-z]")
-    return F.when(c["value"].rlike(PROVIDER) | assigned, 1.0).otherwise(0.0)
+    """1 for a provider's format or an assignment to a credential word, else 0. An assigned value has a letter and is long or
+    mixed: a digit, a mark or capitals within; short words and names of code, with or without a call, are none."""
+    value = c["value"]
+    mixed = (F.length(value) >= 12) | value.rlike("[0-9!@#%^&*?~+=/\\-]|[a-z][A-Z]|[A-Z].*[A-Z]")
+    code = value.rlike(r"^[$%{<(]|^[A-Za-z_]+([._][A-Za-z_]+)+$|^[A-Za-z_.]+\(")
+    assigned = F.lower(c["before"]).rlike(BEFORE_VALUE) & value.rlike("[A-Za-z]") & mixed & ~code
+    return F.when(value.rlike(PROVIDER) | assigned, 1.0).otherwise(0.0)
 
 
 def forest_expression(printed: str, x: Column) -> Column:
@@ -170,7 +188,7 @@ def found_candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """One row per candidate: id, nth (of the document's long runs), value, before, after, score, secret.
+    """One row per candidate: id, nth (of the document's matches), value, before, after, score, secret.
 
     Null and empty texts have no candidates; repeated rows are scanned each; a null path counts as none. Other columns are
     ignored; an empty table gives an empty table.
@@ -192,5 +210,6 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     text = F.col(text_col)
     secrets = F.array_distinct(F.transform(F.filter(candidates(text), lambda c: forest.score(c, path) >= threshold), lambda c: c["value"]))
-    clean = F.aggregate(secrets, text, lambda t, s: F.replace(t, s, F.lit(mark)))
-    return docs.withColumn(text_col, F.when(text.rlike("[0-9]"), clean).otherwise(text))
+    # Longer ones first, as a secret can lie in another.
+    longest = F.array_sort(secrets, lambda a, b: F.length(b) - F.length(a))
+    return docs.withColumn(text_col, F.aggregate(longest, text, lambda t, s: F.replace(t, s, F.lit(mark))))
