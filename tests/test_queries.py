@@ -40,3 +40,10 @@ def test_flagship_runs(spark):
 
     assert registry.FLAGSHIP in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_whole_table_queries_reach_every_entity(spark, tables):
+    roots = {r.entity_key for r in registry.QUERIES["lineage_nodes_all"](spark, str(DATA)).where("node_type = 'ENTITY'").collect()}
+    assert {k % 10 for k in roots} == set(range(10))
+    asked = registry.QUERIES["related_records_all"](spark, str(DATA)).where("kind = 'user'").select("key").distinct().count()
+    assert asked == tables.execute("select count(distinct user_id) from events").fetchone()[0]

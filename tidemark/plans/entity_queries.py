@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import entities as E
 from tidemark.operators.revisions import heads, latest, reconcile
 from tidemark.plans.bindings import EVENTS, OBSERVATIONS, SOURCES, events, observations, sources, stamp, table
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLES, query
 
 S = "'%Y-%m-%d %H:%M:%S'"
 CONTEXT = ["CONTEXT_KNOWLEDGE"]
@@ -156,8 +156,18 @@ def geo_map(spark, d):
 )
 def lineage(spark, d):
     """Lineage of every tenth entity (the query set), each hop with the limits of the feature."""
+    return lineage_of(spark, d, "entity_key % 10 = 3")
+
+
+@query("lineage_nodes_all", ORACLES["lineage_nodes"].replace(" WHERE entity_key % 10 = 3", ""))
+def lineage_all(spark, d):
+    """Lineage of every entity."""
+    return lineage_of(spark, d, "true")
+
+
+def lineage_of(spark, d, condition):
     obs, act = observations(spark, d), E.entity_activity(contributing(spark, d))
-    want = obs.where("entity_key % 10 = 3").select("entity_key").distinct()
+    want = obs.where(condition).select("entity_key").distinct()
     return E.lineage(want, obs, act, E.convergence(act, 3600)).select("entity_key", "depth", "node_type", "node_key")
 
 
@@ -172,6 +182,14 @@ def related(spark, d):
     return E.related(canonical(spark, d), asked, 25).select("kind", "key", "source_record_id", stamp("event_at").alias("event_at"))
 
 
+@query("related_records_all", ORACLES["related_records"].replace(" WHERE (kind = 'user' AND key IN ('3', '7', '11')) OR (kind = 'item' AND key IN ('5', '50'))", ""))
+def related_all(spark, d):
+    """The newest 25 records that mention each entity there is."""
+    rows = canonical(spark, d)
+    asked = rows.select(F.explode("entities").alias("e")).select("e.kind", "e.key").where("key is not null").distinct()
+    return E.related(rows, asked, 25).select("kind", "key", "source_record_id", stamp("event_at").alias("event_at"))
+
+
 def canonical(spark, d):
     """Canonical records: the user is the first entity, the item the second."""
     e = events(spark, d)

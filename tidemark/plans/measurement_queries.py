@@ -8,7 +8,7 @@ from tidemark.functions.scalars import score_band
 from tidemark.operators import coverage as C
 from tidemark.operators import measure as M
 from tidemark.plans.bindings import DAYS, END, EVENTS, KEYS, RUNS, START, WINDOWS, events, facts, runs, schedules, source_keys, stamp, table, windows
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLES, query
 
 S = "'%Y-%m-%d %H:%M:%S'"
 KEY = ["source_key"]
@@ -77,11 +77,20 @@ def first_seen(spark, d):
 )
 def carried(spark, d):
     """The last value before each day's end, of any age, of a sparse part of the facts."""
-    some = facts(spark, d).where("entity_key % 40 = 1")
+    return carried_of(spark, d, facts(spark, d).where("entity_key % 40 = 1"))
+
+
+def carried_of(spark, d, some):
     out = M.carried_forward(source_keys(spark, d), some, KEY, START, END, "DAY")
     return out.select("source_key", stamp("bucket_start").alias("bucket"), "value")
 
 
+@query("carried_forward_daily_all", ORACLES["carried_forward_daily"].replace(" AND e.user_id % 40 = 1", ""))
+def carried_all(spark, d):
+    """The last value before each day's end, of all facts."""
+    return carried_of(spark, d, facts(spark, d))
+
+
 @query(
     "distribution_daily",
     f"""WITH c AS (SELECT date_trunc('day', ts) AS b, event_type AS member, count(*) AS n FROM events GROUP BY 1, 2),
@@ -237,13 +246,22 @@ def coverage_weekly(spark, d):
 )
 def gated_by_coverage(spark, d):
     """A live policy: zero needs complete coverage, numbers need some."""
-    some = facts(spark, d).where("entity_key % 40 = 1")
+    return gated_of(spark, d, facts(spark, d).where("entity_key % 40 = 1"))
+
+
+def gated_of(spark, d, some):
     buckets = M.aggregate(some, KEY, "event_time", ["DAY"], value="COUNT_EVENTS").drop("granularity")
     cov = day_coverage(spark, d).select("source_key", "bucket_start", F.col("status").alias("coverage"))
     out = M.series(source_keys(spark, d), buckets, KEY, START, END, "DAY", "SOURCE_COVERAGE_REQUIRED", cov)
     return out.select("source_key", stamp("bucket_start").alias("bucket"), F.col("gated").cast("bigint").alias("value"))
 
 
+@query("gated_by_coverage_daily_all", ORACLES["gated_by_coverage_daily"].replace(" WHERE user_id % 40 = 1", ""))
+def gated_by_coverage_all(spark, d):
+    """The live policy over all facts."""
+    return gated_of(spark, d, facts(spark, d))
+
+
 @query(
     "combined_segments",
     f"""WITH {KEYS}, {DAYS}, s AS (SELECT source_key, date_trunc('week', d) AS w, CASE WHEN dayofmonth(d) % 5 = 0 THEN 'NOT_EXPECTED' WHEN dayofmonth(d) % 13 = 0 THEN 'UNKNOWN' ELSE 'EXPECTED' END AS e,

@@ -10,7 +10,7 @@ from tidemark.operators import parity as P
 from tidemark.operators import revisions as R
 from tidemark.operators.coverage import schedule_revisions, schedule_segments
 from tidemark.plans.bindings import EVENTS, KEYS, REVISIONS, RUNS, events, fact_revisions, facts, runs, source_keys, sources, stamp, table
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLES, query
 
 S = "'%Y-%m-%d %H:%M:%S'"
 FACT = ["user_id", "event_type", "day"]
@@ -221,7 +221,17 @@ def parity_diff(spark, d):
 @query("population_guard", "WITH s AS (SELECT date_trunc('day', ts) AS b, count(*) AS n FROM events WHERE user_id % 40 = 1 AND event_type IN ('purchase', 'click') GROUP BY 1), p AS (SELECT *, lag(n) OVER (ORDER BY b) AS pn FROM s) SELECT strftime(b, '%Y-%m-%d') AS day, n AS n_rows, CASE WHEN n < floor(pn * 0.75) THEN 'REJECT_DROP' ELSE 'ACCEPT' END AS verdict FROM p")
 def guard(spark, d):
     """Daily populations that fell by more than a quarter."""
-    snaps = events(spark, d).where("user_id % 40 = 1 and event_type in ('purchase', 'click')").groupBy(F.to_date("ts").alias("dataset_date")).agg(F.count("*").alias("rows"))
+    return guard_of(events(spark, d).where("user_id % 40 = 1"))
+
+
+@query("population_guard_all", ORACLES["population_guard"].replace("user_id % 40 = 1 AND ", ""))
+def guard_all(spark, d):
+    """Daily populations of all users."""
+    return guard_of(events(spark, d))
+
+
+def guard_of(some):
+    snaps = some.where("event_type in ('purchase', 'click')").groupBy(F.to_date("ts").alias("dataset_date")).agg(F.count("*").alias("rows"))
     out = P.population_guard(snaps.withColumns({"model": F.lit("m"), "source_key": F.lit("s")}), "dataset_date")
     return out.select(F.date_format("dataset_date", "yyyy-MM-dd").alias("day"), F.col("rows").alias("n_rows"), "verdict")
 
