@@ -13,9 +13,12 @@ TEXT_BATCH_ROWS = 512
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for written tables: spark.checkpoint.dir, or one of our own only where that is unset."""
+    """The shared folder for written tables: spark.checkpoint.dir. Only a local master may go without one, as in tests: its
+    tasks share this machine's disk. On a cluster an unset folder is an error, as no other executor sees a local one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -29,12 +32,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a written table that everything built on it has already been written from."""
-    jvm = df.sparkSession.sparkContext._jvm
-    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of written tables that everything built on them has already been written from."""
+    for df in tables:
+        spark = df.sparkSession
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -51,7 +55,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """Label every node of an edge list with the smallest node of its component: columns node, root.
 
     Alternating large-star and small-star rounds; the minimum of a neighbourhood is a partial aggregate, so a hub is
-    pre-aggregated before it is shuffled. Each round is a written table. Nodes without an edge to another node are absent.
+    pre-aggregated before it is shuffled. Each round is a written table that replaces the last. Nodes without an edge to another node are absent.
     """
     spark = edges.sparkSession
     both = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
@@ -70,5 +74,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         tied = large.join(spread(low, "u"), "u")
         small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = written(small.where("u <> v").distinct(), "edges")
+        last, now = now, written(small.where("u <> v").distinct(), "edges")
+        discard(last)
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).union(now.select(F.col("v"), F.col("v")).distinct())

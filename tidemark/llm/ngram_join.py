@@ -6,10 +6,13 @@ boilerplate brings hardly any node together. Candidates then fall in two steps,
 yields all its pairs:
 
 1. every node is compared with the smallest node and with its neighbour in size among those that share a shingle;
-2. nodes that still lie in different components are put into tiles by shared shingle and size band, and a tile compares
-   bitmap signatures: bits of A that B lacks bound the overlap from above. Only pairs that pass are compared exactly.
+2. nodes that share a shingle and still lie in different components are put into size-banded tiles, where bitmap signatures
+   bound their overlap from above: bits of A that B lacks are missing from the overlap. A tile hands on a spanning forest of
+   the components it may tie together, which makes clusters; the nodes of a cluster then meet in tiles with their sorted
+   arrays, and a pair that its bitmaps don't rule out is intersected exactly, unless its ends are linked already.
 
-Both steps end in the exact intersection of sorted arrays. No step drops or caps a group: a large one is dealt into tiles.
+Both steps end in the exact intersection of sorted arrays. No step drops or caps a group: a large one is dealt into tiles, and
+a task hands on fewer rows than it holds components, however many pairs it compares.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.llm.common import connected_components, discard, spread, text_batches, written
 
@@ -29,7 +33,8 @@ AT_ONCE = 4_000_000
 WORD_MEMORY = 500_000
 #: At most this many shingles count as frequent, since each holds more than this share of all.
 FREQUENT = 1_000_000
-TILE_ROWS = 256
+#: Rows of a tile, and bytes of its sorted arrays, on average at most.
+TILE_ROWS, TILE_BYTES = 256, 4 << 20
 #: Rows of two numbers that are broadcast at most.
 BROADCAST_ROWS = 500_000
 #: Odd multipliers, one for each place in a shingle.
@@ -110,7 +115,7 @@ def pass_sets(docs: DataFrame, n: int) -> DataFrame:
     texts of one task hold, and how many. Alone, a shingle of one text says nothing of frequency and stays in its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, pool, held, met = WordHashes(), [], 0, set()
+        hashes, pool, held, met, kind = WordHashes(), [], 0, set(), pa.int64()
 
         def frequent() -> pa.RecordBatch:
             nonlocal held
@@ -119,10 +124,11 @@ def pass_sets(docs: DataFrame, n: int) -> DataFrame:
             met.clear()
             held = 0
             value, count = value[count > 1], count[count > 1]
-            size, none = len(value), pa.nulls(len(value), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(size, np.int32)), none, none, pa.array(count), as_signed(value), pa.nulls(size, pa.binary())], names=["kind", "id", "text_key", "n", "node", "bits"])
+            size = len(value)
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(size, np.int32)), pa.nulls(size, kind), pa.nulls(size, pa.int64()), pa.array(count), as_signed(value), pa.nulls(size, pa.binary())], names=["kind", "id", "text_key", "n", "node", "bits"])
 
         for batch in batches:
+            kind = batch.column(0).type
             size, node, bits = [], [], []
             for text in batch.column(2).to_pylist():
                 found = shingle_set(text, hashes, n)
@@ -141,7 +147,8 @@ def pass_sets(docs: DataFrame, n: int) -> DataFrame:
         if pool:
             yield frequent()
 
-    return docs.mapInArrow(run, "kind int, id long, text_key long, n long, node long, bits binary")
+    id_type = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"kind int, id {id_type}, text_key long, n long, node long, bits binary")
 
 
 def pass_prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -293,80 +300,162 @@ def linked_pairs(likely: DataFrame, nodes: DataFrame, docs: DataFrame, words: in
             yield batch.select(["a", "b"]).filter(pa.array(on, pa.bool_()))
 
     likely = written(likely, "likely")
-    ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    wanted = written(nodes.join(ends, "node").select(F.col("d.id").alias("wid"), F.col("d.text_key").alias("wkey")), "wanted")
-    if wanted.count() <= BROADCAST_ROWS:  # two numbers a row; beyond that both sides are shuffled
-        wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("text_key") == F.col("wkey")), "left_semi")
-    arrays = written(pass_arrays(texts.dropDuplicates(["id", "text_key"]), words), "arrays")
+    arrays = arrays_of(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct(), nodes, docs, words)
     out = written(beside(likely, arrays, "shingles").select("a", "b", "shingles_a", "shingles_b").mapInArrow(run, "a long, b long"), "links")
-    discard(arrays)
+    discard(arrays, likely)
     return out
 
 
-def tile_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of different roots that may link, from rows (x, node, n, root) dealt into size-banded tiles.
+class Forest(dict):
+    """Union-find over components: the pairs that join two of its trees number fewer than the components it has met."""
+
+    def find(self, x: int) -> int:
+        top = x
+        while (up := self.get(top, top)) != top:
+            top = up
+        while x != top:
+            self[x], x = top, self[x]
+        return top
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        self[max(a, b)] = min(a, b)
+        return a != b
+
+
+def size_band(percent: int) -> Column:
+    """A band holds sizes within a factor 100/percent."""
+    return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
 
-    A band holds sizes within a factor 100/percent; a node is put into its own band and into the next, so two nodes that can
-    link meet in the band of the larger. A large (shingle, band) is dealt into pairs of tiles of about TILE_ROWS rows.
+
+def dealt_into_tiles(rows: DataFrame, key: str, weight: Column, percent: int) -> DataFrame:
+    """rows (key, node, n, root) dealt into size-banded pairs of tiles i, j, sorted by tile within partitions.
+
+    A node is put into its own band and into the next, so two nodes that can link meet in the band of the larger. The number
+    of tiles of a (key, band) is the sum of weight; those with one component, or none of whose nodes is at home there, go.
     """
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-    own = rows.withColumn("own_band", band)
-    put = own.withColumn("band", F.explode(F.array("own_band", F.col("own_band") + 1)))
-    sizes = put.groupBy("x", "band").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("tiles"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    sizes = sizes.where("lo < hi").drop("lo", "hi")
-    dealt = (
-        put.join(sizes.repartition(F.xxhash64("x", "band")), ["x", "band"])
+    put = rows.withColumn("own_band", size_band(percent)).withColumn("band", F.explode(F.array("own_band", F.col("own_band") + 1)))
+    home = (F.col("band") == F.col("own_band")).cast("int")
+    sizes = put.groupBy(key, "band").agg(F.ceil(F.sum(weight)).cast("int").alias("tiles"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.max(home).alias("home"))
+    sizes = sizes.where("lo < hi and home = 1").select(key, "band", "tiles")
+    return (
+        put.join(sizes.repartition(F.xxhash64(key, "band")), [key, "band"])
         .withColumn("tile", F.pmod(F.hash("node"), "tiles"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("x", "band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "n", "root", "own_band")
-    ).join(nodes.select("node", "bits"), "node")
-
-    def compare(i, j, tile, node, n, root, own_band, at_band, bits, out_a, out_b):
-        width = min(len(b) for b in bits)
-        table = np.stack([folded(np.frombuffer(b, np.uint8), width) for b in bits])
-        at = np.arange(len(node))
-        for k in range(len(node)):
-            on = (at > k) & (root != root[k]) & ((own_band == at_band) | (own_band[k] == at_band))
-            if i != j:
-                on &= tile != tile[k]
-            later = np.flatnonzero(on)
-            later = later[(100 * np.minimum(n[later], n[k])) >= percent * np.maximum(n[later], n[k])]
-            if len(later):
-                hit = later[may_link(int(n[k]), table[k], n[later], table[later], percent)]
-                out_a.extend(np.minimum(node[hit], node[k]).tolist())
-                out_b.extend(np.maximum(node[hit], node[k]).tolist())
+        .select(F.col(key).alias("key"), "band", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "n", "root", "own_band")
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-
-        def groups(table: pa.Table, end: bool):
-            nonlocal rest
-            key = np.column_stack([table.column(c).to_numpy().astype(np.int64) for c in ("x", "band", "i", "j")])
-            new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])) if len(key) else np.zeros(0, int)
-            stops = [*new[1:], len(key)]
-            a, b = [], []
-            columns = {c: table.column(c).to_numpy() for c in ("tile", "node", "n", "root", "own_band")}
-            bits = table.column("bits")
-            for start, stop in zip(new, stops):
-                if stop == len(key) and not end:
-                    rest = table.slice(start)
-                    break
-                if stop - start > 1:
-                    part = {c: v[start:stop] for c, v in columns.items()}
-                    _, band, i, j = key[start]
-                    compare(i, j, part["tile"], part["node"], part["n"], part["root"], part["own_band"], band, bits.slice(start, stop - start).to_pylist(), a, b)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            rest = None
-            yield groups(table.combine_chunks(), False)
+def tile_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each pair of tiles, from batches sorted by tile."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
         if rest is not None:
-            yield groups(rest.combine_chunks(), True)
+            table = pa.concat_tables([rest, table]).combine_chunks()
+        if not table.num_rows:
+            continue
+        key = np.column_stack([table.column(c).to_numpy().astype(np.int64) for c in ("key", "band", "i", "j")])
+        new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
+        for start, stop in zip(new[:-1], new[1:]):
+            yield table.slice(start, stop - start)
+        rest = table.slice(new[-1])
+    if rest is not None:
+        yield rest
+
+
+def compared(group: pa.Table, table: np.ndarray, forest: Forest, percent: int, sure=None) -> list[tuple[int, int]]:
+    """Pairs of roots that a group of two tiles ties together, fewer than its roots; table holds its rows' bitmaps.
+
+    sure(k, rows) tells which of those rows link with row k; without it a pair that the bitmaps let pass is a tie.
+    """
+    tile, n, root, own = (group.column(c).to_numpy() for c in ("tile", "n", "root", "own_band"))
+    i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
+    tree = np.array([forest.find(r) for r in root.tolist()])
+    out = []
+    for k in range(len(n)):
+        on = np.flatnonzero((tree[k + 1 :] != tree[k]) & ((own[k + 1 :] == band) | (own[k] == band))) + k + 1
+        if i != j:
+            on = on[tile[on] != tile[k]]
+        on = on[100 * np.minimum(n[on], n[k]) >= percent * np.maximum(n[on], n[k])]
+        if len(on):
+            on = on[may_link(int(n[k]), table[k], n[on], table[on], percent)]
+        if len(on) and sure is not None:
+            on = on[sure(k, on)]
+        for h in on.tolist():
+            if tree[h] != tree[k]:
+                forest.join(int(tree[h]), int(tree[k]))
+                low, high = sorted((tree[h], tree[k]))
+                tree[tree == high] = low
+                out.append((int(root[k]), int(root[h])))
+    return out
+
+
+def ties(groups: Iterator[list[tuple[int, int]]]) -> Iterator[pa.RecordBatch]:
+    for pairs in groups:
+        if pairs:
+            a, b = zip(*pairs)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def candidate_ties(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of roots, a spanning forest in each task of those that the bitmaps of rows (x, node, n, root) let link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+
+        def found(group: pa.Table) -> list[tuple[int, int]]:
+            root = group.column("root").to_numpy()
+            if len({forest.find(r) for r in root.tolist()}) < 2:
+                return []
+            bits = group.column("bits").to_pylist()
+            width = min(map(len, bits))
+            return compared(group, np.stack([folded(np.frombuffer(b, np.uint8), width) for b in bits]), forest, percent)
+
+        yield from ties(map(found, tile_groups(batches)))
+
+    dealt = dealt_into_tiles(rows, "x", F.lit(1 / TILE_ROWS), percent).join(nodes.select("node", "bits"), "node")
+    return dealt.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j", "node").mapInArrow(run, "a long, b long")
+
+
+def cluster_ties(members: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of roots that a link ties together, a spanning forest in each task, from members (cluster, node, n, root)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+
+        def found(group: pa.Table) -> list[tuple[int, int]]:
+            root = group.column("root").to_numpy()
+            if len({forest.find(r) for r in root.tolist()}) < 2:
+                return []
+            n = group.column("n").to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+            bits = [bitmap(x) for x in sets]
+            width = min(map(len, bits))
 
-    found = dealt.repartition("x", "band", "i", "j").sortWithinPartitions("x", "band", "i", "j", "node").mapInArrow(run, "a long, b long")
-    return found.distinct()
+            def sure(k: int, rows: np.ndarray) -> np.ndarray:
+                own, flat = sets[k], np.concatenate([sets[h] for h in rows])
+                same = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+                both = np.add.reduceat(same, np.concatenate([[0], np.cumsum(n[rows])[:-1]]), dtype=np.int64)
+                return linked(int(n[k]), n[rows], both, percent)
+
+            return compared(group, np.stack([folded(b, width) for b in bits]), forest, percent, sure)
+
+        yield from ties(map(found, tile_groups(batches)))
+
+    weight = F.greatest(F.lit(1 / TILE_ROWS), F.col("n") * 8 / TILE_BYTES)
+    dealt = dealt_into_tiles(members, "cluster", weight, percent).join(arrays, "node")
+    return dealt.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j", "node").mapInArrow(run, "a long, b long")
+
+
+def arrays_of(ends: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """A written table of the sorted shingles of the given nodes. One document of each node is read again."""
+    wanted = written(nodes.join(ends, "node").select(F.col("d.id").alias("wid"), F.col("d.text_key").alias("wkey")), "wanted")
+    few = wanted.count() <= BROADCAST_ROWS  # two numbers a row; beyond that both sides are shuffled
+    texts = docs.join(F.broadcast(wanted) if few else wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("text_key") == F.col("wkey")), "left_semi")
+    out = written(pass_arrays(texts.dropDuplicates(["id", "text_key"]), words), "arrays")
+    discard(wanted)
+    return out
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
@@ -377,9 +466,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     its own. Repeated rows link with each other. A null id never names a component unless all ids in it are null. Other
     columns are ignored; an empty table gives an empty table. Sets are compared by 64-bit hashes of their shingles.
     """
-    spark = docs.sparkSession
-    text_batches(spark)
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    text_batches(docs.sparkSession)
+    own_id = F.col(id_col).cast("long") if isinstance(docs.schema[id_col].dataType, IntegralType) else F.col(id_col)
+    slim = docs.select(own_id.alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     first = written(pass_sets(slim, words), "sets")
     sets = first.where("kind = 0").drop("kind", "bits")
     total = sets.agg(F.sum("n")).first()[0] or 0
@@ -395,24 +484,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = ends.where(f"node <> to and 100 * least(n, to_n) >= {percent} * greatest(n, to_n)")
     pairs = near.select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")).distinct()
     links = linked_pairs(likely_pairs(pairs, nodes, percent), nodes, slim, words, percent)
+    roots = written(connected_components(links), "first-roots")
 
-    roots = connected_components(links)
     rooted = shared.select("x", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # The first step has compared all pairs of a shingle with three nodes or fewer.
     mixed = rooted.groupBy("x").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("held")).where("lo < hi and held > 3").select("x")
-    more = linked_pairs(tile_pairs(rooted.join(spread(mixed, "x"), "x"), nodes, percent), nodes, slim, words, percent)
-
+    rooted = written(rooted.join(spread(mixed, "x"), "x"), "mixed")
+    clusters = connected_components(candidate_ties(rooted, nodes, percent)).toDF("root", "cluster")
+    members = written(rooted.select("node", "n", "root").distinct().join(spread(clusters, "root"), "root"), "members")
+    arrays = arrays_of(members.select("node"), nodes, slim, words)
     # Links found later tie whole components of the first step together.
-    first_root = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
-    ties = more.join(first_root("a"), "a", "left").join(first_root("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    second = connected_components(ties).toDF("root", "top")
-    final = roots.join(second, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    second = connected_components(cluster_ties(members, arrays, percent)).toDF("root", "top")
+    final = roots.join(spread(second, "root"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     alone = second.join(roots, second["root"] == roots["node"], "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
-    final = final.union(alone)
-    named = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("least")).join(final, "node", "left")
+    named = sets.where("node is not null").groupBy("node").agg(F.min("id").alias("least")).join(final.union(alone), "node", "left")
     named = written(named.select("node", "least", F.coalesce("root", "node").alias("root")), "roots")
-    component = named.join(spread(named.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("node", "component")
-    return sets.join(component, "node", "left").select(
+    component = written(named.join(spread(named.groupBy("root").agg(F.min("least").alias("component")), "root"), "root").select("node", "component"), "components")
+    discard(nodes, shared, links, roots, rooted, members, arrays, second, named)
+    return sets.join(spread(component, "node"), "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component")).alias("component_id")
     )
 
@@ -422,5 +511,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     The rows of one id stay or go together; rows with a null id all stay."""
     found = jaccard_components(docs, id_col, text_col, **options)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col)).distinct()
+    return docs.join(gone, id_col, "left_anti")
