@@ -12,10 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_batches, written
+from tidemark.llm.common import discard, text_batches, written
 
 PASSAGE_WORDS = 64
 HASHED, SHAPES, EXTRA = 512, 64, 5
@@ -139,8 +139,9 @@ class AttentionModel:
         return self
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, bound: int, id_col: str, text_col: str) -> DataFrame:
-    """Text and label of at most `bound` labelled rows, the same ones on every run: those with the smallest id hashes.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, bound: int, id_col: str, text_col: str, max_bytes: int | None = None) -> DataFrame:
+    """A written table of id, text and label of at most `bound` labelled rows, the same ones on every run: those with the
+    smallest id hashes, as far as whole texts of max_bytes together go (and the one that passes it).
 
     Rows whose id or label is null, and labels that are not 0 or 1, are left out; of a repeated id the largest label
     holds and one of its texts is taken.
@@ -151,7 +152,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # ids has at most `bound` rows of two numbers
     found = texts.join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    return written(found, "sample")
+    found = written(found, "sample")
+    if max_bytes is None:
+        return found
+    # One row of two numbers for each of at most `bound` texts.
+    sizes = found.select("id", F.octet_length("text").alias("size"))
+    ahead = F.coalesce(F.sum("size").over(Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return found.join(F.broadcast(sizes.select("id", ahead.alias("ahead")).where(F.col("ahead") < max_bytes).select("id")), "id")
 
 
 def in_fold(modulus: int, col: str = "id") -> Column:
@@ -168,17 +175,30 @@ def quality_scorer(
     held_out: int = 1,
     folds: int = 3,
     max_labelled: int = 4000,
+    max_labelled_bytes: int = 32 << 20,
 ):
-    """A pandas UDF from a text to its score, trained on at most max_labelled labelled rows outside the held-out fold.
+    """A pandas UDF from a text to its score, trained in one task on the labelled sample outside the held-out fold: at most
+    max_labelled texts, of max_labelled_bytes together.
 
     Without labels of both kinds every score is the share of label 1 (0.5 without any).
     """
-    sample = labelled_sample(docs, labels, label_col, in_fold(folds) != held_out, max_labelled, id_col, text_col)
-    rows = sample.select("id", "text", "label").toPandas().sort_values("id", kind="stable")
-    y = rows["label"].to_numpy(dtype=np.float32)
-    model, share = None, float(y.mean()) if len(y) else 0.5
-    if len(y) and 0 < share < 1:
-        model = AttentionModel().train(*encode(rows["text"].tolist(), WordCodes()), y)
+    sample = labelled_sample(docs, labels, label_col, in_fold(folds) != held_out, max_labelled, id_col, text_col, max_labelled_bytes)
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [r for frame in batches for r in zip(frame["id"], frame["text"], frame["label"])]
+        rows.sort(key=lambda r: r[0])
+        y = np.array([r[2] for r in rows], dtype=np.float32)
+        if 0 < y.sum() < len(y):
+            weights = AttentionModel().train(*encode([r[1] for r in rows], WordCodes()), y).w
+            yield pd.DataFrame({"name": list(weights), "rows": [w.shape[0] for w in weights.values()], "value": [w.astype("<f4").tobytes() for w in weights.values()]})
+        yield pd.DataFrame({"name": ["share"], "rows": [1], "value": [np.float32(y.mean() if len(y) else 0.5).tobytes()]})
+
+    fitted = {r["name"]: np.frombuffer(r["value"], "<f4").reshape(r["rows"], -1) for r in sample.repartition(1).mapInPandas(fit, "name string, rows int, value binary").collect()}
+    discard(sample)
+    share, model = float(fitted.pop("share")[0, 0]) if fitted else 0.5, None
+    if fitted:
+        model = AttentionModel()
+        model.w = {k: v.reshape(model.w[k].shape) for k, v in fitted.items()}
 
     @F.pandas_udf("double")
     def score(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -217,6 +237,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, with all their columns, that score at least 0.5."""
+    """The rows of docs, with all their columns, that score at least 0.5.
+
+    Null and empty texts are one empty passage, repeated rows stay or go together, columns of any name pass through, an
+    empty table stays empty. Without labels of both kinds the share of label 1 decides for all rows alike."""
     score = quality_scorer(docs, labels, text_col=text_col, **options)
     return docs.where(score(F.col(text_col)) >= 0.5)
