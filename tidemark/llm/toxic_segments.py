@@ -1,8 +1,8 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-Token log-odds between toxic and clean labelled documents carry an informative Dirichlet prior, the corpus's own word
-frequencies; tokens whose log-odds are significantly toxic score them, all others score a small drift below zero. A
-linear-time scan finds all maximal scoring segments of a text. Under clean text the best segment follows an extreme-value
+Token log-odds between toxic and clean labelled documents carry an informative Dirichlet prior, the sample's own word
+frequencies. Tokens whose log-odds are significant, toxic or clean, score them; what the sample says nothing sure of scores a
+small drift below zero. A linear-time scan finds all maximal scoring segments of a text. Under clean text the best segment follows an extreme-value
 law: the expected number of segments with score S in m tokens is K m exp(-lambda S). A document's evidence is the sum of
 lambda S - ln(K m) over its segments that this law calls significant; a logistic curve on the labels turns it into a score.
 """
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_batches
+from tidemark.llm.common import discard, text_batches
 from tidemark.llm.mil_quality import in_fold, labelled_sample, sigmoid
 
 #: Bytes of a text to bytes of its tokens: A-Z to lower case, ASCII punctuation and control characters to a space.
@@ -31,24 +31,31 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def maximal_segments(position: list[int], gain: list[float], drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first token, last token, score); position and gain are those of the tokens with a
-    positive score, every other token scores -drift. Each token is put on and taken off the list at most once."""
-    found: list[tuple[int, int, float, float]] = []  # first, last, cumulative score before and at the end
+    """All maximal scoring segments (first token, last token, score); position and gain are those of the tokens that have a
+    score of their own, every other token scores -drift.
+
+    Each segment on the list keeps the place of the nearest earlier one with a smaller sum before it, so that the way back
+    never passes a segment twice: the scan is linear in the tokens.
+    """
+    found: list[tuple[int, int, float, float, int]] = []  # first, last, sum before and at the end, place of the smaller one
     total, behind = 0.0, -1
     for at, score in zip(position, gain):
         total -= drift * (at - behind - 1)
-        first, last, left, right = at, at, total, total + score
-        total, behind = right, at
-        while found:
-            k = len(found) - 1
-            while k >= 0 and found[k][2] >= left:
-                k -= 1
-            if k < 0 or found[k][3] >= right:
-                break
-            first, left = found[k][0], found[k][2]
+        behind = at
+        if score <= 0:
+            total += score
+            continue
+        first, left, right = at, total, total + score
+        total = right
+        k = len(found) - 1
+        while k >= 0 and found[k][2] >= left:
+            k = found[k][4]
+        while k >= 0 and found[k][3] < right:
+            first, _, left, _, back = found[k]
             del found[k:]
-        found.append((first, last, left, right))
-    return [(a, b, r - lo) for a, b, lo, r in found]
+            k = back
+        found.append((first, at, left, right, k))
+    return [(a, b, r - lo) for a, b, lo, r, _ in found]
 
 
 class ToxicModel:
@@ -97,8 +104,9 @@ def segment_rate(lexicon_scores: np.ndarray, share: np.ndarray, drift: float) ->
     return (low + high) / 2
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, held_out: int, folds: int, max_labelled: int, prior_share: float = 0.025, least_z: float = 3.0, least_odds: float = 1.0, max_lexicon: int = 20_000) -> ToxicModel:
-    """Train on at most max_labelled labelled rows outside the held-out fold; the lexicon has at most max_lexicon words."""
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, held_out: int, folds: int, max_labelled: int, prior_share: float = 0.025, least_z: float = 3.0, least_odds: float = 1.0) -> ToxicModel:
+    """Train on at most max_labelled labelled rows outside the held-out fold; the sample bounds the lexicon, since a word of
+    significant log-odds is in several of its texts."""
     sample = labelled_sample(docs, labels, label_col, in_fold(folds) != held_out, max_labelled, id_col, text_col)
     text_batches(docs.sparkSession)
 
@@ -132,16 +140,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     (docs_t, docs_c), (_, tokens_c) = sizes.get(b"", (0, 0)), sizes.get(b" ", (0, 0))
     if not docs_t or not docs_c:
         return ToxicModel({}, 0.5, 1.0, 1.0)
-    # Only words that are commoner among toxic documents can have positive log-odds.
-    leaning = per_word.where(plain & (F.col("toxic") >= 2) & (F.col("toxic") * docs_c > F.col("clean") * docs_t))
-    rows = leaning.orderBy(F.desc("toxic"), "word").limit(max_lexicon).toPandas()
+    # A word of fewer documents than this can't have a z-score of least_z.
+    rows = per_word.where(plain & (F.col("toxic") + F.col("clean") >= 3)).orderBy("word").toPandas()
     toxic, clean = rows["toxic"].to_numpy(float), rows["clean"].to_numpy(float)
     prior_mass = prior_share * (docs_t + docs_c)
     delta, z = log_odds(toxic, clean, docs_t, docs_c, prior_mass)
-    # Long documents lend common words a small, significant lean; a toxic word is commoner by a factor e at least.
-    on = (z >= least_z) & (delta >= least_odds)
-    lexicon = dict(zip(map(bytes, rows["word"][on]), delta[on]))
-    if not lexicon:
+    # Long documents lend common words a small, significant lean; a telling word is commoner by a factor e at least.
+    on = (np.abs(z) >= least_z) & (np.abs(delta) >= least_odds)
+    lexicon = dict(zip(map(bytes, rows["word"][on]), delta[on].tolist()))
+    if not (delta[on] > 0).any():
         return ToxicModel({}, 0.5, 1.0, 1.0)
     drift = 0.5
     share = (clean[on] + prior_mass * (toxic + clean)[on] / (docs_t + docs_c) / docs_c) / max(tokens_c, 1)
@@ -151,11 +158,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         for frame in batches:
             words = [tokens(t) for t in frame["text"]]
             best = [[s for _, _, s in model.segments(w)] for w in words]
-            yield pd.DataFrame({"id": frame["id"], "label": frame["label"], "m": [len(w) for w in words], "over": [sum(x >= floor for x in b) for b in best]})
+            yield pd.DataFrame({"label": frame["label"], "m": [len(w) for w in words], "over": [sum(x >= floor for x in b) for b in best]})
 
-    floor = float(np.median(delta[on]))
+    floor = float(np.median(delta[on & (delta > 0)]))
     # K: how often clean training text has a segment of at least a middling score, against the law's exponential.
-    m, over = sample.select("id", "text", "label").mapInPandas(study, "id long, label int, m long, over long").where("label = 0").agg(F.sum("m"), F.sum("over")).first()
+    m, over = sample.select("text", "label").mapInPandas(study, "label int, m long, over long").where("label = 0").agg(F.sum("m"), F.sum("over")).first()
     model.k = (over + 0.5) / (max(m, 1) * np.exp(-model.lam * floor))
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,6 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         if abs(move).max() < 1e-8:
             break
     model.slope, model.base = float(a), float(b)
+    discard(sample)
     return model
 
 
@@ -221,6 +229,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, with all their columns, whose toxicity score is below 0.5."""
+    """The rows of docs, with all their columns, whose toxicity score is below 0.5.
+
+    Null and empty texts have no evidence and stay, repeated rows stay or go together, columns of any name pass through, an
+    empty table stays empty. Without labels of both kinds every row stays."""
     model = toxicity_model(docs, labels, text_col=text_col, **options)
     return docs.where(evidence_udf(model)(F.col(text_col))["score"] < 0.5)
