@@ -2,11 +2,12 @@
 
 Candidates are what follows a credential word and a sign of assignment (six characters or more of any kind but spaces and
 quotes), what has the form of a provider's key, and long runs of key characters that are not lower-case letters alone,
-which are words. Features of a candidate: length, shares of character kinds,
-character transitions, dictionary coverage, path shape, the record's path, and the neighbouring words. The forest learns
-from labelled findings; where none are given, they are labelled by rule from the corpus: provider formats and credential
-assignments are findings, the rest is not. Everything runs as DataFrame and SQL expressions; the trained trees become a
-column expression, so text is judged in the row that holds it and nothing is shuffled.
+which are words. Features of a candidate: length, shares of character kinds, character transitions, dictionary coverage,
+path shape, the record's path, and how much the words beside it and its first characters speak for a secret, as counted in
+the labelled findings; none of them is the rule that labels. The forest learns from labelled findings; where none are
+given, they are labelled by rule from the corpus: provider formats and credential assignments are findings, the rest is
+not. Everything runs as DataFrame and SQL expressions; the trained trees become a column expression, so text is judged in
+the row that holds it and nothing is shuffled. Tables that hold candidates are deleted once the forest is trained.
 """
 
 from __future__ import annotations
@@ -18,16 +19,15 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import discard, written
 
 NEAR_BEFORE, NEAR_AFTER = 48, 32
 #: Beginnings that providers give their keys.
 PROVIDER = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^xox[abpr]-|^sk[-_](live|test|proj)?|^AIza[A-Za-z0-9_-]{30,}$|^eyJ[A-Za-z0-9_-]{10,}"
-#: Words beside a credential, and beside other identifiers.
+#: Words beside a credential.
 CREDENTIAL = r"(pass(word|wd|phrase)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth(orization)?|bearer|credential)"
 #: Between a credential word and its value.
 SIGN = r"[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}[\"']?"
-OTHER = r"(sha(1|256)?|md5|hash|digest|commit|uuid|checksum|card|phone|tel|iban|isbn|order|invoice|version)"
 TEST_PATH = r"(test|example|sample|mock|fixture|demo|placeholder)"
 #: A value ends before the marks that close a sentence or a bracket. The short look-behinds come first, as they fail soonest.
 VALUE = r"[^\s\"'<>]{5,}[^\s\"'<>.,;:)\]}]"
@@ -39,6 +39,8 @@ CANDIDATE = "|".join([ASSIGNED, BEARER, FORMED, RUN])
 #: The end of what stands before an assigned value.
 BEFORE_VALUE = r"(" + CREDENTIAL + SIGN + r"|bearer\s+)$"
 FEATURES = 18
+#: A control character that marks candidates.
+MARK = "\x01"
 #: Findings of a label that is rarer than this are repeated, so that the sample of every tree holds them.
 FEWEST = 200
 
@@ -46,22 +48,38 @@ FEWEST = 200
 def candidates(text: Column) -> Column:
     """Array of structs (nth, value, before, after) of a text's candidates, in order; empty for a null text.
 
-    The text is split at the candidates, so a candidate's neighbours are the pieces beside it and the work is linear in the
-    text, however many candidates it holds.
+    One search marks the candidates, and the text is split at the marks (a text that holds the mark itself is searched twice
+    instead). A candidate's neighbours are the pieces beside it, so the work is linear in the text.
     """
     body = F.coalesce(text, F.lit(""))
-    found = F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0))
-    pieces = F.split(body, CANDIDATE)
-    ahead = F.concat(F.array(F.lit("")), found)
-    paired = F.transform(
-        F.arrays_zip(found.alias("value"), F.slice(ahead, 1, F.size(found)).alias("last"), F.slice(pieces, 1, F.size(found)).alias("before"), F.slice(pieces, 2, F.size(found)).alias("after")),
-        lambda c, i: F.struct(
-            (i + 1).alias("nth"), c["value"].alias("value"), F.right(F.concat(c["last"], c["before"]), F.lit(NEAR_BEFORE)).alias("before"), F.left(c["after"], F.lit(NEAR_AFTER)).alias("after")
-        ),
-    )
-    none = F.array().cast("array<struct<nth:int,value:string,before:string,after:string>>")
+    marked = F.split(F.regexp_replace(body, f"({CANDIDATE})", f"{MARK}$1{MARK}"), MARK)
+    found = F.concat(F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)), F.array(F.lit(None).cast("string")))
+    apart = F.flatten(F.transform(F.arrays_zip(F.split(body, CANDIDATE).alias("p"), found.alias("f")), lambda x: F.array(x["p"], x["f"])))
+    pieces = F.when(F.contains(body, F.lit(MARK)), apart).otherwise(marked)
+
+    def built(p: Column) -> Column:
+        count = F.floor((F.size(p) - 1) / 2).cast("int")
+        one = lambda i: F.struct(
+            i.alias("nth"),
+            F.get(p, 2 * i - 1).alias("value"),
+            F.right(F.concat(F.coalesce(F.get(p, 2 * i - 3), F.lit("")), F.get(p, 2 * i - 2)), F.lit(NEAR_BEFORE)).alias("before"),
+            F.left(F.get(p, 2 * i), F.lit(NEAR_AFTER)).alias("after"),
+        )
+        none = F.array().cast("array<struct<nth:int,value:string,before:string,after:string>>")
+        return F.when(count > 0, F.transform(F.sequence(F.lit(1), count), one)).otherwise(none)
+
     wanted = lambda c: c["value"].rlike("[^a-z]") | F.lower(c["before"]).rlike(BEFORE_VALUE)
-    return F.when(body.rlike(CANDIDATE), F.filter(paired, wanted)).otherwise(none)
+    # The pieces stand in an array of one, so that they are found once.
+    return F.filter(F.flatten(F.transform(F.array(pieces), built)), wanted)
+
+
+def near_words(c: Column) -> Column:
+    """The last three words before a candidate, the nearest first."""
+    return F.slice(F.reverse(F.filter(F.split(F.lower(c["before"]), "[^a-z]+"), lambda w: F.length(w) >= 2)), 1, 3)
+
+
+def begins(c: Column) -> Column:
+    return F.left(c["value"], F.lit(4))
 
 
 def share_of(value: Column, drop: str) -> Column:
@@ -72,9 +90,18 @@ def changes(value: Column, at: str) -> Column:
     return (F.length(F.regexp_replace(value, at, " ")) - F.length(value)) / F.length(value)
 
 
-def feature_array(c: Column, path: Column, dictionary: list[str]) -> Column:
+def evidence_of(table: dict[str, float]):
+    """A column of a key's log-odds in a table of a bounded number of keys; 0 for any other."""
+    if not table:
+        return lambda key: F.lit(0.0)
+    held = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return lambda key: F.coalesce(F.try_element_at(held, key), F.lit(0.0))
+
+
+def feature_array(c: Column, path: Column, dictionary: list[str], beside: dict[str, float], prefixes: dict[str, float]) -> Column:
     """The FEATURES numbers of a candidate struct."""
-    value, before, after = c["value"], F.lower(c["before"]), F.lower(c["after"])
+    value, before = c["value"], F.lower(c["before"])
+    told = F.transform(near_words(c), evidence_of(beside))
     runs = F.regexp_extract_all(F.lower(value), F.lit("[a-z]{3,}"), F.lit(0))
     words = F.array(*[F.lit(w) for w in dictionary]) if dictionary else F.array().cast("array<string>")
     covered = F.aggregate(F.filter(runs, lambda r: F.array_contains(words, r)), F.lit(0), lambda a, r: a + F.length(r))
@@ -92,12 +119,12 @@ def feature_array(c: Column, path: Column, dictionary: list[str]) -> Column:
         share_of(value, "[^_-]"),
         share_of(value, "[^/]"),
         flag(before.rlike(r"[:=]\s*[\"']?$")),
-        flag(before.rlike(CREDENTIAL + r"\W{0,6}$")),
-        flag(F.concat(before, F.lit(" "), after).rlike(CREDENTIAL)),
+        F.get(told, F.lit(0)),
+        F.array_max(told),
+        F.array_min(told),
         flag(before.rlike(r"(https?:/?/?|www\.)\S*$")),
-        flag(F.concat(before, F.lit(" "), after).rlike(r"\b" + OTHER + r"\b")),
         flag(F.coalesce(F.lower(path), F.lit("")).rlike(TEST_PATH)),
-        flag(value.rlike(PROVIDER)),
+        evidence_of(prefixes)(begins(c)),
     ]
     return F.array(*[F.coalesce(x.cast("double"), F.lit(0.0)) for x in numbers])
 
@@ -145,21 +172,31 @@ def forest_expression(printed: str, x: Column) -> Column:
 class SecretForest:
     """The trained judge: score(candidate, path) is a column, 0 to 1."""
 
-    def __init__(self, printed: str | None, constant: float, dictionary: list[str]):
-        self.printed, self.constant, self.dictionary = printed, constant, dictionary
+    def __init__(self, model, constant: float, dictionary: list[str] = (), beside: dict[str, float] | None = None, prefixes: dict[str, float] | None = None):
+        self.model, self.constant = model, constant
+        self.printed = model.toDebugString if model else None
+        self.dictionary, self.beside, self.prefixes = list(dictionary), beside or {}, prefixes or {}
+
+    def features(self, c: Column, path: Column) -> Column:
+        return feature_array(c, path, self.dictionary, self.beside, self.prefixes)
 
     def score(self, c: Column, path: Column) -> Column:
         if self.printed is None:
             return F.lit(self.constant)
         # The features stand in an array of one, so that the trees share one evaluation of them.
-        held = F.array(feature_array(c, path, self.dictionary))
-        return F.transform(held, lambda x: forest_expression(self.printed, x))[0]
+        return F.transform(F.array(self.features(c, path)), lambda x: forest_expression(self.printed, x))[0]
+
+
+def log_odds_of(keys: DataFrame, most: int) -> dict[str, float]:
+    """Log-odds of label 1 of the commonest `most` keys of (key, label), of those in five findings or more."""
+    seen = keys.groupBy("key").agg(F.sum("label").alias("bad"), F.count("*").alias("n")).where("n >= 5").orderBy(F.desc("n"), "key").limit(most)
+    return {r["key"]: float(x) for r in seen.select("key", F.log((F.col("bad") + 0.5) / (F.col("n") - F.col("bad") + 0.5)).alias("x")).collect() for x in [r["x"]]}
 
 
 def train(labelled: DataFrame, trees: int = 15, depth: int = 6, max_labelled: int = 20_000, dictionary_words: int = 300) -> SecretForest:
     """Fit a forest on at most max_labelled distinct findings (value, before, after, path, label 0/1): of each label half of
     them, those with the smallest hashes. A table whose labels are all of one kind gives that kind's constant; none give 0.
-    The dictionary holds the commonest words beside the findings."""
+    The dictionary holds the commonest words beside the findings; words and beginnings of values have their log-odds."""
     rows = labelled.where(F.col("label").isin(0, 1) & F.col("value").isNotNull() & (F.length("value") > 0))
     rows = rows.select("value", "before", "after", "path", "label").distinct()
     order = [F.xxhash64("value", "before", "after", "path"), "value", "before", "after", "path"]
@@ -167,18 +204,22 @@ def train(labelled: DataFrame, trees: int = 15, depth: int = 6, max_labelled: in
     rows = written(bad.unionByName(good), "findings")
     kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(kinds) < 2:
-        return SecretForest(None, float(*kinds) if kinds else 0.0, [])
+        discard(rows)
+        return SecretForest(None, float(*kinds) if kinds else 0.0)
     near = rows.select(F.explode(F.split(F.lower(F.concat_ws(" ", "before", "after")), r"[^\p{L}]+")).alias("w")).where(F.length("w") >= 3)
     top = near.groupBy("w").count().where("count >= 5").orderBy(F.desc("count"), "w").limit(dictionary_words).collect()
-    dictionary = [r.w for r in top]
     c = F.struct("value", "before", "after")
-    ready = rows.select(array_to_vector(feature_array(c, F.col("path"), dictionary)).alias("features"), F.col("label").cast("double").alias("label"))
+    words = rows.select(F.explode(F.array_distinct(near_words(c))).alias("key"), "label")
+    forest = SecretForest(None, 0.0, [r.w for r in top], log_odds_of(words, dictionary_words), log_odds_of(rows.select(begins(c).alias("key"), "label"), dictionary_words))
+    ready = rows.select(array_to_vector(forest.features(c, F.col("path"))).alias("features"), F.col("label").cast("double").alias("label"))
     for kind, n in kinds.items():
         if n < FEWEST <= max(kinds.values()):
             again = F.explode(F.array_repeat(F.lit(0), -(-FEWEST // n)))
             ready = ready.where(F.col("label") != kind).unionByName(ready.where(F.col("label") == kind).select("features", "label", again.alias("nth")).drop("nth"))
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="sqrt", subsamplingRate=0.8)
-    return SecretForest(forest.fit(ready).toDebugString, 0.0, dictionary)
+    trees_of = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, featureSubsetStrategy="sqrt", subsamplingRate=0.8)
+    fitted = trees_of.fit(ready)
+    discard(rows)
+    return SecretForest(fitted, 0.0, forest.dictionary, forest.beside, forest.prefixes)
 
 
 def found_candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None) -> DataFrame:
@@ -187,26 +228,32 @@ def found_candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str
     return docs.select(F.col(id_col).alias("id"), path.alias("path"), F.explode(candidates(F.col(text_col))).alias("c")).select("id", "path", "c.*")
 
 
+def forest_of(docs: DataFrame, id_col: str, text_col: str, path_col: str | None, labelled: DataFrame | None) -> SecretForest:
+    """The forest of the labelled findings, or of docs' own candidates, labelled by rule."""
+    if labelled is not None:
+        return train(labelled)
+    found = written(found_candidates(docs, id_col, text_col, path_col), "candidates")
+    forest = train(found.withColumn("label", rule_label(F.struct("value", "before", "after"))))
+    discard(found)  # secrets in plain text do not stay
+    return forest
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """One row per candidate: id, nth (of the document's matches), value, before, after, score, secret.
 
     Null and empty texts have no candidates; repeated rows are scanned each; a null path counts as none. Other columns are
     ignored; an empty table gives an empty table.
     """
-    found = written(found_candidates(docs, id_col, text_col, path_col), "candidates")
-    c = F.struct("value", "before", "after")
-    forest = train(found.withColumn("label", rule_label(c)) if labelled is None else labelled)
-    score = forest.score(c, F.col("path"))
-    judged = found.select("id", "nth", "value", "before", "after", score.alias("score"))
+    forest = forest_of(docs, id_col, text_col, path_col, labelled)
+    judged = found_candidates(docs, id_col, text_col, path_col).withColumn("score", forest.score(F.struct("value", "before", "after"), F.col("path")))
     return judged.select(F.col("id").alias(id_col), "nth", "value", "before", "after", "score", (F.col("score") >= threshold).alias("secret"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", labelled: DataFrame | None = None, threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every judged secret in the text replaced by mark; all rows and columns stay, a null text stays null."""
-    if labelled is None:
-        found = written(found_candidates(docs, id_col, text_col, path_col), "candidates")
-        labelled = found.withColumn("label", rule_label(F.struct("value", "before", "after")))
-    forest = train(labelled)
+    """docs with every judged secret in the text replaced by mark; all rows and columns stay, a null text stays null.
+
+    Repeated rows are masked alike, columns of any name pass through, an empty table stays empty."""
+    forest = forest_of(docs, id_col, text_col, path_col, labelled)
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     text = F.col(text_col)
     secrets = F.array_distinct(F.transform(F.filter(candidates(text), lambda c: forest.score(c, path) >= threshold), lambda c: c["value"]))
