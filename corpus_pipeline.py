@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of documents, and what a
 stage decides takes effect: rejected documents go, one document of each group of near copies stays, secrets are masked.
 The models learn from the documents that reach their stage and the labels table.
+
+All stages take nulls in any column, empty and very long texts, ties, repeated rows, columns of any other name and an empty
+table: null and empty texts count as empty ones, what a stage keeps it keeps with all its columns, rows of one id stay or go
+together in near_copies, and an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mil_quality, ngram_join, packing, secret_scan, toxic_segments
-from tidemark.llm.common import written
+from tidemark.llm.common import discard, written
 
 
 def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +61,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply STAGES in order to the documents table, each over the written rows of the one before."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

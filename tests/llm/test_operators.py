@@ -519,3 +519,154 @@ def test_short_and_letters_only_secrets_are_candidates(spark):
     clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
     assert all(s not in clean[i] and "[SECRET]" in clean[i] for i, s in enumerate(secrets))
     assert all(clean[100 + i] == t for i, t in enumerate(plain))
+
+
+def test_packing_keeps_the_loss_limit_of_instruction_data(spark):
+    """Questions bear no loss: every limit binds in its turn, and loss-bearing ids are those whose text lies in an answer."""
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(BPE)
+    rows = []
+    for i in range(120):
+        question, answer = prose(i, 10 + i % 40), prose(500 + i, 5 + 7 * i % 60) + " é 😀"
+        text = f"User: {question}\nAssistant: {answer}"
+        rows.append((i, text, [(len(text) - len(answer), len(text))]))
+    rows += [(200, "no answer at all", []), (201, None, None), (202, "all of it", None), (203, rows[0][1], rows[0][2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans array<struct<start:int,end:int>>").repartition(1)
+    texts = {i: (t or "", s) for i, t, s in rows}
+
+    def bearing(i):
+        text, spans = texts[i]
+        found = own.encode(text, add_special_tokens=False)
+        if spans is None:
+            return np.ones(len(found.ids) + 1, bool)
+        inside = [any(s <= a < e for s, e in spans) for a, _ in found.offsets]
+        return np.array([*inside, any(e == len(text) for _, e in spans)])
+
+    for limits, binds in (({}, "length"), ({"max_segments": 3}, "segments"), ({"max_loss_tokens": 100}, "loss_tokens")):
+        got = packing.pack(docs, BPE, loss_col="spans", **limits).toPandas()
+        for i in (0, 7, 55, 119, 200, 201, 202, 203):
+            mine, mask = got[got.doc_id == i].sort_values("start"), bearing(i)
+            assert mine["length"].sum() == len(mask)
+            assert all(abs(p.loss_tokens - mask[p.start + 1 : p.start + p.length].sum()) <= (1 if "é" in texts[i][0] else 0) for p in mine.itertuples())
+        per = got.groupby("sequence_id").agg(length=("length", "sum"), segments=("start", "size"), loss_tokens=("loss_tokens", "sum"))
+        most = {"length": 2048, "segments": limits.get("max_segments", 64), "loss_tokens": limits.get("max_loss_tokens", 2048)}
+        assert all((per[c] <= m).all() for c, m in most.items())
+        assert (per[binds] >= 0.97 * most[binds]).mean() > 0.6
+
+
+def test_packing_ids_are_those_of_the_tokenizers_file(spark):
+    """The rank file gives the tokenizers file's ids on every text of a table, and on special, broken and astral characters."""
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(BPE)
+    own.encode_special_tokens = True
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    texts += ["�� a�", "<|endoftext|> <s> </s> [CLS]", "😀👩‍👩‍👧 ﷽", "á ​ ", " " * 300, "\t\n\r\x0b\x0c\x00\x7f", "x" * 20_000, "1234567890" * 40]
+    encode = packing.encoder(BPE)
+    for text in texts:
+        assert list(encode(text)) == own.encode(text, add_special_tokens=False).ids
+
+
+def test_all_maximal_segments_are_those_of_the_recursion():
+    """The best segment, then the same on either side of it; tokens with negative scores of their own among them."""
+
+    def by_definition(score, shift=0):
+        best = max(((score[i : j + 1].sum(), i, j) for i in range(len(score)) for j in range(i, len(score))), default=(0, 0, 0))
+        if best[0] <= 0:
+            return []
+        s, i, j = best
+        return by_definition(score[:i], shift) + [(shift + i, shift + j, s)] + by_definition(score[j + 1 :], shift + j + 1)
+
+    r = np.random.default_rng(16)
+    for _ in range(300):
+        n = int(r.integers(0, 28))
+        kind = r.random(n)
+        score = np.where(kind < 0.35, r.random(n) * 3, np.where(kind < 0.6, -2 * r.random(n), -0.5))
+        on = np.flatnonzero(score != -0.5)
+        got = toxic_segments.maximal_segments(on.tolist(), score[on].tolist(), 0.5)
+        want = by_definition(score)
+        assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
+        assert np.allclose([s for *_, s in got], [s for *_, s in want])
+
+
+def test_segment_scan_is_linear():
+    from time import process_time
+
+    def seconds(n):
+        began = process_time()
+        toxic_segments.maximal_segments(list(range(0, 7 * n, 7)), [3.0] * n, 0.5)
+        return process_time() - began
+
+    assert seconds(80_000) < 40 * max(seconds(8_000), 1e-3)
+
+
+def test_forest_expression_is_the_trained_model(spark):
+    """The column expression gives the share of trees of the model's own transform; held-out findings are told apart."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = []
+    for i in range(400):
+        r = np.random.default_rng(i)
+        word = "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz0123456789ABCDEF"), 20 + i % 9))
+        rows.append((word, f"{prose(i, 4)} token: ", " end", None, 1.0) if i % 2 else (f"path/to-{prose(i, 1)}/Item-{i}", f"{prose(i, 4)} see ", " end", "docs", 0.0))
+    table = spark.createDataFrame(rows, "value string, before string, after string, path string, label double")
+    forest = secret_scan.train(table.where("hash(value) % 2 = 0"))
+    c = F.struct("value", "before", "after")
+    ready = table.select("label", "value", forest.score(c, F.col("path")).alias("own"), array_to_vector(forest.features(c, F.col("path"))).alias("features"))
+    model = forest.model.setPredictionCol("p").setProbabilityCol("prob").setRawPredictionCol("raw")
+    trees = [t.setPredictionCol(f"t{k}").setProbabilityCol(f"q{k}").setRawPredictionCol(f"r{k}") for k, t in enumerate(model.trees)]
+    for tree in trees:
+        ready = tree.transform(ready)
+    seen = ready.toPandas()
+    assert np.allclose(seen["own"], seen[[f"t{k}" for k in range(len(trees))]].mean(axis=1))
+    assert ((seen["own"] >= 0.5) == (seen["label"] == 1)).mean() > 0.97
+
+
+def test_marks_in_a_text_change_no_candidate(spark):
+    text = "a token=abc123def4567 then " + "x9" * 8 + " end abcdefghijklmnop"
+    rows = spark.createDataFrame([(text,), (text.replace(" then", " th\x01en"),), (None,), ("",)], "t string").select(secret_scan.candidates(F.col("t")).alias("c")).collect()
+    assert [x.value for x in rows[0].c] == [x.value for x in rows[1].c] == ["abc123def4567", "x9" * 8] and rows[2].c == rows[3].c == []
+
+
+def test_ngram_join_is_linear_in_a_large_group(spark):
+    """2000 near copies of one text that share a line with 500 others: the steps in tiles hand on fewer rows than they read."""
+    r = np.random.default_rng(5)
+    base, line = prose(70, 80).split(), prose(71, 14).split()
+    rows = []
+    for i in range(2000):
+        w = list(base)
+        for k in r.choice(80, 1 + i % 4, replace=False):
+            w[k] = f"edit{i}x{k}"
+        rows.append((i, " ".join(w + line)))
+    rows += [(5000 + i, " ".join(prose(3000 + i, 12).split() + line)) for i in range(500)]
+    made = []
+    plain = ngram_join.ties
+    real, ngram_join.written = ngram_join.written, lambda df, name: (lambda t: (made.append((name, t.count())), t)[1])(plain_written(df, name))
+    plain_written = real
+    try:
+        got = {x.doc_id: x.component_id for x in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        ngram_join.written = real
+    assert plain is ngram_join.ties
+    sizes = dict(made)
+    assert sizes["members"] <= sizes["mixed"] and sizes["links"] <= 3 * sizes["groups"]
+    sets = {i: shingles(t) for i, t in rows}
+    share = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    for i, c in got.items():
+        if i >= 5000:
+            assert c == i or any(share(i, j) >= 0.75 for j in got if j != i and got[j] == c)
+    # Every text with three edits at most links with the base's first variants, so the group is one.
+    near = [i for i in range(2000) if i % 4 < 2]
+    parent = {i: i for i in near}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in near[:40]:
+        for b in near:
+            if share(a, b) >= 0.75:
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+    assert all(got[a] == got[find(a)] for a in near)

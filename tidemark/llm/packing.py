@@ -1,7 +1,8 @@
 """Packing of token sequences as vector bin packing by the dot-product heuristic.
 
-A document's ids are cut into full pieces of max_tokens, which are sequences of their own, and one rest. Rests are packed
-under three limits at once: tokens, segments and loss-bearing tokens. A bin takes, again and again, the fitting rest
+A document's ids are cut where the next one would pass the limit of tokens or of loss-bearing tokens; pieces that fill a limit
+are sequences of their own, and the rest is packed under three limits at once: tokens, segments and loss-bearing tokens. In
+instruction data only the answers bear loss: a column of character spans says which parts of a text do. A bin takes, again and again, the fitting rest
 whose demand vector has the largest dot product with what the bin has left. The work needs no shuffle: every partition
 of the input packs its own rests, a bounded pool of them at a time, and hands bins that are not yet full to the next pool.
 """
@@ -16,10 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_batches
 
 END_ID = 1
+SPANS = "array<struct<start:int,end:int>>"
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 )
@@ -46,6 +49,47 @@ def encoder(vocabulary: str):
     return lambda text: own.encode(text, add_special_tokens=False).ids
 
 
+@functools.lru_cache(maxsize=4)
+def id_bytes(vocabulary: str) -> np.ndarray:
+    """How many bytes of text each id of a byte-level vocabulary stands for: a character of its name is a byte."""
+    from tokenizers import Tokenizer
+
+    names = Tokenizer.from_file(vocabulary).get_vocab()
+    out = np.zeros(max(names.values()) + 1, dtype=np.int64)
+    for name, i in names.items():
+        out[i] = len(name)
+    return out
+
+
+def loss_mask(text: str, ids: np.ndarray, spans: list | None, width: np.ndarray) -> np.ndarray:
+    """Which ids of a text and its end bear loss: those whose first byte lies in a span of characters, and the end if the
+    last span goes to the text's end. Without spans (null) all do."""
+    out = np.ones(len(ids), dtype=bool)
+    if spans is not None:
+        sizes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        byte = np.concatenate([[0], np.cumsum(1 + (sizes > 0x7F) + (sizes > 0x7FF) + (sizes > 0xFFFF))])
+        mark = np.zeros(int(byte[-1]) + 2, dtype=np.int64)
+        for start, end in spans:
+            start, end = (min(max(0, x), len(sizes)) for x in (start, end))
+            if start < end:
+                mark[byte[start]] += 1
+                mark[byte[end] + (end == len(sizes))] -= 1
+        at = np.concatenate([[0], np.cumsum(width[ids[:-1]])])
+        out = np.cumsum(mark)[np.minimum(at, byte[-1])] > 0
+    return out
+
+
+def cuts(mask: np.ndarray, max_tokens: int, max_loss_tokens: int) -> list[int]:
+    """Where pieces end: each as long as both limits let it be. The first id of a piece has nothing before it to be told
+    from, so it bears no loss there."""
+    total, ends, start = np.concatenate([[0], np.cumsum(mask)]), [], 0
+    while start < len(mask):
+        most = int(np.searchsorted(total, total[start + 1] + max_loss_tokens, "right")) - 1
+        start = min(len(mask), start + max_tokens, most)
+        ends.append(start)
+    return ends
+
+
 def dot_product_bins(demand: np.ndarray) -> list[np.ndarray]:
     """Bins of row numbers; demand has a row for each item and a column for each limit, as shares of the limit."""
     free = np.arange(len(demand))
@@ -73,17 +117,19 @@ def pack(
     max_tokens: int = 2048,
     max_segments: int = 64,
     max_loss_tokens: int = 2048,
+    loss_col: str | None = None,
     pool: int = 2048,
     full_enough: float = 0.99,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, loss_tokens.
 
-    A document's ids are those of its whole text (null: empty) and the end id. Loss-bearing are all ids of a piece but its
-    first, which has nothing before it to be told from. An empty text is a piece of one id; a null doc_id stays null;
-    repeated rows are packed each. Other columns are ignored; an empty table gives no pieces.
+    A document's ids are those of its whole text (null: empty) and the end id. loss_col names an array of structs (start,
+    end) of characters, the parts that bear loss; without it, or where it is null, all ids do but the first of a piece,
+    which has nothing before it to be told from. No sequence passes max_tokens, max_segments or max_loss_tokens (at least
+    1). An empty text is a piece of one id; a null doc_id stays null; repeated rows are packed each. Other columns are
+    ignored; an empty table gives no pieces.
     """
     text_batches(docs.sparkSession)
-    cut = min(max_tokens, max_loss_tokens + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary)
@@ -96,14 +142,14 @@ def pack(
             nonlocal number
             offset = 0
             for p in pieces:
-                rows.append((*p, number, offset, p[2] - 1))
+                rows.append((*p[:5], number, offset, p[5]))
                 offset += p[2]
             number += 1
 
         def demand() -> np.ndarray:
             """The rests' shares of each limit."""
             length = np.array([p[2] for p in rests], dtype=np.float64)
-            return np.column_stack([length / max_tokens, np.full(len(rests), 1 / max_segments), (length - 1) / max_loss_tokens])
+            return np.column_stack([length / max_tokens, np.full(len(rests), 1 / max_segments), np.array([p[5] for p in rests]) / max_loss_tokens])
 
         def settle(last: bool) -> None:
             """Place the pool's full bins and keep the rests of the others; at the end, or where half a pool would stay,
@@ -126,16 +172,19 @@ def pack(
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
         for batch in batches:
-            ids_of, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc, text in zip(ids_of, texts):
+            ids_of, texts, spans_of = (batch.column(i).to_pylist() for i in range(3))
+            for doc, text, spans in zip(ids_of, texts, spans_of):
                 ids = np.array([*encode(text or ""), END_ID], dtype="<u4")
-                for start in range(0, len(ids), cut):
-                    piece = ids[start : start + cut]
-                    entry = (doc, start, len(piece), zlib.crc32(piece.tobytes()), len(ids))
-                    if len(piece) == cut:
+                mask = loss_mask(text or "", ids, spans and [(x["start"], x["end"]) for x in spans if x] if spans is not None else None, id_bytes(vocabulary) if spans is not None else None)
+                start = 0
+                for end in cuts(mask, max_tokens, max_loss_tokens):
+                    piece = ids[start:end]
+                    entry = (doc, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), int(mask[start + 1 : end].sum()))
+                    if len(piece) == max_tokens or entry[5] == max_loss_tokens:
                         put([entry])
                     else:
                         rests.append(entry)
+                    start = end
                 if len(rests) >= pool:
                     settle(False)
             if len(rows) >= 8192:
@@ -143,4 +192,5 @@ def pack(
         settle(True)
         yield flush()
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{text_col}` text").mapInArrow(run, SCHEMA)
+    spans = F.col(loss_col).cast(SPANS) if loss_col else F.lit(None).cast(SPANS)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), spans.alias("spans")).mapInArrow(run, SCHEMA)
