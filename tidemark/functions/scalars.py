@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: Bucket sizes in seconds.
 GRANULARITY = {"MINUTE": 60, "FIVE_MINUTE": 300, "HOUR": 3600, "DAY": 86400}
 
+#: Purposes that are a basis of their own.
+OWN_BASIS = ("INITIAL_BOOTSTRAP", "HISTORICAL_BACKFILL", "RESYNC", "REPAIR")
+
 CVE = r"(?i)\bCVE-[0-9]{4}-[0-9]{4,}\b"
 CWE = r"CWE-[0-9]+"
 URL = r"https?://[^\s<>\"'\x60{}|\\^\[\]]+"
@@ -109,11 +112,8 @@ def score_band(c: Column | str) -> Column:
 def acquisition_basis(trigger: Column | str, purpose: Column | str, bootstrap_first: bool = True) -> Column:
     """How a fact was acquired; windows, unlike facts, don't take a BOOTSTRAP trigger for the initial load."""
     t, p = col(trigger), col(purpose)
-    chain = F.when(p == "LIVE_INCREMENTAL", "LIVE_INCREMENTAL").when(p == "BACKFILL", "HISTORICAL_BACKFILL").when(p == "RECOVERY", "RECOVERY_REPLAY")
-    start = F.when(p == "INITIAL_BOOTSTRAP", "INITIAL_BOOTSTRAP")
-    if bootstrap_first:
-        start = start.when(t == "BOOTSTRAP", "INITIAL_BOOTSTRAP")
-    return F.coalesce(start, chain, F.lit("MANUAL"))
+    boot = F.coalesce((t == "BOOTSTRAP") if bootstrap_first else F.lit(False), F.lit(False))
+    return F.when(boot, "INITIAL_BOOTSTRAP").when(p.isin(*OWN_BASIS), p).when(t == "RECOVERY", "RECOVERY").otherwise("LIVE_INCREMENTAL")
 
 
 def is_live(trigger: Column | str, purpose: Column | str) -> Column:
@@ -171,11 +171,6 @@ def union_refs(*arrays: Column | str, cap: int = 64) -> Column:
     return F.slice(F.array_distinct(F.concat(*[F.coalesce(col(a), F.array().cast("array<string>")) for a in arrays])), 1, cap)
 
 
-def union_sorted(arrays: Column | str) -> Column:
-    """The sorted distinct members of an array of arrays."""
-    return F.array_sort(F.array_distinct(F.flatten(col(arrays))))
-
-
 def harvest_cvss(json: Column | str) -> Column:
     """CVSS versions by the metric keys that a JSON text holds."""
     text = F.coalesce(col(json), F.lit(""))

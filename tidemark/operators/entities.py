@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import bucket_end, bucket_start, fingerprint
+from tidemark.functions.scalars import bucket_start, fact, fingerprint
 from tidemark.operators.revisions import heads
 
+#: The types of findings.
+SOURCE_OVERLAP, MULTI_ORIGIN, CROSS_CLASS, CONCURRENT = "SOURCE_SYSTEM_OVERLAP", "MULTI_ORIGIN_CONVERGENCE", "CROSS_CLASS_CONVERGENCE", "CONCURRENT_MOVEMENT"
+#: Whose first sight of an entity is a fact of which measurement: source, entity types, beginning of the key.
+NOVELTY_RULES = {
+    "ioc.threatfox.first_seen_indicators": ("THREATFOX", ("IP", "DOMAIN", "URL", "HASH"), ""),
+    "malware.malwarebazaar.first_seen_hashes": ("MALWAREBAZAAR", ("HASH",), "sha256:"),
+}
 
-def project_observations(canonical: DataFrame, date_only: Sequence[str] = ()) -> DataFrame:
+
+def project_observations(canonical: DataFrame, date_only: Sequence[str] = (), date_facts: Mapping[str, str] | None = None) -> DataFrame:
     """One row for each entity of a record: the first is PRIMARY, others RELATED. The time is the first of effective,
-    published, updated and received; sources of date precision keep a date only."""
+    published, updated and received; a source of date_facts has the date that its fact of this name says, where there is
+    one, and sources of date_only keep the date of their time. Records without any time give no row."""
     t = F.coalesce("effective_at", "published_at", "updated_at", "received_at")
-    dated = F.col("source_key").isin(*date_only) if date_only else F.lit(False)
-    rows = canonical.select("*", F.posexplode("entities").alias("pos", "entity"))
+    said = F.lit(None).cast("date")
+    for source, predicate in (date_facts or {}).items():
+        said = F.when(F.col("source_key") == source, F.try_to_date(fact("facts", predicate))).otherwise(said)
+    date = F.coalesce(said, F.when(F.col("source_key").isin(*date_only), F.to_date(t)) if date_only else F.lit(None).cast("date"))
+    dated = date.isNotNull()
+    rows = canonical.where(t.isNotNull() | dated).select("*", F.posexplode("entities").alias("pos", "entity"))
     out = rows.select(
         "source_key",
         "source_record_id",
@@ -24,7 +37,7 @@ def project_observations(canonical: DataFrame, date_only: Sequence[str] = ()) ->
         F.col("entity.key").alias("entity_key"),
         F.when(F.col("pos") == 0, "PRIMARY").otherwise("RELATED").alias("role"),
         F.when(~dated, t).alias("observed_time"),
-        F.when(dated, F.to_date(t)).alias("observed_date"),
+        date.alias("observed_date"),
         F.when(dated, "DATE").otherwise("INSTANT").alias("precision"),
     )
     return out.withColumn("observation_key", fingerprint("source_key", "source_record_id", "entity_type", "entity_key", "role"))
@@ -91,15 +104,21 @@ def activity_rows(obs: DataFrame) -> DataFrame:
 
 def entity_activity(obs: DataFrame) -> DataFrame:
     """Counts of observations, sources, origins, classes, instants and dates of each entity and bucket."""
-    return activity_rows(obs).groupBy("entity_key", "granularity", "bucket_start").agg(
-        F.count("*").alias("observations"),
-        F.count_distinct("source_key").alias("sources"),
-        F.count_distinct("origin").alias("origins"),
-        F.count_distinct("source_class").alias("classes"),
-        F.count("observed_time").alias("instants"),
-        F.count_if(F.col("observed_time").isNull()).alias("dates"),
-        F.min("observed_time").alias("first_time"),
-        F.max("observed_time").alias("last_time"),
+    key = ["entity_key", "granularity", "bucket_start"]
+    # One row for each source of a bucket first, so that distinct counts are taken over these few and no row is expanded.
+    per = activity_rows(obs).groupBy(*key, "source_key", "origin", "source_class").agg(
+        F.count("*").alias("n"), F.count("observed_time").alias("i"), F.min("observed_time").alias("a"), F.max("observed_time").alias("b")
+    )
+    many = lambda c: F.size(F.collect_set(c)).cast("bigint")
+    return per.groupBy(*key).agg(
+        F.sum("n").alias("observations"),
+        many("source_key").alias("sources"),
+        many("origin").alias("origins"),
+        many("source_class").alias("classes"),
+        F.sum("i").alias("instants"),
+        (F.sum("n") - F.sum("i")).alias("dates"),
+        F.min("a").alias("first_time"),
+        F.max("b").alias("last_time"),
     )
 
 
@@ -112,15 +131,15 @@ def activity_members(obs: DataFrame) -> DataFrame:
 
 
 def convergence(activity: DataFrame, window_s: int) -> DataFrame:
-    """Findings of each activity bucket: several sources, origins or classes; CONCURRENT if all are instants of at least two
-    origins within the window."""
+    """Findings of each activity bucket: several sources, origins or classes; a concurrent movement if all are
+    instants of at least two origins within the window."""
     span = F.unix_timestamp("last_time") - F.unix_timestamp("first_time")
     types = F.array_compact(
         F.array(
-            F.when(F.col("sources") >= 2, "MULTI_SOURCE"),
-            F.when(F.col("origins") >= 2, "MULTI_ORIGIN"),
-            F.when(F.col("classes") >= 2, "MULTI_CLASS"),
-            F.when((F.col("dates") == 0) & (F.col("origins") >= 2) & (span <= window_s), "CONCURRENT"),
+            F.when(F.col("sources") >= 2, SOURCE_OVERLAP),
+            F.when(F.col("origins") >= 2, MULTI_ORIGIN),
+            F.when(F.col("classes") >= 2, CROSS_CLASS),
+            F.when((F.col("dates") == 0) & (F.col("origins") >= 2) & (span <= window_s), CONCURRENT),
         )
     )
     return activity.withColumn("finding", F.explode(types)).withColumn("span_s", F.when(F.col("dates") == 0, span))
@@ -136,16 +155,56 @@ def novelty_facts(history: DataFrame, source: str) -> DataFrame:
     return history.where(F.col("first_source") == source).select(fingerprint(F.lit(source), "entity_key").alias("fact_key"), "entity_key", F.col("first_seen").alias("event_time"))
 
 
-def composition(members: DataFrame, granularity: str) -> DataFrame:
-    """Sources, origins and classes of a bucket that the bucket before it (by the clock) didn't have; only where both exist."""
+def novelty_measurement(source: Column, entity_type: Column, entity_key: Column, rules: Mapping[str, tuple] = NOVELTY_RULES) -> Column:
+    """The measurement that a first sight by this source is a fact of, or null."""
+    found = F.lit(None).cast("string")
+    for measurement, (own, kinds, prefix) in rules.items():
+        found = F.when((source == own) & entity_type.isin(*kinds) & F.startswith(entity_key.cast("string"), F.lit(prefix)), measurement).otherwise(found)
+    return found
+
+
+def novelty_changes(before: DataFrame, after: DataFrame, key: Sequence[str] = ("entity_type", "entity_key"), rules: Mapping[str, tuple] = NOVELTY_RULES) -> DataFrame:
+    """What a revision of the histories (key, first_source, first_seen) does to the novelty facts: measurement_key, key, action,
+    event_time. An entity whose first source is another one now loses the old measurement's fact (ENTITY_FIRST_SOURCE_CHANGED)
+    and gains the new one's; a fact that is there already and was seen at another time is REVISED."""
+    told = lambda df, p: df.select(*key, novelty_measurement(F.col("first_source"), F.col("entity_type"), F.col("entity_key"), rules).alias(f"{p}_m"), F.col("first_seen").alias(f"{p}_t"))
+    both = told(after, "a").join(told(before, "b"), list(key), "left")
+    moved = F.col("b_m").isNotNull() & ~F.col("b_m").eqNullSafe(F.col("a_m"))
+    same = F.col("a_m").eqNullSafe(F.col("b_m"))
+    one = lambda m, action, at: F.struct(F.col(m).alias("measurement_key"), F.lit(action).alias("action"), F.col(at).alias("event_time"))
+    actions = F.array_compact(
+        F.array(
+            F.when(moved, one("b_m", "ENTITY_FIRST_SOURCE_CHANGED", "b_t")),
+            F.when(F.col("a_m").isNotNull() & ~same, one("a_m", "NEW", "a_t")).when(F.col("a_m").isNotNull() & ~F.col("a_t").eqNullSafe(F.col("b_t")), one("a_m", "REVISED", "a_t")),
+        )
+    )
+    return both.select(*key, F.explode(actions).alias("_x")).select("_x.measurement_key", *key, "_x.action", "_x.event_time")
+
+
+def composition(members: DataFrame, granularity: str, active: DataFrame | None = None) -> DataFrame:
+    """Sources, origins and classes of a bucket that the bucket before it (by the clock) didn't have; a missing bucket counts as
+    an empty one. state is ACTIVE; a finding of `active` (entity_key, bucket_start) that finds nothing new any more, or whose
+    bucket is gone, comes as RETRACTED."""
     size = {"HOUR": 3600, "DAY": 86400}[granularity]
     sets = members.where(F.col("granularity") == granularity).groupBy("entity_key", "bucket_start").agg(
         F.array_sort(F.collect_set("source_key")).alias("sources"), F.array_sort(F.collect_set("origin")).alias("origins"), F.array_sort(F.collect_set("source_class")).alias("classes")
     )
     before = sets.select("entity_key", F.timestamp_seconds(F.unix_timestamp("bucket_start") + size).alias("bucket_start"), *[F.col(c).alias(f"old_{c}") for c in ("sources", "origins", "classes")])
-    joined = sets.join(before, ["entity_key", "bucket_start"])
-    out = joined.select("entity_key", "bucket_start", *[F.array_except(c, f"old_{c}").alias(f"new_{c}") for c in ("sources", "origins", "classes")])
-    return out.where("size(new_sources) + size(new_origins) + size(new_classes) > 0")
+    joined = sets.join(before, ["entity_key", "bucket_start"], "left")
+    none = F.array().cast("array<string>")
+    fresh = lambda c: F.array_except(c, F.coalesce(F.col(f"old_{c}"), none)).alias(f"new_{c}")
+    out = joined.select("entity_key", "bucket_start", *[fresh(c) for c in ("sources", "origins", "classes")])
+    out = out.where("size(new_sources) + size(new_origins) + size(new_classes) > 0").withColumn("state", F.lit("ACTIVE"))
+    if active is None:
+        return out
+    gone = active.select("entity_key", "bucket_start").join(out, ["entity_key", "bucket_start"], "left_anti")
+    return out.unionByName(gone.select("*", *[none.alias(f"new_{c}") for c in ("sources", "origins", "classes")], F.lit("RETRACTED").alias("state")))
+
+
+def expansion_movers(expansions: DataFrame, n: int = 10) -> DataFrame:
+    """The n expansions with most new origins, classes and sources (a report of a fixed length)."""
+    sized = expansions.withColumns({f"n_{c}": F.size(f"new_{c}") for c in ("sources", "origins", "classes")})
+    return sized.orderBy(F.desc("n_origins"), F.desc("n_classes"), F.desc("n_sources"), F.desc("bucket_start"), F.desc("entity_key")).limit(n)
 
 
 def discovery_summary(findings: DataFrame, kind: str = "finding") -> DataFrame:
@@ -193,12 +252,14 @@ def lineage(entities: DataFrame, observations: DataFrame, buckets: DataFrame, fi
     return out.select("entity_key", "depth", "node_type", "node_key", "position", "truncated")
 
 
-def related(canonical: DataFrame, entities: DataFrame, n: int) -> DataFrame:
-    """The newest n records that mention each wanted entity (kind, key): an exploded entity index and an equi join."""
+def related(canonical: DataFrame, entities: DataFrame, n: int, source_key: str | None = None, start: str | None = None, end: str | None = None, before: str | None = None) -> DataFrame:
+    """The newest n records that mention each wanted entity (kind, key): an exploded entity index and an equi join. Optional
+    filters: a source, a half-open range of time, and the record id that a page before this one ended at."""
+    at = F.coalesce("effective_at", "published_at", "updated_at", "received_at")
+    conditions = [c for c in (source_key and F.col("source_key") == source_key, start and at >= F.lit(start).cast("timestamp"), end and at < F.lit(end).cast("timestamp"), before and F.col("source_record_id") < before) if c is not None]
+    for c in conditions:
+        canonical = canonical.where(c)
     index = canonical.select("source_key", "source_record_id", F.coalesce("effective_at", "published_at", "updated_at", "received_at").alias("event_at"), F.explode("entities").alias("e"))
     found = index.select("source_key", "source_record_id", "event_at", F.col("e.kind").alias("kind"), F.col("e.key").alias("key")).join(entities, ["kind", "key"])
     return heads(found.distinct(), ["kind", "key"], [F.desc("event_at"), F.desc("source_record_id")], n)
 
-
-def bucket_span(df: DataFrame) -> DataFrame:
-    return df.withColumn("bucket_end", bucket_end("bucket_start", F.col("granularity")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,13 +54,14 @@ def spine(keys: DataFrame, start: str, end: str, granularity: str) -> DataFrame:
 
 
 def carried_forward(keys: DataFrame, facts: DataFrame, key: Sequence[str], start: str, end: str, granularity: str, value: str = "value") -> DataFrame:
-    """The last fact before each bucket's end, of any age: the spine and the facts in one stream, ordered by time."""
-    grid = spine(keys, start, end, granularity).withColumn("_at", bucket_end("bucket_start", granularity))
-    a = facts.select(*key, F.lit(None).cast("timestamp").alias("bucket_start"), F.col("event_time").alias("_at"), F.col("fact_key").alias("_k"), F.col(value).alias("_v"), F.lit(1).alias("_kind"))
-    b = grid.select(*key, "bucket_start", "_at", F.lit(None).cast(facts.schema["fact_key"].dataType).alias("_k"), F.lit(None).cast(facts.schema[value].dataType).alias("_v"), F.lit(0).alias("_kind"))
-    w = Window.partitionBy(*key).orderBy("_at", "_kind", "_k").rowsBetween(Window.unboundedPreceding, 0)
-    # A fact exactly at the end of a bucket comes after the bucket's row.
-    return a.unionByName(b).withColumn("value", F.last("_v", ignorenulls=True).over(w)).where("bucket_start is not null").select(*key, "bucket_start", "value")
+    """The last fact before each bucket's end, of any age. Facts are reduced to the last one of each bucket before anything is
+    ordered, so a busy key is a row for each bucket, not one for each fact."""
+    grid = spine(keys, start, end, granularity)
+    last = facts.groupBy(*key, bucket_start("event_time", granularity).alias("bucket_start")).agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct("event_time", "fact_key")).alias("_last"))
+    rows = grid.withColumn("_kind", F.lit(1)).join(last, [*key, "bucket_start"], "full_outer")
+    w = Window.partitionBy(*key).orderBy("bucket_start").rowsBetween(Window.unboundedPreceding, 0)
+    found = F.last(F.when(F.col("_last.v").isNotNull(), F.col("_last.v")), ignorenulls=True).over(w)
+    return rows.withColumn("value", found).where("_kind = 1").select(*key, "bucket_start", "value")
 
 
 def gate(raw: Column, policy: Column, coverage: Column, availability: Column) -> Column:
@@ -169,6 +170,29 @@ def compare(facts: DataFrame, covered: DataFrame, key: Sequence[str], kind: str,
     ).drop("_cur", "_prev")
 
 
+#: The periods of a summary, in days.
+PERIODS = {"24H": 1, "7D": 7, "30D": 30}
+
+
+def period_summary(facts: DataFrame, days: DataFrame, key: Sequence[str], kind: str, end: str, periods: Mapping[str, int] = PERIODS) -> DataFrame:
+    """The value of each period that ends at `end`, from days (key, bucket_start, covered): NULL and INSUFFICIENT_COVERAGE unless
+    every day of it is covered, UNSUPPORTED for kind NONE, UNAVAILABLE where the kind finds no value. A fact is expanded to the
+    periods that hold it, which are as many as the summary has."""
+    stop = F.lit(end).cast("timestamp")
+    spans = F.array(*[F.struct(F.lit(p).alias("period"), F.lit(n).alias("days")) for p, n in periods.items()])
+    age = lambda at: (F.unix_timestamp(stop) - F.unix_timestamp(at)) / 86400
+    inside = lambda at: F.filter(spans, lambda x: (age(at) <= x["days"]) & (F.col(at) < stop))
+    held = days.where("covered").select(*key, F.explode(inside("bucket_start")).alias("_p")).groupBy(*key, "_p").agg(F.count("*").alias("_held"))
+    grid = days.select(*key).distinct().withColumn("_p", F.explode(spans))
+    values = facts.select("*", F.explode(inside("event_time")).alias("_p")).groupBy(*key, "_p").agg(period_value(kind, F.lit(True)).alias("_value"))
+    out = grid.join(held, [*key, "_p"], "left").join(values, [*key, "_p"], "left")
+    whole = F.coalesce("_held", F.lit(0)) == F.col("_p.days")
+    value = F.col("_value") if kind in ("LAST_VALUE", "NONE") else F.coalesce("_value", F.lit(0))
+    reason = F.lit("COMPARISON_POLICY_NONE") if kind == "NONE" else F.when(~whole, "PERIOD_NOT_FULLY_COVERED").when(value.isNull(), "SUMMARY_VALUE_UNAVAILABLE")
+    status = F.lit("UNSUPPORTED") if kind == "NONE" else F.when(~whole, "INSUFFICIENT_COVERAGE").when(value.isNull(), "UNAVAILABLE").otherwise("AVAILABLE")
+    return out.select(*key, F.col("_p.period").alias("period"), F.when(whole, value).alias("value"), status.alias("status"), reason.alias("reason"))
+
+
 def coverage_rollup(df: DataFrame, key: Sequence[str], status: str) -> DataFrame:
     """Status of a range: NO_COVERAGE if any bucket has none, PARTIAL if any is partial or degraded, else COMPLETE."""
     s = F.col(status)

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import fingerprint, freshness
 
 
+#: How a routing minute was acquired.
+ROUTING_BASES = ("LIVE_STREAM", "MRT_RECOVERY")
+
+
 def same_number(a: Column, b: Column, tolerance: float = 1e-12) -> Column:
-    return F.coalesce(F.abs(a - b) <= tolerance * F.greatest(F.lit(1.0), F.abs(a), F.abs(b)), a.isNull() & b.isNull())
+    return F.coalesce(F.abs(a - b) <= tolerance, a.isNull() & b.isNull())
 
 
 def parity(left: DataFrame, right: DataFrame, key: str, exact: Sequence[str], numeric: Sequence[str]) -> DataFrame:
@@ -27,13 +31,14 @@ def parity(left: DataFrame, right: DataFrame, key: str, exact: Sequence[str], nu
     return both.select(key, verdict.alias("verdict"), F.when(matched, F.array_join(fields, ",")).otherwise("").alias("fields"))
 
 
-def snapshot_fingerprint(df: DataFrame, key: Sequence[str], row_id: str, columns: Sequence[str], buckets: int = 4096) -> DataFrame:
-    """rows and a fingerprint of each snapshot that doesn't depend on row order: rows are hashed, row hashes are chained in
-    id order inside hash buckets, and the bucket digests are chained in bucket order, so no task sorts a whole snapshot."""
-    rows = df.select(*key, F.pmod(F.crc32(F.col(row_id).cast("string").cast("binary")), F.lit(buckets)).alias("_b"), F.col(row_id).alias("_i"), fingerprint(row_id, *columns).alias("_h"))
-    chain = lambda order, value: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, value))), lambda x: x["v"]), ""), 256)
-    small = rows.groupBy(*key, "_b").agg(F.count("*").alias("n"), chain(F.col("_i").alias("k"), F.col("_h").alias("v")).alias("_d"))
-    return small.groupBy(*key).agg(F.sum("n").alias("rows"), chain(F.col("_b").alias("k"), F.col("_d").alias("v")).alias("fp"))
+def snapshot_fingerprint(df: DataFrame, key: Sequence[str], row_id: str, columns: Sequence[str]) -> DataFrame:
+    """rows and a fingerprint of each snapshot that doesn't depend on row order: the sha-256 of the eight sums, modulo 2^32, of
+    the 32-bit words of all row digests. Sums are partial aggregates, so no task gathers a snapshot."""
+    digest = fingerprint(row_id, *columns)
+    words = {f"_w{i}": F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(8)}
+    sums = df.select(*key, *[w.alias(n) for n, w in words.items()]).groupBy(*key).agg(F.count("*").alias("rows"), *[F.sum(n).alias(n) for n in words])
+    whole = F.concat_ws(".", F.col("rows"), *[F.pmod(F.col(n), F.lit(1 << 32)) for n in words])
+    return sums.select(*key, "rows", F.sha2(whole, 256).alias("fp"))
 
 
 def population_guard(snapshots: DataFrame, order: str, floor_share: float = 0.75) -> DataFrame:
@@ -78,6 +83,7 @@ def source_status(sources: DataFrame, runs: DataFrame, now: Column) -> DataFrame
 
 
 def acquisition_summary(rows: DataFrame, key: Sequence[str], basis: str) -> DataFrame:
-    """Sorted distinct bases, and their kind: the one basis, or MIXED."""
+    """Sorted distinct bases, and their kind: LIVE_STREAM or MRT_RECOVERY where that is the only one, else MIXED."""
     sets = rows.groupBy(*key).agg(F.array_sort(F.collect_set(basis)).alias("bases"))
-    return sets.withColumn("kind", F.when(F.size("bases") == 1, F.col("bases")[0]).otherwise("MIXED"))
+    alone = (F.size("bases") == 1) & F.get("bases", F.lit(0)).isin(*ROUTING_BASES)
+    return sets.withColumn("kind", F.when(alone, F.get("bases", F.lit(0))).otherwise("MIXED"))

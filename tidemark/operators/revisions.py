@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,9 +27,9 @@ def with_previous(df: DataFrame, key: Sequence[str], order: Sequence[Column], co
     return df.withColumns({f"prev_{c}": F.lag(c).over(w) for c in columns})
 
 
-def valid_to(df: DataFrame, key: Sequence[str], start: str, name: str = "effective_to") -> DataFrame:
-    """The next start of the same key, null for the last."""
-    return df.withColumn(name, F.lead(start).over(Window.partitionBy(*key).orderBy(start)))
+def valid_to(df: DataFrame, key: Sequence[str], start: str, name: str = "effective_to", ties: Sequence[str] = ()) -> DataFrame:
+    """The next start of the same key, null for the last; rows of one start follow each other by `ties`."""
+    return df.withColumn(name, F.lead(start).over(Window.partitionBy(*key).orderBy(start, *ties)))
 
 
 def running_max(df: DataFrame, key: Sequence[str], order: Sequence[Column], column: str, name: str) -> DataFrame:
@@ -147,15 +148,18 @@ def reconcile(expected: DataFrame, active: DataFrame, key: Sequence[str], fp: st
 
 def rebuild_range(spark, start: str, end: str, granularity: str, size_s: int) -> DataFrame:
     """All buckets of a range as dirty; the range is spread over the cluster, not listed on the driver."""
-    n = F.expr(f"unix_timestamp(timestamp'{start}')"), F.expr(f"unix_timestamp(timestamp'{end}')")
-    spine = spark.range(1).select(F.explode(F.sequence(n[0], n[1] - 1, F.lit(size_s))).alias("s"))
-    return spine.select(F.lit(granularity).alias("granularity"), F.timestamp_seconds("s").alias("bucket_start"))
+    first, last = (int(datetime.fromisoformat(x).replace(tzinfo=timezone.utc).timestamp()) for x in (start, end))
+    spine = spark.range(first, last, size_s)
+    return spine.select(F.lit(granularity).alias("granularity"), F.timestamp_seconds("id").alias("bucket_start"))
 
 
-def removals(manifests: DataFrame, key: Sequence[str], at: str, ids: str) -> DataFrame:
-    """Members of a manifest that the next one of the same key lacks: at (of the next), member."""
-    prev = with_previous(manifests, key, [F.col(at)], [ids])
-    return prev.select(*key, at, F.explode(F.array_except(f"prev_{ids}", ids)).alias("member"))
+def removals(manifests: DataFrame, key: Sequence[str], at: str, member: str) -> DataFrame:
+    """Members of a manifest that the next one of the same key lacks: at (of the next), member. A manifest is the rows (key,
+    at, member) of one time; only the times of a key are ordered, members meet the next manifest by equality."""
+    rows = manifests.select(*key, at, member).distinct()
+    times = valid_to(rows.select(*key, at).distinct(), key, at, "_next").where("_next is not null")
+    after = rows.join(times, [*key, at]).select(*key, F.col("_next").alias(at), member)
+    return after.join(rows, [*key, at, member], "left_anti")
 
 
 def changed(current: DataFrame, previous: DataFrame, path: str, content: str) -> tuple[DataFrame, DataFrame]:
@@ -172,10 +176,11 @@ def merge_newest(feeds: Sequence[DataFrame], key: Sequence[str], modified: str)
     return heads(whole, key, [F.desc(modified), F.asc("_feed")]).drop("_feed")
 
 
-def purge_expired(payloads: DataFrame, expires: str, now: Column, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Payloads kept now, and the oldest `limit` expired ones to drop."""
-    gone = payloads.where(F.col(expires) < now).orderBy(expires).limit(limit)
-    return payloads.where((F.col(expires) >= now) | F.col(expires).isNull()), gone
+def purge_expired(payloads: DataFrame, key: Sequence[str], expires: str, now: Column, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Payloads kept now, and the oldest `limit` expired ones to drop (ties by key). Expired ones past the limit stay for the
+    next batch."""
+    gone = payloads.where(F.col(expires) < now).orderBy(expires, *key).limit(limit)
+    return payloads.join(gone.select(*key), list(key), "left_anti"), gone
 
 
 def merge_snapshot(raw: DataFrame, captured_at: Column, received: str, key: Sequence[str], order: Sequence[Column]) -> DataFrame:

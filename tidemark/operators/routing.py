@@ -17,6 +17,9 @@ from tidemark.operators.measure import GRANULARITY, overlap
 #: Minutes that a complete rollup has, and the lateness of a minute.
 MINUTES = {"MINUTE": 1, "FIVE_MINUTE": 5, "HOUR": 60, "DAY": 1440}
 LATENESS_S = 180
+#: Failures that are recovered by themselves, and the event that plans one.
+REASONS = ("PROVIDER_DISCONNECT", "BACKPRESSURE_LIMIT", "DB_UNAVAILABLE", "FORCED_TERMINATE")
+DRAIN = "DRAIN_REQUESTED"
 SETS = ("announced", "withdrawn", "origins", "peers", "rrcs")
 
 
@@ -129,23 +132,37 @@ def covering_prefix(ips: DataFrame, prefixes: DataFrame, ip: str = "ip", prefix:
     return ips.join(best, ip, "left")
 
 
-def next_event(rows: DataFrame, key: Sequence[str], at: str, wanted: Column, name: str) -> DataFrame:
-    """The time of the first wanted row after each row of its key (forward as-of join, in one window)."""
-    w = Window.partitionBy(*key).orderBy(at).rowsBetween(1, Window.unboundedFollowing)
-    return rows.withColumn(name, F.min(F.when(wanted, F.col(at))).over(w))
+def next_event(rows: DataFrame, key: Sequence[str], at: str, wanted: Column, name: str, span: str = "HOUR") -> DataFrame:
+    """The time of the first wanted row later than each row of its key (forward as-of join; a row of the same time isn't later).
+
+    Rows are ordered inside a span of time only, newest first, by a running minimum; what lies in later spans comes from one
+    row for each span. So a busy key is dealt by time, and the work is linear.
+    """
+    rows = rows.withColumns({"_span": bucket_start(at, span), "_w": F.when(wanted, F.col(at))})
+    after = Window.partitionBy(*key).orderBy(F.desc("_span")).rowsBetween(Window.unboundedPreceding, -1)
+    later = rows.groupBy(*key, "_span").agg(F.min("_w").alias("_first")).withColumn("_later", F.min("_first").over(after)).drop("_first")
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    inside = Window.partitionBy(*key, "_span").orderBy(micros.desc()).rangeBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn("_own", F.min("_w").over(inside)).join(later, [*key, "_span"])
+    return found.withColumn(name, F.coalesce("_own", "_later")).drop("_span", "_w", "_own", "_later")
 
 
-def recovery_candidates(events: DataFrame, key: Sequence[str], now: Column, most_s: int = 1800) -> DataFrame:
-    """Gaps to recover: a failure of one of four reasons until the next SUBSCRIBED, widened to whole minutes, settled, and at
-    most half an hour long. events: key, at, type, planned."""
-    reasons = ["FAILED", "DISCONNECTED", "OVERFLOW", "TIMEOUT"]
-    gaps = next_event(events, key, "at", F.col("type") == "SUBSCRIBED", "resumed").where(F.col("type").isin(reasons) & ~F.coalesce("planned", F.lit(False)))
-    gaps = gaps.where("resumed is not null").withColumns({"gap_start": bucket_start("at", "MINUTE"), "_end": F.unix_timestamp("resumed")})
-    end = F.timestamp_seconds(F.ceil(F.col("_end") / 60) * 60)
-    gaps = gaps.withColumn("gap_end", end).drop("_end")
-    length = F.unix_timestamp("gap_end") - F.unix_timestamp("gap_start")
-    settled = F.unix_timestamp("gap_end") + LATENESS_S <= F.unix_timestamp(now)
-    return gaps.where((length <= most_s) & settled).groupBy(*key, "gap_start", "gap_end").agg(F.min("type").alias("reason"))
+def recovery_candidates(events: DataFrame, key: Sequence[str], now: Column, most_s: int = 1800, settle_s: int = LATENESS_S, requested: DataFrame | None = None) -> DataFrame:
+    """Gaps to recover. events: key (of the source), session, event_id, type, at.
+
+    A gap is a failure of one of REASONS until the source's next SUBSCRIBED, by any session. It is left out if its session
+    was asked to drain by then, if it is longer than most_s or not settled for settle_s, or if `requested` has its event_id.
+    gap_start and gap_end are whole minutes around it.
+    """
+    drained = events.where(F.col("type") == DRAIN).groupBy(*key, "session").agg(F.min("at").alias("_drain"))
+    gaps = next_event(events, key, "at", F.col("type") == "SUBSCRIBED", "resumed").where(F.col("type").isin(*REASONS) & F.col("resumed").isNotNull())
+    gaps = gaps.join(drained, [*key, "session"], "left").where(F.col("_drain").isNull() | (F.col("_drain") > F.col("at")))
+    if requested is not None:
+        gaps = gaps.join(requested.select("event_id").distinct(), "event_id", "left_anti")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    gaps = gaps.where((micros("resumed") - micros("at") <= most_s * 1_000_000) & (micros("resumed") <= F.unix_micros(now) - settle_s * 1_000_000))
+    end = F.timestamp_seconds(F.ceil(micros("resumed") / 60_000_000) * 60)
+    return gaps.select("event_id", *key, "session", F.col("type").alias("reason"), bucket_start("at", "MINUTE").alias("gap_start"), end.alias("gap_end"))
 
 
 def recovery_deltas(obs: DataFrame, spine: DataFrame, at: str = "observed_at") -> DataFrame:

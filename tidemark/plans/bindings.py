@@ -35,6 +35,12 @@ def source_keys(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select(F.col("event_type").alias("source_key")).distinct()
 
 
+def feed_keys(spark: SparkSession, d: str) -> DataFrame:
+    """A feed for every type and user, so that windows, runs and schedules made for feeds grow with the events."""
+    return events(spark, d).select(F.concat_ws("/", "event_type", "user_id").alias("source_key")).distinct()
+
+
+FEEDS = "types AS (SELECT DISTINCT event_type || '/' || user_id AS source_key FROM events)"
 KEYS = "types AS (SELECT DISTINCT event_type AS source_key FROM events)"
 DAYS = "days AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS d)"
 
@@ -52,9 +58,9 @@ SOURCES = """src AS (SELECT source_key, CASE WHEN source_key IN ('click','view')
   FROM (SELECT DISTINCT event_type AS source_key FROM events))"""
 
 
-def windows(spark: SparkSession, d: str) -> DataFrame:
+def windows(spark: SparkSession, d: str, keys: DataFrame | None = None) -> DataFrame:
     """One acquisition window for most (type, day) pairs; some partial, odd days only 18 hours long."""
-    grid = source_keys(spark, d).withColumn("day", F.explode(F.sequence(F.lit("2024-01-01").cast("timestamp"), F.lit("2024-01-30").cast("timestamp"), F.expr("interval 1 day"))))
+    grid = (source_keys(spark, d) if keys is None else keys).withColumn("day", F.explode(F.sequence(F.lit("2024-01-01").cast("timestamp"), F.lit("2024-01-30").cast("timestamp"), F.expr("interval 1 day"))))
     m = (F.dayofyear("day") + F.length("source_key")) % 4
     hours = F.when(F.dayofyear("day") % 2 == 0, 24).otherwise(18)
     end = F.timestamp_seconds(F.unix_timestamp("day") + hours * 3600)
@@ -125,19 +131,19 @@ def sessions(spark: SparkSession, d: str) -> DataFrame:
     return day.select("start", F.timestamp_seconds(F.unix_timestamp("start") + 23 * 3600).alias("end"), F.when(F.dayofmonth("start") < 15, "p1").otherwise("p2").alias("profile"), (F.dayofmonth("start") % 9 == 0).alias("degraded"))
 
 
-def schedules(spark: SparkSession, d: str) -> DataFrame:
+def schedules(spark: SparkSession, d: str, keys: DataFrame | None = None) -> DataFrame:
     """Two schedule revisions a source: every six hours, from the 15th every twelve."""
     from tidemark.operators.coverage import schedule_revisions, schedule_segments
 
     two = F.array(F.struct(F.lit("2024-01-01").cast("timestamp").alias("effective_from"), F.lit(21600).alias("interval_s")), F.struct(F.lit("2024-01-15").cast("timestamp").alias("effective_from"), F.lit(43200).alias("interval_s")))
-    rows = source_keys(spark, d).select("source_key", F.explode(two).alias("r")).select("source_key", "r.*", F.lit(True).alias("enabled"))
+    rows = (source_keys(spark, d) if keys is None else keys).select("source_key", F.explode(two).alias("r")).select("source_key", "r.*", F.lit(True).alias("enabled"))
     return schedule_segments(schedule_revisions(rows, ["source_key"]), ["source_key"])
 
 
-def runs(spark: SparkSession, d: str) -> DataFrame:
+def runs(spark: SparkSession, d: str, keys: DataFrame | None = None) -> DataFrame:
     """A run for most expected times: state by day, hour and source; the first day's were a bootstrap."""
     at = F.sequence(F.lit("2024-01-01").cast("timestamp"), F.lit("2024-01-30 18:00:00").cast("timestamp"), F.expr("interval 6 hours"))
-    grid = source_keys(spark, d).withColumn("scheduled_for", F.explode(at))
+    grid = (source_keys(spark, d) if keys is None else keys).withColumn("scheduled_for", F.explode(at))
     m = (F.dayofyear("scheduled_for") * 3 + F.hour("scheduled_for") + F.length("source_key")) % 11
     state = F.when(m == 0, "FAILED").when(m == 1, "PARTIAL").when(m != 2, "SUCCEEDED")
     boot = F.to_date("scheduled_for") == F.lit("2024-01-01").cast("date")

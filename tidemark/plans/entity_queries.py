@@ -61,7 +61,7 @@ def activity_members(spark, d):
 
 
 FINDINGS = f"""{ROWS}, act AS (SELECT entity_key, granularity, b, count(*) AS observations, count(DISTINCT source_key) AS s, count(DISTINCT origin) AS o, count(DISTINCT source_class) AS c, count(observed_date) AS dt, floor(epoch(max(observed_time))) - floor(epoch(min(observed_time))) AS span FROM ac GROUP BY 1, 2, 3),
-  fi AS (SELECT *, 'MULTI_SOURCE' AS finding FROM act WHERE s >= 2 UNION ALL SELECT *, 'MULTI_ORIGIN' FROM act WHERE o >= 2 UNION ALL SELECT *, 'MULTI_CLASS' FROM act WHERE c >= 2 UNION ALL SELECT *, 'CONCURRENT' FROM act WHERE dt = 0 AND o >= 2 AND span <= 3600)"""
+  fi AS (SELECT *, 'SOURCE_SYSTEM_OVERLAP' AS finding FROM act WHERE s >= 2 UNION ALL SELECT *, 'MULTI_ORIGIN_CONVERGENCE' FROM act WHERE o >= 2 UNION ALL SELECT *, 'CROSS_CLASS_CONVERGENCE' FROM act WHERE c >= 2 UNION ALL SELECT *, 'CONCURRENT_MOVEMENT' FROM act WHERE dt = 0 AND o >= 2 AND span <= 3600)"""
 
 
 @query("convergence_findings", f"WITH {FINDINGS} SELECT entity_key, granularity, strftime(b, {S}) AS bucket, finding, CAST(CASE WHEN dt = 0 THEN span END AS BIGINT) AS span_s FROM fi")
@@ -106,22 +106,65 @@ def novelty_facts(spark, d):
     return E.novelty_facts(E.entity_history(observations(spark, d)), "click").select("entity_key", stamp("event_time").alias("event_time"))
 
 
+COMPOSITION = f"""{ROWS}, st AS (SELECT entity_key, b, list_sort(list_distinct(list(source_key))) AS s, list_sort(list_distinct(list(origin))) AS o, list_sort(list_distinct(list(source_class))) AS c FROM ac WHERE granularity = 'DAY' GROUP BY 1, 2),
+    x AS (SELECT n.entity_key, n.b, list_filter(n.s, lambda v: NOT list_contains(coalesce(p.s, []), v)) AS ns, list_filter(n.o, lambda v: NOT list_contains(coalesce(p.o, []), v)) AS no, list_filter(n.c, lambda v: NOT list_contains(coalesce(p.c, []), v)) AS nc
+      FROM st n LEFT JOIN st p ON p.entity_key = n.entity_key AND p.b = n.b - INTERVAL 1 DAY)"""
+
+
 @query(
     "composition_expansion",
-    f"""WITH {ROWS}, st AS (SELECT entity_key, b, list_sort(list_distinct(list(source_key))) AS s, list_sort(list_distinct(list(origin))) AS o FROM ac WHERE granularity = 'DAY' GROUP BY 1, 2),
-    x AS (SELECT n.entity_key, n.b, list_filter(n.s, lambda v: NOT list_contains(p.s, v)) AS ns, list_filter(n.o, lambda v: NOT list_contains(p.o, v)) AS no FROM st n JOIN st p ON p.entity_key = n.entity_key AND p.b = n.b - INTERVAL 1 DAY)
-    SELECT entity_key, strftime(b, {S}) AS bucket, array_to_string(ns, ',') AS new_sources, array_to_string(no, ',') AS new_origins FROM x WHERE len(ns) > 0""",
+    f"""WITH {COMPOSITION}, old AS (SELECT DISTINCT entity_key, date_trunc('day', t0) AS b FROM own WHERE entity_key % 3 = 0), f AS (SELECT * FROM x WHERE len(ns) > 0)
+    SELECT entity_key, strftime(b, {S}) AS bucket, array_to_string(ns, ',') AS new_sources, array_to_string(no, ',') AS new_origins, 'ACTIVE' AS state FROM f
+    UNION ALL SELECT entity_key, strftime(b, {S}), '', '', 'RETRACTED' FROM old WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.entity_key = old.entity_key AND f.b = old.b)""",
 )
 def composition(spark, d):
-    """Sources and origins that the day before didn't have."""
-    out = E.composition(E.activity_members(contributing(spark, d)), "DAY")
-    return out.select("entity_key", stamp("bucket_start").alias("bucket"), F.array_join("new_sources", ",").alias("new_sources"), F.array_join("new_origins", ",").alias("new_origins"))
+    """Sources and origins that the day before didn't have, and old findings (every day of some entities) that hold no more."""
+    own = contributing(spark, d)
+    at = F.coalesce("observed_time", F.col("observed_date").cast("timestamp"))
+    active = own.where("entity_key % 3 = 0").select("entity_key", F.date_trunc("day", at).alias("bucket_start")).distinct()
+    out = E.composition(E.activity_members(own), "DAY", active)
+    return out.select("entity_key", stamp("bucket_start").alias("bucket"), F.array_join("new_sources", ",").alias("new_sources"), F.array_join("new_origins", ",").alias("new_origins"), "state")
+
+
+@query(
+    "expansion_movers",
+    f"WITH {COMPOSITION} SELECT entity_key, strftime(b, {S}) AS bucket, len(no) AS n_origins, len(nc) AS n_classes, len(ns) AS n_sources FROM x WHERE len(ns) > 0 ORDER BY len(no) DESC, len(nc) DESC, len(ns) DESC, b DESC, entity_key DESC LIMIT 10",
+)
+def expansion_movers(spark, d):
+    """The ten largest expansions (a report of a fixed length)."""
+    out = E.expansion_movers(E.composition(E.activity_members(contributing(spark, d)), "DAY"))
+    count = lambda c: F.col(c).cast("bigint").alias(c)
+    return out.select("entity_key", stamp("bucket_start").alias("bucket"), count("n_origins"), count("n_classes"), count("n_sources"))
+
+
+NOVEL = """nv AS (SELECT user_id, event_id, ts, CASE event_type WHEN 'click' THEN 'THREATFOX' WHEN 'view' THEN 'MALWAREBAZAAR' ELSE 'OTHER' END AS source_key, CASE user_id % 4 WHEN 0 THEN 'IP' WHEN 1 THEN 'HASH' WHEN 2 THEN 'HASH' ELSE 'MALWARE' END AS entity_type,
+  CASE WHEN user_id % 4 = 1 THEN 'sha256:' || user_id ELSE CAST(user_id AS VARCHAR) END AS entity_key FROM events),
+  hb AS (SELECT entity_type, entity_key, min(ts) AS t, arg_min(source_key, (ts, event_id)) AS s FROM nv WHERE event_id % 2 = 0 GROUP BY 1, 2), ha AS (SELECT entity_type, entity_key, min(ts) AS t, arg_min(source_key, (ts, event_id)) AS s FROM nv GROUP BY 1, 2),
+  mb AS (SELECT *, CASE WHEN s = 'THREATFOX' AND entity_type IN ('IP', 'DOMAIN', 'URL', 'HASH') THEN 'ioc.threatfox.first_seen_indicators' WHEN s = 'MALWAREBAZAAR' AND entity_type = 'HASH' AND entity_key LIKE 'sha256:%' THEN 'malware.malwarebazaar.first_seen_hashes' END AS m FROM hb),
+  ma AS (SELECT *, CASE WHEN s = 'THREATFOX' AND entity_type IN ('IP', 'DOMAIN', 'URL', 'HASH') THEN 'ioc.threatfox.first_seen_indicators' WHEN s = 'MALWAREBAZAAR' AND entity_type = 'HASH' AND entity_key LIKE 'sha256:%' THEN 'malware.malwarebazaar.first_seen_hashes' END AS m FROM ha)"""
+
+
+@query(
+    "novelty_changes",
+    f"""WITH {NOVEL} SELECT mb.m AS measurement_key, entity_type, entity_key, 'ENTITY_FIRST_SOURCE_CHANGED' AS action, strftime(mb.t, {S}) AS event_time FROM ma JOIN mb USING (entity_type, entity_key) WHERE mb.m IS NOT NULL AND mb.m IS DISTINCT FROM ma.m
+    UNION ALL SELECT ma.m, entity_type, entity_key, CASE WHEN mb.m IS NULL OR mb.m <> ma.m THEN 'NEW' ELSE 'REVISED' END, strftime(ma.t, {S}) FROM ma LEFT JOIN mb USING (entity_type, entity_key) WHERE ma.m IS NOT NULL AND (mb.m IS DISTINCT FROM ma.m OR mb.t IS DISTINCT FROM ma.t)""",
+)
+def novelty_changes(spark, d):
+    """What late observations do to novelty facts: another first source takes its fact back and makes a new one."""
+    e, u = events(spark, d), F.col("user_id") % 4
+    source = F.when(F.col("event_type") == "click", "THREATFOX").when(F.col("event_type") == "view", "MALWAREBAZAAR").otherwise("OTHER")
+    kind = F.when(u == 0, "IP").when(u == 3, "MALWARE").otherwise("HASH")
+    key = F.when(u == 1, F.concat(F.lit("sha256:"), "user_id")).otherwise(F.col("user_id").cast("string"))
+    obs = e.select(kind.alias("entity_type"), key.alias("entity_key"), source.alias("source_key"), F.col("event_id").alias("observation_key"), F.col("ts").alias("observed_time"), F.lit(None).cast("date").alias("observed_date"))
+    history = lambda rows: E.entity_history(rows, ["entity_type", "entity_key"])
+    out = E.novelty_changes(history(obs.where("observation_key % 2 = 0")), history(obs))
+    return out.select("measurement_key", "entity_type", "entity_key", "action", stamp("event_time").alias("event_time"))
 
 
 @query(
     "reconciled_findings",
     f"""WITH {FINDINGS}, e AS (SELECT entity_key, granularity, b, finding, CAST(observations AS VARCHAR) AS fp FROM fi), o AS (SELECT entity_key, granularity, b, finding, CAST(observations + CASE WHEN entity_key % 7 = 1 THEN 1 ELSE 0 END AS VARCHAR) AS fp FROM fi WHERE entity_key % 5 <> 0
-      UNION ALL SELECT entity_key, 'WEEK', b, finding, 'x' FROM fi WHERE granularity = 'DAY' AND finding = 'CONCURRENT')
+      UNION ALL SELECT entity_key, 'WEEK', b, finding, 'x' FROM fi WHERE granularity = 'DAY' AND finding = 'CONCURRENT_MOVEMENT')
     SELECT entity_key, granularity, strftime(b, {S}) AS bucket, finding, CASE WHEN o.fp IS NULL THEN 'NEW' WHEN e.fp IS NULL THEN 'RETRACTED' ELSE 'REVISED' END AS action FROM e FULL JOIN o USING (entity_key, granularity, b, finding) WHERE e.fp IS DISTINCT FROM o.fp""",
 )
 def reconciled(spark, d):
@@ -129,7 +172,7 @@ def reconciled(spark, d):
     e = E.convergence(E.entity_activity(contributing(spark, d)), 3600).select("entity_key", "granularity", "bucket_start", "finding", "observations")
     expected = e.withColumn("fp", F.col("observations").cast("string"))
     old = e.where("entity_key % 5 <> 0").withColumn("fp", (F.col("observations") + F.when(F.col("entity_key") % 7 == 1, 1).otherwise(0)).cast("string"))
-    stray = e.where("granularity = 'DAY' and finding = 'CONCURRENT'").withColumns({"granularity": F.lit("WEEK"), "fp": F.lit("x")})
+    stray = e.where("granularity = 'DAY' and finding = 'CONCURRENT_MOVEMENT'").withColumns({"granularity": F.lit("WEEK"), "fp": F.lit("x")})
     out = reconcile(expected, old.unionByName(stray), ["entity_key", "granularity", "bucket_start", "finding"], "fp")
     return out.select("entity_key", "granularity", stamp("bucket_start").alias("bucket"), "finding", "action")
 
@@ -148,46 +191,49 @@ def geo_map(spark, d):
 
 @query(
     "lineage_nodes",
-    f"""WITH {FINDINGS}, w AS (SELECT DISTINCT entity_key FROM obs WHERE entity_key % 10 = 3),
+    f"""WITH {FINDINGS}, w AS (SELECT DISTINCT entity_key FROM obs),
     o AS (SELECT entity_key, 1 AS depth, 'OBSERVATION' AS t, CAST(observation_key AS VARCHAR) AS k, t0 AS x, row_number() OVER (PARTITION BY entity_key ORDER BY t0 DESC, CAST(observation_key AS VARCHAR)) AS r FROM obs SEMI JOIN w USING (entity_key)),
     u AS (SELECT entity_key, 2 AS depth, 'BUCKET' AS t, granularity || '|' || strftime(b, {S}) AS k, b AS x FROM act SEMI JOIN w USING (entity_key)), u2 AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY x DESC, k) AS r FROM u),
     f AS (SELECT entity_key, 3 AS depth, 'FINDING' AS t, finding || '|' || granularity || '|' || strftime(b, {S}) AS k, b AS x FROM fi SEMI JOIN w USING (entity_key)), f2 AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY x DESC, k) AS r FROM f)
     SELECT entity_key, depth, t AS node_type, k AS node_key FROM o WHERE r <= 50 UNION ALL SELECT entity_key, depth, t, k FROM u2 WHERE r <= 10 UNION ALL SELECT entity_key, depth, t, k FROM f2 WHERE r <= 20 UNION ALL SELECT entity_key, 0, 'ENTITY', CAST(entity_key AS VARCHAR) FROM w""",
 )
 def lineage(spark, d):
-    """Lineage of every tenth entity (the query set), each hop with the limits of the feature."""
-    return lineage_of(spark, d, "entity_key % 10 = 3")
-
-
-@query("lineage_nodes_all", ORACLES["lineage_nodes"].replace(" WHERE entity_key % 10 = 3", ""))
-def lineage_all(spark, d):
-    """Lineage of every entity."""
-    return lineage_of(spark, d, "true")
-
-
-def lineage_of(spark, d, condition):
+    """Lineage of every entity, each hop with the limits of the feature."""
     obs, act = observations(spark, d), E.entity_activity(contributing(spark, d))
-    want = obs.where(condition).select("entity_key").distinct()
+    want = obs.select("entity_key").distinct()
     return E.lineage(want, obs, act, E.convergence(act, 3600)).select("entity_key", "depth", "node_type", "node_key")
 
 
+query("lineage_nodes_all", ORACLES["lineage_nodes"])(lineage)
+
+
 @query(
     "related_records",
-    f"""WITH {EVENTS}, ix AS (SELECT event_id, ts, 'user' AS kind, CAST(user_id AS VARCHAR) AS key FROM ev UNION ALL SELECT event_id, ts, 'item', k FROM ev), r AS (SELECT *, row_number() OVER (PARTITION BY kind, key ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS r FROM ix WHERE (kind = 'user' AND key IN ('3', '7', '11')) OR (kind = 'item' AND key IN ('5', '50')))
+    f"""WITH {EVENTS}, ix AS (SELECT event_id, ts, 'user' AS kind, CAST(user_id AS VARCHAR) AS key FROM ev UNION ALL SELECT event_id, ts, 'item', k FROM ev), r AS (SELECT *, row_number() OVER (PARTITION BY kind, key ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS r FROM ix  WHERE key IS NOT NULL)
     SELECT kind, key, CAST(event_id AS VARCHAR) AS source_record_id, strftime(ts, {S}) AS event_at FROM r WHERE r <= 25""",
 )
 def related(spark, d):
-    """The newest 25 records (the page of the feature) that mention each asked entity."""
-    asked = spark.range(5).select(F.element_at(F.array(*[F.lit(x) for x in ("user", "user", "user", "item", "item")]), (F.col("id") + 1).cast("int")).alias("kind"), F.element_at(F.array(*[F.lit(x) for x in ("3", "7", "11", "5", "50")]), (F.col("id") + 1).cast("int")).alias("key"))
-    return E.related(canonical(spark, d), asked, 25).select("kind", "key", "source_record_id", stamp("event_at").alias("event_at"))
+    """The newest 25 records (the page of the feature) that mention each entity there is."""
+    rows = canonical(spark, d)
+    asked = rows.select(F.explode("entities").alias("e")).select("e.kind", "e.key").where("key is not null").distinct()
+    return E.related(rows, asked, 25).select("kind", "key", "source_record_id", stamp("event_at").alias("event_at"))
+
+
+query("related_records_all", ORACLES["related_records"])(related)
 
 
-@query("related_records_all", ORACLES["related_records"].replace(" WHERE (kind = 'user' AND key IN ('3', '7', '11')) OR (kind = 'item' AND key IN ('5', '50'))", ""))
-def related_all(spark, d):
-    """The newest 25 records that mention each entity there is."""
+@query(
+    "related_records_filtered",
+    f"""WITH {EVENTS}, ix AS (SELECT event_id, ts, 'user' AS kind, CAST(user_id AS VARCHAR) AS key FROM ev WHERE event_type = 'click' UNION ALL SELECT event_id, ts, 'item', k FROM ev WHERE event_type = 'click'),
+    r AS (SELECT *, row_number() OVER (PARTITION BY kind, key ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS r FROM ix WHERE key IS NOT NULL AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' AND CAST(event_id AS VARCHAR) < '7')
+    SELECT kind, key, CAST(event_id AS VARCHAR) AS source_record_id, strftime(ts, {S}) AS event_at FROM r WHERE r <= 10""",
+)
+def related_filtered(spark, d):
+    """A page of ten: one source, a half-open range, and a cursor."""
     rows = canonical(spark, d)
     asked = rows.select(F.explode("entities").alias("e")).select("e.kind", "e.key").where("key is not null").distinct()
-    return E.related(rows, asked, 25).select("kind", "key", "source_record_id", stamp("event_at").alias("event_at"))
+    out = E.related(rows, asked, 10, source_key="click", start="2024-01-10", end="2024-01-20", before="7")
+    return out.select("kind", "key", "source_record_id", stamp("event_at").alias("event_at"))
 
 
 def canonical(spark, d):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import score_band
 from tidemark.operators import coverage as C
 from tidemark.operators import measure as M
-from tidemark.plans.bindings import DAYS, END, EVENTS, KEYS, RUNS, START, WINDOWS, events, facts, runs, schedules, source_keys, stamp, table, windows
+from tidemark.plans.bindings import DAYS, END, EVENTS, FEEDS, KEYS, RUNS, START, WINDOWS, events, facts, feed_keys, runs, schedules, source_keys, stamp, table, windows
 from tidemark.plans.registry import ORACLES, query
 
 S = "'%Y-%m-%d %H:%M:%S'"
@@ -35,14 +35,15 @@ def daily_buckets(spark, d):
 
 @query(
     "measurement_hourly_availability",
-    f"""WITH {KEYS}, {DAYS}, {WINDOWS}, hours AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS h)
+    f"""WITH {FEEDS}, {DAYS}, {WINDOWS}, hours AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS h)
     SELECT t.source_key, strftime(h, {S}) AS bucket, CASE WHEN w_end IS NULL THEN 'UNAVAILABLE' WHEN availability = 'PARTIAL' THEN 'PARTIAL' ELSE 'AVAILABLE' END AS available
     FROM types t CROSS JOIN hours LEFT JOIN win w ON w.source_key = t.source_key AND w_start < h + INTERVAL 1 HOUR AND w_end > h""",
 )
 def hourly_availability(spark, d):
     """Interval-overlap join of windows and hours, swept for gaps."""
-    grid = M.spine(source_keys(spark, d), START, END, "HOUR")
-    return M.interval_availability(grid, windows(spark, d), KEY, "HOUR").select("source_key", stamp("bucket_start").alias("bucket"), "available")
+    keys = feed_keys(spark, d)
+    grid = M.spine(keys, START, END, "HOUR")
+    return M.interval_availability(grid, windows(spark, d, keys), KEY, "HOUR").select("source_key", stamp("bucket_start").alias("bucket"), "available")
 
 
 @query(
@@ -73,22 +74,15 @@ def first_seen(spark, d):
 @query(
     "carried_forward_daily",
     f"""WITH {KEYS}, {DAYS} SELECT t.source_key, strftime(d, {S}) AS bucket,
-      (SELECT arg_max(value, (ts, event_id)) FROM events e WHERE e.event_type = t.source_key AND e.ts < d + INTERVAL 1 DAY AND e.user_id % 40 = 1) AS value FROM types t, days""",
+      (SELECT arg_max(value, (ts, event_id)) FROM events e WHERE e.event_type = t.source_key AND e.ts < d + INTERVAL 1 DAY) AS value FROM types t, days""",
 )
 def carried(spark, d):
-    """The last value before each day's end, of any age, of a sparse part of the facts."""
-    return carried_of(spark, d, facts(spark, d).where("entity_key % 40 = 1"))
-
-
-def carried_of(spark, d, some):
-    out = M.carried_forward(source_keys(spark, d), some, KEY, START, END, "DAY")
+    """The last value before each day's end, of any age, of all facts."""
+    out = M.carried_forward(source_keys(spark, d), facts(spark, d), KEY, START, END, "DAY")
     return out.select("source_key", stamp("bucket_start").alias("bucket"), "value")
 
 
-@query("carried_forward_daily_all", ORACLES["carried_forward_daily"].replace(" AND e.user_id % 40 = 1", ""))
-def carried_all(spark, d):
-    """The last value before each day's end, of all facts."""
-    return carried_of(spark, d, facts(spark, d))
+query("carried_forward_daily_all", ORACLES["carried_forward_daily"])(carried)
 
 
 @query(
@@ -118,16 +112,17 @@ def score_distribution(spark, d):
 
 @query(
     "dataset_availability",
-    f"""WITH {KEYS}, {DAYS}, {WINDOWS}, d2 AS (SELECT source_key, CAST(date_trunc('week', w_start) AS DATE) AS wk, availability FROM win)
+    f"""WITH {FEEDS}, {DAYS}, {WINDOWS}, d2 AS (SELECT source_key, CAST(date_trunc('week', w_start) AS DATE) AS wk, availability FROM win)
     SELECT source_key, strftime(wk, '%Y-%m-%d') AS dataset_date, CASE WHEN bool_or(availability = 'AVAILABLE') THEN 'AVAILABLE' ELSE 'PARTIAL' END AS available FROM d2 GROUP BY 1, 2""",
 )
 def dataset_availability(spark, d):
     """The best status of each week's datasets."""
-    w = windows(spark, d).withColumn("dataset_date", F.to_date(F.date_trunc("week", "start")))
+    w = windows(spark, d, feed_keys(spark, d)).withColumn("dataset_date", F.to_date(F.date_trunc("week", "start")))
     out = M.dataset_availability(w, KEY, "dataset_date")
     return out.select("source_key", F.date_format("dataset_date", "yyyy-MM-dd").alias("dataset_date"), "available")
 
 
+SUMMARY_END = "2024-01-29 00:00:00"
 COVERED = f"""{KEYS}, {DAYS}, {WINDOWS}, ok AS (SELECT t.source_key, count(*) FILTER (WHERE availability = 'AVAILABLE' AND w_start >= TIMESTAMP '2024-01-09') >= 3 AS cur, count(*) FILTER (WHERE availability = 'AVAILABLE' AND w_start < TIMESTAMP '2024-01-09') >= 4 AS prev
   FROM types t LEFT JOIN win w ON w.source_key = t.source_key AND w_start >= TIMESTAMP '2024-01-02' AND w_start < TIMESTAMP '2024-01-16' GROUP BY 1)"""
 
@@ -161,6 +156,20 @@ def comparison_distinct(spark, d):
     return compared(spark, d, "EXACT_DISTINCT")
 
 
+@query(
+    "period_summary",
+    f"""WITH {KEYS}, {DAYS}, {WINDOWS}, p AS (SELECT * FROM (VALUES ('24H', 1), ('7D', 7), ('30D', 30)) v(period, n)), r AS (SELECT period, TIMESTAMP '{SUMMARY_END}' - n * INTERVAL 1 DAY AS a, n FROM p),
+    ok AS (SELECT source_key, period, a, n, (SELECT count(*) FROM win w WHERE w.source_key = t.source_key AND availability = 'AVAILABLE' AND w_end = w_start + INTERVAL 1 DAY AND w_start >= a AND w_start < TIMESTAMP '{SUMMARY_END}') = n AS covered FROM types t, r),
+    x AS (SELECT ok.*, count(event_id) AS c FROM ok LEFT JOIN events e ON e.event_type = ok.source_key AND ts >= a AND ts < TIMESTAMP '{SUMMARY_END}' GROUP BY ALL)
+    SELECT source_key, period, CASE WHEN covered THEN c END AS value, CASE WHEN covered THEN 'AVAILABLE' ELSE 'INSUFFICIENT_COVERAGE' END AS status, CASE WHEN NOT covered THEN 'PERIOD_NOT_FULLY_COVERED' END AS reason FROM x""",
+)
+def period_summary(spark, d):
+    """Values of the last day, week and month, only where windows cover the whole period."""
+    grid = M.spine(source_keys(spark, d), START, END, "DAY")
+    days = M.interval_availability(grid, windows(spark, d), KEY, "DAY").withColumn("covered", F.col("available") == "AVAILABLE")
+    return M.period_summary(facts(spark, d), days, KEY, "SUM_EVENTS", SUMMARY_END).select("source_key", "period", F.col("value").cast("bigint").alias("value"), "status", "reason")
+
+
 @query(
     "period_range_dual_precision",
     f"""WITH {EVENTS} SELECT event_type, count(*) AS n, count(*) FILTER (WHERE event_type = 'signup') AS dated FROM ev
@@ -212,59 +221,55 @@ def bucket_provenance(spark, d):
 
 
 #: After the 15th runs come twice as often as the schedule asks, so each of them is an anchor and no time falls between two.
-EXPECTED = f"""{KEYS}, {DAYS}, {RUNS}, ex AS (SELECT source_key, t FROM types, (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 18:00:00', INTERVAL 6 HOUR)) AS t)
+OF_KEYS = f"""{DAYS}, {RUNS}, ex AS (SELECT source_key, t FROM types, (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 18:00:00', INTERVAL 6 HOUR)) AS t)
     WHERE t <= TIMESTAMP '2024-01-15' OR EXISTS (SELECT 1 FROM runs r WHERE r.source_key = types.source_key AND r.scheduled_for = t)),
   oc AS (SELECT ex.source_key, date_trunc('day', t) AS d, CASE WHEN r.state IS NULL OR trigger_kind <> 'SCHEDULED' THEN 'MISSING' WHEN r.state = 'SUCCEEDED' THEN 'SATISFIED' ELSE r.state END AS o FROM ex LEFT JOIN runs r ON r.source_key = ex.source_key AND r.scheduled_for = ex.t),
   cov AS (SELECT source_key, d, count(*) AS expected, count(*) FILTER (WHERE o = 'SATISFIED') AS satisfied, count(*) FILTER (WHERE o = 'PARTIAL') AS partial, count(*) FILTER (WHERE o = 'FAILED') AS failed, count(*) FILTER (WHERE o = 'MISSING') AS missing FROM oc GROUP BY 1, 2),
   st AS (SELECT *, CASE WHEN satisfied = expected THEN 'COMPLETE' WHEN satisfied + partial > 0 THEN 'PARTIAL' WHEN failed > 0 THEN 'DEGRADED' ELSE 'NO_COVERAGE' END AS status FROM cov)"""
 
 
-def day_coverage(spark, d):
-    grid = M.spine(source_keys(spark, d), START, END, "DAY")
-    return C.schedule_coverage(schedules(spark, d), runs(spark, d), grid, KEY, START, END, 86400, F.lit(NOW).cast("timestamp"))
+EXPECTED, EXPECTED_FEEDS = f"{KEYS}, {OF_KEYS}", f"{FEEDS}, {OF_KEYS}"
+
 
+def day_coverage(spark, d, keys):
+    grid = M.spine(keys, START, END, "DAY")
+    return C.schedule_coverage(schedules(spark, d, keys), runs(spark, d, keys), grid, KEY, START, END, 86400, F.lit(NOW).cast("timestamp"))
 
-@query("schedule_coverage_daily", f"WITH {EXPECTED} SELECT source_key, strftime(d, {S}) AS bucket, expected, satisfied, partial, failed, missing, status, 'FINAL' AS evaluation FROM st")
+
+@query("schedule_coverage_daily", f"WITH {EXPECTED_FEEDS} SELECT source_key, strftime(d, {S}) AS bucket, expected, satisfied, partial, failed, missing, status, 'FINAL' AS evaluation FROM st")
 def schedule_coverage_daily(spark, d):
     """Expected times of a changing schedule against runs: counts, status and evaluation of each day."""
-    return day_coverage(spark, d).select("source_key", stamp("bucket_start").alias("bucket"), "expected", "satisfied", "partial", "failed", "missing", "status", "evaluation")
+    return day_coverage(spark, d, feed_keys(spark, d)).select("source_key", stamp("bucket_start").alias("bucket"), "expected", "satisfied", "partial", "failed", "missing", "status", "evaluation")
 
 
 @query(
     "coverage_rollup_weekly",
-    f"""WITH {EXPECTED} SELECT source_key, strftime(date_trunc('week', d), {S}) AS week, CASE WHEN bool_or(status = 'NO_COVERAGE') THEN 'NO_COVERAGE' WHEN bool_or(status IN ('PARTIAL', 'DEGRADED')) THEN 'PARTIAL' ELSE 'COMPLETE' END AS coverage FROM st GROUP BY 1, 2""",
+    f"""WITH {EXPECTED_FEEDS} SELECT source_key, strftime(date_trunc('week', d), {S}) AS week, CASE WHEN bool_or(status = 'NO_COVERAGE') THEN 'NO_COVERAGE' WHEN bool_or(status IN ('PARTIAL', 'DEGRADED')) THEN 'PARTIAL' ELSE 'COMPLETE' END AS coverage FROM st GROUP BY 1, 2""",
 )
 def coverage_weekly(spark, d):
-    rows = day_coverage(spark, d).withColumn("week", stamp(F.date_trunc("week", "bucket_start")))
+    rows = day_coverage(spark, d, feed_keys(spark, d)).withColumn("week", stamp(F.date_trunc("week", "bucket_start")))
     return M.coverage_rollup(rows, ["source_key", "week"], "status")
 
 
 @query(
     "gated_by_coverage_daily",
-    f"""WITH {EXPECTED}, per AS (SELECT event_type, date_trunc('day', ts) AS d, count(*) AS n FROM events WHERE user_id % 40 = 1 GROUP BY 1, 2)
+    f"""WITH {EXPECTED}, per AS (SELECT event_type, date_trunc('day', ts) AS d, count(*) AS n FROM events GROUP BY 1, 2)
     SELECT s.source_key, strftime(s.d, {S}) AS bucket, CAST(CASE WHEN coalesce(n, 0) = 0 THEN CASE WHEN status = 'COMPLETE' THEN 0 END WHEN status <> 'NO_COVERAGE' THEN n END AS BIGINT) AS value FROM st s LEFT JOIN per p ON p.event_type = s.source_key AND p.d = s.d""",
 )
 def gated_by_coverage(spark, d):
     """A live policy: zero needs complete coverage, numbers need some."""
-    return gated_of(spark, d, facts(spark, d).where("entity_key % 40 = 1"))
-
-
-def gated_of(spark, d, some):
-    buckets = M.aggregate(some, KEY, "event_time", ["DAY"], value="COUNT_EVENTS").drop("granularity")
-    cov = day_coverage(spark, d).select("source_key", "bucket_start", F.col("status").alias("coverage"))
+    buckets = M.aggregate(facts(spark, d), KEY, "event_time", ["DAY"], value="COUNT_EVENTS").drop("granularity")
+    cov = day_coverage(spark, d, source_keys(spark, d)).select("source_key", "bucket_start", F.col("status").alias("coverage"))
     out = M.series(source_keys(spark, d), buckets, KEY, START, END, "DAY", "SOURCE_COVERAGE_REQUIRED", cov)
     return out.select("source_key", stamp("bucket_start").alias("bucket"), F.col("gated").cast("bigint").alias("value"))
 
 
-@query("gated_by_coverage_daily_all", ORACLES["gated_by_coverage_daily"].replace(" WHERE user_id % 40 = 1", ""))
-def gated_by_coverage_all(spark, d):
-    """The live policy over all facts."""
-    return gated_of(spark, d, facts(spark, d))
+query("gated_by_coverage_daily_all", ORACLES["gated_by_coverage_daily"])(gated_by_coverage)
 
 
 @query(
     "combined_segments",
-    f"""WITH {KEYS}, {DAYS}, s AS (SELECT source_key, date_trunc('week', d) AS w, CASE WHEN dayofmonth(d) % 5 = 0 THEN 'NOT_EXPECTED' WHEN dayofmonth(d) % 13 = 0 THEN 'UNKNOWN' ELSE 'EXPECTED' END AS e,
+    f"""WITH {FEEDS}, {DAYS}, s AS (SELECT source_key, date_trunc('week', d) AS w, CASE WHEN dayofmonth(d) % 5 = 0 THEN 'NOT_EXPECTED' WHEN dayofmonth(d) % 13 = 0 THEN 'UNKNOWN' ELSE 'EXPECTED' END AS e,
       CASE (dayofmonth(d) + length(source_key)) % 6 WHEN 0 THEN 'PARTIAL' WHEN 1 THEN 'DEGRADED' ELSE 'COMPLETE' END AS st FROM types, days)
     SELECT source_key, strftime(w, {S}) AS week, CASE WHEN bool_or(e = 'EXPECTED') THEN 'EXPECTED' WHEN bool_or(e = 'UNKNOWN') THEN 'UNKNOWN' ELSE 'NOT_EXPECTED' END AS expectation,
       CASE WHEN bool_or(e = 'EXPECTED') AND bool_and(e <> 'EXPECTED' OR st = 'COMPLETE') AND NOT bool_or(e = 'UNKNOWN') THEN 'COMPLETE' WHEN bool_or(e = 'EXPECTED' AND st IN ('COMPLETE', 'PARTIAL')) THEN 'PARTIAL'
@@ -272,7 +277,7 @@ def gated_by_coverage_all(spark, d):
 )
 def combined_segments(spark, d):
     """Segments of differing expectation put together, week by week."""
-    grid = M.spine(source_keys(spark, d), START, END, "DAY")
+    grid = M.spine(feed_keys(spark, d), START, END, "DAY")
     day = F.dayofmonth("bucket_start")
     m = (day + F.length("source_key")) % 6
     rows = grid.select("source_key", stamp(F.date_trunc("week", "bucket_start")).alias("week"), F.when(day % 5 == 0, "NOT_EXPECTED").when(day % 13 == 0, "UNKNOWN").otherwise("EXPECTED").alias("expectation"), F.when(m == 0, "PARTIAL").when(m == 1, "DEGRADED").otherwise("COMPLETE").alias("status"))
@@ -281,29 +286,30 @@ def combined_segments(spark, d):
 
 @query(
     "acquisition_windows",
-    f"""WITH {KEYS}, {RUNS} SELECT source_key, CASE WHEN source_key IN ('click', 'view') THEN 'INTERVAL' WHEN source_key = 'error' THEN 'SNAPSHOT' ELSE 'DATASET_DATE' END AS kind,
-      CASE WHEN source_key IN ('click', 'view') THEN strftime(scheduled_for - INTERVAL 6 HOUR, {S}) WHEN source_key = 'error' THEN strftime(scheduled_for, {S}) END AS w_start,
-      CASE WHEN source_key IN ('click', 'view', 'error') THEN strftime(scheduled_for, {S}) END AS w_end,
-      CASE WHEN source_key IN ('purchase', 'signup') THEN strftime(scheduled_for, '%Y-%m-%d') END AS dataset_date, CASE WHEN state = 'SUCCEEDED' THEN 'AVAILABLE' ELSE 'PARTIAL' END AS availability FROM runs WHERE state <> 'FAILED'""",
+    f"""WITH {FEEDS}, {RUNS} SELECT source_key, CASE WHEN split_part(source_key, '/', 1) IN ('click', 'view') THEN 'INTERVAL' WHEN split_part(source_key, '/', 1) = 'error' THEN 'SNAPSHOT' ELSE 'DATASET_DATE' END AS kind,
+      CASE WHEN split_part(source_key, '/', 1) IN ('click', 'view') THEN strftime(scheduled_for - INTERVAL 6 HOUR, {S}) WHEN split_part(source_key, '/', 1) = 'error' THEN strftime(scheduled_for, {S}) END AS w_start,
+      CASE WHEN split_part(source_key, '/', 1) IN ('click', 'view', 'error') THEN strftime(scheduled_for, {S}) END AS w_end,
+      CASE WHEN split_part(source_key, '/', 1) IN ('purchase', 'signup') THEN strftime(scheduled_for, '%Y-%m-%d') END AS dataset_date, CASE WHEN state = 'SUCCEEDED' THEN 'AVAILABLE' ELSE 'PARTIAL' END AS availability FROM runs WHERE state <> 'FAILED'""",
 )
 def acquisition_windows(spark, d):
     """Windows that runs prove, by a rule for each source."""
-    k = F.col("source_key")
-    rules = source_keys(spark, d).select("source_key", F.when(k.isin("click", "view"), "INTERVAL").when(k == "error", "SNAPSHOT").otherwise("DATASET_DATE").alias("kind"), F.lit(21600).alias("horizon_s"))
-    out = C.acquisition_windows(runs(spark, d), rules)
+    k, keys = F.substring_index("source_key", "/", 1), feed_keys(spark, d)
+    rules = keys.select("source_key", F.when(k.isin("click", "view"), "INTERVAL").when(k == "error", "SNAPSHOT").otherwise("DATASET_DATE").alias("kind"), F.lit(21600).alias("horizon_s"))
+    out = C.acquisition_windows(runs(spark, d, keys), rules)
     return out.select("source_key", "kind", stamp("start").alias("w_start"), stamp("end").alias("w_end"), F.date_format("dataset_date", "yyyy-MM-dd").alias("dataset_date"), "availability")
 
 
 @query(
     "coverage_read",
-    f"""WITH {EXPECTED} SELECT source_key, 'COVERAGE' AS kind, strftime(d, {S}) AS at, status FROM st WHERE d >= TIMESTAMP '2024-01-10' AND d < TIMESTAMP '2024-01-13'
-    UNION ALL SELECT source_key, 'WINDOW', strftime(w_start, {S}), availability FROM (WITH {KEYS}, {DAYS}, {WINDOWS} SELECT * FROM win) WHERE w_start < TIMESTAMP '2024-01-13' AND w_end > TIMESTAMP '2024-01-10'""",
+    f"""WITH {EXPECTED_FEEDS} SELECT source_key, 'COVERAGE' AS kind, strftime(d, {S}) AS at, status FROM st WHERE d >= TIMESTAMP '2024-01-10' AND d < TIMESTAMP '2024-01-13'
+    UNION ALL SELECT source_key, 'WINDOW', strftime(w_start, {S}), availability FROM (WITH {FEEDS}, {DAYS}, {WINDOWS} SELECT * FROM win) WHERE w_start < TIMESTAMP '2024-01-13' AND w_end > TIMESTAMP '2024-01-10'""",
 )
 def coverage_read(spark, d):
     """Coverage of the buckets of a range, and the windows that overlap it."""
     a, b = F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-13").cast("timestamp")
-    own = M.in_period(day_coverage(spark, d), "2024-01-10", "2024-01-13", "bucket_start").select("source_key", F.lit("COVERAGE").alias("kind"), stamp("bucket_start").alias("at"), "status")
-    near = windows(spark, d).where((F.col("start") < b) & (F.col("end") > a))
+    keys = feed_keys(spark, d)
+    own = M.in_period(day_coverage(spark, d, keys), "2024-01-10", "2024-01-13", "bucket_start").select("source_key", F.lit("COVERAGE").alias("kind"), stamp("bucket_start").alias("at"), "status")
+    near = windows(spark, d, keys).where((F.col("start") < b) & (F.col("end") > a))
     return own.unionByName(near.select("source_key", F.lit("WINDOW").alias("kind"), stamp("start").alias("at"), F.col("availability").alias("status")))
 
 

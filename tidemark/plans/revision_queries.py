@@ -9,7 +9,7 @@ from tidemark.operators import measure as M
 from tidemark.operators import parity as P
 from tidemark.operators import revisions as R
 from tidemark.operators.coverage import schedule_revisions, schedule_segments
-from tidemark.plans.bindings import EVENTS, KEYS, REVISIONS, RUNS, events, fact_revisions, facts, runs, source_keys, sources, stamp, table
+from tidemark.plans.bindings import EVENTS, FEEDS, KEYS, REVISIONS, RUNS, events, fact_revisions, facts, feed_keys, runs, stamp, table
 from tidemark.plans.registry import ORACLES, query
 
 S = "'%Y-%m-%d %H:%M:%S'"
@@ -135,8 +135,8 @@ def pending(spark, d):
 @query("snapshot_removals", f"WITH m AS (SELECT date_trunc('day', ts) AS b, user_id FROM events WHERE event_type = 'purchase' GROUP BY 1, 2), dd AS (SELECT b, lead(b) OVER (ORDER BY b) AS nb FROM (SELECT DISTINCT b FROM m)) SELECT strftime(nb, {S}) AS bucket, user_id AS member FROM m JOIN dd USING (b) WHERE nb IS NOT NULL AND NOT EXISTS (SELECT 1 FROM m q WHERE q.b = nb AND q.user_id = m.user_id)")
 def removals(spark, d):
     """Members of each day's manifest that the next one lacks."""
-    m = events(spark, d).where("event_type = 'purchase'").groupBy(F.lit("purchase").alias("source_key"), F.date_trunc("day", "ts").alias("at")).agg(F.array_sort(F.collect_set("user_id")).alias("ids"))
-    return R.removals(m, ["source_key"], "at", "ids").select(stamp("at").alias("bucket"), "member")
+    m = events(spark, d).where("event_type = 'purchase'").select(F.lit("purchase").alias("source_key"), F.date_trunc("day", "ts").alias("at"), F.col("user_id").alias("member"))
+    return R.removals(m, ["source_key"], "at", "member").select(stamp("at").alias("bucket"), "member")
 
 
 @query("changed_content", "SELECT c_custkey AS path, 'CHANGED_OR_NEW' AS kind FROM customer WHERE c_custkey > 0 AND (c_custkey % 10 = 0 OR c_custkey % 13 = 0) UNION ALL SELECT -c_custkey, 'REMOVED' FROM customer WHERE c_custkey % 17 = 0 AND c_custkey > 0")
@@ -187,10 +187,11 @@ def as_known(spark, d):
     return out.select("user_id", "event_type", F.date_format("day", "yyyy-MM-dd").alias("day"), "event_id")
 
 
-@query("purged_payloads", "SELECT event_id FROM (SELECT event_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-05' ORDER BY ts LIMIT 1000)")
+@query("purged_payloads", "SELECT event_id, event_id IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-05' ORDER BY ts, event_id LIMIT 1000) AS purged FROM events")
 def purged(spark, d):
-    """The thousand oldest expired payloads (the batch of the feature)."""
-    return R.purge_expired(events(spark, d), "ts", F.lit("2024-01-05").cast("timestamp"), 1000)[1].select("event_id")
+    """The thousand oldest expired payloads (the batch of the feature), and all that stay."""
+    kept, gone = R.purge_expired(events(spark, d), ["event_id"], "ts", F.lit("2024-01-05").cast("timestamp"), 1000)
+    return kept.select("event_id", F.lit(False).alias("purged")).unionByName(gone.select("event_id", F.lit(True).alias("purged")))
 
 
 @query("missing_observations", "WITH a AS (SELECT DISTINCT user_id, event_type FROM events WHERE ts < TIMESTAMP '2024-01-10'), c AS (SELECT DISTINCT user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-14') SELECT user_id, event_type FROM a WHERE user_id IN (SELECT user_id FROM c) AND (user_id, event_type) NOT IN (SELECT (user_id, event_type) FROM c)")
@@ -201,11 +202,11 @@ def missing_observations(spark, d):
     return R.retract_missing(part("2024-01-01", "2024-01-10"), part("2024-01-10", "2024-01-14"), ["user_id"], "event_type")
 
 
-@query("schedule_revisions", f"WITH {KEYS}, v AS (SELECT * FROM (VALUES (TIMESTAMP '2024-01-01', 21600), (TIMESTAMP '2024-01-05', 21600), (TIMESTAMP '2024-01-15', 200), (TIMESTAMP '2024-01-20', 2400)) t(f, i)) SELECT source_key, strftime(f, {S}) AS effective_from, i AS interval_s, CAST(greatest(60, least(900, i // 4)) AS BIGINT) AS grace_s, strftime(CASE f WHEN TIMESTAMP '2024-01-01' THEN TIMESTAMP '2024-01-15' WHEN TIMESTAMP '2024-01-15' THEN TIMESTAMP '2024-01-20' END, {S}) AS effective_to FROM types, v WHERE f <> TIMESTAMP '2024-01-05'")
+@query("schedule_revisions", f"WITH {FEEDS}, v AS (SELECT * FROM (VALUES (TIMESTAMP '2024-01-01', 21600), (TIMESTAMP '2024-01-05', 21600), (TIMESTAMP '2024-01-15', 200), (TIMESTAMP '2024-01-20', 2400)) t(f, i)) SELECT source_key, strftime(f, {S}) AS effective_from, i AS interval_s, CAST(greatest(60, least(900, i // 4)) AS BIGINT) AS grace_s, strftime(CASE f WHEN TIMESTAMP '2024-01-01' THEN TIMESTAMP '2024-01-15' WHEN TIMESTAMP '2024-01-15' THEN TIMESTAMP '2024-01-20' END, {S}) AS effective_to FROM types, v WHERE f <> TIMESTAMP '2024-01-05'")
 def schedule_history(spark, d):
     """Schedule changes as revisions: repeats dropped, grace clamped, ends from the next start."""
     rows = F.array(*[F.struct(F.lit(f).cast("timestamp").alias("effective_from"), F.lit(i).alias("interval_s")) for f, i in (("2024-01-01", 21600), ("2024-01-05", 21600), ("2024-01-15", 200), ("2024-01-20", 2400))])
-    changes = source_keys(spark, d).select("source_key", F.explode(rows).alias("r")).select("source_key", "r.*", F.lit(True).alias("enabled"))
+    changes = feed_keys(spark, d).select("source_key", F.explode(rows).alias("r")).select("source_key", "r.*", F.lit(True).alias("enabled"))
     out = schedule_segments(schedule_revisions(changes, ["source_key"]), ["source_key"])
     return out.select("source_key", stamp("effective_from").alias("effective_from"), "interval_s", "grace_s", stamp("effective_to").alias("effective_to"))
 
@@ -218,20 +219,18 @@ def parity_diff(spark, d):
     return P.parity(a, b, "id", ["c_name", "c_mktsegment"], ["c_acctbal"])
 
 
-@query("population_guard", "WITH s AS (SELECT date_trunc('day', ts) AS b, count(*) AS n FROM events WHERE user_id % 40 = 1 AND event_type IN ('purchase', 'click') GROUP BY 1), p AS (SELECT *, lag(n) OVER (ORDER BY b) AS pn FROM s) SELECT strftime(b, '%Y-%m-%d') AS day, n AS n_rows, CASE WHEN n < floor(pn * 0.75) THEN 'REJECT_DROP' ELSE 'ACCEPT' END AS verdict FROM p")
+@query("population_guard", "WITH s AS (SELECT user_id, date_trunc('day', ts) AS b, count(*) AS n FROM events GROUP BY 1, 2), p AS (SELECT *, lag(n) OVER (PARTITION BY user_id ORDER BY b) AS pn FROM s) SELECT user_id, strftime(b, '%Y-%m-%d') AS day, n AS n_rows, CASE WHEN n < floor(pn * 0.75) THEN 'REJECT_DROP' ELSE 'ACCEPT' END AS verdict FROM p")
 def guard(spark, d):
-    """Daily populations that fell by more than a quarter."""
-    return guard_of(events(spark, d).where("user_id % 40 = 1"))
+    """Daily populations of each user that fell by more than a quarter."""
+    snaps = events(spark, d).groupBy(F.col("user_id").alias("source_key"), F.to_date("ts").alias("dataset_date")).agg(F.count("*").alias("rows"))
+    out = P.population_guard(snaps.withColumn("model", F.lit("m")), "dataset_date")
+    return out.select(F.col("source_key").alias("user_id"), F.date_format("dataset_date", "yyyy-MM-dd").alias("day"), F.col("rows").alias("n_rows"), "verdict")
 
 
-@query("population_guard_all", ORACLES["population_guard"].replace("user_id % 40 = 1 AND ", ""))
+@query("population_guard_all", "WITH s AS (SELECT date_trunc('day', ts) AS b, count(*) AS n FROM events WHERE event_type IN ('purchase', 'click') GROUP BY 1), p AS (SELECT *, lag(n) OVER (ORDER BY b) AS pn FROM s) SELECT strftime(b, '%Y-%m-%d') AS day, n AS n_rows, CASE WHEN n < floor(pn * 0.75) THEN 'REJECT_DROP' ELSE 'ACCEPT' END AS verdict FROM p")
 def guard_all(spark, d):
-    """Daily populations of all users."""
-    return guard_of(events(spark, d))
-
-
-def guard_of(some):
-    snaps = some.where("event_type in ('purchase', 'click')").groupBy(F.to_date("ts").alias("dataset_date")).agg(F.count("*").alias("rows"))
+    """Daily populations of all users together."""
+    snaps = events(spark, d).where("event_type in ('purchase', 'click')").groupBy(F.to_date("ts").alias("dataset_date")).agg(F.count("*").alias("rows"))
     out = P.population_guard(snaps.withColumns({"model": F.lit("m"), "source_key": F.lit("s")}), "dataset_date")
     return out.select(F.date_format("dataset_date", "yyyy-MM-dd").alias("day"), F.col("rows").alias("n_rows"), "verdict")
 
@@ -256,17 +255,34 @@ def audit(spark, d):
     return P.audit({"duplicate_event_ids": P.duplicates(e, ["event_id"]), "orphan_orders": P.orphans(o, customers, ["o_custkey"]), "negative_values": e.where("value < 0"), "orders_without_lines": P.orphans(o, lines, ["o_orderkey"])})
 
 
-@query("source_status", f"""WITH {KEYS}, {RUNS}, p AS (SELECT source_key, max(CASE WHEN state = 'SUCCEEDED' THEN scheduled_for END) AS ls, count(*) AS runs, count(*) FILTER (WHERE state = 'FAILED') AS failed, arg_max(state, scheduled_for) AS last FROM runs GROUP BY 1)
+@query("source_status", f"""WITH {FEEDS}, {RUNS}, p AS (SELECT source_key, max(CASE WHEN state = 'SUCCEEDED' THEN scheduled_for END) AS ls, count(*) AS runs, count(*) FILTER (WHERE state = 'FAILED') AS failed, arg_max(state, scheduled_for) AS last FROM runs GROUP BY 1)
   SELECT source_key, strftime(ls, {S}) AS last_success, runs, failed, CASE WHEN TIMESTAMP '2024-01-31' - ls <= INTERVAL 12 HOUR THEN 'FRESH' ELSE 'STALE' END AS freshness, CASE WHEN last = 'FAILED' THEN 'DEGRADED' ELSE 'READY' END AS readiness FROM p""")
 def status(spark, d):
     """Readiness and freshness of every source."""
-    out = P.source_status(sources(spark, d), runs(spark, d), F.lit("2024-01-31").cast("timestamp"))
+    keys = feed_keys(spark, d)
+    out = P.source_status(keys.withColumn("poll_seconds", F.lit(21600)), runs(spark, d, keys), F.lit("2024-01-31").cast("timestamp"))
     return out.select("source_key", stamp("last_success").alias("last_success"), "runs", "failed", "freshness", "readiness")
 
 
-@query("acquisition_summary", f"WITH {KEYS}, {RUNS}, b AS (SELECT source_key, date_trunc('week', scheduled_for) AS w, CASE WHEN trigger_kind = 'BOOTSTRAP' THEN 'INITIAL_BOOTSTRAP' ELSE 'LIVE_INCREMENTAL' END AS b, trigger_kind = 'SCHEDULED' AS live FROM runs) SELECT source_key, strftime(w, {S}) AS week, array_to_string(list_sort(list_distinct(list(b))), ',') AS bases, CASE WHEN count(DISTINCT b) = 1 THEN max(b) ELSE 'MIXED' END AS kind, bool_or(live) AS any_live FROM b GROUP BY 1, 2")
+BASES = {"SCHEDULED": ["LIVE_INCREMENTAL"], "BOOTSTRAP": ["INITIAL_BOOTSTRAP", "LIVE_INCREMENTAL"], "MANUAL": ["HISTORICAL_BACKFILL", "RESYNC", "REPAIR"], "RECOVERY": ["LIVE_INCREMENTAL"]}
+KINDS = [(t, p) for t, ps in BASES.items() for p in ps]
+KIND_SQL = ", ".join(f"({i}, '{t}', '{p}')" for i, (t, p) in enumerate(KINDS))
+
+
+@query("acquisition_bases", f"""SELECT trigger_kind, purpose, count(*) AS n, CASE WHEN purpose = 'INITIAL_BOOTSTRAP' OR trigger_kind = 'BOOTSTRAP' THEN 'INITIAL_BOOTSTRAP' WHEN purpose <> 'LIVE_INCREMENTAL' THEN purpose WHEN trigger_kind = 'RECOVERY' THEN 'RECOVERY' ELSE 'LIVE_INCREMENTAL' END AS fact_basis,
+  CASE WHEN purpose <> 'LIVE_INCREMENTAL' THEN purpose WHEN trigger_kind = 'RECOVERY' THEN 'RECOVERY' ELSE 'LIVE_INCREMENTAL' END AS window_basis, trigger_kind = 'SCHEDULED' AND purpose = 'LIVE_INCREMENTAL' AS live
+  FROM events JOIN (VALUES {KIND_SQL}) v(i, trigger_kind, purpose) ON event_id % {len(KINDS)} = i GROUP BY 1, 2""")
+def acquisition_bases(spark, d):
+    """The basis of facts and of windows for every trigger and purpose that runs have."""
+    kinds = F.array(*[F.struct(F.lit(t).alias("trigger"), F.lit(p).alias("purpose")) for t, p in KINDS])
+    rows = events(spark, d).select(F.get(kinds, (F.col("event_id") % len(KINDS)).cast("int")).alias("k")).select("k.*")
+    per = rows.groupBy("trigger", "purpose").agg(F.count("*").alias("n"))
+    return per.select(F.col("trigger").alias("trigger_kind"), "purpose", "n", acquisition_basis("trigger", "purpose").alias("fact_basis"), acquisition_basis("trigger", "purpose", False).alias("window_basis"), is_live("trigger", "purpose").alias("live"))
+
+
+@query("acquisition_summary", """WITH x AS (SELECT user_id, date_trunc('day', ts) AS b, CASE WHEN event_type IN ('error', 'signup') THEN 'MRT_RECOVERY' ELSE 'LIVE_STREAM' END AS basis FROM events)
+  SELECT user_id, strftime(b, '%Y-%m-%d %H:%M:%S') AS day, array_to_string(list_sort(list_distinct(list(basis))), ',') AS bases, CASE WHEN count(DISTINCT basis) = 1 THEN max(basis) ELSE 'MIXED' END AS kind FROM x GROUP BY 1, 2""")
 def acquisition(spark, d):
-    """How each week's data were acquired."""
-    r = runs(spark, d).select("source_key", F.date_trunc("week", "scheduled_for").alias("week"), acquisition_basis("trigger", "purpose").alias("basis"), is_live("trigger", "purpose").alias("live"))
-    out = P.acquisition_summary(r, ["source_key", "week"], "basis").join(r.groupBy("source_key", "week").agg(F.bool_or("live").alias("any_live")), ["source_key", "week"])
-    return out.select("source_key", stamp("week").alias("week"), F.array_join("bases", ",").alias("bases"), "kind", "any_live")
+    """How each user's day was acquired: live, recovered, or both."""
+    rows = events(spark, d).select("user_id", F.date_trunc("day", "ts").alias("day"), F.when(F.col("event_type").isin("error", "signup"), "MRT_RECOVERY").otherwise("LIVE_STREAM").alias("basis"))
+    return P.acquisition_summary(rows, ["user_id", "day"], "basis").select("user_id", stamp("day").alias("day"), F.array_join("bases", ",").alias("bases"), "kind")

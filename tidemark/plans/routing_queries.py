@@ -40,7 +40,9 @@ def routing_minutes(spark, d):
 def combined_deltas(spark, d):
     """Segment deltas of each hour: counters summed, sets united."""
     rows = routing(spark, d).withColumn("segment", F.col("event_id") % 3).withColumn("hour", F.date_trunc("hour", "observed_at"))
-    deltas = rows.groupBy("hour", "segment").agg(F.count("*").alias("messages"), F.array_distinct(F.flatten(F.collect_list("origins"))).alias("origins"), F.collect_set("rrc").alias("rrcs"))
+    key = ["hour", "segment"]
+    origins = rows.select(*key, F.explode("origins").alias("o")).distinct().groupBy(*key).agg(F.collect_list("o").alias("origins"))
+    deltas = rows.groupBy(*key).agg(F.count("*").alias("messages"), F.collect_set("rrc").alias("rrcs")).join(origins, key)
     out = R.combine_deltas(deltas, ["hour"], ["messages"], ["origins", "rrcs"])
     return out.select(stamp("hour").alias("hour"), "segments", "messages", F.array_join("origins", ",").alias("origins"), F.array_join("rrcs", ",").alias("rrcs"))
 
@@ -105,34 +107,41 @@ def covering_prefix(spark, d):
     return R.covering_prefix(ips, routing(spark, d).select(F.explode("announced").alias("prefix")))
 
 
-def failure_events(spark, d):
-    """errors are failures, signups subscriptions; one session a user."""
+#: Fixed values of the fixture: errors are failures of these types in turn (the last is none that is recovered), by event id.
+FAILED = ["PROVIDER_DISCONNECT", "BACKPRESSURE_LIMIT", "DB_UNAVAILABLE", "FORCED_TERMINATE", "DRAIN_REQUESTED", "CLOSED"]
+
+
+def session_events(spark, d):
+    """Errors are failures or drain requests, signups subscriptions; one source for every third user, a session a user."""
     e = events(spark, d).where("event_type in ('error', 'signup')")
-    kind = F.when(F.col("event_type") == "signup", "SUBSCRIBED").when(F.col("event_id") % 2 == 0, "FAILED").otherwise("TIMEOUT")
-    return e.select((F.col("user_id") % 3).alias("rrc"), F.col("ts").alias("at"), kind.alias("type"), (F.col("event_id") % 5 == 0).alias("planned"))
+    kind = F.when(F.col("event_type") == "signup", "SUBSCRIBED").otherwise(F.get(F.array(*[F.lit(x) for x in FAILED]), (F.col("event_id") % len(FAILED)).cast("int")))
+    return e.select("event_id", (F.col("user_id") % 3).alias("rrc"), F.col("user_id").alias("session"), F.col("ts").alias("at"), kind.alias("type"))
 
 
-FAILURES = f"""{EVENTS}, fe AS (SELECT user_id % 3 AS rrc, ts AS t0, CASE WHEN event_type = 'signup' THEN 'SUBSCRIBED' WHEN event_id % 2 = 0 THEN 'FAILED' ELSE 'TIMEOUT' END AS type, event_id % 5 = 0 AS planned FROM ev WHERE event_type IN ('error', 'signup')),
-  nx AS (SELECT *, min(CASE WHEN type = 'SUBSCRIBED' THEN t0 END) OVER (PARTITION BY rrc ORDER BY t0 ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS resumed FROM fe)"""
+FAILURES = f"""{EVENTS}, fe AS (SELECT event_id, user_id % 3 AS rrc, user_id AS session, ts AS t0, CASE WHEN event_type = 'signup' THEN 'SUBSCRIBED' ELSE {FAILED}[event_id % {len(FAILED)} + 1] END AS type FROM ev WHERE event_type IN ('error', 'signup')),
+  nx AS (SELECT *, min(CASE WHEN type = 'SUBSCRIBED' THEN t0 END) OVER (PARTITION BY rrc ORDER BY epoch_us(t0) RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS resumed FROM fe)"""
 
 
 @query("next_event", f"WITH {FAILURES} SELECT rrc, type, count(*) AS n, count(resumed) AS resumed, round(avg(epoch(resumed) - epoch(t0)), 3) AS mean_s FROM nx WHERE type <> 'SUBSCRIBED' GROUP BY 1, 2")
 def next_event(spark, d):
     """Forward as-of join: the first subscription after each failure."""
-    rows = R.next_event(failure_events(spark, d), ["rrc"], "at", F.col("type") == "SUBSCRIBED", "resumed").where("type <> 'SUBSCRIBED'")
+    rows = R.next_event(session_events(spark, d), ["rrc"], "at", F.col("type") == "SUBSCRIBED", "resumed").where("type <> 'SUBSCRIBED'")
     gap = (F.unix_micros("resumed") - F.unix_micros("at")) / 1e6
     return rows.groupBy("rrc", "type").agg(F.count("*").alias("n"), F.count("resumed").alias("resumed"), F.round(F.avg(gap), 3).alias("mean_s"))
 
 
 @query(
     "recovery_candidates",
-    f"""WITH {FAILURES}, g AS (SELECT rrc, type, date_trunc('minute', t0) AS a, CASE WHEN date_trunc('second', resumed) = date_trunc('minute', resumed) THEN date_trunc('minute', resumed) ELSE date_trunc('minute', resumed) + INTERVAL 1 MINUTE END AS b FROM nx WHERE type <> 'SUBSCRIBED' AND resumed IS NOT NULL AND NOT planned)
-    SELECT rrc, strftime(a, {S}) AS gap_start, strftime(b, {S}) AS gap_end, min(type) AS reason FROM g WHERE b - a <= INTERVAL 30 MINUTE AND b + INTERVAL 3 MINUTE <= TIMESTAMP '2024-01-25' GROUP BY 1, 2, 3""",
+    f"""WITH {FAILURES}, g AS (SELECT event_id, rrc, session, type AS reason, date_trunc('minute', t0) AS a, CASE WHEN resumed = date_trunc('minute', resumed) THEN resumed ELSE date_trunc('minute', resumed) + INTERVAL 1 MINUTE END AS b FROM nx
+      WHERE type IN ('PROVIDER_DISCONNECT', 'BACKPRESSURE_LIMIT', 'DB_UNAVAILABLE', 'FORCED_TERMINATE') AND resumed - t0 <= INTERVAL 1800 SECOND AND resumed + INTERVAL 180 SECOND <= TIMESTAMP '2024-01-25' AND event_id % 7 <> 0
+        AND NOT EXISTS (SELECT 1 FROM fe q WHERE q.session = nx.session AND q.type = 'DRAIN_REQUESTED' AND q.t0 <= nx.t0))
+    SELECT event_id, rrc, session, reason, strftime(a, {S}) AS gap_start, strftime(b, {S}) AS gap_end FROM g""",
 )
 def recovery_candidates(spark, d):
-    """Short settled gaps of whole minutes."""
-    out = R.recovery_candidates(failure_events(spark, d), ["rrc"], F.lit("2024-01-25").cast("timestamp"))
-    return out.select("rrc", stamp("gap_start").alias("gap_start"), stamp("gap_end").alias("gap_end"), "reason")
+    """Short settled gaps that nobody planned or asked for yet (every seventh event has a request)."""
+    rows = session_events(spark, d)
+    out = R.recovery_candidates(rows, ["rrc"], F.lit("2024-01-25").cast("timestamp"), requested=rows.where("event_id % 7 = 0"))
+    return out.select("event_id", "rrc", "session", "reason", stamp("gap_start").alias("gap_start"), stamp("gap_end").alias("gap_end"))
 
 
 @query(
