@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bucket sizes in seconds.
-GRANULARITY = {"MINUTE": 60, "FIVE_MINUTE": 300, "HOUR": 3600, "DAY": 86400}
+GRANULARITY = {"MINUTE": 60, "FIVE_MINUTES": 300, "HOUR": 3600, "DAY": 86400}
 
 #: Purposes that are a basis of their own.
 OWN_BASIS = ("INITIAL_BOOTSTRAP", "HISTORICAL_BACKFILL", "RESYNC", "REPAIR")

@@ -135,7 +135,7 @@ def series(keys: DataFrame, buckets: DataFrame, key: Sequence[str], start: str,
     grid = spine(keys, start, end, granularity).join(buckets, on, "left").join(available, on, "left")
     coverage = F.col("coverage") if "coverage" in available.columns else F.lit(None).cast("string")
     known = F.col("available") if "available" in available.columns else F.lit(None).cast("string")
-    if policy == "TIME_AVAILABILITY":  # a bucket with facts was looked at, whatever its windows say
+    if policy == "SOURCE_TIME_AVAILABILITY_REQUIRED":  # a bucket with facts was looked at, whatever its windows say
         known = F.when((F.coalesce(known, F.lit("UNAVAILABLE")) == "UNAVAILABLE") & (F.col("value") > 0), "PARTIAL").otherwise(known)
     return grid.withColumn("gated", gate(F.coalesce("value", F.lit(0)), F.lit(policy), coverage, known))
 
@@ -144,7 +144,7 @@ def period_value(kind: str, on: Column, entity: str = "entity_key", value: str =
     """An aggregate over the rows where `on` holds, by comparison kind."""
     if kind == "SUM_EVENTS":
         return F.count_if(on)
-    if kind == "EXACT_DISTINCT":
+    if kind == "EXACT_DISTINCT_QUERY":
         return F.count_distinct(F.when(on, F.col(entity)))
     if kind == "LAST_VALUE":
         return F.max_by(F.when(on, F.col(value)), F.when(on, F.struct("event_time", "fact_key")))

@@ -15,7 +15,7 @@ from tidemark.functions.scalars import bucket_start, v4_number
 from tidemark.operators.measure import GRANULARITY, overlap
 
 #: Minutes that a complete rollup has, and the lateness of a minute.
-MINUTES = {"MINUTE": 1, "FIVE_MINUTE": 5, "HOUR": 60, "DAY": 1440}
+MINUTES = {"MINUTE": 1, "FIVE_MINUTES": 5, "HOUR": 60, "DAY": 1440}
 LATENESS_S = 180
 #: Failures that are recovered by themselves, and the event that plans one.
 REASONS = ("PROVIDER_DISCONNECT", "BACKPRESSURE_LIMIT", "DB_UNAVAILABLE", "FORCED_TERMINATE")

@@ -15,7 +15,7 @@ class Measurement:
     axis: str
     granularities: tuple[str, ...]
     coverage: str
-    comparison: str = "SUM"
+    comparison: str = "SUM_EVENTS"
     dimensions: tuple[str, ...] = ()
 
     @property
@@ -23,35 +23,35 @@ class Measurement:
         return self.key.rsplit(".", 1)[0]
 
 
-FIVE, HOURS, DAYS = ("FIVE_MINUTE", "HOUR", "DAY"), ("HOUR", "DAY"), ("DAY",)
+FIVE, HOURS, DAYS = ("FIVE_MINUTES", "HOUR", "DAY"), ("HOUR", "DAY"), ("DAY",)
 ROUTING = ("MINUTE", *FIVE)
-TIME, LIVE, SNAPSHOT, DATASET = "TIME_AVAILABILITY", "SOURCE_COVERAGE_REQUIRED", "SNAPSHOT_CONFIRMATION_REQUIRED", "DATASET_AVAILABILITY"
+TIME, LIVE, SNAPSHOT, DATASET = "SOURCE_TIME_AVAILABILITY_REQUIRED", "SOURCE_COVERAGE_REQUIRED", "SNAPSHOT_CONFIRMATION_REQUIRED", "DATASET_AVAILABILITY_REQUIRED"
 
 #: The definitions.
 CATALOGUE = [
     Measurement("vulnerability.cisa_kev.additions", "COUNT_DISTINCT", "DATASET_DATE", DAYS, TIME),
     Measurement("vulnerability.cisa_kev.updates_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE),
     Measurement("vulnerability.cisa_kev.membership_removals_observed", "COUNT_EVENTS", "RECEIVED", HOURS, SNAPSHOT),
-    Measurement("vulnerability.cisa_kev.catalog_size", "SNAPSHOT_LAST_CARRY_FORWARD", "RECEIVED", HOURS, SNAPSHOT, "LAST"),
-    Measurement("vulnerability.nvd.publications", "COUNT_DISTINCT", "PUBLISHED", HOURS, TIME, "SUM", ("STATUS", "CWE", "CVSS")),
+    Measurement("vulnerability.cisa_kev.catalog_size", "SNAPSHOT_LAST_CARRY_FORWARD", "RECEIVED", HOURS, SNAPSHOT, "LAST_VALUE"),
+    Measurement("vulnerability.nvd.publications", "COUNT_DISTINCT", "PUBLISHED", HOURS, TIME, "SUM_EVENTS", ("STATUS", "CWE", "CVSS")),
     Measurement("vulnerability.nvd.modifications", "COUNT_EVENTS", "UPSTREAM_UPDATED", HOURS, TIME),
-    Measurement("exploitation.epss.scored_records", "DATASET_COUNT", "DATASET_DATE", DAYS, DATASET, "LAST"),
+    Measurement("exploitation.epss.scored_records", "DATASET_COUNT", "DATASET_DATE", DAYS, DATASET, "LAST_VALUE"),
     Measurement("exploitation.epss.score_distribution", "DISTRIBUTION_COUNT", "DATASET_DATE", DAYS, DATASET, "NONE", ("SCORE_BAND",)),
-    Measurement("ioc.threatfox.reporting_volume", "COUNT_EVENTS", "EFFECTIVE", FIVE, TIME, "SUM", ("IOC_TYPE", "MALWARE")),
-    Measurement("ioc.threatfox.distinct_indicators", "COUNT_DISTINCT", "EFFECTIVE", FIVE, TIME, "EXACT_DISTINCT", ("IOC_TYPE",)),
-    Measurement("ioc.threatfox.first_seen_indicators", "FIRST_SEEN_DISTINCT", "EFFECTIVE", FIVE, TIME, "EXACT_DISTINCT", ("IOC_TYPE",)),
+    Measurement("ioc.threatfox.reporting_volume", "COUNT_EVENTS", "EFFECTIVE", FIVE, TIME, "SUM_EVENTS", ("IOC_TYPE", "MALWARE")),
+    Measurement("ioc.threatfox.distinct_indicators", "COUNT_DISTINCT", "EFFECTIVE", FIVE, TIME, "EXACT_DISTINCT_QUERY", ("IOC_TYPE",)),
+    Measurement("ioc.threatfox.first_seen_indicators", "FIRST_SEEN_DISTINCT", "EFFECTIVE", FIVE, TIME, "EXACT_DISTINCT_QUERY", ("IOC_TYPE",)),
     Measurement("ioc.threatfox.report_updates_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE),
-    Measurement("malware.malwarebazaar.sample_reporting", "COUNT_EVENTS", "EFFECTIVE", FIVE, TIME, "SUM", ("FILE_TYPE", "SIGNATURE")),
-    Measurement("malware.malwarebazaar.distinct_hashes", "COUNT_DISTINCT", "EFFECTIVE", FIVE, TIME, "EXACT_DISTINCT"),
-    Measurement("malware.malwarebazaar.first_seen_hashes", "FIRST_SEEN_DISTINCT", "EFFECTIVE", FIVE, TIME, "EXACT_DISTINCT"),
+    Measurement("malware.malwarebazaar.sample_reporting", "COUNT_EVENTS", "EFFECTIVE", FIVE, TIME, "SUM_EVENTS", ("FILE_TYPE", "SIGNATURE")),
+    Measurement("malware.malwarebazaar.distinct_hashes", "COUNT_DISTINCT", "EFFECTIVE", FIVE, TIME, "EXACT_DISTINCT_QUERY"),
+    Measurement("malware.malwarebazaar.first_seen_hashes", "FIRST_SEEN_DISTINCT", "EFFECTIVE", FIVE, TIME, "EXACT_DISTINCT_QUERY"),
     Measurement("malware.malwarebazaar.sample_updates_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE),
     Measurement("internal.synthetic.events", "COUNT_EVENTS", "EFFECTIVE", FIVE, TIME),
-    Measurement("ioc.feodo_tracker.new_records_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE, "SUM", ("MALWARE", "COUNTRY")),
+    Measurement("ioc.feodo_tracker.new_records_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE, "SUM_EVENTS", ("MALWARE", "COUNTRY")),
     Measurement("ioc.sslbl.certificate_listings_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE),
-    Measurement("vulnerability.github_advisory.publications", "COUNT_EVENTS", "PUBLISHED", HOURS, TIME, "SUM", ("SEVERITY",)),
-    Measurement("vulnerability.github_advisory.updates_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE, "SUM", ("SEVERITY",)),
-    Measurement("vulnerability.cisa_ics.advisory_publications", "COUNT_EVENTS", "PUBLISHED", HOURS, TIME, "SUM", ("PUBLISHER",)),
-    Measurement("vulnerability.cisa_ics.advisory_updates_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE, "SUM", ("PUBLISHER",)),
+    Measurement("vulnerability.github_advisory.publications", "COUNT_EVENTS", "PUBLISHED", HOURS, TIME, "SUM_EVENTS", ("SEVERITY",)),
+    Measurement("vulnerability.github_advisory.updates_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE, "SUM_EVENTS", ("SEVERITY",)),
+    Measurement("vulnerability.cisa_ics.advisory_publications", "COUNT_EVENTS", "PUBLISHED", HOURS, TIME, "SUM_EVENTS", ("PUBLISHER",)),
+    Measurement("vulnerability.cisa_ics.advisory_updates_observed", "COUNT_EVENTS", "RECEIVED", HOURS, LIVE, "SUM_EVENTS", ("PUBLISHER",)),
     *[Measurement(f"routing.ripe_ris.{x}", "COUNT_EVENTS", "OBSERVED", ROUTING, LIVE) for x in ("update_messages", "announcement_prefix_events", "withdrawal_prefix_events")],
     *[Measurement(f"routing.ripe_ris.{x}", "COUNT_DISTINCT", "OBSERVED", ROUTING, LIVE) for x in ("distinct_prefixes_observed", "distinct_announced_prefixes", "distinct_withdrawn_prefixes", "distinct_origin_asns_observed")],
 ]

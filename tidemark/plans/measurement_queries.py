@@ -29,7 +29,7 @@ def daily_buckets(spark, d):
     buckets = M.aggregate(facts(spark, d), KEY, "event_time", ["DAY"], value="COUNT_EVENTS").drop("granularity")
     grid = M.spine(source_keys(spark, d), START, END, "DAY")
     available = M.interval_availability(grid, windows(spark, d), KEY, "DAY")
-    out = M.series(source_keys(spark, d), buckets, KEY, START, END, "DAY", "TIME_AVAILABILITY", available)
+    out = M.series(source_keys(spark, d), buckets, KEY, START, END, "DAY", "SOURCE_TIME_AVAILABILITY_REQUIRED", available)
     return out.select("source_key", stamp("bucket_start").alias("bucket"), "available", F.col("gated").cast("bigint").alias("value"))
 
 
@@ -48,14 +48,14 @@ def hourly_availability(spark, d):
 
 @query(
     "bucket_aggregates",
-    f"""WITH g AS (SELECT * FROM (VALUES ('FIVE_MINUTE', 300), ('HOUR', 3600), ('DAY', 86400)) v(granularity, s))
+    f"""WITH g AS (SELECT * FROM (VALUES ('FIVE_MINUTES', 300), ('HOUR', 3600), ('DAY', 86400)) v(granularity, s))
     SELECT event_type AS source_key, granularity, strftime(make_timestamp(CAST(floor(epoch(ts) / s) * s AS BIGINT) * 1000000), {S}) AS bucket,
       count(*) AS n, count(DISTINCT user_id) AS entities, arg_max(value, (ts, event_id)) AS last_value
     FROM events, g GROUP BY 1, 2, 3""",
 )
 def bucket_aggregates(spark, d):
     """Counts, exact distinct entities and last values in 5-minute, hour and day buckets."""
-    out = M.aggregate(facts(spark, d), KEY, "event_time", ["FIVE_MINUTE", "HOUR", "DAY"], n="COUNT_EVENTS", entities="COUNT_DISTINCT", last_value="SNAPSHOT_LAST")
+    out = M.aggregate(facts(spark, d), KEY, "event_time", ["FIVE_MINUTES", "HOUR", "DAY"], n="COUNT_EVENTS", entities="COUNT_DISTINCT", last_value="SNAPSHOT_LAST")
     return out.select("source_key", "granularity", stamp("bucket_start").alias("bucket"), "n", "entities", "last_value")
 
 
@@ -153,7 +153,7 @@ def comparison_sum(spark, d):
 
 @query("period_comparison_distinct", compare_sql("count(DISTINCT user_id) FILTER (WHERE {on})"))
 def comparison_distinct(spark, d):
-    return compared(spark, d, "EXACT_DISTINCT")
+    return compared(spark, d, "EXACT_DISTINCT_QUERY")
 
 
 @query(
@@ -335,7 +335,7 @@ def fan_out(spark, d):
     from tidemark.plans.catalogue import fan_out as fan
 
     axes = {"received": "RECEIVED", "published": "PUBLISHED", "updated": "UPSTREAM_UPDATED"}
-    own = [Measurement(f"{s}.{m}", "COUNT_EVENTS", a, ("DAY",), "TIME_AVAILABILITY") for s in ("click", "purchase") for m, a in axes.items()]
+    own = [Measurement(f"{s}.{m}", "COUNT_EVENTS", a, ("DAY",), "SOURCE_TIME_AVAILABILITY_REQUIRED") for s in ("click", "purchase") for m, a in axes.items()]
     e = events(spark, d)
     records = e.select(F.col("event_type").alias("source_key"), "user_id", F.col("ts").alias("received_at"), F.col("ts").alias("published_at"), F.when(F.col("event_id") % 3 == 0, F.col("ts")).alias("updated_at"), F.lit(None).cast("timestamp").alias("effective_at"))
     rows = fan(records, definitions_frame(spark, own))
