@@ -1,5 +1,7 @@
 """The ten operators against brute force, with nulls, empty texts, ties, repeated rows, empty tables and clashing columns."""
 
+import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -201,6 +203,12 @@ def test_jpeg_round_trip(docs, empty):
         n, payload = progressive_jpeg.padded_text(r.text)
         media = progressive_jpeg.store_payload(payload)
         got = rows[r.doc_id]
+        raw = (r.text or "").encode()
+        assert payload == raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+        assert (got.payload_sha256, got.media_sha256) == (hashlib.sha256(payload).hexdigest(), hashlib.sha256(media).hexdigest())
+        rgb = np.frombuffer(got.rgb, np.uint8).reshape(got.height, got.width, 3)
+        assert (rgb == progressive_jpeg.to_rgb(progressive_jpeg.decode_coefficients(media))).all()
+        assert got.feature == f"{got.height}x{got.width}:" + ",".join(str(rgb[..., i].astype(int).sum()) for i in range(3)) + f":{zlib.crc32(got.rgb)}"
         assert (got.n_bytes, got.payload_bytes, got.tail_crc32, got.media_bytes) == (n, len(payload), zlib.crc32(payload[-64:]), len(media))
     assert rows[0].feature == rows[1].feature and rows[4].media_sha256 == rows[5].media_sha256
     assert progressive_jpeg.media_features(empty).count() == 0
@@ -670,3 +678,97 @@ def test_ngram_join_is_linear_in_a_large_group(spark):
             if share(a, b) >= 0.75:
                 parent[max(find(a), find(b))] = min(find(a), find(b))
     assert all(got[a] == got[find(a)] for a in near)
+
+
+def test_declared_sizes_and_fill_bytes(spark):
+    whole = progressive_jpeg.store_payload(bytes(64))
+    at = whole.index(b"\xff\xc2")
+    huge = whole[: at + 5] + b"\xff\xff\xff\xff" + whole[at + 9 :]
+    filled = whole[:at] + b"\xff\xff" + whole[at:]
+    rows = {r.id: r for r in progressive_jpeg.decode_media(spark.createDataFrame([(1, bytearray(huge)), (2, bytearray(filled)), (3, bytearray(whole))], "id long, content binary")).collect()}
+    assert "pixels" in rows[1].error and rows[2].error is None and rows[2].rgb == rows[3].rgb
+
+
+def test_seats_follow_the_restaurant_law():
+    """Waits that are drawn at once give the tables of a restaurant that seats its customers one by one."""
+    c, n = 400, 6000
+    even = np.full(n, 0.0)
+    d1, d0, rest_k, rest_w, rest_top = 0.6, 0.4, even + 30, even + 5, even + 200
+    key = np.arange(n, dtype=np.uint64) * np.uint64(7919)
+    got = pitman_yor.seat(np.full(n, c), rest_k, rest_w, rest_top, d1, d0, key, 0)
+    r = np.random.default_rng(1)
+    t = np.ones(n)
+    for j in range(1, c):
+        v = (1 + d1 * (rest_k + t)) * (rest_w + t - d0) / (1 + rest_top + t)
+        t += r.random(n) < v / (v + j - d1 * t)
+    assert abs(got.mean() - t.mean()) < 5 * t.std() / n**0.5 * 2**0.5 and abs(got.std() - t.std()) < 0.08 * t.std()
+    assert (pitman_yor.seat(np.array([1, 2]), even[:2], even[:2], even[:2], d1, d0, key[:2], 0) >= 1).all()
+    x = np.array([0.3, 1.0, 2.5, 40.0, 1e6])
+    assert np.allclose(pitman_yor.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-10, atol=1e-10)
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    docs = spark.createDataFrame([(i, prose(i % 11, 40) + f" w{i % 5}") for i in range(60)], "doc_id long, text string")
+    one, many = ({r.doc_id: r.score for r in pitman_yor.score(docs.repartition(n)).collect()} for n in (1, 7))
+    assert all(isclose(one[i], many[i], rel_tol=1e-9) for i in one)
+
+
+def test_quality_scores_are_those_of_a_plain_loop(spark):
+    """Scores of the query against the trained weights applied passage by passage, on long, repeated, null and empty texts."""
+    docs, labels = classified(spark, lambda i: " ".join(["buy", "now!!"] * 40))
+    more = spark.createDataFrame([(2000, prose(77, 20_000)), (2000, prose(77, 20_000)), (2001, "one"), (2002, None), (2003, ""), (None, prose(78, 90))], "doc_id long, text string").withColumn("score", F.lit("clash"))
+    trained = []
+    real = mil_quality.AttentionModel.score
+    scored = mil_quality.score_quality(docs.unionByName(more), labels).collect()
+    sample = mil_quality.labelled_sample(docs.unionByName(more), labels, "quality", mil_quality.in_fold(3) != 1, 4000, "doc_id", "text", 32 << 20).toPandas().sort_values("id", kind="stable")
+    model = mil_quality.AttentionModel().train(*mil_quality.encode(sample["text"].tolist(), mil_quality.WordCodes()), sample["label"].to_numpy(np.float32))
+    assert mil_quality.AttentionModel.score is real and not trained
+    w = {k: v.astype(float) for k, v in model.w.items()}
+    texts = defaultdict(list)
+    for r in docs.unionByName(more).select("doc_id", "text").collect():
+        texts[r.doc_id].append(r.text or "")
+    for r in scored:
+        if r.doc_id is not None and (r.doc_id % 37 == 0 or r.doc_id >= 900):
+            x, sizes = mil_quality.encode(texts[r.doc_id][:1], mil_quality.WordCodes())
+            h = [np.maximum(p @ w["E"] + w["e"], 0) for p in x.astype(float)]
+            e = [float((np.tanh(v @ w["V"]) / (1 + np.exp(-(v @ w["U"])))) @ w["g"][:, 0]) for v in h]
+            a = np.exp(np.array(e) - max(e))
+            z = sum(p * v for p, v in zip(a / a.sum(), h))
+            assert sizes[0] == len(h) and isclose(r.score, 1 / (1 + np.exp(-(z @ w["c"][:, 0] + w["b"][0]))), rel_tol=1e-3, abs_tol=1e-5)
+
+
+def test_sample_is_bounded_by_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * 100) for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, quality int")
+    rows = mil_quality.labelled_sample(docs, labels, "quality", F.lit(True), 40, "doc_id", "text", 1000)
+    assert rows.count() == 10 and mil_quality.labelled_sample(docs, labels, "quality", F.lit(True), 40, "doc_id", "text").count() == 40
+
+
+def test_shards_are_those_of_a_plain_loop(spark, docs):
+    """Places, loads and slots recomputed row by row."""
+    many = spark.createDataFrame([(i % 70 if i < 80 else i, None if i % 9 == 0 else prose(i, 3 + i % 60)) for i in range(300)], "doc_id long, text string")
+    rows = sharding.shard(many, shards=5, virtual_nodes=16, ring_places=512, slack=0.05).toPandas()
+    turn = {r.doc_id: r.h for r in many.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(512)).alias("h")).collect()}
+    weight = Counter()
+    for r in rows.itertuples():
+        weight[turn[r.doc_id]] += r.size
+    order = sharding.ring_order(5, 16, 512)
+    load, owner, bound = [0] * 5, {}, 1.05 * sum(weight.values()) / 5
+    for place in sorted(weight, key=lambda p: (-weight[p], p)):
+        fits = [s for s in order[place] if load[s] + weight[place] <= bound]
+        owner[place] = fits[0] if fits else load.index(min(load))
+        load[owner[place]] += weight[place]
+    assert all(r.shard == owner[turn[r.doc_id]] for r in rows.itertuples())
+    assert all(sorted(g) == list(range(len(g))) for _, g in rows.groupby("shard")["slot"])
+
+
+def test_models_of_other_kinds_are_refused(monkeypatch):
+    import sentencepiece
+
+    class Unigram(sentencepiece.SentencePieceProcessor):
+        def get_score(self, i):
+            return super().get_score(i) / 7 - 0.01
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Unigram)
+    with pytest.raises(ValueError):
+        piece_viterbi.Pieces(public_tokenizers.path("piece_bpe_32k.model"))

@@ -5,8 +5,9 @@ are their tables. The parent's base is continuous, so a word never seen is serve
 held as 62-bit hashes. The state is a table with a row for each pair of context and word, dealt by both; the totals of
 restaurants and of words are tables too, joined to it, so no figure for each context or word reaches the driver. A pair
 seen once sits at one table in every seating, so only pairs seen more often are seated anew. In a Gibbs sweep all
-customers of a dish leave a restaurant and come in again one at a time, given the totals of the sweep before. Scores
-average the predictive probabilities of the kept sweeps.
+customers of a dish leave a restaurant and come in again one at a time, given the totals of the sweep before: dishes are
+seated in parallel, each against the others as they were. Draws follow from the pair and the sweep alone. Scores average the
+predictive probabilities of the kept sweeps. The strengths theta are 1; discounts are estimated from the counts of counts.
 
 Pairs that make up more than 1/FREQUENT_SHARE of all tokens number less than FREQUENT_SHARE whatever the corpus; their
 probabilities are broadcast, and only tokens of other pairs are shuffled.
@@ -37,7 +38,7 @@ FREQUENT_SHARE = 50_000
 AT_ONCE = 3_000_000
 #: Rows that a task seats at once, and rows of a batch it gives out.
 SEATED_AT_ONCE, ROWS_OUT = 200_000, 50_000
-#: Customers that are seated one by one; later ones in growing blocks.
+#: Customers that are seated draw by draw; for later ones the wait for the next new table is drawn.
 ONE_BY_ONE = 48
 ENTRY = np.dtype([("k", "<i8"), ("q", "<f8")])
 SUM = np.dtype([("doc", "<u2"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
@@ -135,10 +136,6 @@ class Totals:
         """The parent's mass for a word that nobody has ordered."""
         return float((THETA0 + self.d0 * self.words) / (THETA0 + self.top))
 
-    def parent(self, tables: np.ndarray) -> np.ndarray:
-        """The parent's probability of a word by its tables below; that of a word without any is one of words + 1."""
-        return np.where(tables > 0, np.maximum(tables - self.d0, 0), self.new_dish() * (THETA0 + self.top) / (self.words + 1)) / (THETA0 + self.top)
-
 
 class Shares(dict):
     """Probabilities of a new table by context, read when asked for; an empty restaurant always opens one."""
@@ -171,31 +168,71 @@ class Model:
         return met.select("k", "w", "cw", (sum((each(s) for s in range(len(self.history))), F.lit(0.0)) / len(self.history)).alias("q"))
 
 
-def seat(c: np.ndarray, up: np.ndarray, d: float, random: np.random.Generator) -> np.ndarray:
-    """Tables of dishes whose c customers come in one at a time; up is the weight of a new table: (theta + d T) p(word)."""
-    t = np.ones(len(c), dtype=np.int64)
-    on = np.flatnonzero(c > 1)
-    j = 1
-    while len(on):
-        step = 1 if j < ONE_BY_ONE else j // 8
-        more = np.minimum(step, c[on] - j)
-        new = up[on] / (up[on] + np.maximum(j - d * t[on], 1e-9))
-        t[on] += random.random(len(on)) < new if step == 1 else random.binomial(more, new)
-        j += step
-        on = on[c[on] > j]
-    return np.minimum(t, c)
+def uniform(key: np.ndarray, sweep: int, step: int) -> np.ndarray:
+    """Numbers in (0, 1) that follow from a pair's key, the sweep and the step alone, however rows are dealt and batched."""
+    with np.errstate(over="ignore"):
+        x = key + np.uint64((sweep + 1) * 0x9E3779B97F4A7C15 & 2**64 - 1) + np.uint64((step + 1) * 0xD1B54A32D192ED03 & 2**64 - 1)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> np.uint64(shift)) * np.uint64(factor)
+        x ^= x >> np.uint64(31)
+    return ((x >> np.uint64(11)).astype(float) + 0.5) / 2**53
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """ln of the gamma function for positive x: Stirling's series eight places further up."""
+    y = x + 8
+    product = np.ones_like(x)
+    for i in range(8):
+        product = product * (x + i)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7) - np.log(product)
 
 
-def moved(many: DataFrame, sums: dict[str, DataFrame], totals: Totals, keep: bool, seed: int) -> DataFrame:
+def seat(c: np.ndarray, rest_k: np.ndarray, rest_w: np.ndarray, rest_top: np.ndarray, d1: float, d0: float, key: np.ndarray, sweep: int) -> np.ndarray:
+    """Tables of dishes whose c customers come in one at a time. rest_k, rest_w and rest_top are the tables of the other dishes
+    of the restaurant, of the word elsewhere, and of all others; a dish's own tables count as they open.
+
+    The first customers draw one by one. After ONE_BY_ONE the wait for the next new table is drawn at once from its law,
+    which is the same as one draw for each customer: none of the next m opens one with probability
+    G(a + m) G(a + v) / (G(a) G(a + m + v)), a = customers - d1 tables, v the weight of a new table.
+    """
+    t, j = np.ones(len(c), dtype=np.int64), np.ones(len(c), dtype=np.int64)
+
+    def weight(on: np.ndarray) -> np.ndarray:
+        return (THETA1 + d1 * (rest_k[on] + t[on])) * (rest_w[on] + t[on] - d0) / (THETA0 + rest_top[on] + t[on])
+
+    on, step = np.flatnonzero(c > 1), 0
+    while len(on) and step < ONE_BY_ONE:
+        v = weight(on)
+        t[on] += uniform(key[on], sweep, step) * (v + j[on] - d1 * t[on]) < v
+        j[on] += 1
+        step += 1
+        on = on[c[on] > j[on]]
+    while len(on):
+        v, a, left = weight(on), j[on] - d1 * t[on], c[on] - j[on]
+        start, drawn = log_gamma(a + v) - log_gamma(a), np.log(uniform(key[on], sweep, step))
+        none = lambda m: start + log_gamma(a + m) - log_gamma(a + m + v)  # noqa: B023, E731
+        never = none(left.astype(float)) > drawn
+        low, high = np.zeros(len(on), dtype=np.int64), left.copy()
+        while (high - low > 1).any():
+            mid = (low + high) // 2
+            after = none(mid.astype(float)) > drawn
+            low, high = np.where(after & (mid > low), mid, low), np.where(after | (mid <= low), high, mid)
+        t[on[~never]] += 1
+        j[on] += np.where(never, left, high)
+        step += 1
+        on = on[c[on] > j[on]]
+    return t
+
+
+def moved(many: DataFrame, sums: dict[str, DataFrame], totals: Totals, keep: bool, sweep: int) -> DataFrame:
     """many with all customers seated anew; the new tables are added to ts if keep."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def seated() -> pa.RecordBatch:
             part = pa.Table.from_batches(pool).combine_chunks().to_batches()[0]
             k, w, c, t, in_k, in_w = (part.column(x).to_numpy() for x in ("k", "w", "c", "t", "k_tables", "w_tables"))
-            random = np.random.default_rng([seed, int(k[0]), int(w[0])])
-            up = (THETA1 + totals.d1 * np.maximum(in_k - t, 0)) * totals.parent((in_w - t).astype(float))
-            t = seat(c, up, totals.d1, random)
+            key = k.astype(np.uint64) ^ w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            t = seat(c, in_k - t, in_w - t, totals.top - t, totals.d1, totals.d0, key, sweep)
             return pa.RecordBatch.from_arrays([part.column("k"), part.column("w"), part.column("c"), pa.array(t), part.column("ts")], names=["k", "w", "c", "t", "ts"])
 
         pool, held = [], 0

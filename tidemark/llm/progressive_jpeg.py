@@ -250,8 +250,8 @@ def read_even_scan(frame: Frame, part: int, symbol: int, first: int, last: int,
     return True
 
 
-def decode_coefficients(data: bytes) -> Frame:
-    """Parse a progressive JPEG and gather its coefficients."""
+def decode_coefficients(data: bytes, max_pixels: int | None = None) -> Frame:
+    """Parse a progressive JPEG and gather its coefficients; a file that declares more pixels than max_pixels is an error."""
     if data[:2] != b"\xff\xd8":
         raise ValueError("not a JPEG")
     frame, tables, restart, at = Frame(), {}, 0, 2
@@ -259,6 +259,9 @@ def decode_coefficients(data: bytes) -> Frame:
         if data[at] != 255:
             raise ValueError("a marker is missing")
         kind = data[at + 1]
+        if kind == 0xFF:  # a fill byte before the marker
+            at += 1
+            continue
         if kind == 0xD9:
             return frame
         size = int.from_bytes(data[at + 2 : at + 4], "big")
@@ -273,6 +276,8 @@ def decode_coefficients(data: bytes) -> Frame:
                 i += 1 + step
         elif kind == 0xC2:
             frame.height, frame.width = int.from_bytes(body[1:3], "big"), int.from_bytes(body[3:5], "big")
+            if max_pixels is not None and frame.height * frame.width > max_pixels:
+                raise ValueError(f"{frame.height} x {frame.width} pixels are more than {max_pixels}")
             frame.components = [(body[i], body[i + 1] >> 4, body[i + 1] & 15, body[i + 2]) for i in range(6, 6 + 3 * body[5], 3)]
             frame.lay_out()
         elif kind in (0xC0, 0xC1, 0xC3, *range(0xC5, 0xC8), *range(0xC9, 0xCC), *range(0xCD, 0xD0)):
@@ -403,15 +408,18 @@ def rgb_feature(rgb: np.ndarray) -> str:
     return f"{rgb.shape[0]}x{rgb.shape[1]}:" + ",".join(str(int(x)) for x in rgb.sum(axis=(0, 1), dtype=np.int64)) + f":{zlib.crc32(rgb.tobytes())}"
 
 
-def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Store every text as a progressive JPEG, read it back, and describe payload, file and RGB tensor.
+def store_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Store every text as a progressive JPEG, read it back, and give payload, file and RGB tensor.
 
-    A null text counts as empty and is stored as one block of zeros; equal texts give equal values; repeated rows are stored
-    each. Other columns are ignored; an empty table gives an empty table.
+    Columns: id, n_bytes, payload_bytes, payload_sha256, tail_crc32 (of the bytes read back), media_bytes, media_sha256, media
+    (the file), feature, height, width, rgb (row-major bytes, 3 a pixel). A null text counts as empty and is stored as one block
+    of zeros; equal texts give equal values; repeated rows are stored each. Other columns are ignored; an empty table gives an
+    empty table.
     """
     text_batches(docs.sparkSession)
+    schema = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, media binary, feature string, height int, width int, rgb binary"
 
-    @F.pandas_udf("n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    @F.pandas_udf(schema)
     def store(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in series:
             rows = []
@@ -419,17 +427,23 @@ def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 n, payload = padded_text(text)
                 media = store_payload(payload)
                 frame = decode_coefficients(media)
-                back = read_payload(frame)
-                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), rgb_feature(to_rgb(frame))))
-            yield pd.DataFrame(rows, columns=["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                back, rgb = read_payload(frame), to_rgb(frame)
+                rows.append((n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), media, rgb_feature(rgb), rgb.shape[0], rgb.shape[1], rgb.tobytes()))
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")]).astype({"height": "int32", "width": "int32"})
 
     return docs.select(F.col(id_col).alias(id_col), store(F.col(text_col)).alias("x")).select(id_col, "x.*")
 
 
-def decode_media(files: DataFrame, id_col: str = "id", data_col: str = "content") -> DataFrame:
+def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """store_media without the file itself: the digests, the feature and the full-resolution RGB tensor of every text."""
+    return store_media(docs, id_col, text_col).drop("media")
+
+
+def decode_media(files: DataFrame, id_col: str = "id", data_col: str = "content", max_pixels: int = 1 << 24) -> DataFrame:
     """id, height, width, rgb (row-major bytes, 3 a pixel) and error of every file of a column of progressive JPEGs.
 
-    A null or unreadable file has null sizes and rgb and says why in error; the others have a null error.
+    A null or unreadable file, or one that declares more than max_pixels, has null sizes and rgb and says why in error; the
+    others have a null error.
     """
     text_batches(files.sparkSession)
 
@@ -441,7 +455,7 @@ def decode_media(files: DataFrame, id_col: str = "id", data_col: str = "content"
                 try:
                     if data is None:
                         raise ValueError("null")
-                    rgb = to_rgb(decode_coefficients(bytes(data)))
+                    rgb = to_rgb(decode_coefficients(bytes(data), max_pixels))
                     rows.append((rgb.shape[0], rgb.shape[1], rgb.tobytes(), None))
                 except (ValueError, IndexError, KeyError) as e:
                     rows.append((None, None, None, str(e) or type(e).__name__))

@@ -63,7 +63,8 @@ def shard(
     """One row per row of docs: id, size, text_crc32, law, shard, slot, grown_shard (null: the law is `bytes`).
 
     size is the UTF-8 bytes of the text (null: none) plus 8. Rows whose id is null are spread by their text. Rows with
-    equal ids share a place, except that a null id counts as no id. An empty table gives an empty table; other columns of
+    equal ids share a place, except that a null id counts as no id. Equal texts under different ids fall where their ids do:
+    they have one size and text_crc32, and no shard of their own. An empty table gives an empty table; other columns of
     docs are ignored.
     """
     spark = docs.sparkSession
