@@ -18,7 +18,7 @@ def test_reports_become_entities_and_facts(spark, tmp_path):
     (tmp_path / "r.json").write_text(json.dumps({"query_status": "ok", "data": rows}))
     reports, _ = feeds.scan_ioc_reports(spark, str(tmp_path / "r.json"))
     out = {r.source_record_id: r for r in canonical.normalize(reports, canonical.mappings()["ioc.threatfox"]).collect()}
-    assert [(e.kind, e.key) for e in out["1"].entities] == [("ip", "1.2.3.4"), ("malware", "win.x")]
+    assert [(e.kind, e.key) for e in out["1"].entities] == [("IP", "1.2.3.4"), ("MALWARE", "win.x")]
     assert out["2"].entities == [] and out["1"].reference_urls == ["https://a.b/"]
     facts = canonical.project_facts(canonical.normalize(reports, canonical.mappings()["ioc.threatfox"]), catalogue.definitions_frame(spark))
     per = {(r.measurement_key, r.entity_key): r for r in facts.collect()}
@@ -30,8 +30,36 @@ def test_mentioned_ids_follow_the_own_entities(spark, tmp_path):
     (tmp_path / "o.json").write_text(json.dumps({"feed": {"entry": [{"id": "SSA-123456", "title": "about cve-2024-0001"}]}}))
     rows = feeds.scan_rolie(spark, str(tmp_path / "o.json"))
     own = canonical.normalize(rows, canonical.mappings()["advisory.siemens"])
-    out = canonical.with_mentioned(own, rows.select(F.col("record_id").alias("source_record_id"), F.col("cves").alias("ids"))).first()
-    assert [(e.kind, e.key) for e in out.entities] == [("advisory", "SSA-123456"), ("cve", "CVE-2024-0001")]
+    assert [(e.kind, e.key) for e in own.first().entities] == [("CVE", "CVE-2024-0001")]
+    more = spark.createDataFrame([("SSA-123456", ["CVE-2024-0002"])], "source_record_id string, ids array<string>")
+    assert [e.key for e in canonical.with_mentioned(own, more).first().entities] == ["CVE-2024-0001", "CVE-2024-0002"]
+
+
+def test_contract_tells_every_reason(spark):
+    good = ("IOC_REPORT", "k", [("IP", "1.2.3.4", None)], [("p", "v")], ["https://a.b/"])
+    rows = [
+        (0, *good), (1, "NOISE", *good[1:]), (2, "UNKNOWN", "", *good[2:]), (3, *good[:2], [("ip", "x", None)], *good[3:]), (4, *good[:2], [("IP", "", "y" * 1025)], *good[3:]),
+        (5, *good[:3], [("", None)], good[4]), (6, *good[:4], ["no url"]), (7, *good[:2], [("IP", str(i), None) for i in range(257)], [("p", "v")] * 513, ["https://a.b/"] * 65), (8, None, None, None, None, None), (9, "UNKNOWN", "k", None, None, None),
+    ]
+    df = spark.createDataFrame(rows, f"id int, record_kind string, canonical_key string, entities {canonical.ENTITY}, facts {canonical.FACT}, reference_urls array<string>")
+    valid, rejects = canonical.validate(df)
+    assert {r.id for r in valid.collect()} == {0, 9}
+    assert {r.id: r.reasons for r in rejects.collect()} == {
+        1: ["RECORD_KIND_UNKNOWN"], 2: ["CANONICAL_KEY_LENGTH"], 3: ["ENTITY_KIND_UNKNOWN"], 4: ["ENTITY_KEY_LENGTH", "ENTITY_LABEL_LENGTH"], 5: ["PREDICATE_LENGTH"], 6: ["REFERENCE_NO_URL"],
+        7: ["TOO_MANY_ENTITIES", "TOO_MANY_FACTS", "TOO_MANY_REFERENCES"], 8: ["RECORD_KIND_UNKNOWN", "CANONICAL_KEY_LENGTH"],
+    }
+
+
+def test_vendors_hashes_and_dates_of_records(spark):
+    from tidemark.operators.entities import project_observations
+
+    kev = spark.sql("select 'CVE-2024-1' cveID, ' Acme ' vendorProject, 'Box' product, 'Known' knownRansomwareCampaignUse, '2024-03-01' dueDate, timestamp'2024-02-01' date_added")
+    out = canonical.normalize(kev, canonical.mappings()["vulnerability.cisa_kev"])
+    row = out.first()
+    assert [e.kind for e in row.entities] == ["CVE", "VENDOR", "PRODUCT"] and row.entities[1].key.startswith("vendor:cisa-kev:") and row.entities[1].label == "Acme"
+    seen = project_observations(out, date_facts={"vulnerability.cisa_kev": "kev.date_added"}).collect()
+    assert {(r.precision, str(r.observed_date), r.observed_time) for r in seen} == {("DATE", "2024-02-01", None)}
+    assert canonical.validate(out)[1].count() == 0
 
 
 def test_configuration_counts(spark):

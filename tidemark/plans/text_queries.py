@@ -128,3 +128,29 @@ def origins(spark, d):
     last = F.when(F.col("event_id") % 6 == 0, F.lit("{64500,64501}")).otherwise((F.lit(64500) + F.col("user_id") % 20).cast("string"))
     rows = events(spark, d).select(X.origin_asns(F.array(F.lit("3333"), last)).alias("o"))
     return rows.select(F.get("o", F.lit(0)).alias("origin")).groupBy("origin").agg(F.count("*").alias("n"))
+
+
+@query(
+    "contract_rejects",
+    """WITH x AS (SELECT doc_id, CASE WHEN source IS NULL THEN 1 ELSE 0 END AS k, coalesce(length(trim(split_part(text, chr(10), 1))), 0) AS n, coalesce(len(list_distinct(regexp_extract_all(text, 'https?://[^\\s<>"]+'))), 0) AS u, len(string_split(text, ' ')) > 512 AS m FROM documents)
+    SELECT doc_id, concat_ws(',', CASE WHEN n NOT BETWEEN 1 AND 1024 THEN 'CANONICAL_KEY_LENGTH' END, CASE WHEN doc_id % 10 = 3 THEN 'ENTITY_KIND_UNKNOWN' END, CASE WHEN n NOT BETWEEN 1 AND 1024 THEN 'ENTITY_KEY_LENGTH' END, CASE WHEN m THEN 'TOO_MANY_FACTS' END, CASE WHEN u > 64 THEN 'TOO_MANY_REFERENCES' END) AS reasons
+    FROM x WHERE n NOT BETWEEN 1 AND 1024 OR doc_id % 10 = 3 OR m OR u > 64""",
+)
+def contract_rejects(spark, d):
+    """Documents as records (the first line is key and entity, every word a fact), and why some break the contract."""
+    from tidemark.sources.canonical import validate
+
+    doc = table(spark, d, "documents")
+    first = F.trim(F.coalesce(F.element_at(F.split("text", "\n"), 1), F.lit("")))
+    kind = F.when(F.col("doc_id") % 10 == 3, "NOISE").otherwise("REPORT")
+    words = F.coalesce(F.split("text", " "), F.array().cast("array<string>"))
+    urls = F.array_distinct(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("https?://[^\\s<>\"]+"), F.lit(0)))
+    rows = doc.select(
+        "doc_id",
+        F.lit("THREAT_RESEARCH_REPORT").alias("record_kind"),
+        first.alias("canonical_key"),
+        F.array(F.struct(kind.alias("kind"), first.alias("key"), F.lit(None).cast("string").alias("label"))).alias("entities"),
+        F.transform(words, lambda w: F.struct(F.lit("word").alias("predicate"), w.alias("value"))).alias("facts"),
+        urls.alias("reference_urls"),
+    )
+    return validate(rows)[1].select("doc_id", F.array_join("reasons", ",").alias("reasons"))

@@ -11,11 +11,41 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import fact, fingerprint, is_live, normalize_indicator, score_band, union_refs
+from tidemark.functions.scalars import extract_ids, fact, fingerprint, is_live, normalize_indicator, scoped_key, score_band, union_refs
 
 ENTITY = "array<struct<kind:string,key:string,label:string>>"
 FACT = "array<struct<predicate:string,value:string>>"
 
+#: Kinds of records and of entities, and the bounds of a record's parts.
+RECORD_KINDS = (
+    "VULNERABILITY_RECORD", "KNOWN_EXPLOITED_VULNERABILITY", "EXPLOIT_PROBABILITY_SCORE", "IOC_REPORT", "MALWARE_SAMPLE_RECORD", "SECURITY_ADVISORY",
+    "CERT_CSIRT_PUBLICATION", "THREAT_RESEARCH_REPORT", "INFRASTRUCTURE_OBSERVATION", "CONTEXT_KNOWLEDGE", "UNKNOWN",
+)
+ENTITY_KINDS = ("CVE", "IP", "DOMAIN", "URL", "HASH", "MALWARE", "VENDOR", "PRODUCT", "PACKAGE", "ASN", "CERTIFICATE", "ATTACK_TECHNIQUE", "ORGANIZATION", "COUNTRY", "SECTOR", "REPORT")
+MAX_KEY, MAX_PREDICATE, MAX_ENTITIES, MAX_FACTS, MAX_REFERENCES = 1024, 256, 256, 512, 64
+
+
+def validate(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records that keep the contract, and the others with `reasons`, all that are broken. record_kind, canonical_key, entities,
+    facts and reference_urls are looked at; a null list counts as an empty one."""
+    listed = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
+    entities, facts, urls = listed("entities", ENTITY), listed("facts", FACT), listed("reference_urls", "array<string>")
+    sized = lambda x, most: F.coalesce(F.length(x).between(1, most), F.lit(False))
+    broken = {
+        "RECORD_KIND_UNKNOWN": ~F.coalesce(F.col("record_kind").isin(*RECORD_KINDS), F.lit(False)),
+        "CANONICAL_KEY_LENGTH": ~sized(F.col("canonical_key"), MAX_KEY),
+        "TOO_MANY_ENTITIES": F.size(entities) > MAX_ENTITIES,
+        "ENTITY_KIND_UNKNOWN": F.exists(entities, lambda e: ~F.coalesce(e["kind"].isin(*ENTITY_KINDS), F.lit(False))),
+        "ENTITY_KEY_LENGTH": F.exists(entities, lambda e: ~sized(e["key"], MAX_KEY)),
+        "ENTITY_LABEL_LENGTH": F.exists(entities, lambda e: e["label"].isNotNull() & ~sized(e["label"], MAX_KEY)),
+        "TOO_MANY_FACTS": F.size(facts) > MAX_FACTS,
+        "PREDICATE_LENGTH": F.exists(facts, lambda f: ~sized(f["predicate"], MAX_PREDICATE)),
+        "TOO_MANY_REFERENCES": F.size(urls) > MAX_REFERENCES,
+        "REFERENCE_NO_URL": F.exists(urls, lambda u: ~F.coalesce(u.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:\S+$"), F.lit(False))),
+    }
+    seen = records.withColumn("reasons", F.array_compact(F.array(*[F.when(bad, F.lit(why)) for why, bad in broken.items()])))
+    return seen.where("size(reasons) = 0").drop("reasons"), seen.where("size(reasons) > 0")
+
 
 def entity(kind: Column | str, key: Column, label: Column | None = None) -> Column:
     """An entity struct, or null where it has no key."""
@@ -40,12 +70,17 @@ class Mapping:
     effective: Column | None = None
     published: Column | None = None
     updated: Column | None = None
+    #: Identifiers of vulnerabilities that a text mentions; each is an entity behind the own ones.
+    mentioned: Column | None = None
 
 
 def normalize(rows: DataFrame, m: Mapping) -> DataFrame:
     """Canonical records of a source."""
     at = lambda c: (c if c is not None else F.lit(None)).cast("timestamp")
     listed = F.array_compact(F.array(*m.entities)).cast(ENTITY) if m.entities else F.array().cast(ENTITY)
+    if m.mentioned is not None:
+        cves = F.transform(m.mentioned, lambda x: F.struct(F.lit("CVE").alias("kind"), x.alias("key"), x.alias("label")))
+        listed = F.concat(listed, F.coalesce(cves, F.array().cast(ENTITY)))
     return rows.select(
         F.lit(m.source_key).alias("source_key"),
         F.lit(m.record_kind).alias("record_kind"),
@@ -67,25 +102,28 @@ def mappings() -> dict[str, Mapping]:
     c = F.col
     one = lambda x: F.array(x)
     indicator = normalize_indicator("ioc_type", "ioc")
+    hashed = indicator["kind"].isin("md5", "sha1", "sha256")
+    kind, key = F.when(hashed, "HASH").otherwise(F.upper(indicator["kind"])), F.when(hashed, F.concat_ws(":", indicator["kind"], indicator["key"])).otherwise(indicator["key"])
+    digest = lambda x: entity("HASH", F.concat(F.lit(f"{x}:"), F.lower(f"{x}_hash")), F.lower(f"{x}_hash"))
     found = [
-        Mapping("vulnerability.cisa_kev", "CATALOG_ENTRY", c("cveID"), [entity("cve", F.upper("cveID")), entity("product", F.lower(F.concat_ws(":", "vendorProject", "product")), c("product"))], {"vendor": c("vendorProject"), "product": c("product"), "ransomware": c("knownRansomwareCampaignUse"), "due_date": c("dueDate")}, effective=c("date_added")),
-        Mapping("vulnerability.nvd", "VULNERABILITY", c("cve_id"), [entity("cve", F.upper("cve_id"))], {"STATUS": c("status"), "CWE": F.array_join("cwes", "|"), "CVSS": F.array_join("cvss", "|")}, published=c("published"), updated=c("modified")),
-        Mapping("exploitation.epss", "SCORE", c("cve"), [entity("cve", c("cve"))], {"score": c("score_text"), "percentile": c("percentile"), "SCORE_BAND": score_band("score")}),
-        Mapping("ioc.threatfox", "IOC_REPORT", c("id"), [entity(indicator["kind"], indicator["key"]), entity("malware", F.lower("malware"), c("malware_printable"))], {"IOC_TYPE": c("ioc_type"), "MALWARE": c("malware"), "confidence": c("confidence_level"), "status": indicator["status"]}, [one(c("reference"))], effective=c("first_seen_at")),
-        Mapping("malware.malwarebazaar", "SAMPLE", c("sha256_hash"), [entity("sha256", F.lower("sha256_hash")), entity("sha1", F.lower("sha1_hash")), entity("md5", F.lower("md5_hash"))], {"FILE_TYPE": c("file_type"), "SIGNATURE": c("signature"), "size": c("file_size")}, effective=c("first_seen_at")),
-        Mapping("ioc.feodo_tracker", "C2_ENDPOINT", c("record_id"), [entity("ip", c("ip_address")), entity("asn", c("as_number").cast("string"), c("as_name"))], {"MALWARE": c("malware"), "COUNTRY": c("country"), "status": c("status"), "port": c("port")}),
-        Mapping("ioc.sslbl", "CERTIFICATE", c("sha1"), [entity("sha1", c("sha1"))], {"reason": c("reason")}, effective=c("listed_at")),
-        Mapping("vulnerability.github_advisory", "ADVISORY", c("ghsa_id"), [entity("ghsa", c("ghsa_id")), entity("cve", F.upper("cve_id")), entity("package", F.lower(F.concat_ws("/", "ecosystem", "package")))], {"SEVERITY": c("severity"), "range": c("range")}, published=c("published"), updated=c("updated")),
-        Mapping("vulnerability.cisa_ics", "ADVISORY", c("advisory_id"), [entity("advisory", c("advisory_id"), c("title"))], {"PUBLISHER": c("publisher"), "CWE": F.array_join("cwes", "|")}),
-        Mapping("vulnerability.jvn", "ADVISORY", c("record_id"), [entity("advisory", c("record_id"), c("title"))], {}, [one(c("link"))], published=c("published")),
-        Mapping("advisory.cert_eu", "ADVISORY", c("serial"), [entity("advisory", c("serial"), c("title"))], {}, [one(c("link"))], published=c("published")),
-        Mapping("advisory.siemens", "ADVISORY", c("record_id"), [entity("advisory", c("record_id"), c("title"))], {}),
-        Mapping("knowledge.attack", "TECHNIQUE", c("external_id"), [entity("technique", c("external_id"), c("name"))], {"tactics": F.array_join("tactics", "|"), "revoked": c("revoked")}),
+        Mapping("vulnerability.cisa_kev", "KNOWN_EXPLOITED_VULNERABILITY", c("cveID"), [entity("CVE", F.upper("cveID")), entity("VENDOR", scoped_key("vendor:cisa-kev:", "vendorProject"), F.trim("vendorProject")), entity("PRODUCT", scoped_key("product:cisa-kev:", "vendorProject", "product"), F.trim("product"))], {"vendor": c("vendorProject"), "product": c("product"), "ransomware": c("knownRansomwareCampaignUse"), "kev.date_added": F.date_format("date_added", "yyyy-MM-dd"), "due_date": c("dueDate")}, effective=c("date_added")),
+        Mapping("vulnerability.nvd", "VULNERABILITY_RECORD", c("cve_id"), [entity("CVE", F.upper("cve_id"))], {"STATUS": c("status"), "CWE": F.array_join("cwes", "|"), "CVSS": F.array_join("cvss", "|")}, published=c("published"), updated=c("modified")),
+        Mapping("exploitation.epss", "EXPLOIT_PROBABILITY_SCORE", c("cve"), [entity("CVE", c("cve"))], {"score": c("score_text"), "percentile": c("percentile"), "SCORE_BAND": score_band("score")}),
+        Mapping("ioc.threatfox", "IOC_REPORT", c("id"), [entity(kind, key, indicator["key"]), entity("MALWARE", F.lower("malware"), c("malware_printable"))], {"IOC_TYPE": c("ioc_type"), "MALWARE": c("malware"), "confidence": c("confidence_level"), "status": indicator["status"]}, [one(c("reference"))], effective=c("first_seen_at")),
+        Mapping("malware.malwarebazaar", "MALWARE_SAMPLE_RECORD", c("sha256_hash"), [digest(x) for x in ("sha256", "sha1", "md5")] + [entity("MALWARE", F.concat(F.lit("malwarebazaar:signature:"), F.lower(F.nullif(F.trim("signature"), F.lit("")))), F.trim("signature"))], {"FILE_TYPE": c("file_type"), "SIGNATURE": c("signature"), "size": c("file_size")}, effective=c("first_seen_at")),
+        Mapping("ioc.feodo_tracker", "IOC_REPORT", c("record_id"), [entity("IP", c("ip_address")), entity("MALWARE", F.concat(F.lit("feodo-label:"), F.regexp_replace(F.lower("malware"), r"\s+", "-")), c("malware"))], {"MALWARE": c("malware"), "COUNTRY": c("country"), "status": c("status"), "port": c("port"), "asn": c("as_number")}),
+        Mapping("ioc.sslbl", "IOC_REPORT", c("sha1"), [entity("CERTIFICATE", F.concat(F.lit("sha1:"), F.lower("sha1")), F.lower("sha1"))], {"reason": c("reason")}, effective=c("listed_at")),
+        Mapping("vulnerability.github_advisory", "SECURITY_ADVISORY", c("ghsa_id"), [entity("CVE", F.upper("cve_id"))], {"SEVERITY": c("severity"), "range": c("range"), "package": F.lower(F.concat_ws("/", "ecosystem", "package"))}, published=c("published"), updated=c("updated")),
+        Mapping("vulnerability.cisa_ics", "SECURITY_ADVISORY", c("advisory_id"), [], {"PUBLISHER": c("publisher"), "CWE": F.array_join("cwes", "|"), "title": c("title")}, mentioned=c("cves")),
+        Mapping("vulnerability.jvn", "SECURITY_ADVISORY", c("record_id"), [], {"title": c("title")}, [one(c("link"))], published=c("published"), mentioned=c("cves")),
+        Mapping("advisory.cert_eu", "CERT_CSIRT_PUBLICATION", c("serial"), [], {"title": c("title")}, [one(c("link"))], published=c("published"), mentioned=extract_ids("title")),
+        Mapping("advisory.siemens", "SECURITY_ADVISORY", c("record_id"), [], {"title": c("title")}, mentioned=c("cves")),
+        Mapping("knowledge.attack", "CONTEXT_KNOWLEDGE", c("external_id"), [entity("ATTACK_TECHNIQUE", c("external_id"), F.concat_ws(" — ", "external_id", "name"))], {"tactics": F.array_join("tactics", "|"), "revoked": c("revoked")}),
     ]
     return {m.source_key: m for m in found}
 
 
-def with_mentioned(canonical: DataFrame, ids: DataFrame, kind: str = "cve") -> DataFrame:
+def with_mentioned(canonical: DataFrame, ids: DataFrame, kind: str = "CVE") -> DataFrame:
     """canonical with the ids that a text mentions (source_record_id, ids) put behind its own entities."""
     extra = F.transform("_ids", lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key"), x.alias("label")))
     joined = canonical.join(ids.select("source_record_id", F.col("ids").alias("_ids")), "source_record_id", "left")
