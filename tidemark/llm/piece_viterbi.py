@@ -46,8 +46,7 @@ class Pieces:
         #: A piece's turn among merges: smaller merges earlier.
         self.turn = {i: -model.get_score(i) for i in plain}
         self.raw = [bytes([int(names[i][1:-1], 16)]) if model.is_byte(i) else names[i].encode() if i in self.turn else b"" for i in range(size)]
-        turns = sorted(self.turn.values())
-        if any(x != int(x) for x in turns) or len(set(turns)) < len(turns):
+        if any(x != int(x) for x in self.turn.values()):
             raise ValueError("the scores are no merge turns: only BPE models are read, whose ids the merges fix")
         self.longest = max(len(names[i]) for i in plain)
         self.longest_run = max((len(names[i]) for i in plain if not names[i].strip(SPACE)), default=1)
