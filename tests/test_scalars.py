@@ -59,3 +59,17 @@ def test_fact_takes_the_last_and_no_blank(spark):
     df = spark.sql("select array(struct('p' as predicate, '1' as value), struct('p' as predicate, '' as value), struct('q' as predicate, 'x' as value)) as facts")
     row = df.select(X.fact("facts", "p").alias("p"), X.fact("facts", "q", "double").alias("q"), X.fact("facts", "none").alias("n")).first()
     assert (row.p, row.q, row.n) == (None, None, None)
+
+
+def test_address_bits_agree_with_the_library(spark):
+    import ipaddress
+
+    good = ["1.2.3.4", "0.0.0.0", "255.255.255.255", "::", "::1", "2001:db8::", "2001:DB8:0:1::ff", "1:2:3:4:5:6:7:8", "fe80::1:2", "::ffff:1.2.3.4", "1:2:3:4:5:6:1.2.3.4", "64:ff9b::192.0.2.33"]
+    bad = ["", "1.2.3", "1.2.3.256", "1:2:3", "1::2::3", ":::", "12345::", "g::1", "1:2:3:4:5:6:7:8:9", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8::", None]
+    rows = spark.createDataFrame([(x,) for x in good + bad], "v string").select("v", X.address_bits("v").alias("b")).collect()
+    for r in rows:
+        if r.v in bad:
+            assert r.b is None, r.v
+        else:
+            a = ipaddress.ip_address(r.v)
+            assert r.b == f"{a.version}" + format(int(a), f"0{a.max_prefixlen}b"), r.v

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.routing import routing_minutes
+from tidemark.operators.routing import final_minutes, minute_coverage, revised_minutes, routing_minutes
 from tidemark.streaming import routing_stream as S
 
 
@@ -44,3 +44,28 @@ def test_zero_minutes_and_redirty(spark):
     minutes = spark.sql("select timestamp'2024-01-01 00:01:00' as bucket_start, 5L as messages")
     assert {(str(r.bucket_start)[-5:], r.messages) for r in S.fill_minutes(minutes, sessions).collect()} == {("00:00", 0), ("01:00", 5), ("02:00", 0)}
     assert S.redirty(sessions).count() == 3
+
+
+def test_late_rows_revise_their_minute(spark, tmp_path):
+    feed(tmp_path / "in")
+    read = lambda: S.parse_stream(S.read_messages(spark, str(tmp_path / "in")))[0]
+    run = lambda: (S.write_minutes(S.minute_stream(read()), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(), S.write_segments(read(), str(tmp_path / "seg"), str(tmp_path / "cp2")).awaitTermination())
+    run()
+    (tmp_path / "in" / "late.txt").write_text(line(500, 1704067205, ["10.77.0.0/16"]))
+    run()
+    minutes, kept = spark.read.parquet(str(tmp_path / "out")), spark.read.parquet(str(tmp_path / "seg" / "segments"))
+    first = minutes.where("bucket_start = timestamp'2024-01-01 00:00:00'").first()
+    rows = {str(r.bucket_start): r for r in final_minutes(revised_minutes(kept, minutes), F.lit("2024-01-01 00:30:00").cast("timestamp")).collect()}
+    assert list(rows) == ["2024-01-01 00:00:00"]
+    new = rows["2024-01-01 00:00:00"]
+    assert (new.messages, new.announcements) == (first.messages + 1, first.announcements + 1)
+
+
+def test_rejected_lines_degrade_their_minute(spark):
+    lines = spark.createDataFrame([(json.dumps({"timestamp": 1704067230}), "2024-01-01 09:00:00"), ("no message", "2024-01-01 00:02:10"), (line(1, 1704067270, ["10.0.0.0/24"]), "2024-01-01 00:01:11")], "value string, received string").withColumn("received", F.col("received").cast("timestamp"))
+    bad = S.rejected_minutes(lines, "received")
+    assert {(str(r.bucket_start)[-5:], r.rejected) for r in bad.collect()} == {("00:00", 1), ("02:00", 1)}
+    minutes = spark.sql("select explode(sequence(timestamp'2024-01-01 00:00:00', timestamp'2024-01-01 00:02:00', interval 1 minute)) as bucket_start")
+    sessions = spark.sql("select timestamp'2024-01-01 00:00:00' as start, timestamp'2024-01-01 00:03:00' as end, 'p' as profile, false as degraded")
+    got = {str(r.bucket_start)[-5:]: r.coverage for r in minute_coverage(minutes, sessions, bad).collect()}
+    assert got == {"00:00": "DEGRADED", "01:00": "COMPLETE", "02:00": "DEGRADED"}

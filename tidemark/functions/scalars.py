@@ -195,3 +195,22 @@ def v4_number(ip: Column | str) -> Column:
     part = F.split(col(ip), r"\.")
     number = sum((part[i].try_cast("bigint") * (256 ** (3 - i)) for i in range(4)), F.lit(0).cast("bigint"))
     return F.when(col(ip).rlike(rf"^{octet}(\.{octet}){{3}}$"), number)
+
+
+def address_bits(ip: Column | str) -> Column:
+    """The address as text: its family (4 or 6) and its 32 or 128 bits; null if it is none. A prefix of length n holds it if
+    their first n + 1 characters agree. IPv6 may be compressed, in either case, with an IPv4 tail."""
+    v4, whole = v4_number(ip), F.lower(col(ip))
+    tail = F.regexp_extract(whole, r"([0-9.]+)$", 1)
+    dotted = F.instr(whole, ".") > 0
+    last = F.lpad(F.lower(F.hex(v4_number(tail))), 8, "0")
+    plain = F.when(dotted, F.concat(F.regexp_replace(whole, r"[0-9.]+$", ""), F.substring(last, 1, 4), F.lit(":"), F.substring(last, 5, 4))).otherwise(whole)
+    halves = F.split(plain, "::")
+    groups = lambda half: F.filter(F.split(F.coalesce(half, F.lit("")), ":"), lambda g: g != "")
+    left, right = groups(F.get(halves, F.lit(0))), groups(F.get(halves, F.lit(1)))
+    short = F.instr(plain, "::") > 0
+    gap = F.lit(8) - F.size(left) - F.size(right)
+    every = F.concat(left, F.when(short & (gap > 0), F.array_repeat(F.lit("0"), gap)).otherwise(F.array().cast("array<string>")), right)
+    shape = plain.rlike(r"^([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?(::([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?)?$") & (F.size(every) == 8) & (~short | (gap > 0))
+    bits = F.array_join(F.transform(every, lambda g: F.lpad(F.conv(g, 16, 2), 16, "0")), "")
+    return F.when(v4.isNotNull(), F.concat(F.lit("4"), F.lpad(F.bin(v4), 32, "0"))).when(shape, F.concat(F.lit("6"), bits))

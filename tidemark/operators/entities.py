@@ -216,8 +216,18 @@ def top_movers(activity: DataFrame, n: int) -> DataFrame:
 
 
 def geo_assert(obs: DataFrame, geo: DataFrame, key: str) -> DataFrame:
-    """obs with each asserted country of its place; unknown places give no row."""
-    return obs.join(geo.where("country is not null"), key)
+    """obs with each asserted country of its place. Places without a country and bogons (where geo has such a column) assert
+    nothing, and unknown places give no row."""
+    known = geo.where("country is not null")
+    if "bogon" in geo.columns:
+        known = known.where("not coalesce(bogon, false)").drop("bogon")
+    return obs.join(known, key)
+
+
+def geo_pending(entities: DataFrame, receipts: DataFrame, key: str, policy: str, now: Column, refresh_s: int) -> DataFrame:
+    """Entities to look up: those without a receipt (key, policy, looked_up_at) of this policy in the last refresh_s seconds."""
+    fresh = receipts.where((F.col("policy") == policy) & (F.unix_timestamp("looked_up_at") > F.unix_timestamp(now) - refresh_s))
+    return entities.join(fresh.select(key).distinct(), key, "left_anti")
 
 
 def geo_map(asserted: DataFrame, cap: int = 250) -> DataFrame:
@@ -252,6 +262,64 @@ def lineage(entities: DataFrame, observations: DataFrame, buckets: DataFrame, fi
     return out.select("entity_key", "depth", "node_type", "node_key", "position", "truncated")
 
 
+#: Relations of a lineage graph.
+TO_HISTORY, ASSERTS, NORMALIZED, COLLECTED, TO_ACTIVITY, SUPPORTS = "CONTRIBUTES_TO_HISTORY", "ASSERTS_ENTITY", "NORMALIZED_FROM", "COLLECTED_FROM", "CONTRIBUTES_TO_ACTIVITY", "SUPPORTS_CONVERGENCE"
+
+
+def lineage_graph(history: DataFrame, observations: DataFrame, buckets: DataFrame, findings: DataFrame, depth: int = 3, limits: tuple[int, int, int] = (50, 10, 20), node_cap: int = 100, edge_cap: int = 200) -> tuple[DataFrame, DataFrame]:
+    """The lineage of every entity of `history` at once: nodes (entity_key, node_id, node_type, position, truncated) and edges
+    (entity_key, source, target, relation, position).
+
+    history: entity_key, history_id. observations: entity_key, observation_id, canonical_id, raw_id, source_key, at. buckets:
+    entity_key, bucket_id, at. findings: entity_key, finding_id, bucket_id, at. The newest of each kind up to limits; records
+    from depth 2 on, raw records and sources at depth 3. The first node_cap nodes stay, then the first edge_cap edges with
+    both ends among them; truncated tells that the nodes are as many as the cap, or that an edge was left out. Nulls among
+    canonical_id and raw_id give no node, and so no edge.
+    """
+    ident = lambda kind, c: F.concat(F.lit(f"{kind}:"), F.col(c).cast("string"))
+    node = lambda step, kind, name, c: F.struct(F.lit(step).alias("step"), ident(kind, c).alias("id"), F.lit(name).alias("type"))
+    edge = lambda step, a, b, relation: F.struct(F.lit(step).alias("step"), a.alias("source"), b.alias("target"), F.lit(relation).alias("relation"))
+    newest = lambda df, row_id, n: heads(df.join(history.select("entity_key").distinct(), "entity_key", "left_semi"), ["entity_key"], [F.desc("at"), F.asc(row_id)], n)
+    place = lambda df, row_id: df.withColumn("r", F.row_number().over(Window.partitionBy("entity_key").orderBy(F.desc("at"), F.asc(row_id))))
+
+    def rows(df: DataFrame, phase: int, nodes: list[Column], edges: list[Column]) -> tuple[DataFrame, DataFrame]:
+        own = lambda items: df.select("entity_key", F.lit(phase).alias("phase"), "r", F.explode(F.array(*items)).alias("x")).select("entity_key", "phase", "r", "x.*")
+        return own(nodes), own(edges)
+
+    entity = ident("entity", "entity_key")
+    parts = [rows(history.withColumn("r", F.lit(1)), 0, [node(0, "entity", "ENTITY", "entity_key"), node(1, "history", "ENTITY_HISTORY_REVISION", "history_id")], [edge(0, entity, ident("history", "history_id"), TO_HISTORY)])]
+    seen, canonical, raw = (ident(*x) for x in (("observation", "observation_id"), ("canonical", "canonical_id"), ("raw", "raw_id")))
+    nodes, edges = [node(0, "observation", "ENTITY_OBSERVATION_REVISION", "observation_id")], [edge(0, seen, entity, ASSERTS)]
+    if depth >= 2:
+        nodes.append(node(1, "canonical", "CANONICAL_RECORD", "canonical_id"))
+        edges.append(edge(1, canonical, seen, ASSERTS))
+    if depth >= 3:
+        nodes += [node(2, "raw", "RAW_SOURCE_RECORD", "raw_id"), node(3, "source", "SOURCE_DEFINITION", "source_key")]
+        edges += [edge(2, raw, canonical, NORMALIZED), edge(3, raw, ident("source", "source_key"), COLLECTED)]
+    parts.append(rows(place(newest(observations, "observation_id", limits[0]), "observation_id"), 1, nodes, edges))
+    parts.append(rows(place(newest(buckets, "bucket_id", limits[1]), "bucket_id"), 2, [node(0, "activity", "ACTIVITY_BUCKET_REVISION", "bucket_id")], [edge(0, entity, ident("activity", "bucket_id"), TO_ACTIVITY)]))
+    parts.append(rows(place(newest(findings, "finding_id", limits[2]), "finding_id"), 3, [node(0, "finding", "CONVERGENCE_FINDING_REVISION", "finding_id")], [edge(0, ident("activity", "bucket_id"), ident("finding", "finding_id"), SUPPORTS)]))
+    all_nodes, all_edges = parts[0]
+    for n, e in parts[1:]:
+        all_nodes, all_edges = all_nodes.unionByName(n), all_edges.unionByName(e)
+
+    order = F.struct("phase", "r", "step")
+    first = all_nodes.where("id is not null").groupBy("entity_key", F.col("id").alias("node_id")).agg(F.min(F.struct(order.alias("order"), "type")).alias("_n"))
+    placed = first.withColumn("position", F.row_number().over(Window.partitionBy("entity_key").orderBy("_n.order"))).where(F.col("position") <= node_cap)
+    inside = placed.select("entity_key", "node_id")
+    # A finding's edge counts only if its bucket is a node, and nulls have no record to point to.
+    told = all_edges.where("source is not null and target is not null")
+    met = told.join(inside.select("entity_key", F.col("node_id").alias("source"), F.lit(True).alias("_s")), ["entity_key", "source"], "left").join(inside.select("entity_key", F.col("node_id").alias("target"), F.lit(True).alias("_t")), ["entity_key", "target"], "left")
+    met = met.where((F.col("relation") != SUPPORTS) | F.col("_s")).withColumn("_both", F.coalesce(F.col("_s") & F.col("_t"), F.lit(False)))
+    in_order = Window.partitionBy("entity_key", "_both").orderBy(order, "source", "target")
+    ranked = met.withColumn("position", F.row_number().over(in_order))
+    out_of = ranked.groupBy("entity_key").agg(F.bool_or(~F.col("_both") | (F.col("position") > edge_cap)).alias("_cut"))
+    sizes = placed.groupBy("entity_key").agg(F.count("*").alias("_all"))
+    flags = sizes.join(out_of, "entity_key", "left").select("entity_key", ((F.col("_all") >= node_cap) | F.coalesce("_cut", F.lit(False))).alias("truncated"))
+    edges_out = ranked.where(F.col("_both") & (F.col("position") <= edge_cap)).select("entity_key", "source", "target", "relation", "position")
+    return placed.join(flags, "entity_key").select("entity_key", "node_id", F.col("_n.type").alias("node_type"), "position", "truncated"), edges_out
+
+
 def related(canonical: DataFrame, entities: DataFrame, n: int, source_key: str | None = None, start: str | None = None, end: str | None = None, before: str | None = None) -> DataFrame:
     """The newest n records that mention each wanted entity (kind, key): an exploded entity index and an equi join. Optional
     filters: a source, a half-open range of time, and the record id that a page before this one ended at."""

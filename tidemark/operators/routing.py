@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import bucket_start, v4_number
+from tidemark.functions.scalars import address_bits, bucket_start
 from tidemark.operators.measure import GRANULARITY, overlap
 
 #: Minutes that a complete rollup has, and the lateness of a minute.
@@ -119,19 +119,68 @@ def routing_rollup(minutes: DataFrame, obs: DataFrame, granularity: str, at: str
     return out.withColumns(values).withColumn("missing", F.col("expected") - F.col("rows")).drop("_same", "_messages")
 
 
-def covering_prefix(ips: DataFrame, prefixes: DataFrame, ip: str = "ip", prefix: str = "prefix") -> DataFrame:
-    """ips with the most specific IPv4 prefix that holds each (null: none). An address makes one candidate for each of
-    the 33 mask lengths, and candidates meet prefixes by equality."""
+def network_bits(prefix: str) -> Column:
+    """The family and the first bits of a prefix, as many as its length says; null if it is none. Host bits are masked."""
     parts = F.split(prefix, "/")
-    known = prefixes.select(prefix, v4_number(parts[0]).alias("_net"), parts[1].try_cast("int").alias("_len")).where("_net is not null and _len between 0 and 32").distinct()
-    size = lambda n: F.pow(F.lit(2.0), F.lit(32) - n).cast("bigint")
-    known = known.withColumn("_net", F.col("_net") - F.pmod(F.col("_net"), size(F.col("_len")))).groupBy("_net", "_len").agg(F.min(prefix).alias("covering"))
-    own = ips.select(ip).distinct().withColumn("_n", v4_number(ip)).where("_n is not null")
-    tried = own.withColumn("_len", F.explode(F.sequence(F.lit(0), F.lit(32)))).withColumn("_net", F.col("_n") - F.pmod(F.col("_n"), size(F.col("_len"))))
-    best = tried.join(known, ["_net", "_len"]).groupBy(ip).agg(F.max_by("covering", "_len").alias("covering"))
+    bits, length = address_bits(parts[0]), F.get(parts, F.lit(1)).try_cast("int")
+    return F.when((F.size(parts) == 2) & length.between(0, F.length(bits) - 1), F.substr(bits, F.lit(1), length + 1))
+
+
+def candidate_networks(ips: DataFrame, ip: str) -> DataFrame:
+    """ip, _net: every network that could hold each distinct address, 33 for IPv4 and 129 for IPv6."""
+    own = ips.select(ip).distinct().withColumn("_bits", address_bits(ip)).where("_bits is not null")
+    return own.select(ip, F.explode(F.transform(F.sequence(F.lit(1), F.length("_bits")), lambda n: F.substr("_bits", F.lit(1), n))).alias("_net"))
+
+
+def covering_prefix(ips: DataFrame, prefixes: DataFrame, ip: str = "ip", prefix: str = "prefix") -> DataFrame:
+    """ips with the most specific prefix that holds each (null: none). Candidates meet prefixes by equality."""
+    known = prefixes.select(prefix).distinct().withColumn("_net", network_bits(prefix)).where("_net is not null").groupBy("_net").agg(F.min(prefix).alias("covering"))
+    best = candidate_networks(ips, ip).join(known, "_net").groupBy(ip).agg(F.max_by("covering", F.length("_net")).alias("covering"))
     return ips.join(best, ip, "left")
 
 
+def covering_minutes(ips: DataFrame, obs: DataFrame, ip: str = "ip", at: str = "observed_at") -> DataFrame:
+    """The most specific prefix of each minute that holds each address: ip, bucket_start, covering, announced, withdrawn.
+
+    A minute without such a prefix gives no row; of one network written in two ways, the smaller text is named.
+    """
+    kinds = F.concat(*[tagged(k, F.coalesce(F.col(k), F.array().cast("array<string>"))) for k in ("announced", "withdrawn")])
+    rows = obs.select(bucket_start(at, "MINUTE").alias("bucket_start"), F.explode(kinds).alias("m")).groupBy("bucket_start", F.col("m.member").alias("covering")).agg(
+        *[F.bool_or(F.col("m.kind") == k).alias(k) for k in ("announced", "withdrawn")]
+    )
+    known = rows.withColumn("_net", network_bits("covering")).where("_net is not null")
+    met = candidate_networks(ips, ip).join(known, "_net")
+    best = met.groupBy(ip, "bucket_start").agg(F.min(F.struct((-F.length("_net")).alias("_n"), "covering", "announced", "withdrawn")).alias("_b"))
+    return best.select(ip, "bucket_start", "_b.covering", "_b.announced", "_b.withdrawn")
+
+
+def due_buckets(buckets: DataFrame, granularity: str, now: Column) -> DataFrame:
+    """Buckets that may be materialised: minutes always, larger ones once they have ended."""
+    if granularity == "MINUTE":
+        return buckets
+    return buckets.where(F.unix_timestamp("bucket_start") + MINUTES[granularity] * 60 <= F.unix_timestamp(now))
+
+
+def final_minutes(buckets: DataFrame, now: Column, lateness_s: int = LATENESS_S) -> DataFrame:
+    """Minutes whose end lies lateness_s or more before now."""
+    return buckets.where(F.unix_timestamp("bucket_start") + 60 + lateness_s <= F.unix_timestamp(now))
+
+
+def late_minutes(obs: DataFrame, minutes: DataFrame, at: str = "observed_at") -> DataFrame:
+    """bucket_start of minutes that hold other observations than their materialised row counted: late ones came since, or the
+    row is missing."""
+    seen = obs.groupBy(bucket_start(at, "MINUTE").alias("bucket_start")).agg(F.count("*").alias("_seen"))
+    both = seen.join(minutes.select("bucket_start", F.col("messages").alias("_had")), "bucket_start", "left")
+    return both.where(~F.col("_seen").eqNullSafe(F.col("_had"))).select("bucket_start")
+
+
+def revised_minutes(obs: DataFrame, minutes: DataFrame, at: str = "observed_at") -> DataFrame:
+    """Minutes with late observations, counted anew from all that is kept of them; other minutes give no row."""
+    dirty = late_minutes(obs, minutes, at)
+    own = obs.withColumn("_m", bucket_start(at, "MINUTE")).join(dirty.withColumnRenamed("bucket_start", "_m"), "_m", "left_semi").drop("_m")
+    return routing_minutes(own, at)
+
+
 def next_event(rows: DataFrame, key: Sequence[str], at: str, wanted: Column, name: str, span: str = "HOUR") -> DataFrame:
     """The time of the first wanted row later than each row of its key (forward as-of join; a row of the same time isn't later).
 

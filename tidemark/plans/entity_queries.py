@@ -207,6 +207,68 @@ def lineage(spark, d):
 query("lineage_nodes_all", ORACLES["lineage_nodes"])(lineage)
 
 
+GRAPH = f"""{FINDINGS}, w AS (SELECT DISTINCT entity_key FROM obs),
+    o AS (SELECT entity_key, observation_key AS k, source_key, row_number() OVER (PARTITION BY entity_key ORDER BY t0 DESC, observation_key) AS r FROM obs QUALIFY r <= 50),
+    u AS (SELECT entity_key, granularity || '|' || strftime(b, {S}) AS k, row_number() OVER (PARTITION BY entity_key ORDER BY b DESC, granularity || '|' || strftime(b, {S})) AS r FROM act QUALIFY r <= 10),
+    f AS (SELECT entity_key, finding || '|' || granularity || '|' || strftime(b, {S}) AS k, granularity || '|' || strftime(b, {S}) AS bk, row_number() OVER (PARTITION BY entity_key ORDER BY b DESC, finding || '|' || granularity || '|' || strftime(b, {S})) AS r FROM fi QUALIFY r <= 20),
+    n AS (SELECT entity_key, 0 AS p, 1 AS r, 0 AS s, 'entity:' || entity_key AS id, 'ENTITY' AS t FROM w UNION ALL SELECT entity_key, 0, 1, 1, 'history:h' || entity_key, 'ENTITY_HISTORY_REVISION' FROM w
+      UNION ALL SELECT entity_key, 1, r, 0, 'observation:' || k, 'ENTITY_OBSERVATION_REVISION' FROM o UNION ALL SELECT entity_key, 1, r, 1, 'canonical:' || k, 'CANONICAL_RECORD' FROM o
+      UNION ALL SELECT entity_key, 1, r, 2, 'raw:' || CAST(floor(k / 4) AS BIGINT), 'RAW_SOURCE_RECORD' FROM o UNION ALL SELECT entity_key, 1, r, 3, 'source:' || source_key, 'SOURCE_DEFINITION' FROM o
+      UNION ALL SELECT entity_key, 2, r, 0, 'activity:' || k, 'ACTIVITY_BUCKET_REVISION' FROM u UNION ALL SELECT entity_key, 3, r, 0, 'finding:' || k, 'CONVERGENCE_FINDING_REVISION' FROM f),
+    d AS (SELECT entity_key, id, min((p, r, s)) AS x, arg_min(t, (p, r, s)) AS t FROM n GROUP BY 1, 2), pn AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY x) AS position FROM d QUALIFY position <= 100),
+    e AS (SELECT entity_key, 0 AS p, 1 AS r, 0 AS s, 'entity:' || entity_key AS a, 'history:h' || entity_key AS b, 'CONTRIBUTES_TO_HISTORY' AS relation FROM w UNION ALL SELECT entity_key, 1, r, 0, 'observation:' || k, 'entity:' || entity_key, 'ASSERTS_ENTITY' FROM o
+      UNION ALL SELECT entity_key, 1, r, 1, 'canonical:' || k, 'observation:' || k, 'ASSERTS_ENTITY' FROM o UNION ALL SELECT entity_key, 1, r, 2, 'raw:' || CAST(floor(k / 4) AS BIGINT), 'canonical:' || k, 'NORMALIZED_FROM' FROM o
+      UNION ALL SELECT entity_key, 1, r, 3, 'raw:' || CAST(floor(k / 4) AS BIGINT), 'source:' || source_key, 'COLLECTED_FROM' FROM o UNION ALL SELECT entity_key, 2, r, 0, 'entity:' || entity_key, 'activity:' || k, 'CONTRIBUTES_TO_ACTIVITY' FROM u
+      UNION ALL SELECT f.entity_key, 3, f.r, 0, 'activity:' || f.bk, 'finding:' || f.k, 'SUPPORTS_CONVERGENCE' FROM f JOIN pn ON pn.entity_key = f.entity_key AND pn.id = 'activity:' || f.bk),
+    eb AS (SELECT e.*, s.id IS NOT NULL AND g.id IS NOT NULL AS both_in FROM e LEFT JOIN pn s ON s.entity_key = e.entity_key AND s.id = a LEFT JOIN pn g ON g.entity_key = e.entity_key AND g.id = b),
+    pe AS (SELECT *, row_number() OVER (PARTITION BY entity_key, both_in ORDER BY p, r, s) AS position FROM eb)"""
+
+
+def graph(spark, d):
+    """The lineage graph of every entity: nodes and edges."""
+    obs, act = observations(spark, d), E.entity_activity(contributing(spark, d))
+    bucket = F.concat_ws("|", "granularity", stamp("bucket_start"))
+    seen = obs.select("entity_key", F.col("observation_key").alias("observation_id"), F.col("observation_key").alias("canonical_id"), F.floor(F.col("observation_key") / 4).alias("raw_id"), "source_key", F.coalesce("observed_time", F.col("observed_date").cast("timestamp")).alias("at"))
+    found = E.convergence(act, 3600).select("entity_key", F.concat_ws("|", "finding", bucket).alias("finding_id"), bucket.alias("bucket_id"), F.col("bucket_start").alias("at"))
+    return E.lineage_graph(obs.select("entity_key").distinct().withColumn("history_id", F.concat(F.lit("h"), "entity_key")), seen, act.select("entity_key", bucket.alias("bucket_id"), F.col("bucket_start").alias("at")), found)
+
+
+@query(
+    "lineage_graph_nodes",
+    f"""WITH {GRAPH}, c AS (SELECT entity_key, bool_or(NOT both_in OR position > 200) AS cut FROM pe GROUP BY 1), z AS (SELECT entity_key, count(*) AS every FROM pn GROUP BY 1)
+    SELECT entity_key, id AS node_id, t AS node_type, position, every >= 100 OR coalesce(cut, false) AS truncated FROM pn JOIN z USING (entity_key) LEFT JOIN c USING (entity_key)""",
+)
+def graph_nodes(spark, d):
+    """Nodes of the lineage graph."""
+    return graph(spark, d)[0]
+
+
+@query("lineage_graph_edges", f"WITH {GRAPH} SELECT entity_key, a AS source, b AS target, relation, position FROM pe WHERE both_in AND position <= 200")
+def graph_edges(spark, d):
+    """Edges of the lineage graph."""
+    return graph(spark, d)[1]
+
+
+@query(
+    "geo_assertions",
+    """SELECT n_name AS country, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0 GROUP BY 1""",
+)
+def geo_assertions(spark, d):
+    """Asserted countries; customers in debt stand for bogons."""
+    geo = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("country"), (F.col("c_acctbal") < 0).alias("bogon"))
+    return E.geo_assert(table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), geo, "c_custkey").groupBy("country").agg(F.count("*").alias("n"))
+
+
+@query(
+    "geo_pending",
+    """SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate > DATE '1997-01-01')""",
+)
+def geo_pending(spark, d):
+    """Customers without a fresh look-up of the policy; urgent orders stand for look-ups."""
+    receipts = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("policy"), F.col("o_orderdate").cast("timestamp").alias("looked_up_at"))
+    return E.geo_pending(table(spark, d, "customer").select("c_custkey"), receipts, "c_custkey", "1-URGENT", F.lit("1997-01-02").cast("timestamp"), 86400)
+
+
 @query(
     "related_records",
     f"""WITH {EVENTS}, ix AS (SELECT event_id, ts, 'user' AS kind, CAST(user_id AS VARCHAR) AS key FROM ev UNION ALL SELECT event_id, ts, 'item', k FROM ev), r AS (SELECT *, row_number() OVER (PARTITION BY kind, key ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS r FROM ix  WHERE key IS NOT NULL)

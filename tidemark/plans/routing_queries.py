@@ -107,6 +107,65 @@ def covering_prefix(spark, d):
     return R.covering_prefix(ips, routing(spark, d).select(F.explode("announced").alias("prefix")))
 
 
+@query(
+    "covering_minutes",
+    f"""WITH {ROUTING}, ip AS (SELECT DISTINCT '10.' || (user_id % 12) || '.' || (event_id % 40) || '.1' AS ip FROM events),
+    px AS (SELECT m, small AS prefix, 24 AS len, bool_or(event_type <> 'error') AS announced, bool_or(event_type = 'view') AS withdrawn FROM ro WHERE event_type <> 'error' GROUP BY 1, 2
+      UNION ALL SELECT m, big, 16, true, false FROM ro WHERE event_type <> 'error' GROUP BY 1, 2),
+    ips AS (SELECT ip, regexp_extract(ip, '^(\\d+\\.\\d+\\.\\d+)\\.', 1) || '.0/24' AS p FROM ip UNION ALL SELECT ip, regexp_extract(ip, '^(\\d+\\.\\d+)\\.', 1) || '.0.0/16' FROM ip),
+    b AS (SELECT ip, m, prefix, announced, withdrawn FROM ips JOIN px ON p = prefix QUALIFY row_number() OVER (PARTITION BY ip, m ORDER BY len DESC) = 1)
+    SELECT ip, strftime(m, {S}) AS minute, prefix AS covering, announced, withdrawn FROM b""",
+)
+def covering_minutes(spark, d):
+    """The most specific prefix of each minute for each address."""
+    ips = events(spark, d).select(F.concat_ws(".", F.lit("10"), F.col("user_id") % 12, F.col("event_id") % 40, F.lit("1")).alias("ip")).distinct()
+    return R.covering_minutes(ips, routing(spark, d)).select("ip", stamp("bucket_start").alias("minute"), "covering", "announced", "withdrawn")
+
+
+@query(
+    "covering_prefix_v6",
+    """WITH ip AS (SELECT DISTINCT user_id % 300 AS u, event_id % 50 AS e FROM events), px AS (SELECT DISTINCT user_id % 40 AS u, event_id % 20 AS e FROM events)
+    SELECT '2001:db8:' || lower(to_hex(u)) || '::' || lower(to_hex(e)) AS ip, CASE WHEN (u, e) IN (SELECT (u, e) FROM px) THEN '2001:DB8:' || lower(to_hex(u)) || '::' || lower(to_hex(e)) || '/128' WHEN u IN (SELECT u FROM px) THEN '2001:0db8:' || lower(to_hex(u)) || '::/48' END AS covering FROM ip""",
+)
+def covering_prefix_v6(spark, d):
+    """Longest-prefix match of IPv6 addresses, written in other ways than the prefixes."""
+    e = events(spark, d)
+    low = lambda c, n: F.lower(F.hex(F.col(c) % n))
+    ips = e.select(F.concat(F.lit("2001:db8:"), low("user_id", 300), F.lit("::"), low("event_id", 50)).alias("ip")).distinct()
+    host = F.concat(F.lit("2001:DB8:"), low("user_id", 40), F.lit("::"), low("event_id", 20), F.lit("/128"))
+    net = F.concat(F.lit("2001:0db8:"), low("user_id", 40), F.lit("::/48"))
+    return R.covering_prefix(ips, e.select(F.explode(F.array(host, net)).alias("prefix")))
+
+
+@query(
+    "revised_minutes",
+    f"""WITH {ROUTING}, late AS (SELECT DISTINCT m FROM ro WHERE event_id % 3 = 0), x AS ({sets_sql('m')}) SELECT strftime(b, {S}) AS minute, messages, announcements, n_prefixes, n_origins FROM x JOIN late ON b = m""",
+)
+def revised_minutes(spark, d):
+    """Minutes that late observations make dirty, counted anew; every third event comes late."""
+    obs = routing(spark, d)
+    had = R.routing_minutes(obs.where("event_id % 3 <> 0"))
+    return R.revised_minutes(obs, had).select(stamp("bucket_start").alias("minute"), "messages", "announcements", "n_prefixes", "n_origins")
+
+
+@query(
+    "final_and_due",
+    f"""WITH {ROUTING}, now AS (SELECT max(ts) AS t FROM ro), a AS (SELECT 'MINUTE' AS granularity, m AS b FROM ro, now WHERE epoch(m) + 240 <= floor(epoch(t)) GROUP BY 2 UNION ALL SELECT 'HOUR', date_trunc('hour', ts) FROM ro, now GROUP BY 2, t HAVING epoch(date_trunc('hour', any_value(ts))) + 3600 <= floor(epoch(t))
+      UNION ALL SELECT 'DAY', date_trunc('day', ts) FROM ro, now GROUP BY 2, t HAVING epoch(date_trunc('day', any_value(ts))) + 86400 <= floor(epoch(t)))
+    SELECT granularity, count(*) AS n, strftime(max(b), {S}) AS last FROM a GROUP BY 1""",
+)
+def final_and_due(spark, d):
+    """Minutes past their lateness, and hours and days that have ended, at the time of the newest event."""
+    obs = routing(spark, d)
+    now = obs.agg(F.max("observed_at").alias("now"))
+    parts = []
+    for g in ("MINUTE", "HOUR", "DAY"):
+        own = obs.select(F.date_trunc(g, "observed_at").alias("bucket_start")).distinct().join(F.broadcast(now))
+        due = R.final_minutes(own, F.col("now")) if g == "MINUTE" else R.due_buckets(own, g, F.col("now"))
+        parts.append(due.select(F.lit(g).alias("granularity"), "bucket_start"))
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("granularity").agg(F.count("*").alias("n"), stamp(F.max("bucket_start")).alias("last"))
+
+
 #: Fixed values of the fixture: errors are failures of these types in turn (the last is none that is recovered), by event id.
 FAILED = ["PROVIDER_DISCONNECT", "BACKPRESSURE_LIMIT", "DB_UNAVAILABLE", "FORCED_TERMINATE", "DRAIN_REQUESTED", "CLOSED"]
 

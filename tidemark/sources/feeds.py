@@ -6,6 +6,8 @@ reading stays lazy and nothing is listed on the driver.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ CATALOG = f"title string, catalogVersion string, dateReleased string, count long
 IOC = "id string, ioc string, threat_type string, ioc_type string, malware string, malware_printable string, confidence_level int, first_seen string, last_seen string, reporter string, reference string, tags array<string>"
 SAMPLE = "sha256_hash string, sha1_hash string, md5_hash string, sha3_384_hash string, first_seen string, last_seen string, file_name string, file_size long, file_type string, signature string, tags array<string>"
 C2 = "ip_address string, port int, status string, hostname string, as_number long, as_name string, country string, first_seen string, last_online string, malware string"
+#: Fixed value: the title, in lower case, of the note that lists sectors.
+SECTORS = "critical infrastructure sectors"
 MESSAGE = "id string, timestamp double, host string, peer string, peer_asn string, path array<string>, announcements array<struct<next_hop:string,prefixes:array<string>>>, withdrawals array<string>"
 
 
@@ -63,34 +67,42 @@ def scan_paged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows, totals
 
 
-def scan_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows, metadata (of the comment line) and rejected rows of a scored CSV, gzipped or not."""
+def scan_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Rows, metadata (of the comment line), rejected rows and violations (repeated ids, metadata that is missing) of a scored
+    CSV, gzipped or not."""
     raw = spark.read.option("comment", "#").option("header", True).csv(path)
     score, share = F.col("epss").try_cast("double"), F.col("percentile").try_cast("double")
     good = F.coalesce(F.col("cve").rlike(f"^{CVE}$") & score.between(0, 1) & share.between(0, 1), F.lit(False))
     extra = [c for c in raw.columns if c not in ("cve", "epss", "percentile")]
     pairs = F.create_map(*[x for c in extra for x in (F.lit(c), F.col(c))]) if extra else F.create_map().cast("map<string,string>")
     rows = raw.where(good).select(F.upper("cve").alias("cve"), F.col("epss").alias("score_text"), score.alias("score"), share.alias("percentile"), F.map_filter(pairs, lambda k, v: v.isNotNull()).alias("extras"))
-    lines = spark.read.text(path).where(F.col("value").startswith("#"))
-    metadata = lines.select(F.explode(F.split(F.substring("value", 2, 4000), ",")).alias("p")).select(F.split("p", ":", 2).alias("kv")).select(F.trim(F.col("kv")[0]).alias("key"), F.trim(F.get("kv", F.lit(1))).alias("value"))
-    return rows, metadata, raw.where(~good)
-
-
-def scan_reports(spark: SparkSession, path: str, schema: str, row_id: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of an envelope {query_status, data[]} and the manifest: count and first and last sight."""
+    lines = spark.read.text(path).select(F.trim(F.regexp_replace("value", "^\ufeff", "")).alias("value")).where(F.col("value").startswith("#"))
+    tokens = lines.select(F.explode(F.split(F.expr("substring(value, 2)"), ",")).alias("p")).where(F.instr("p", ":") > 1).select(F.split("p", ":", 2).alias("kv"))
+    metadata = tokens.select(F.trim(F.col("kv")[0]).alias("key"), F.trim(F.col("kv")[1]).alias("value"))
+    wanted = spark.createDataFrame([("model_version",), ("score_date",)], "key string")
+    lacking = wanted.join(metadata.where("value <> ''"), "key", "left_anti").select(F.lit("METADATA_MISSING").alias("kind"), "key")
+    double = repeated_ids(rows, "cve").select(F.lit("DUPLICATE_ID").alias("kind"), F.col("cve").alias("key"))
+    return rows, metadata, raw.where(~good), lacking.union(double)
+
+
+def scan_reports(spark: SparkSession, path: str, schema: str, row_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of an envelope {query_status, data[]}, the manifest (count and first and last sight), and violations: envelopes of
+    another status than ok, which give no rows, and repeated ids."""
     docs = json_docs(spark, path, f"query_status string, data array<{struct_of(schema)}>")
     rows = docs.where("query_status = 'ok'").select(F.explode("data").alias("d")).select("d.*")
     first = F.coalesce(parse_instant("first_seen", "UTC_SUFFIX"), parse_instant("first_seen", "ZONELESS"))
     rows = rows.withColumn("first_seen_at", first)
     summary = rows.agg(F.count("*").alias("count"), F.count_distinct(row_id).alias("ids"), F.min("first_seen_at").alias("oldest"), F.max("first_seen_at").alias("newest"))
-    return rows, summary
+    refused = docs.where("query_status is distinct from 'ok'").select(F.lit("BAD_STATUS").alias("kind"), F.col("query_status").alias("key"))
+    double = repeated_ids(rows, row_id).select(F.lit("DUPLICATE_ID").alias("kind"), F.col(row_id).alias("key"))
+    return rows, summary, refused.union(double)
 
 
-def scan_ioc_reports(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def scan_ioc_reports(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return scan_reports(spark, path, IOC, "id")
 
 
-def scan_samples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def scan_samples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return scan_reports(spark, path, SAMPLE, "sha256_hash")
 
 
@@ -99,10 +111,13 @@ def scan_c2(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(C2).json(path).withColumn("record_id", fingerprint("ip_address", "port", "malware", "first_seen"))
 
 
-def scan_certs(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless three-column list with # comments; a line of another width fails the read."""
+def scan_certs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Headerless three-column list with # comments, a line of another width fails the read; and when the list was last
+    updated, as its comment says (no row: it doesn't)."""
     rows = spark.read.option("comment", "#").option("mode", "FAILFAST").schema("listing_date string, sha1 string, reason string").csv(path)
-    return rows.withColumn("listed_at", parse_instant("listing_date", "ZONELESS")).withColumn("sha1", F.lower("sha1"))
+    said = F.regexp_extract("value", r"^# Last updated:\s*([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}) UTC\s*$", 1)
+    updated = spark.read.text(path).select(parse_instant(said, "ZONELESS").alias("last_updated")).where("last_updated is not null")
+    return rows.withColumn("listed_at", parse_instant("listing_date", "ZONELESS")).withColumn("sha1", F.lower("sha1")), updated
 
 
 def scan_advisories(spark: SparkSession, path: str) -> DataFrame:
@@ -114,12 +129,14 @@ def scan_advisories(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_csaf(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each advisory document of a folder: identifier, title, sorted CVEs and CWEs, content hash and path."""
+    """One row for each advisory document of a folder: identifier, title, sorted CVEs, CWEs and sectors, content hash and path."""
     docs = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("payload"))
     one = lambda p: F.get_json_object("payload", p)
+    notes = F.from_json(one("$.document.notes"), "array<struct<title:string,text:string>>")
+    sectors = F.flatten(F.transform(F.filter(F.coalesce(notes, F.array()), lambda n: F.lower(n["title"]) == SECTORS), lambda n: F.transform(F.split(n["text"], ","), lambda x: F.trim(x))))
     return docs.select(
         one("$.document.tracking.id").alias("advisory_id"), one("$.document.title").alias("title"), one("$.document.publisher.name").alias("publisher"),
-        extract_ids("payload").alias("cves"), extract_ids("payload", CWE).alias("cwes"), F.sha2("payload", 256).alias("content"), "path",
+        extract_ids("payload").alias("cves"), extract_ids("payload", CWE).alias("cwes"), F.array_sort(F.array_distinct(F.filter(sectors, lambda x: x != ""))).alias("sectors"), F.sha2("payload", 256).alias("content"), "path",
     )
 
 
@@ -174,11 +191,12 @@ def routing_columns(message: Column) -> list[Column]:
     ]
 
 
-def parse_messages(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Routing observations of text lines, with `rejected` for lines that aren't a message; works on streams too."""
+def parse_messages(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Routing observations of text lines, with `rejected` for lines that aren't a message and the columns of `keep`; works on
+    streams too."""
     parsed = lines.withColumn("m", F.from_json(value, MESSAGE))
     bad = F.col("m").isNull() | F.col("m.timestamp").isNull() | F.col("m.host").isNull()
-    return parsed.select(*routing_columns(F.col("m")), bad.alias("rejected"), F.col(value).alias("raw"))
+    return parsed.select(*routing_columns(F.col("m")), bad.alias("rejected"), F.col(value).alias("raw"), *keep)
 
 
 def scan_decoded_mrt(spark: SparkSession, path: str, rrc: str) -> DataFrame:

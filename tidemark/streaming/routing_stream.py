@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.scalars import bucket_start
 from tidemark.operators.routing import LATENESS_S
 from tidemark.sources.feeds import parse_messages
 
@@ -26,7 +27,8 @@ def dedupe_stream(obs: DataFrame, row_id: str = "message_id", at: str = "observe
 
 
 def minute_stream(obs: DataFrame, at: str = "observed_at", lateness_s: int = LATENESS_S) -> DataFrame:
-    """Minutes that close `lateness_s` after their end: counters, and sets from one state row for each distinct member.
+    """Minutes that close `lateness_s` after their end: counters, and sets from one state row for each distinct member. Later
+    rows are not in them; `revised_minutes` over the written segments tells which minutes they change, and counts these anew.
 
     The first aggregation keeps one state row for each (minute, set, member); the second, on the same window, counts them,
     so the sizes are exact and no state row holds a whole set.
@@ -46,6 +48,14 @@ def minute_stream(obs: DataFrame, at: str = "observed_at", lateness_s: int = LAT
     return per.select(F.col("w2.start").alias("bucket_start"), "messages", "announcements", "withdrawals", "n_announced", "n_withdrawn", "n_origins", "n_rrcs")
 
 
+def rejected_minutes(lines: DataFrame, received: str) -> DataFrame:
+    """Rejected lines of each minute as `minute_coverage` takes them, which makes the minute DEGRADED: bucket_start, rejected,
+    profile (null). A line counts in the minute of its own time, or in that of its receipt where it says none."""
+    bad = parse_messages(lines, keep=[received]).where("rejected")
+    minute = bucket_start(F.coalesce("observed_at", received), "MINUTE").alias("bucket_start")
+    return bad.groupBy(minute).agg(F.count("*").alias("rejected")).withColumn("profile", F.lit(None).cast("string"))
+
+
 def write_minutes(minutes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append closed minutes as parquet; all that is there is read, then the query ends."""
     return minutes.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
