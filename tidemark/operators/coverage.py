@@ -32,18 +32,20 @@ def match_runs(expected: DataFrame, runs: DataFrame, key: Sequence[str]) -> Data
     return expected.join(one, [*key, "expected_at"], "left")
 
 
-def expected_times(schedules: DataFrame, runs: DataFrame, key: Sequence[str], start: str, end: str, now: Column) -> DataFrame:
-    """Mature expected times of [start, end): key, expected_at, grace_s.
+def expected_times(schedules: DataFrame, runs: DataFrame, key: Sequence[str], start: str, end: str, now: Column, by_schedule: bool = False) -> DataFrame:
+    """Mature expected times of [start, end): key, expected_at, grace_s (and effective_from of its schedule, if by_schedule).
 
-    Anchors are the start of a schedule and every run that its cadence or bootstrap made inside it; from each anchor the
-    interval is counted up to the next one. A time within the grace of the next anchor is absorbed by it.
+    Anchors are the start of a schedule, or its anchor_at where it has one, and every run that its cadence or bootstrap made
+    inside it; from each anchor the interval is counted up to the next one. A time within the grace of the next anchor is
+    absorbed by it. A schedule whose origin is UNKNOWN expects nothing.
     """
     a, b = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    live = schedules.where("enabled and interval_s is not null").withColumns({"_from": F.greatest("effective_from", a), "_to": F.least(F.coalesce("effective_to", b), b)}).where("_from < _to")
+    live = known_origin(schedules).where("enabled and interval_s is not null and origin <> 'UNKNOWN'").withColumns({"_from": F.greatest("effective_from", a), "_to": F.least(F.coalesce("effective_to", b), b)}).where("_from < _to")
     natural = runs.where(F.col("trigger").isin("SCHEDULED", "BOOTSTRAP") & F.col("scheduled_for").isNotNull()).select(*key, "scheduled_for")
     inside = live.join(natural, list(key)).where((F.col("scheduled_for") >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col("scheduled_for") < F.col("effective_to"))))
     columns = [*key, "effective_from", "interval_s", "grace_s", "_from", "_to"]
-    anchors = live.select(*columns, F.col("effective_from").alias("anchor")).union(inside.select(*columns, "scheduled_for")).distinct()
+    first_anchor = live.select(*columns, F.coalesce("anchor_at", "effective_from").alias("anchor"), F.lit(False).alias("_ran"))
+    anchors = first_anchor.union(inside.select(*columns, "scheduled_for", F.lit(True))).groupBy(*columns, "anchor").agg(F.bool_or("_ran").alias("_ran"))
     anchors = anchors.withColumn("next", F.lead("anchor").over(Window.partitionBy(*key, "effective_from").orderBy("anchor")))
     t = lambda c: F.unix_timestamp(c)
     first = F.greatest(F.lit(0), F.ceil((t("_from") - t("anchor")) / F.col("interval_s")))
@@ -51,9 +53,16 @@ def expected_times(schedules: DataFrame, runs: DataFrame, key: Sequence[str], st
     begin = t("anchor") + first * F.col("interval_s")
     counted = anchors.where(begin < stop).withColumn("_s", F.explode(F.sequence(begin, stop - 1, F.col("interval_s").cast("bigint"))))
     counted = counted.where(F.col("next").isNull() | (F.abs(t("next") - F.col("_s")) > F.col("grace_s"))).withColumn("expected_at", F.timestamp_seconds("_s"))
-    own = anchors.where("anchor <> effective_from and anchor >= _from and anchor < _to").withColumn("expected_at", F.col("anchor"))
-    every = counted.select(*key, "expected_at", "grace_s").union(own.select(*key, "expected_at", "grace_s"))
-    return every.where(t("expected_at") + F.col("grace_s") <= F.unix_timestamp(now)).groupBy(*key, "expected_at").agg(F.max("grace_s").alias("grace_s"))
+    own = anchors.where("_ran and anchor >= _from and anchor < _to").withColumn("expected_at", F.col("anchor"))
+    out = [*key, "effective_from", "expected_at"] if by_schedule else [*key, "expected_at"]
+    every = counted.select(*out, "grace_s").union(own.select(*out, "grace_s"))
+    return every.where(t("expected_at") + F.col("grace_s") <= F.unix_timestamp(now)).groupBy(*out).agg(F.max("grace_s").alias("grace_s"))
+
+
+def known_origin(schedules: DataFrame) -> DataFrame:
+    """schedules with the optional columns origin (null: known) and anchor_at."""
+    origin = F.coalesce("origin", F.lit("KNOWN")) if "origin" in schedules.columns else F.lit("KNOWN")
+    return schedules.withColumns({"origin": origin, "anchor_at": F.col("anchor_at") if "anchor_at" in schedules.columns else F.lit(None).cast("timestamp")})
 
 
 def outcome(run: Column) -> Column:
@@ -91,6 +100,54 @@ def schedule_coverage(schedules: DataFrame, runs: DataFrame, buckets: DataFrame,
     ).drop("grace_s")
 
 
+#: Why a bucket is covered as it is.
+RUN_MISSING, NOT_LIVE, NOT_TERMINAL, RUN = "EXPECTED_RUN_MISSING", "NON_LIVE_RUN_DOES_NOT_PROVE_COVERAGE", "SCHEDULED_RUN_NOT_TERMINAL", "SCHEDULED_RUN_"
+NONE_MATURE, ORIGIN_UNKNOWN, NO_CADENCE, NOT_EXPECTED = "NO_MATURE_EXPECTED_OPPORTUNITY", "SCHEDULE_EXPECTATION_UNKNOWN", "NO_SCHEDULED_CADENCE", "SOURCE_NOT_EXPECTED"
+
+
+def reason(run: Column) -> Column:
+    """The reason code of an expected time by its matched run."""
+    done = run["state"].isin("SUCCEEDED", "PARTIAL", "FAILED", "CANCELLED")
+    return F.when(run.isNull(), RUN_MISSING).when(~is_live(run["trigger"], run["purpose"]), NOT_LIVE).when(done, F.concat(F.lit(RUN), run["state"])).otherwise(NOT_TERMINAL)
+
+
+def schedule_evaluation(schedules: DataFrame, runs: DataFrame, buckets: DataFrame, key: Sequence[str], start: str, end: str, size_s: int, now: Column) -> DataFrame:
+    """Every bucket (key, bucket_start) under every schedule row that overlaps it: key, bucket_start, effective_from,
+    expectation, status, evaluation, counts, and the sorted reasons. `combine_segments` makes one row a bucket of them.
+
+    Buckets meet the few schedule rows of their key. An UNKNOWN origin leaves the expectation open; a schedule that is off or
+    without an interval expects nothing, and is final at once.
+    """
+    counts = {"satisfied": "SATISFIED", "partial": "PARTIAL", "failed": "FAILED", "missing": "MISSING"}
+    t = lambda c: F.unix_timestamp(c)
+    rows = buckets.select(*key, "bucket_start").join(known_origin(schedules), list(key))
+    rows = rows.where((t("effective_from") < t("bucket_start") + size_s) & (F.col("effective_to").isNull() | (F.col("effective_to") > F.col("bucket_start"))))
+    matched = match_runs(expected_times(schedules, runs, key, start, end, now, by_schedule=True), runs, key)
+    seconds = t("expected_at")
+    placed = matched.select(*key, "effective_from", F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(size_s))).alias("bucket_start"), outcome(F.col("run")).alias("_o"), reason(F.col("run")).alias("_r"))
+    sums = placed.groupBy(*key, "effective_from", "bucket_start").agg(F.count("*").alias("expected"), *[F.count_if(F.col("_o") == v).alias(k) for k, v in counts.items()], F.array_sort(F.collect_set("_r")).alias("_reasons"))
+    out = rows.join(sums, [*key, "effective_from", "bucket_start"], "left").fillna(0, ["expected", *counts])
+    unknown, idle = F.col("origin") == "UNKNOWN", ~F.col("enabled") | F.col("interval_s").isNull()
+    open_end = t("bucket_start") + size_s + F.col("grace_s")
+    why = (
+        F.when(unknown, F.array(F.lit(ORIGIN_UNKNOWN)))
+        .when(idle, F.array(F.when(F.col("enabled"), NO_CADENCE).otherwise(NOT_EXPECTED)))
+        .when(F.col("expected") == 0, F.array(F.lit(NONE_MATURE)))
+        .otherwise(F.col("_reasons"))
+    )
+    return out.select(
+        *key,
+        "bucket_start",
+        "effective_from",
+        F.when(unknown, "UNKNOWN").when(idle, "NOT_EXPECTED").otherwise("EXPECTED").alias("expectation"),
+        coverage_status(F.col("expected"), F.col("satisfied"), F.col("partial"), F.col("failed")).alias("status"),
+        F.when(idle & ~unknown, "FINAL").when(F.unix_timestamp(now) < open_end, "PROVISIONAL").otherwise("FINAL").alias("evaluation"),
+        "expected",
+        *counts,
+        why.alias("reasons"),
+    )
+
+
 def combine_segments(segments: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row a bucket from its schedule segments (expectation, status, counts): EXPECTED if any is, else UNKNOWN, else NOT."""
     e = F.col("expectation") == "EXPECTED"

@@ -242,6 +242,24 @@ def schedule_coverage_daily(spark, d):
     return day_coverage(spark, d, feed_keys(spark, d)).select("source_key", stamp("bucket_start").alias("bucket"), "expected", "satisfied", "partial", "failed", "missing", "status", "evaluation")
 
 
+@query(
+    "schedule_evaluation_daily",
+    f"""WITH {EXPECTED_FEEDS}, rs AS (SELECT ex.source_key, date_trunc('day', t) AS d, array_to_string(list_sort(list_distinct(list(CASE WHEN r.state IS NULL THEN 'EXPECTED_RUN_MISSING' WHEN trigger_kind <> 'SCHEDULED' THEN 'NON_LIVE_RUN_DOES_NOT_PROVE_COVERAGE' ELSE 'SCHEDULED_RUN_' || r.state END))), ',') AS reasons
+      FROM ex LEFT JOIN runs r ON r.source_key = ex.source_key AND r.scheduled_for = ex.t GROUP BY 1, 2),
+    k AS (SELECT *, split_part(source_key, '/', 1) AS kind FROM st JOIN rs USING (source_key, d))
+    SELECT source_key, strftime(d, {S}) AS bucket, CASE WHEN d < TIMESTAMP '2024-01-15' THEN '2024-01-01' ELSE '2024-01-15' END AS schedule, CASE kind WHEN 'error' THEN 'UNKNOWN' WHEN 'signup' THEN 'NOT_EXPECTED' WHEN 'view' THEN 'NOT_EXPECTED' ELSE 'EXPECTED' END AS expectation,
+      CASE WHEN kind IN ('error', 'signup', 'view') THEN 'NO_COVERAGE' ELSE status END AS status, 'FINAL' AS evaluation, CASE WHEN kind IN ('error', 'signup', 'view') THEN 0 ELSE expected END AS expected, CASE WHEN kind IN ('error', 'signup', 'view') THEN 0 ELSE missing END AS missing,
+      CASE kind WHEN 'error' THEN 'SCHEDULE_EXPECTATION_UNKNOWN' WHEN 'signup' THEN 'SOURCE_NOT_EXPECTED' WHEN 'view' THEN 'NO_SCHEDULED_CADENCE' ELSE reasons END AS reasons FROM k""",
+)
+def schedule_evaluation(spark, d):
+    """Every day of every feed under its schedule, with reasons; some feeds are off, without a cadence, or of unknown origin."""
+    keys = feed_keys(spark, d)
+    kind = F.substring_index("source_key", "/", 1)
+    own = schedules(spark, d, keys).withColumns({"enabled": kind != "signup", "interval_s": F.when(kind != "view", F.col("interval_s")), "origin": F.when(kind == "error", "UNKNOWN").otherwise("KNOWN")})
+    out = C.schedule_evaluation(own, runs(spark, d, keys), M.spine(keys, START, END, "DAY"), KEY, START, END, 86400, F.lit(NOW).cast("timestamp"))
+    return out.select("source_key", stamp("bucket_start").alias("bucket"), F.date_format("effective_from", "yyyy-MM-dd").alias("schedule"), "expectation", "status", "evaluation", "expected", "missing", F.array_join("reasons", ",").alias("reasons"))
+
+
 @query(
     "coverage_rollup_weekly",
     f"""WITH {EXPECTED_FEEDS} SELECT source_key, strftime(date_trunc('week', d), {S}) AS week, CASE WHEN bool_or(status = 'NO_COVERAGE') THEN 'NO_COVERAGE' WHEN bool_or(status IN ('PARTIAL', 'DEGRADED')) THEN 'PARTIAL' ELSE 'COMPLETE' END AS coverage FROM st GROUP BY 1, 2""",

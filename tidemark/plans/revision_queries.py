@@ -219,6 +219,37 @@ def parity_diff(spark, d):
     return P.parity(a, b, "id", ["c_name", "c_mktsegment"], ["c_acctbal"])
 
 
+CHANGED = """WITH x AS (SELECT c_custkey AS id, c_custkey % 10 = 0 AS gone, c_custkey % 13 = 0 AS renamed, c_custkey % 7 = 0 AS later, c_custkey % 7 <> 0 AND c_custkey % 17 = 0 AS earlier, c_custkey % 19 = 0 AS twice, c_custkey % 20 = 0 AS said FROM customer),
+    df AS (SELECT 'LEFT_ONLY' AS kind, id, NULL AS field, CASE WHEN said THEN 'INTENTIONAL_DIFFERENCE' ELSE 'REGRESSION' END AS classification FROM x WHERE gone
+    UNION ALL SELECT 'FACT_MISMATCH', id, 'c_mktsegment', 'REGRESSION' FROM x WHERE NOT gone AND renamed UNION ALL SELECT 'FACT_MISMATCH', id, 'last_seen', 'TEMPORAL_SKEW' FROM x WHERE NOT gone AND later
+    UNION ALL SELECT 'FACT_MISMATCH', id, 'last_seen', 'REGRESSION' FROM x WHERE NOT gone AND earlier UNION ALL SELECT 'DUPLICATE_IDENTITY', id, 'RIGHT', 'REGRESSION' FROM x WHERE NOT gone AND twice)"""
+
+
+def changed(spark, d):
+    """Customers against a later snapshot: dropped, renamed, seen later or earlier, repeated; some drops are intended."""
+    tags = lambda *names: F.array(*[F.lit(n) for n in names])
+    day = lambda s: F.lit(s).cast("timestamp")
+    a = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_mktsegment", "c_acctbal", tags("a", "b").alias("tags"), day("2024-01-01").alias("last_seen"))
+    b = a.where("id % 10 <> 0").withColumns({
+        "c_mktsegment": F.when(F.col("id") % 13 == 0, F.lit("?")).otherwise(F.col("c_mktsegment")), "tags": tags("b", "a"),
+        "last_seen": F.when(F.col("id") % 7 == 0, day("2024-01-02")).when(F.col("id") % 17 == 0, day("2023-12-31")).otherwise(F.col("last_seen")),
+    })
+    manual = a.where("id % 20 = 0").select(F.lit("LEFT_ONLY").alias("side"), "id", F.lit("INTENTIONAL_DIFFERENCE").alias("classification"))
+    right = b.unionByName(b.where("id % 19 = 0"))
+    return P.parity_differences(a, right, "id", ["c_name", "c_mktsegment"], ["c_acctbal"], ["tags"], ["last_seen"], left_first=True, same_snapshot=True, manual=manual)
+
+
+@query("parity_differences", f"{CHANGED} SELECT * FROM df")
+def parity_differences(spark, d):
+    """Classified differences of two snapshots."""
+    return changed(spark, d).select("kind", "id", "field", "classification")
+
+
+@query("parity_accepted", f"{CHANGED} SELECT count(*) FILTER (WHERE classification = 'REGRESSION') AS blocking, count(*) FILTER (WHERE classification = 'UNCLASSIFIED') AS unexplained, count(*) FILTER (WHERE classification IN ('REGRESSION', 'UNCLASSIFIED')) = 0 AS accepted FROM df")
+def parity_accepted(spark, d):
+    return P.parity_accepted(changed(spark, d))
+
+
 @query("population_guard", "WITH s AS (SELECT user_id, date_trunc('day', ts) AS b, count(*) AS n FROM events GROUP BY 1, 2), p AS (SELECT *, lag(n) OVER (PARTITION BY user_id ORDER BY b) AS pn FROM s) SELECT user_id, strftime(b, '%Y-%m-%d') AS day, n AS n_rows, CASE WHEN n < floor(pn * 0.75) THEN 'REJECT_DROP' ELSE 'ACCEPT' END AS verdict FROM p")
 def guard(spark, d):
     """Daily populations of each user that fell by more than a quarter."""
