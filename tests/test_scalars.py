@@ -73,3 +73,23 @@ def test_address_bits_agree_with_the_library(spark):
         else:
             a = ipaddress.ip_address(r.v)
             assert r.b == f"{a.version}" + format(int(a), f"0{a.max_prefixlen}b"), r.v
+
+
+def test_configurations_of_any_depth_are_counted(spark):
+    leaf = '{"cpeMatch": [{"criteria": "x"}, {"criteria": "y"}]}'
+    text = '{"configurations": [{"nodes": [{"children": [{"children": [%s]}, %s]}, %s]}]}' % (leaf, leaf, leaf)
+    assert tuple(one(spark, text, X.config_counts("v"))) == (5, 6)
+    assert tuple(one(spark, "{}", X.config_counts("v"))) == (0, 0)
+
+
+def test_metric_names_count_as_keys_only(spark):
+    assert one(spark, '{"cvssMetricV31" : [], "note": "cvssMetricV2"}', X.harvest_cvss("v")) == ["3.1"]
+
+
+def test_decoded_origin_and_heartbeat(spark):
+    paths = [[("AS_SET", [1]), ("AS_SEQUENCE", [2, 3])], [("AS_SEQUENCE", [2]), ("AS_SET", [4])], []]
+    rows = spark.createDataFrame([(p,) for p in paths], "v array<struct<kind:string,asns:array<bigint>>>")
+    assert [r.o for r in rows.select(X.definitive_origin_asns("v").alias("o")).collect()] == [[3], [], []]
+    now = F.lit("2024-01-01 00:01:00").cast("timestamp")
+    for at, want in (("2024-01-01 00:00:30", "FRESH"), ("2024-01-01 00:00:29", "STALE"), (None, "UNKNOWN")):
+        assert spark.range(1).select(X.heartbeat(F.lit(at).cast("timestamp"), 30, now).alias("h")).first().h == want

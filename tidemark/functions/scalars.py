@@ -147,6 +147,14 @@ def origin_asns(path: Column | str) -> Column:
     return F.when(last.isNotNull(), F.array(last)).otherwise(F.array().cast("array<bigint>"))
 
 
+def definitive_origin_asns(segments: Column | str) -> Column:
+    """The last number of a decoded path as an array of one, if its last segment is a sequence. segments: array of
+    struct(kind, asns)."""
+    last = F.try_element_at(col(segments), F.lit(-1))
+    value = F.when(last["kind"] == "AS_SEQUENCE", F.try_element_at(last["asns"], F.lit(-1)).cast("bigint"))
+    return F.when(value.isNotNull(), F.array(value)).otherwise(F.array().cast("array<bigint>"))
+
+
 def bucket_start(ts: Column | str, granularity: str) -> Column:
     """Start of the half-open UTC bucket; aligned to the epoch."""
     size = GRANULARITY[granularity]
@@ -166,27 +174,39 @@ def freshness(last: Column | str, interval_s: Column | str, now: Column) -> Colu
     return F.when(col(last).isNull() | col(interval_s).isNull(), "UNKNOWN").when(age <= 2 * col(interval_s), "FRESH").otherwise("STALE")
 
 
+def heartbeat(last: Column | str, stale_s: Column | int, now: Column) -> Column:
+    """FRESH for stale_s seconds after a heartbeat, then STALE; UNKNOWN without one."""
+    age = F.unix_micros(now) - F.unix_micros(col(last))
+    return F.when(col(last).isNull(), "UNKNOWN").when(age <= stale_s * 1_000_000, "FRESH").otherwise("STALE")
+
+
 def union_refs(*arrays: Column | str, cap: int = 64) -> Column:
     """The members of the arrays in order of first sight, `cap` at most; a null array counts as empty."""
     return F.slice(F.array_distinct(F.concat(*[F.coalesce(col(a), F.array().cast("array<string>")) for a in arrays])), 1, cap)
 
 
 def harvest_cvss(json: Column | str) -> Column:
-    """CVSS versions by the metric keys that a JSON text holds."""
+    """CVSS versions by the metric keys that a JSON text holds; the same text as a value is no key."""
     text = F.coalesce(col(json), F.lit(""))
     keys = {"cvssMetricV2": "2.0", "cvssMetricV30": "3.0", "cvssMetricV31": "3.1", "cvssMetricV40": "4.0"}
-    return F.array_compact(F.array(*[F.when(text.contains(f'"{k}"'), v) for k, v in keys.items()]))
+    return F.array_compact(F.array(*[F.when(text.rlike(rf'"{k}"\s*:'), v) for k, v in keys.items()]))
 
 
-def config_counts(json: Column | str) -> Column:
-    """struct(nodes, matches) of the configurations in a JSON text: nodes two levels deep, their match criteria."""
-    match = "cpeMatch:array<struct<criteria:string>>"
-    schema = f"struct<configurations:array<struct<nodes:array<struct<{match},children:array<struct<{match}>>>>>>>"
-    nodes = F.flatten(F.transform(F.from_json(col(json), schema)["configurations"], lambda c: F.coalesce(c["nodes"], F.array())))
-    inner = F.flatten(F.transform(nodes, lambda n: F.coalesce(n["children"], F.array())))
-    size = lambda rows: F.aggregate(rows, F.lit(0), lambda a, n: a + F.coalesce(F.array_size(n["cpeMatch"]), F.lit(0)))
+def config_counts(json: Column | str, depth: int = 5) -> Column:
+    """struct(nodes, matches) of the configurations in a JSON text: their nodes, children of up to `depth` levels, and the
+    match criteria of all of these."""
+    node = "struct<cpeMatch:array<struct<criteria:string>>>"
+    for _ in range(depth - 1):
+        node = f"struct<cpeMatch:array<struct<criteria:string>>,children:array<{node}>>"
+    own = lambda rows, name: F.flatten(F.transform(rows, lambda x: F.coalesce(x[name], F.array())))
+    rows, nodes, matches = own(F.from_json(col(json), f"struct<configurations:array<struct<nodes:array<{node}>>>>")["configurations"], "nodes"), F.lit(0), F.lit(0)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return F.struct((zero(F.array_size(nodes)) + zero(F.array_size(inner))).alias("nodes"), (zero(size(nodes)) + zero(size(inner))).alias("matches"))
+    for level in range(depth):
+        nodes = nodes + zero(F.array_size(rows))
+        matches = matches + zero(F.aggregate(rows, F.lit(0), lambda a, n: a + F.coalesce(F.array_size(n["cpeMatch"]), F.lit(0))))
+        if level < depth - 1:
+            rows = own(rows, "children")
+    return F.struct(nodes.alias("nodes"), matches.alias("matches"))
 
 
 def v4_number(ip: Column | str) -> Column:

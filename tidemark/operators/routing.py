@@ -20,6 +20,9 @@ LATENESS_S = 180
 #: Failures that are recovered by themselves, and the event that plans one.
 REASONS = ("PROVIDER_DISCONNECT", "BACKPRESSURE_LIMIT", "DB_UNAVAILABLE", "FORCED_TERMINATE")
 DRAIN = "DRAIN_REQUESTED"
+#: How a minute was acquired, and by which channel.
+LIVE, RECOVERED, BACKFILL = "LIVE_STREAM", "MRT_RECOVERY", "HISTORICAL_BACKFILL"
+CHANNELS = {LIVE: "RIS_LIVE_WEBSOCKET", RECOVERED: "RIS_MRT_UPDATE", BACKFILL: "RIS_MRT_UPDATE"}
 SETS = ("announced", "withdrawn", "origins", "peers", "rrcs")
 
 
@@ -235,5 +238,22 @@ def promote(live: DataFrame, recovered: DataFrame, key: Sequence[str]) -> DataFr
     both = l.join(r, list(key), "full_outer")
     use_live = (F.col("l_coverage") == "COMPLETE") | (F.col("_l").isNotNull() & ~F.coalesce(F.col("r_coverage") == "COMPLETE", F.lit(False)))
     pick = lambda c: F.when(F.coalesce(use_live, F.lit(False)), F.col(f"l_{c}")).otherwise(F.col(f"r_{c}"))
-    basis = F.when(F.coalesce(use_live, F.lit(False)), "LIVE").otherwise("RECOVERY")
+    basis = F.when(F.coalesce(use_live, F.lit(False)), LIVE).otherwise(RECOVERED)
     return both.select(*key, basis.alias("basis"), pick("coverage").alias("coverage"), pick("messages").alias("messages"), F.col("l_coverage").alias("live_coverage"))
+
+
+def channel(basis: str) -> Column:
+    """The channel of a basis; any other basis is its own."""
+    return F.coalesce(*[F.when(F.col(basis) == b, c) for b, c in CHANNELS.items()], F.col(basis))
+
+
+def routing_read(minutes: DataFrame, recovery: DataFrame, n: int = 120) -> DataFrame:
+    """The newest n minutes as they are shown: minutes (bucket_start, basis, coverage, live_coverage, ...) with channel,
+    recovered and recovery, which is the head of `recovery` (bucket_start, status, expected, projected, missing) where the
+    minute was recovered. live_coverage stays what the live stream had: null means that of a live minute, else NO_COVERAGE."""
+    heads = recovery.select("bucket_start", F.struct("status", "expected", "projected", "missing").alias("_head"))
+    recovered = F.col("basis") == RECOVERED
+    out = minutes.join(heads, "bucket_start", "left").withColumns(
+        {"channel": channel("basis"), "recovered": recovered, "recovery": F.when(recovered, F.col("_head")), "live_coverage": F.coalesce("live_coverage", F.when(F.col("basis") == LIVE, F.col("coverage")).otherwise("NO_COVERAGE"))}
+    )
+    return out.drop("_head").orderBy(F.desc("bucket_start")).limit(n)

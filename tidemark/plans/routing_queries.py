@@ -229,20 +229,40 @@ def recovery_completeness(spark, d):
     return out.select(stamp("hour").alias("hour"), F.array_join("missing", ",").alias("missing"), "state")
 
 
-@query(
-    "promoted_minutes",
-    f"""WITH {ROUTING}, l AS (SELECT m, count(*) AS n, CASE extract(minute FROM m) % 3 WHEN 0 THEN 'COMPLETE' WHEN 1 THEN 'PARTIAL' ELSE 'DEGRADED' END AS c FROM ro WHERE event_id % 4 <> 0 GROUP BY 1),
-    r AS (SELECT m, count(*) AS n, CASE WHEN extract(minute FROM m) % 5 = 0 THEN 'PARTIAL' ELSE 'COMPLETE' END AS c FROM ro GROUP BY 1)
-    SELECT strftime(r.m, {S}) AS minute, CASE WHEN l.c = 'COMPLETE' OR (l.c IS NOT NULL AND r.c <> 'COMPLETE') THEN 'LIVE' ELSE 'RECOVERY' END AS basis, CASE WHEN l.c = 'COMPLETE' OR (l.c IS NOT NULL AND r.c <> 'COMPLETE') THEN l.c ELSE r.c END AS coverage,
-      CASE WHEN l.c = 'COMPLETE' OR (l.c IS NOT NULL AND r.c <> 'COMPLETE') THEN l.n ELSE r.n END AS messages, l.c AS live_coverage FROM r LEFT JOIN l USING (m)""",
-)
-def promoted(spark, d):
-    """Live and recovered minutes merged without counting twice."""
+PROMOTED = f"""{ROUTING}, l AS (SELECT m, count(*) AS n, CASE extract(minute FROM m) % 3 WHEN 0 THEN 'COMPLETE' WHEN 1 THEN 'PARTIAL' ELSE 'DEGRADED' END AS c FROM ro WHERE event_id % 4 <> 0 GROUP BY 1),
+    r AS (SELECT m, count(*) AS n, CASE WHEN extract(minute FROM m) % 5 = 0 THEN 'PARTIAL' ELSE 'COMPLETE' END AS c FROM ro GROUP BY 1),
+    pm AS (SELECT r.m, CASE WHEN l.c = 'COMPLETE' OR (l.c IS NOT NULL AND r.c <> 'COMPLETE') THEN 'LIVE_STREAM' ELSE 'MRT_RECOVERY' END AS basis, CASE WHEN l.c = 'COMPLETE' OR (l.c IS NOT NULL AND r.c <> 'COMPLETE') THEN l.c ELSE r.c END AS coverage,
+      CASE WHEN l.c = 'COMPLETE' OR (l.c IS NOT NULL AND r.c <> 'COMPLETE') THEN l.n ELSE r.n END AS messages, l.c AS live_coverage FROM r LEFT JOIN l USING (m))"""
+
+
+def promoted_minutes(spark, d):
     obs = routing(spark, d).withColumn("minute", F.date_trunc("minute", "observed_at"))
     k = F.minute("minute") % 3
     live = obs.where("event_id % 4 <> 0").groupBy("minute").agg(F.count("*").alias("messages")).withColumn("coverage", F.when(k == 0, "COMPLETE").when(k == 1, "PARTIAL").otherwise("DEGRADED"))
     rec = obs.groupBy("minute").agg(F.count("*").alias("messages")).withColumn("coverage", F.when(F.minute("minute") % 5 == 0, "PARTIAL").otherwise("COMPLETE"))
-    return R.promote(live, rec, ["minute"]).withColumn("minute", stamp("minute"))
+    return R.promote(live, rec, ["minute"])
+
+
+@query("promoted_minutes", f"WITH {PROMOTED} SELECT strftime(m, {S}) AS minute, basis, coverage, messages, live_coverage FROM pm")
+def promoted(spark, d):
+    """Live and recovered minutes merged without counting twice."""
+    return promoted_minutes(spark, d).withColumn("minute", stamp("minute"))
+
+
+@query(
+    "routing_read_model",
+    f"""WITH {PROMOTED}, rr AS (SELECT m, count(DISTINCT rrc) AS projected, array_to_string(list_filter(['rrc00', 'rrc01', 'rrc02'], lambda x: NOT list_contains(list(DISTINCT rrc), x)), ',') AS missing FROM ro GROUP BY 1)
+    SELECT strftime(m, {S}) AS minute, messages, basis, CASE basis WHEN 'MRT_RECOVERY' THEN 'RIS_MRT_UPDATE' ELSE 'RIS_LIVE_WEBSOCKET' END AS channel, coalesce(live_coverage, CASE WHEN basis = 'LIVE_STREAM' THEN coverage ELSE 'NO_COVERAGE' END) AS live_coverage, basis = 'MRT_RECOVERY' AS recovered,
+      CASE WHEN basis = 'MRT_RECOVERY' THEN CASE WHEN projected = 3 THEN 'COMPLETE' ELSE 'PARTIAL' END END AS recovery_status, CASE WHEN basis = 'MRT_RECOVERY' THEN projected END AS projected, CASE WHEN basis = 'MRT_RECOVERY' THEN missing END AS missing
+    FROM pm JOIN rr USING (m) ORDER BY m DESC LIMIT 500""",
+)
+def read_model(spark, d):
+    """The newest minutes with their channel, and the recovery of those that were recovered."""
+    seen = routing(spark, d).groupBy(F.date_trunc("minute", "observed_at").alias("bucket_start")).agg(F.collect_set("rrc").alias("rrcs"))
+    expected = F.array(*[F.lit(f"rrc0{i}") for i in range(3)])
+    heads_ = seen.select("bucket_start", F.when(F.size("rrcs") == 3, "COMPLETE").otherwise("PARTIAL").alias("status"), F.size(expected).alias("expected"), F.size("rrcs").alias("projected"), F.array_except(expected, "rrcs").alias("missing"))
+    out = R.routing_read(promoted_minutes(spark, d).withColumnRenamed("minute", "bucket_start"), heads_, 500)
+    return out.select(stamp("bucket_start").alias("minute"), "messages", "basis", "channel", "live_coverage", "recovered", F.col("recovery.status").alias("recovery_status"), F.col("recovery.projected").alias("projected"), F.array_join("recovery.missing", ",").alias("missing"))
 
 
 @query(
