@@ -16,7 +16,7 @@ def test_every_mapped_source_is_known(spark):
 def test_reports_become_entities_and_facts(spark, tmp_path):
     rows = [{"id": "1", "ioc": "1.2.3.4:80", "ioc_type": "ip:port", "malware": "Win.X", "first_seen": "2024-01-02 03:04:05 UTC", "reference": "https://a.b/"}, {"id": "2", "ioc": "bad", "ioc_type": "md5_hash", "first_seen": "2024-01-02 03:04:05 UTC"}]
     (tmp_path / "r.json").write_text(json.dumps({"query_status": "ok", "data": rows}))
-    reports, _ = feeds.scan_ioc_reports(spark, str(tmp_path / "r.json"))
+    reports, _, _ = feeds.scan_ioc_reports(spark, str(tmp_path / "r.json"))
     out = {r.source_record_id: r for r in canonical.normalize(reports, canonical.mappings()["ioc.threatfox"]).collect()}
     assert [(e.kind, e.key) for e in out["1"].entities] == [("IP", "1.2.3.4"), ("MALWARE", "win.x")]
     assert out["2"].entities == [] and out["1"].reference_urls == ["https://a.b/"]
