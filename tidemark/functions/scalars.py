@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -217,20 +219,28 @@ def v4_number(ip: Column | str) -> Column:
     return F.when(col(ip).rlike(rf"^{octet}(\.{octet}){{3}}$"), number)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is evaluated once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def address_bits(ip: Column | str) -> Column:
     """The address as text: its family (4 or 6) and its 32 or 128 bits; null if it is none. A prefix of length n holds it if
     their first n + 1 characters agree. IPv6 may be compressed, in either case, with an IPv4 tail."""
-    v4, whole = v4_number(ip), F.lower(col(ip))
-    tail = F.regexp_extract(whole, r"([0-9.]+)$", 1)
-    dotted = F.instr(whole, ".") > 0
-    last = F.lpad(F.lower(F.hex(v4_number(tail))), 8, "0")
-    plain = F.when(dotted, F.concat(F.regexp_replace(whole, r"[0-9.]+$", ""), F.substring(last, 1, 4), F.lit(":"), F.substring(last, 5, 4))).otherwise(whole)
-    halves = F.split(plain, "::")
+    whole = F.lower(col(ip))
+    last = F.lpad(F.lower(F.hex(v4_number(F.regexp_extract(whole, r"([0-9.]+)$", 1)))), 8, "0")
+    dotted = F.concat(F.regexp_replace(whole, r"[0-9.]+$", ""), let(last, lambda x: F.concat(F.substring(x, 1, 4), F.lit(":"), F.substring(x, 5, 4))))
+    plain = F.when(F.instr(whole, ".") > 0, dotted).otherwise(whole)
     groups = lambda half: F.filter(F.split(F.coalesce(half, F.lit("")), ":"), lambda g: g != "")
-    left, right = groups(F.get(halves, F.lit(0))), groups(F.get(halves, F.lit(1)))
-    short = F.instr(plain, "::") > 0
-    gap = F.lit(8) - F.size(left) - F.size(right)
-    every = F.concat(left, F.when(short & (gap > 0), F.array_repeat(F.lit("0"), gap)).otherwise(F.array().cast("array<string>")), right)
-    shape = plain.rlike(r"^([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?(::([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?)?$") & (F.size(every) == 8) & (~short | (gap > 0))
-    bits = F.array_join(F.transform(every, lambda g: F.lpad(F.conv(g, 16, 2), 16, "0")), "")
-    return F.when(v4.isNotNull(), F.concat(F.lit("4"), F.lpad(F.bin(v4), 32, "0"))).when(shape, F.concat(F.lit("6"), bits))
+    shape = r"^([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?(::([0-9a-f]{1,4}(:[0-9a-f]{1,4})*)?)?$"
+    none = F.array().cast("array<string>")
+
+    def filled(halves: Column) -> Column:
+        """The eight groups; fewer or more where the address is none."""
+        left, right = groups(F.get(halves, F.lit(0))), groups(F.get(halves, F.lit(1)))
+        gap = lambda n: F.when((F.size(halves) > 1) & (n > 0), F.array_repeat(F.lit("0"), n)).when(F.size(halves) > 1, F.array_repeat(F.lit("0"), 9)).otherwise(none)
+        return let(F.struct(left.alias("l"), right.alias("r")), lambda x: F.concat(x["l"], gap(F.lit(8) - F.size(x["l"]) - F.size(x["r"])), x["r"]))
+
+    bits = lambda every: F.when(F.size(every) == 8, F.concat(F.lit("6"), F.array_join(F.transform(every, lambda g: F.lpad(F.conv(g, 16, 2), 16, "0")), "")))
+    v6 = let(plain, lambda p: F.when(p.rlike(shape), let(filled(F.split(p, "::")), bits)))
+    return let(v4_number(ip), lambda n: F.when(n.isNotNull(), F.concat(F.lit("4"), F.lpad(F.bin(n), 32, "0"))).otherwise(v6))

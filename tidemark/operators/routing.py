@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import address_bits, bucket_start
+from tidemark.functions.scalars import address_bits, bucket_start, let
 from tidemark.operators.measure import GRANULARITY, overlap
 
 #: Minutes that a complete rollup has, and the lateness of a minute.
@@ -125,14 +125,14 @@ def routing_rollup(minutes: DataFrame, obs: DataFrame, granularity: str, at: str
 def network_bits(prefix: str) -> Column:
     """The family and the first bits of a prefix, as many as its length says; null if it is none. Host bits are masked."""
     parts = F.split(prefix, "/")
-    bits, length = address_bits(parts[0]), F.get(parts, F.lit(1)).try_cast("int")
-    return F.when((F.size(parts) == 2) & length.between(0, F.length(bits) - 1), F.substr(bits, F.lit(1), length + 1))
+    length = F.get(parts, F.lit(1)).try_cast("int")
+    return F.when(F.size(parts) == 2, let(address_bits(parts[0]), lambda bits: F.when(length.between(0, F.length(bits) - 1), F.substr(bits, F.lit(1), length + 1))))
 
 
 def candidate_networks(ips: DataFrame, ip: str) -> DataFrame:
     """ip, _net: every network that could hold each distinct address, 33 for IPv4 and 129 for IPv6."""
     own = ips.select(ip).distinct().withColumn("_bits", address_bits(ip)).where("_bits is not null")
-    return own.select(ip, F.explode(F.transform(F.sequence(F.lit(1), F.length("_bits")), lambda n: F.substr("_bits", F.lit(1), n))).alias("_net"))
+    return own.withColumn("_n", F.explode(F.sequence(F.lit(1), F.length("_bits")))).select(ip, F.substr("_bits", F.lit(1), F.col("_n")).alias("_net"))
 
 
 def covering_prefix(ips: DataFrame, prefixes: DataFrame, ip: str = "ip", prefix: str = "prefix") -> DataFrame:
