@@ -131,13 +131,15 @@ def network_bits(prefix: str) -> Column:
 
 def candidate_networks(ips: DataFrame, ip: str) -> DataFrame:
     """ip, _net: every network that could hold each distinct address, 33 for IPv4 and 129 for IPv6."""
-    own = ips.select(ip).distinct().withColumn("_bits", address_bits(ip)).where("_bits is not null")
-    return own.withColumn("_n", F.explode(F.sequence(F.lit(1), F.length("_bits")))).select(ip, F.substr("_bits", F.lit(1), F.col("_n")).alias("_net"))
+    # Never null, so that no filter for nulls moves below the distinct and has every row's bits calculated.
+    own = ips.select(ip).distinct().withColumn("_bits", F.coalesce(address_bits(ip), F.lit("")))
+    tried = own.withColumn("_n", F.explode(F.sequence(F.lit(1), F.length("_bits")))).where(F.col("_n").between(1, F.length("_bits")))
+    return tried.select(ip, F.substr("_bits", F.lit(1), F.col("_n")).alias("_net"))
 
 
 def covering_prefix(ips: DataFrame, prefixes: DataFrame, ip: str = "ip", prefix: str = "prefix") -> DataFrame:
     """ips with the most specific prefix that holds each (null: none). Candidates meet prefixes by equality."""
-    known = prefixes.select(prefix).distinct().withColumn("_net", network_bits(prefix)).where("_net is not null").groupBy("_net").agg(F.min(prefix).alias("covering"))
+    known = prefixes.select(prefix).distinct().withColumn("_net", F.coalesce(network_bits(prefix), F.lit(""))).groupBy("_net").agg(F.min(prefix).alias("covering"))
     best = candidate_networks(ips, ip).join(known, "_net").groupBy(ip).agg(F.max_by("covering", F.length("_net")).alias("covering"))
     return ips.join(best, ip, "left")
 
@@ -151,7 +153,7 @@ def covering_minutes(ips: DataFrame, obs: DataFrame, ip: str = "ip", at: str = "
     rows = obs.select(bucket_start(at, "MINUTE").alias("bucket_start"), F.explode(kinds).alias("m")).groupBy("bucket_start", F.col("m.member").alias("covering")).agg(
         *[F.bool_or(F.col("m.kind") == k).alias(k) for k in ("announced", "withdrawn")]
     )
-    known = rows.withColumn("_net", network_bits("covering")).where("_net is not null")
+    known = rows.withColumn("_net", F.coalesce(network_bits("covering"), F.lit("")))
     met = candidate_networks(ips, ip).join(known, "_net")
     best = met.groupBy(ip, "bucket_start").agg(F.min(F.struct((-F.length("_net")).alias("_n"), "covering", "announced", "withdrawn")).alias("_b"))
     return best.select(ip, "bucket_start", "_b.covering", "_b.announced", "_b.withdrawn")
