@@ -150,18 +150,18 @@ def revised_minutes(spark, d):
 
 @query(
     "final_and_due",
-    f"""WITH {ROUTING}, now AS (SELECT max(ts) AS t FROM ro), a AS (SELECT 'MINUTE' AS granularity, m AS b FROM ro, now WHERE epoch(m) + 240 <= floor(epoch(t)) GROUP BY 2 UNION ALL SELECT 'HOUR', date_trunc('hour', ts) FROM ro, now GROUP BY 2, t HAVING epoch(date_trunc('hour', any_value(ts))) + 3600 <= floor(epoch(t))
+    f"""WITH {ROUTING}, now AS (SELECT TIMESTAMP '2024-01-20 12:30:30' AS t), a AS (SELECT 'MINUTE' AS granularity, m AS b FROM ro, now WHERE epoch(m) + 240 <= floor(epoch(t)) GROUP BY 2 UNION ALL SELECT 'HOUR', date_trunc('hour', ts) FROM ro, now GROUP BY 2, t HAVING epoch(date_trunc('hour', any_value(ts))) + 3600 <= floor(epoch(t))
       UNION ALL SELECT 'DAY', date_trunc('day', ts) FROM ro, now GROUP BY 2, t HAVING epoch(date_trunc('day', any_value(ts))) + 86400 <= floor(epoch(t)))
     SELECT granularity, count(*) AS n, strftime(max(b), {S}) AS last FROM a GROUP BY 1""",
 )
 def final_and_due(spark, d):
-    """Minutes past their lateness, and hours and days that have ended, at the time of the newest event."""
+    """Minutes past their lateness, and hours and days that have ended, at one moment."""
     obs = routing(spark, d)
-    now = obs.agg(F.max("observed_at").alias("now"))
+    now = F.lit("2024-01-20 12:30:30").cast("timestamp")
     parts = []
     for g in ("MINUTE", "HOUR", "DAY"):
-        own = obs.select(F.date_trunc(g, "observed_at").alias("bucket_start")).distinct().join(F.broadcast(now))
-        due = R.final_minutes(own, F.col("now")) if g == "MINUTE" else R.due_buckets(own, g, F.col("now"))
+        own = obs.select(F.date_trunc(g, "observed_at").alias("bucket_start")).distinct()
+        due = R.final_minutes(own, now) if g == "MINUTE" else R.due_buckets(own, g, now)
         parts.append(due.select(F.lit(g).alias("granularity"), "bucket_start"))
     return parts[0].union(parts[1]).union(parts[2]).groupBy("granularity").agg(F.count("*").alias("n"), stamp(F.max("bucket_start")).alias("last"))
 
