@@ -1,8 +1,8 @@
 """Language identification word by word: known words first, then ever shorter character n-grams.
 
 Words are runs of letters in lower case. A word that training texts hold twice or more scores its log frequency in each
-language. Any other word is marked at both ends and scores the mean log frequency of its n-grams of the greatest n of which
-any is known. A text's language has the largest sum over its words.
+language. Any other word scores the mean log frequency of its n-grams, which see the word's ends, of the greatest n of which any is
+known. A text's language has the largest sum over its words.
 """
 
 from __future__ import annotations
@@ -38,8 +38,10 @@ def has_letter(word: str) -> bool:
     return word.isalpha() or any(c.isalpha() for c in word)
 
 
-def marked(word: str) -> str:
-    return f"\x01{word}\x02"
+def grams(word: str, n: int) -> list[str]:
+    """n-grams of the word, marked at both ends unless n is 1."""
+    text = f"\x01{word}\x02" if n > 1 else word
+    return [text[i : i + n] for i in range(len(text) - n + 1)]
 
 
 class Rows(dict):
@@ -83,10 +85,9 @@ class LanguageModel:
 
     def backed_off(self, word: str) -> np.ndarray:
         """Mean log frequencies of the word's known n-grams of the greatest n that has any."""
-        text = marked(word)
-        for n in range(min(len(self.tables), len(text)), 0, -1):
+        for n in range(len(self.tables), 0, -1):
             get = self.places[n - 1].get
-            known = [k for i in range(len(text) - n + 1) if (k := get(text[i : i + n])) is not None]
+            known = [k for g in grams(word, n) if (k := get(g)) is not None]
             if known:
                 return np.add.reduce(self.tables[n - 1][1].take(known, 0), 0) / len(known)
         return np.zeros(len(self.languages))
@@ -163,10 +164,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         for frame in batches:
             seen: Counter = Counter()
             for word, lang, n in zip(frame["word"], frame["lang"], frame["n"]):
-                text = marked(word)
-                for size in range(1, min(LONGEST, len(text)) + 1):
-                    for i in range(len(text) - size + 1):
-                        seen[size, text[i : i + size], lang] += n
+                for size in range(1, LONGEST + 1):
+                    for g in grams(word, size):
+                        seen[size, g, lang] += n
             yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["size", "gram", "lang", "n"])
 
     counted = sample.mapInPandas(count, "word string, lang string, n long").groupBy("word", "lang").agg(F.sum("n").alias("n"))
