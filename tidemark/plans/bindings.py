@@ -131,6 +131,12 @@ def sessions(spark: SparkSession, d: str) -> DataFrame:
     return day.select("start", F.timestamp_seconds(F.unix_timestamp("start") + 23 * 3600).alias("end"), F.when(F.dayofmonth("start") < 15, "p1").otherwise("p2").alias("profile"), (F.dayofmonth("start") % 9 == 0).alias("degraded"))
 
 
+def whole_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """The sessions, those of even days until midnight."""
+    longer = F.when(F.dayofmonth("start") % 2 == 0, 24).otherwise(23)
+    return sessions(spark, d).withColumn("end", F.timestamp_seconds(F.unix_timestamp("start") + longer * 3600))
+
+
 def schedules(spark: SparkSession, d: str, keys: DataFrame | None = None) -> DataFrame:
     """Two schedule revisions a source: every six hours, from the 15th every twelve."""
     from tidemark.operators.coverage import schedule_revisions, schedule_segments

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import measure as M
 from tidemark.operators import routing as R
+from tidemark.operators import routing_sets as RS
 from tidemark.operators.revisions import heads
-from tidemark.plans.bindings import END, EVENTS, ROUTING, START, events, routing, sessions, stamp
+from tidemark.plans.bindings import END, EVENTS, ROUTING, START, events, routing, sessions, stamp, whole_sessions
 from tidemark.plans.registry import query
 
 S = "'%Y-%m-%d %H:%M:%S'"
@@ -68,29 +69,62 @@ def minute_coverage(spark, d):
     return minutes_with_coverage(spark, d).select(stamp("bucket_start").alias("minute"), "messages", "coverage", "availability")
 
 
-@query(
-    "routing_hour_rollup",
-    f"""WITH {MINUTES}, h AS (SELECT date_trunc('hour', b) AS h, count(*) AS n_rows, count(*) FILTER (WHERE coverage = 'COMPLETE') AS satisfied, count(*) FILTER (WHERE coverage = 'PARTIAL') AS partial, count(*) FILTER (WHERE coverage = 'DEGRADED') AS degraded, sum(messages) AS msgs FROM mc GROUP BY 1),
-    x AS ({sets_sql("date_trunc('hour', ts)")})
-    SELECT strftime(h, {S}) AS hour, n_rows, satisfied, partial, degraded, CASE WHEN satisfied = 60 THEN 'COMPLETE' WHEN degraded > 0 THEN 'DEGRADED' ELSE 'PARTIAL' END AS coverage,
-      CAST(CASE WHEN satisfied = 60 THEN msgs END AS BIGINT) AS messages, CASE WHEN satisfied = 60 THEN coalesce(x.n_prefixes, 0) END AS n_prefixes, CASE WHEN satisfied = 60 THEN coalesce(x.n_origins, 0) END AS n_origins
-    FROM h LEFT JOIN x ON x.b = h.h""",
-)
+def covered_minutes(spark, d, watched):
+    """Every minute of the range with its counters, sets and coverage, from one scan of the observations."""
+    day = F.dayofmonth("bucket_start")
+    rows = RS.minute_rows(routing(spark, d)).withColumns({"rejected": F.when(day == 20, 1).otherwise(0), "data_profile": F.when(day < 15, "p1").otherwise("p2")})
+    spine = M.spine(spark.range(1).select(F.lit(1).alias("one")), START, END, "MINUTE").select("bucket_start")
+    return RS.covered(spine.join(rows, "bucket_start", "left").fillna(0, list(RS.COUNTERS)), watched)
+
+
+def rollup_sql(bucket: str, n: int, watched: str) -> str:
+    """Rollups of n minutes; watched says when a minute lies in a session."""
+    value = lambda c, name: f"CAST(CASE WHEN satisfied = {n} THEN coalesce({c}, 0) END AS BIGINT) AS {name}"
+    return f"""WITH {ROUTING}, mi AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:59:00', INTERVAL 1 MINUTE)) AS b), ct AS (SELECT m AS b, count(*) AS n FROM ro GROUP BY 1),
+      mc AS (SELECT mi.b, coalesce(n, 0) AS messages, CASE WHEN (n > 0 AND dayofmonth(mi.b) = 20) OR (dayofmonth(mi.b) % 9 = 0 AND ({watched})) THEN 'DEGRADED' WHEN {watched} THEN 'COMPLETE' WHEN n > 0 THEN 'PARTIAL' ELSE 'NO_COVERAGE' END AS coverage FROM mi LEFT JOIN ct USING (b)),
+      h AS (SELECT {bucket.format("b")} AS h, count(*) AS n_rows, count(*) FILTER (WHERE coverage = 'COMPLETE') AS satisfied, count(*) FILTER (WHERE coverage = 'PARTIAL') AS partial, count(*) FILTER (WHERE coverage = 'DEGRADED') AS degraded FROM mc GROUP BY 1),
+      x AS ({sets_sql(bucket.format("ts"))})
+      SELECT strftime(h, {S}) AS bucket, n_rows, satisfied, partial, degraded, CASE WHEN satisfied = {n} THEN 'COMPLETE' WHEN degraded > 0 THEN 'DEGRADED' ELSE 'PARTIAL' END AS coverage,
+        {", ".join(value(f"x.{c}", c) for c in ("messages", "announcements", "withdrawals", "n_prefixes", "n_withdrawn", "n_origins", "n_peers", "n_rrcs"))}, {value("x.announcements + x.withdrawals", "v4_events")}
+      FROM h LEFT JOIN x ON x.b = h.h"""
+
+
+def rolled(spark, d, granularity, watched):
+    out = RS.rollup(covered_minutes(spark, d, watched), granularity)
+    return out.select(stamp("bucket").alias("bucket"), F.col("rows").alias("n_rows"), "satisfied", "partial", "degraded", "coverage", "messages", "announcements", "withdrawals", "n_prefixes", "n_withdrawn", "n_origins", "n_peers", "n_rrcs", "v4_events")
+
+
+EVEN_DAYS = "hour(mi.b) < 23 OR dayofmonth(mi.b) % 2 = 0"
+
+
+@query("routing_five_minute_rollup", rollup_sql("time_bucket(INTERVAL 5 MINUTE, {})", 5, "hour(mi.b) < 23"))
+def five_minute_rollup(spark, d):
+    """Five minutes as ORs of minutes: complete or NULL."""
+    return rolled(spark, d, "FIVE_MINUTES", sessions(spark, d))
+
+
+@query("routing_hour_rollup", rollup_sql("date_trunc('hour', {})", 60, "hour(mi.b) < 23"))
 def hour_rollup(spark, d):
-    """Hours from minutes: complete or NULL; distinct counts from the identities."""
-    out = R.routing_rollup(minutes_with_coverage(spark, d), routing(spark, d), "HOUR")
-    return out.select(stamp("bucket").alias("hour"), F.col("rows").alias("n_rows"), "satisfied", "partial", "degraded", "coverage", "messages", "n_prefixes", "n_origins")
+    """Hours as ORs of minutes: complete or NULL; distinct counts from the identities."""
+    return rolled(spark, d, "HOUR", sessions(spark, d))
+
+
+@query("routing_day_rollup", rollup_sql("date_trunc('day', {})", 1440, EVEN_DAYS))
+def day_rollup(spark, d):
+    """Days as ORs of minutes; even days are watched until midnight and complete, unless degraded."""
+    return rolled(spark, d, "DAY", whole_sessions(spark, d))
 
 
 @query(
-    "routing_day_rollup",
-    f"""WITH {MINUTES}, h AS (SELECT date_trunc('day', b) AS h, count(*) AS n_rows, count(*) FILTER (WHERE coverage = 'COMPLETE') AS satisfied, count(*) FILTER (WHERE coverage = 'DEGRADED') AS degraded FROM mc GROUP BY 1)
-    SELECT strftime(h, {S}) AS day, n_rows, satisfied, CASE WHEN satisfied = 1440 THEN 'COMPLETE' WHEN degraded > 0 THEN 'DEGRADED' ELSE 'PARTIAL' END AS coverage, CAST(NULL AS BIGINT) AS messages FROM h""",
+    "routing_merged_segments",
+    f"WITH {ROUTING}, x AS ({sets_sql('m')}), k AS (SELECT m AS b, count(DISTINCT event_id % 3) AS segments FROM ro GROUP BY 1) SELECT strftime(b, {S}) AS minute, segments, messages, announcements, withdrawals, n_withdrawn, n_origins, n_peers, n_rrcs FROM x JOIN k USING (b)",
 )
-def day_rollup(spark, d):
-    """Days never complete here: sessions stop at 23:00, so every value is NULL."""
-    out = R.routing_rollup(minutes_with_coverage(spark, d), routing(spark, d), "DAY")
-    return out.select(stamp("bucket").alias("day"), F.col("rows").alias("n_rows"), "satisfied", "coverage", "messages")
+def merged_segments(spark, d):
+    """Minutes of three segments apiece, coded by one dictionary, merged by OR."""
+    obs = routing(spark, d).withColumn("segment", F.col("event_id") % 3)
+    codes = RS.dictionary(RS.set_rows(obs))
+    out = RS.set_sizes(RS.merge(RS.minute_rows(obs, known=codes, keep=["segment"])))
+    return out.select(stamp("bucket_start").alias("minute"), "segments", "messages", "announcements", "withdrawals", "n_withdrawn", "n_origins", "n_peers", "n_rrcs")
 
 
 @query(
