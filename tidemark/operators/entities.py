@@ -60,17 +60,35 @@ def capable(df: DataFrame, capabilities: DataFrame, flag: str) -> DataFrame:
     return df.join(capabilities.where(F.col(flag)).select("entity_type"), "entity_type", "left_semi")
 
 
-def admissible(sources: DataFrame, now: Column) -> DataFrame:
-    """sources with blockers (array) and admitted: status, hash validity, allowed use and the review date."""
-    blockers = F.array_compact(
+#: States of an admission under which a source may run, and retention that is allowed.
+ENABLED, RETAINED = ("ADMITTED", "ACTIVE"), ("ALLOWED", "RESTRICTED", "NOT_APPLICABLE")
+
+
+def admissible(sources: DataFrame, admissions: DataFrame, now: Column, key: str = "source_key") -> DataFrame:
+    """sources with blockers (array, in the order of the rules) and admitted.
+
+    admissions: key, admission_status, hash_valid, collection_allowed, raw_retention, canonical_projection_allowed,
+    canonical_retention, license_class, terms_checked_at, review_due_at; a source without a row has no admission, and nothing
+    else to say. Unknown flags count as not given; a review without a date is never overdue.
+    """
+    no = lambda c: ~F.coalesce(F.col(c), F.lit(False))
+    outside = lambda c, allowed: ~F.coalesce(F.col(c).isin(*allowed), F.lit(False))
+    told = lambda prefix, c: F.concat(F.lit(prefix), F.coalesce(F.col(c), F.lit("UNKNOWN")))
+    rules = F.array_compact(
         F.array(
-            F.when(F.coalesce("admission_status", F.lit("")) != "APPROVED", "NOT_APPROVED"),
-            F.when(~F.coalesce("hash_valid", F.lit(False)), "POLICY_HASH_INVALID"),
-            F.when(~F.coalesce("use_allowed", F.lit(False)), "USE_NOT_ALLOWED"),
-            F.when(F.coalesce(F.col("review_due_at") < now, F.lit(True)), "REVIEW_OVERDUE"),
+            F.when(outside("admission_status", ENABLED), told("STATUS_", "admission_status")),
+            F.when(no("hash_valid"), "POLICY_HASH_INVALID"),
+            F.when(no("collection_allowed"), "COLLECTION_NOT_ALLOWED"),
+            F.when(outside("raw_retention", RETAINED), told("RAW_RETENTION_", "raw_retention")),
+            F.when(no("canonical_projection_allowed"), "CANONICAL_PROJECTION_NOT_ALLOWED"),
+            F.when(outside("canonical_retention", RETAINED), told("CANONICAL_RETENTION_", "canonical_retention")),
+            F.when(F.col("terms_checked_at").isNull() & outside("license_class", ("INTERNAL_TEST",)), "TERMS_NOT_CHECKED"),
+            F.when(F.col("review_due_at") < now, "ADMISSION_REVIEW_OVERDUE"),
         )
     )
-    return sources.withColumn("blockers", blockers).withColumn("admitted", F.size("blockers") == 0)
+    out = sources.join(admissions.withColumn("_known", F.lit(True)), key, "left")
+    blockers = F.when(F.col("_known").isNull(), F.array(F.lit("NO_CURRENT_ADMISSION"))).otherwise(rules)
+    return out.withColumn("blockers", blockers).withColumn("admitted", F.size("blockers") == 0).drop("_known")
 
 
 def entity_history(obs: DataFrame, key: Sequence[str] = ("entity_key",)) -> DataFrame:
@@ -133,7 +151,8 @@ def activity_members(obs: DataFrame) -> DataFrame:
 def convergence(activity: DataFrame, window_s: int) -> DataFrame:
     """Findings of each activity bucket: several sources, origins or classes; a concurrent movement if all are
     instants of at least two origins within the window."""
-    span = F.unix_timestamp("last_time") - F.unix_timestamp("first_time")
+    # Whole seconds of the span itself, not of its ends.
+    span = F.floor((F.unix_micros("last_time") - F.unix_micros("first_time")) / 1_000_000)
     types = F.array_compact(
         F.array(
             F.when(F.col("sources") >= 2, SOURCE_OVERLAP),

@@ -95,27 +95,32 @@ def collected() -> Column:
     return F.array_sort(F.collect_list(F.when(F.col("block") > 0, one)), lambda x, y: F.when(F.struct(x["kind"], x["block"]) < F.struct(y["kind"], y["block"]), -1).otherwise(1)).alias("sets")
 
 
-def ored(rows: DataFrame, key: Sequence[str], sums: dict[str, Column], extremes: dict[str, Column]) -> DataFrame:
+def ored(rows: DataFrame, key: Sequence[str], sums: dict[str, Column], spans: Sequence[str] = ()) -> DataFrame:
     """rows (key, sets) as one bitmap for each key, kind and block: OR of all their places and bits. sums are added once for each
-    row (in one of its blocks), extremes are aggregates over all. One shuffle brings a key's rows together, small as they are;
-    all that follows, here and by key later on, needs no other."""
+    row (in one of its blocks); of spans, columns, the block's least (low_) and greatest (high_) values are kept. One shuffle
+    brings a key's rows together, small as they are; all that follows, here and by key later on, needs no other."""
     spread = rows.repartition(*key).select("*", F.posexplode_outer("sets").alias("_at", "s")).drop("sets")
     first = F.coalesce(F.col("_at"), F.lit(0)) == 0
     bare = F.struct(F.lit(None).cast("long").alias("place"), F.col("s.bits").alias("bits"))
     parts = F.concat(F.array(bare), F.transform(F.coalesce("s.places", F.array().cast("array<int>")), lambda p: F.struct(p.cast("long").alias("place"), F.lit(None).cast("binary").alias("bits"))))
     items = spread.select("*", F.posexplode(parts).alias("_nth", "p"))
     once = lambda c: F.sum(F.when(first & (F.col("_nth") == 0), c).otherwise(0))
+    ends = [f(c).alias(f"{name}_{c}") for c in spans for name, f in (("low", F.min), ("high", F.max))]
     both = items.groupBy(*key, F.col("s.kind").alias("kind"), F.col("s.block").alias("block")).agg(
-        F.bitmap_construct_agg("p.place").alias("a"), F.bitmap_or_agg("p.bits").alias("b"), *[once(c).alias(k) for k, c in sums.items()], *[c.alias(k) for k, c in extremes.items()]
+        F.bitmap_construct_agg("p.place").alias("a"), F.bitmap_or_agg("p.bits").alias("b"), *[once(c).alias(k) for k, c in sums.items()], *ends
     )
     twice = both.withColumn("x", F.explode(F.array("a", "b")))
-    return twice.groupBy(*key, "kind", "block").agg(F.bitmap_or_agg("x").alias("bits"), *[F.max(k).alias(k) for k in (*sums, *extremes)])
+    return twice.groupBy(*key, "kind", "block").agg(F.bitmap_or_agg("x").alias("bits"), *[F.max(k).alias(k) for k in (*sums, *low_and_high(spans))])
+
+
+def low_and_high(spans: Sequence[str]) -> list[str]:
+    return [f"{name}_{c}" for c in spans for name in ("low", "high")]
 
 
 def merge(parts: DataFrame, key: Sequence[str] = ("bucket_start",)) -> DataFrame:
     """Parts of minutes (of segments, say) with codes of one dictionary as whole ones: counters summed, sets united (as bitmaps);
     `segments` counts the parts."""
-    blocks = ored(parts.select(*key, *COUNTERS, "sets"), key, {"segments": F.lit(1), **{c: F.col(c) for c in COUNTERS}}, {})
+    blocks = ored(parts.select(*key, *COUNTERS, "sets"), key, {"segments": F.lit(1), **{c: F.col(c) for c in COUNTERS}})
     return blocks.withColumn("places", F.lit(None).cast("array<int>")).groupBy(*key).agg(*[F.sum(c).alias(c) for c in (*COUNTERS, "segments")], collected())
 
 
@@ -147,31 +152,33 @@ def covered(minutes: DataFrame, sessions: DataFrame) -> DataFrame:
     return out.withColumn("availability", available).drop("_gap", "_bad", "_p", "_one", "rejected", "data_profile")
 
 
+def sized(rows: DataFrame, key: Sequence[str], sums: dict[str, Column], spans: Sequence[str] = ()) -> DataFrame:
+    """rows (key, sets, and what sums are made of) as one row a key: n_prefixes, the size of each united set, sums added once
+    for each row, and the low_ and high_ of spans."""
+    blocks = ored(rows, key, sums, spans)
+    carried = [F.sum(c).alias(c) for c in sums] + [(F.min if c.startswith("low_") else F.max)(c).alias(c) for c in low_and_high(spans)]
+    # Prefixes that are announced and withdrawn count once: their bitmaps meet in one row by space.
+    spaces = blocks.groupBy(*key, space_of(F.col("kind")).alias("space"), "block").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("_all"), *[F.sum(F.when(F.col("kind") == k, F.bitmap_count("bits")).otherwise(0)).alias(f"n_{k}") for k in SETS], *carried
+    )
+    prefixes = F.coalesce(F.sum(F.when((F.col("space") == "prefix") & F.col("block").isNotNull(), F.col("_all"))), F.lit(0))
+    return spaces.groupBy(*key).agg(prefixes.alias("n_prefixes"), *[F.sum(f"n_{k}").alias(f"n_{k}") for k in SETS], *carried)
+
+
 def rollup(minutes: DataFrame, granularity: str) -> DataFrame:
     """Larger buckets from covered minutes (with COUNTERS and sets): complete only if every minute is there, complete, and of one
     profile; else the values are NULL. Columns: bucket, rows, satisfied, partial, degraded, coverage, availability, complete,
-    expected, missing, COUNTERS, n_prefixes, and the size of each set."""
+    expected, missing, COUNTERS, n_prefixes, and the size of each set. The shuffle by bucket serves every step."""
     good = (F.col("coverage") == "COMPLETE") & (F.col("availability") == "AVAILABLE")
     rows = minutes.select(bucket_start("bucket_start", granularity).alias("bucket"), "coverage", good.alias("_good"), "profile", *COUNTERS, "sets")
     tallies = {"rows": F.lit(1), "satisfied": F.col("_good").cast("int"), "partial": (F.col("coverage") == "PARTIAL").cast("int"), "degraded": (F.col("coverage") == "DEGRADED").cast("int"), "_profiles": F.col("profile").isNotNull().cast("int")}
-    # The shuffle by bucket serves all four aggregations: blocks of a kind, of a space, and the bucket.
-    blocks = ored(rows, ["bucket"], tallies | {c: F.coalesce(c, F.lit(0)) for c in COUNTERS}, {"_low": F.min("profile"), "_high": F.max("profile")})
-    # Prefixes that are announced and withdrawn count once: their bitmaps meet in one row by space.
-    spaces = blocks.groupBy("bucket", space_of(F.col("kind")).alias("space"), "block").agg(
-        F.bitmap_count(F.bitmap_or_agg("bits")).alias("_all"),
-        *[F.sum(F.when(F.col("kind") == k, F.bitmap_count("bits")).otherwise(0)).alias(f"n_{k}") for k in SETS],
-        F.min("_low").alias("_low"), F.max("_high").alias("_high"), *[F.sum(c).alias(c) for c in (*tallies, *COUNTERS)],
-    )
-    sizes = [f"n_{k}" for k in SETS]
-    per = spaces.groupBy("bucket").agg(
-        F.coalesce(F.sum(F.when((F.col("space") == "prefix") & F.col("block").isNotNull(), F.col("_all"))), F.lit(0)).alias("n_prefixes"),
-        F.min("_low").alias("_low"), F.max("_high").alias("_high"), *[F.sum(c).alias(c) for c in (*tallies, *COUNTERS, *sizes)],
-    )
-    complete = (F.col("rows") == MINUTES[granularity]) & (F.col("satisfied") == F.col("rows")) & (F.col("_profiles") == F.col("rows")) & (F.col("_low") == F.col("_high"))
+    per = sized(rows, ["bucket"], tallies | {c: F.coalesce(c, F.lit(0)) for c in COUNTERS}, ["profile"])
+    whole = lambda c: F.col(c) == F.col("rows")
+    complete = (F.col("rows") == MINUTES[granularity]) & whole("satisfied") & whole("_profiles") & (F.col("low_profile") == F.col("high_profile"))
     out = per.withColumn("complete", F.coalesce(complete, F.lit(False)))
     out = out.withColumn("coverage", F.when(F.col("complete"), "COMPLETE").when(F.col("degraded") > 0, "DEGRADED").otherwise("PARTIAL"))
-    out = out.withColumns({c: F.when(F.col("complete"), F.col(c)) for c in (*COUNTERS, "n_prefixes", *sizes)})
-    return out.withColumns({"availability": F.when(F.col("complete"), "AVAILABLE").otherwise("PARTIAL"), "expected": F.lit(MINUTES[granularity]), "missing": F.lit(MINUTES[granularity]) - F.col("rows")}).drop("_profiles", "_low", "_high")
+    out = out.withColumns({c: F.when(F.col("complete"), F.col(c)) for c in (*COUNTERS, "n_prefixes", *[f"n_{k}" for k in SETS])})
+    return out.withColumns({"availability": F.when(F.col("complete"), "AVAILABLE").otherwise("PARTIAL"), "expected": F.lit(MINUTES[granularity]), "missing": F.lit(MINUTES[granularity]) - F.col("rows")}).drop("_profiles", "low_profile", "high_profile")
 
 
 def set_sizes(minutes: DataFrame) -> DataFrame:

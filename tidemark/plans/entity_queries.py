@@ -60,7 +60,7 @@ def activity_members(spark, d):
     return out.select("entity_key", "granularity", stamp("bucket_start").alias("bucket"), "source_key", "observations", stamp("first_time").alias("first_time"), stamp("last_time").alias("last_time"))
 
 
-FINDINGS = f"""{ROWS}, act AS (SELECT entity_key, granularity, b, count(*) AS observations, count(DISTINCT source_key) AS s, count(DISTINCT origin) AS o, count(DISTINCT source_class) AS c, count(observed_date) AS dt, floor(epoch(max(observed_time))) - floor(epoch(min(observed_time))) AS span FROM ac GROUP BY 1, 2, 3),
+FINDINGS = f"""{ROWS}, act AS (SELECT entity_key, granularity, b, count(*) AS observations, count(DISTINCT source_key) AS s, count(DISTINCT origin) AS o, count(DISTINCT source_class) AS c, count(observed_date) AS dt, floor((epoch_us(max(observed_time)) - epoch_us(min(observed_time))) / 1000000) AS span FROM ac GROUP BY 1, 2, 3),
   fi AS (SELECT *, 'SOURCE_SYSTEM_OVERLAP' AS finding FROM act WHERE s >= 2 UNION ALL SELECT *, 'MULTI_ORIGIN_CONVERGENCE' FROM act WHERE o >= 2 UNION ALL SELECT *, 'CROSS_CLASS_CONVERGENCE' FROM act WHERE c >= 2 UNION ALL SELECT *, 'CONCURRENT_MOVEMENT' FROM act WHERE dt = 0 AND o >= 2 AND span <= 3600)"""
 
 
@@ -328,14 +328,31 @@ def capable(spark, d):
 
 @query(
     "admitted_sources",
-    f"""WITH {SOURCES} SELECT source_key, array_to_string(list_filter([CASE WHEN source_key = 'error' THEN 'NOT_APPROVED' END, CASE WHEN length(source_key) = 8 THEN 'POLICY_HASH_INVALID' END, CASE WHEN origin = 'ops' THEN 'USE_NOT_ALLOWED' END, CASE WHEN source_key = 'signup' THEN 'REVIEW_OVERDUE' END], lambda x: x IS NOT NULL), ',') AS blockers,
-    source_key IN ('click', 'view') AS admitted FROM src""",
+    """WITH f AS (SELECT DISTINCT event_type, user_id AS u FROM events), p AS (SELECT event_type || '/' || u AS source_key, u % 13 <> 0 AS known, ['ADMITTED', 'ACTIVE', 'SUSPENDED', 'CANDIDATE', NULL][u % 5 + 1] AS st, u % 7 <> 0 AS hash, event_type <> 'error' AS collect,
+      ['ALLOWED', 'RESTRICTED', 'PROHIBITED', 'NOT_APPLICABLE'][u % 4 + 1] AS raw, u % 11 <> 0 AS canon, ['ALLOWED', 'UNKNOWN', 'RESTRICTED'][u % 3 + 1] AS kept, u % 6 = 0 AS internal, u % 2 = 1 AS checked, u % 3 = 1 AS overdue FROM f),
+    b AS (SELECT source_key, CASE WHEN NOT known THEN ['NO_CURRENT_ADMISSION'] ELSE list_filter([CASE WHEN st IS NULL OR st NOT IN ('ADMITTED', 'ACTIVE') THEN 'STATUS_' || coalesce(st, 'UNKNOWN') END, CASE WHEN NOT hash THEN 'POLICY_HASH_INVALID' END, CASE WHEN NOT collect THEN 'COLLECTION_NOT_ALLOWED' END,
+      CASE WHEN raw = 'PROHIBITED' THEN 'RAW_RETENTION_PROHIBITED' END, CASE WHEN NOT canon THEN 'CANONICAL_PROJECTION_NOT_ALLOWED' END, CASE WHEN kept = 'UNKNOWN' THEN 'CANONICAL_RETENTION_UNKNOWN' END, CASE WHEN NOT internal AND NOT checked THEN 'TERMS_NOT_CHECKED' END, CASE WHEN overdue THEN 'ADMISSION_REVIEW_OVERDUE' END], lambda x: x IS NOT NULL) END AS b FROM p)
+    SELECT source_key, array_to_string(b, ',') AS blockers, len(b) = 0 AS admitted FROM b""",
 )
 def admitted(spark, d):
-    """Admission policy of each source with its blockers."""
-    k = F.col("source_key")
-    policy = sources(spark, d).withColumns({"admission_status": F.when(k == "error", "PENDING").otherwise("APPROVED"), "hash_valid": F.length(k) != 8, "use_allowed": F.col("origin") != "ops", "review_due_at": F.when(k == "signup", F.lit("2024-01-10")).otherwise(F.lit("2024-12-31")).cast("timestamp")})
-    return E.admissible(policy, F.lit("2024-02-01").cast("timestamp")).select("source_key", F.array_join("blockers", ",").alias("blockers"), "admitted")
+    """The current admission of each feed with all that blocks it; some have none, some no review date, some no terms."""
+    u = F.col("user_id")
+    one_of = lambda *x: F.get(F.array(*[F.lit(v) for v in x]), (u % len(x)).cast("int"))
+    feeds = events(spark, d).select("event_type", "user_id").distinct().withColumn("source_key", F.concat_ws("/", "event_type", "user_id"))
+    admissions = feeds.where(u % 13 != 0).select(
+        "source_key",
+        one_of("ADMITTED", "ACTIVE", "SUSPENDED", "CANDIDATE", None).alias("admission_status"),
+        (u % 7 != 0).alias("hash_valid"),
+        (F.col("event_type") != "error").alias("collection_allowed"),
+        one_of("ALLOWED", "RESTRICTED", "PROHIBITED", "NOT_APPLICABLE").alias("raw_retention"),
+        (u % 11 != 0).alias("canonical_projection_allowed"),
+        one_of("ALLOWED", "UNKNOWN", "RESTRICTED").alias("canonical_retention"),
+        F.when(u % 6 == 0, "INTERNAL_TEST").alias("license_class"),
+        F.when(u % 2 == 1, F.lit("2024-01-01").cast("timestamp")).alias("terms_checked_at"),
+        one_of(None, "2024-01-10", "2024-12-31").cast("timestamp").alias("review_due_at"),
+    )
+    out = E.admissible(feeds.select("source_key"), admissions, F.lit("2024-02-01").cast("timestamp"))
+    return out.select("source_key", F.array_join("blockers", ",").alias("blockers"), "admitted")
 
 
 @query(

@@ -8,7 +8,7 @@ from tidemark.functions.scalars import score_band
 from tidemark.operators import coverage as C
 from tidemark.operators import measure as M
 from tidemark.plans.bindings import DAYS, END, EVENTS, FEEDS, KEYS, RUNS, START, WINDOWS, events, facts, feed_keys, runs, schedules, source_keys, stamp, table, windows
-from tidemark.plans.registry import ORACLES, query
+from tidemark.plans.registry import query
 
 S = "'%Y-%m-%d %H:%M:%S'"
 KEY = ["source_key"]
@@ -82,7 +82,17 @@ def carried(spark, d):
     return out.select("source_key", stamp("bucket_start").alias("bucket"), "value")
 
 
-query("carried_forward_daily_all", ORACLES["carried_forward_daily"])(carried)
+@query(
+    "carried_forward_daily_all",
+    f"""WITH {FEEDS}, {DAYS}, e AS (SELECT event_type || '/' || user_id AS source_key, ts, event_id, value FROM events), l AS (SELECT source_key, date_trunc('day', ts) AS d, arg_max(value, (ts, event_id)) AS v FROM e GROUP BY 1, 2),
+    g AS (SELECT t.source_key, days.d, l.v FROM types t CROSS JOIN days LEFT JOIN l ON l.source_key = t.source_key AND l.d = days.d)
+    SELECT source_key, strftime(d, {S}) AS bucket, last_value(v IGNORE NULLS) OVER (PARTITION BY source_key ORDER BY d) AS value FROM g""",
+)
+def carried_feeds(spark, d):
+    """The last value before each day's end of every feed of a type and a user."""
+    rows = facts(spark, d).withColumn("source_key", F.concat_ws("/", "source_key", "entity_key"))
+    out = M.carried_forward(feed_keys(spark, d), rows, KEY, START, END, "DAY")
+    return out.select("source_key", stamp("bucket_start").alias("bucket"), "value")
 
 
 @query(
@@ -282,7 +292,19 @@ def gated_by_coverage(spark, d):
     return out.select("source_key", stamp("bucket_start").alias("bucket"), F.col("gated").cast("bigint").alias("value"))
 
 
-query("gated_by_coverage_daily_all", ORACLES["gated_by_coverage_daily"])(gated_by_coverage)
+@query(
+    "gated_by_coverage_daily_all",
+    f"""WITH {EXPECTED_FEEDS}, per AS (SELECT event_type || '/' || user_id AS source_key, date_trunc('day', ts) AS d, count(*) AS n FROM events GROUP BY 1, 2)
+    SELECT s.source_key, strftime(s.d, {S}) AS bucket, CAST(CASE WHEN coalesce(n, 0) = 0 THEN CASE WHEN status = 'COMPLETE' THEN 0 END WHEN status <> 'NO_COVERAGE' THEN n END AS BIGINT) AS value FROM st s LEFT JOIN per p ON p.source_key = s.source_key AND p.d = s.d""",
+)
+def gated_feeds(spark, d):
+    """The live policy for every feed of a type and a user."""
+    keys = feed_keys(spark, d)
+    rows = facts(spark, d).withColumn("source_key", F.concat_ws("/", "source_key", "entity_key"))
+    buckets = M.aggregate(rows, KEY, "event_time", ["DAY"], value="COUNT_EVENTS").drop("granularity")
+    cov = day_coverage(spark, d, keys).select("source_key", "bucket_start", F.col("status").alias("coverage"))
+    out = M.series(keys, buckets, KEY, START, END, "DAY", "SOURCE_COVERAGE_REQUIRED", cov)
+    return out.select("source_key", stamp("bucket_start").alias("bucket"), F.col("gated").cast("bigint").alias("value"))
 
 
 @query(

@@ -258,10 +258,10 @@ def guard(spark, d):
     return out.select(F.col("source_key").alias("user_id"), F.date_format("dataset_date", "yyyy-MM-dd").alias("day"), F.col("rows").alias("n_rows"), "verdict")
 
 
-@query("population_guard_all", "WITH s AS (SELECT date_trunc('day', ts) AS b, count(*) AS n FROM events WHERE event_type IN ('purchase', 'click') GROUP BY 1), p AS (SELECT *, lag(n) OVER (ORDER BY b) AS pn FROM s) SELECT strftime(b, '%Y-%m-%d') AS day, n AS n_rows, CASE WHEN n < floor(pn * 0.75) THEN 'REJECT_DROP' ELSE 'ACCEPT' END AS verdict FROM p")
+@query("population_guard_all", "WITH s AS (SELECT date_trunc('day', ts) AS b, count(*) AS n FROM events GROUP BY 1), p AS (SELECT *, lag(n) OVER (ORDER BY b) AS pn FROM s) SELECT strftime(b, '%Y-%m-%d') AS day, n AS n_rows, CASE WHEN n < floor(pn * 0.75) THEN 'REJECT_DROP' ELSE 'ACCEPT' END AS verdict FROM p")
 def guard_all(spark, d):
     """Daily populations of all users together."""
-    snaps = events(spark, d).where("event_type in ('purchase', 'click')").groupBy(F.to_date("ts").alias("dataset_date")).agg(F.count("*").alias("rows"))
+    snaps = events(spark, d).groupBy(F.to_date("ts").alias("dataset_date")).agg(F.count("*").alias("rows"))
     out = P.population_guard(snaps.withColumns({"model": F.lit("m"), "source_key": F.lit("s")}), "dataset_date")
     return out.select(F.date_format("dataset_date", "yyyy-MM-dd").alias("day"), F.col("rows").alias("n_rows"), "verdict")
 

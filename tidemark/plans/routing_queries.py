@@ -10,6 +10,7 @@ from tidemark.operators import routing_sets as RS
 from tidemark.operators.revisions import heads
 from tidemark.plans.bindings import END, EVENTS, ROUTING, START, events, routing, sessions, stamp, whole_sessions
 from tidemark.plans.registry import query
+from tidemark.streaming import routing_state as RT
 
 S = "'%Y-%m-%d %H:%M:%S'"
 
@@ -127,6 +128,40 @@ def merged_segments(spark, d):
     return out.select(stamp("bucket_start").alias("minute"), "segments", "messages", "announcements", "withdrawals", "n_withdrawn", "n_origins", "n_peers", "n_rrcs")
 
 
+CLOSED_AT = "2024-01-30 12:34:56"
+
+
+def closed_sql(size: int, unit: str) -> str:
+    """Buckets of each collector that have closed, zeros included; every 97th event is a rejected line."""
+    count = lambda c, on="TRUE": f"count(DISTINCT CASE WHEN {on} THEN {c} END)"
+    return f"""WITH {ROUTING}, z AS (SELECT floor((epoch(TIMESTAMP '{CLOSED_AT}') - 180) / 60) * 60 AS e), f AS (SELECT rrc, epoch(min(m)) AS a FROM ro GROUP BY 1),
+      sp AS (SELECT rrc, a, unnest(generate_series(CAST(floor(a / {size}) * {size} AS BIGINT), CAST(e - {size} AS BIGINT), {size})) AS s FROM f, z),
+      x AS (SELECT rrc, CAST(epoch(date_trunc('{unit}', ts)) AS BIGINT) AS s, count(*) AS messages, 2 * count(*) FILTER (WHERE event_type <> 'error') AS announcements, count(*) FILTER (WHERE event_type = 'view') AS withdrawals,
+        {count("small", "event_type <> 'error'")} + {count("big", "event_type <> 'error'")} AS n_prefixes, {count("small", "event_type = 'view'")} AS n_withdrawn, {count("origin")} AS n_origins, {count("peer")} AS n_peers FROM ro WHERE event_id % 97 <> 0 GROUP BY 1, 2),
+      r AS (SELECT rrc, CAST(epoch(date_trunc('{unit}', ts)) AS BIGINT) AS s, count(*) AS rejected FROM ro WHERE event_id % 97 = 0 GROUP BY 1, 2)
+      SELECT sp.rrc, strftime(make_timestamp(sp.s * 1000000), {S}) AS bucket, CAST((sp.s + {size} - greatest(sp.s, a)) // 60 AS BIGINT) AS minutes, (sp.s + {size} - greatest(sp.s, a)) // 60 = {size // 60} AND coalesce(rejected, 0) = 0 AS complete,
+        coalesce(rejected, 0) AS rejected, {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("messages", "announcements", "withdrawals", "n_prefixes", "n_withdrawn", "n_origins", "n_peers"))}
+      FROM sp LEFT JOIN x ON x.rrc = sp.rrc AND x.s = sp.s LEFT JOIN r ON r.rrc = sp.rrc AND r.s = sp.s"""
+
+
+def closed_buckets(spark, d, granularity):
+    obs = routing(spark, d).withColumn("rejected", F.col("event_id") % 97 == 0)
+    out = RT.closed(RT.keyed(obs, F.lit("ris")), granularity, F.lit(CLOSED_AT).cast("timestamp"))
+    return out.select("rrc", stamp("bucket_start").alias("bucket"), "minutes", "complete", "rejected", "messages", "announcements", "withdrawals", "n_prefixes", "n_withdrawn", "n_origins", "n_peers")
+
+
+@query("routing_closed_minutes", closed_sql(60, "minute"))
+def closed_minutes(spark, d):
+    """What the stateful stream says of each collector's minutes: closed ones, zeros and rejects included."""
+    return closed_buckets(spark, d, "MINUTE")
+
+
+@query("routing_closed_hours", closed_sql(3600, "hour"))
+def closed_hours(spark, d):
+    """The stream's hours, from closed minutes."""
+    return closed_buckets(spark, d, "HOUR")
+
+
 @query(
     "covering_prefix",
     f"""WITH {ROUTING}, ip AS (SELECT DISTINCT '10.' || (user_id % 12) || '.' || (event_id % 40) || '.' || (event_id % 200) AS ip FROM events),
