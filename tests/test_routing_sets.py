@@ -50,14 +50,17 @@ def without_prefixes(want):
     return {k: (*v[:5], *v[6:]) for k, v in want.items()}
 
 
-def test_minutes_are_brute_force_in_both_forms(spark, obs, monkeypatch):
-    want = without_prefixes(brute(obs.collect(), 60))
-    rows = RS.minute_rows(obs)
-    assert told(RS.set_sizes(rows), "bucket_start", False) == want
-    forms = rows.select(F.explode("sets").alias("s")).agg(F.count_if(F.col("s.bits").isNotNull()), F.count_if(F.col("s.places").isNotNull())).first()
-    assert forms[0] > 0 and forms[1] > 0
-    monkeypatch.setattr(RS, "SPARSE", 0)
-    assert told(RS.set_sizes(RS.minute_rows(obs)), "bucket_start", False) == want
+def test_minutes_are_brute_force(obs):
+    assert told(RS.set_sizes(RS.minute_rows(obs)), "bucket_start") == brute(obs.collect(), 60)
+
+
+def test_places_and_bitmaps_unite(obs):
+    """Merged minutes (bitmaps) and minutes of other segments (places) make the hour together."""
+    codes = RS.dictionary(RS.set_rows(obs))
+    part = lambda cond: RS.minute_rows(obs.where(cond), known=codes).select("bucket_start", *RS.COUNTERS, "sets")
+    mixed = RS.merge(part("segment < 2")).drop("segments").unionByName(part("segment >= 2"))
+    hours = RS.sized(mixed.withColumn("bucket", F.date_trunc("hour", "bucket_start")), ["bucket"], {c: F.col(c) for c in RS.COUNTERS})
+    assert told(hours, "bucket") == brute(obs.collect(), 3600)
 
 
 def test_segments_merge_to_their_minutes(obs):

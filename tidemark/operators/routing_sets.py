@@ -1,7 +1,7 @@
-"""Exact mergeable sets: a minute's identities as bitmaps over a dictionary, so that larger buckets are ORs of minutes.
+"""Exact mergeable sets: a minute's identities coded by a dictionary, so that larger buckets are ORs of minutes.
 
-Every identity of a space (prefixes, origins, peers, collectors) has a small number, and a set is one bitmap for each block of
-32,768 numbers. Counters come from the same rows as the sets, so observations are read once; whatever is built on minutes, of
+Every identity of a space (prefixes, origins, peers, collectors) has a small number. A minute lists the numbers of its sets, in
+blocks of 32,768; what unites minutes holds one bitmap for each block. Counters come from the same rows as the sets, so observations are read once; whatever is built on minutes, of
 any length, never sees an observation again. Sets of segments and of minutes merge by OR, counters by sums.
 """
 
@@ -21,8 +21,6 @@ SPACE = {"announced": "prefix", "withdrawn": "prefix", "origins": "origin", "pee
 COUNTERS = ("messages", "announcements", "withdrawals", "v4_events", "v6_events")
 #: Parts of a space that are numbered apart from each other; numbers of part p are p + 1 and every SHARES-th after it.
 SHARES = 256
-#: Members of a block that are listed rather than marked in a bitmap of 4 KB.
-SPARSE = 256
 
 
 def space_of(kind: Column) -> Column:
@@ -62,9 +60,8 @@ def dictionary(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def minute_rows(obs: DataFrame, at: str = "observed_at", known: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per minute (and `keep`) with COUNTERS and `sets`, an array of (kind, block, places, bits): a block of a set that
-    has SPARSE members or fewer lists their places in it, a fuller one is a bitmap. So a minute's row is as large as its
-    identities need, at most 4 KB for each 32,768 numbers.
+    """One row per minute (and `keep`) with COUNTERS, n_prefixes and `sets`, an array of (kind, block, places, bits): here every
+    block of a set lists its members' places, and bits are null. So a minute's row is as large as its identities.
 
     With a dictionary (`known`, of all members) rows of different calls merge; without one numbers hold for this frame alone,
     and come from a rank in the same pass.
@@ -78,20 +75,20 @@ def minute_rows(obs: DataFrame, at: str = "observed_at", known: DataFrame | None
         rows = rows.join(known, ["space", "member"], "left")
     key = [*keep, "bucket_start"]
     v6 = F.when(F.instr("member", ":") > 0, F.col("n")).otherwise(0)
-    # Members travel as numbers; bitmaps are only made where the minute's rows are together.
+    # Members travel as numbers to where the minute's rows are together.
     rows = rows.select(*key, "kind", F.coalesce(F.bitmap_bucket_number("code"), F.lit(0)).alias("block"), F.bitmap_bit_position("code").cast("int").alias("place"), "n", v6.alias("v6")).repartition(*key)
-    blocks = rows.groupBy(*key, "kind", "block").agg(F.array_sort(F.collect_list("place")).alias("places"), F.bitmap_construct_agg(F.col("place").cast("long")).alias("bits"), F.sum("n").alias("n"), F.sum("v6").alias("v6"))
+    blocks = rows.groupBy(*key, "kind", "block").agg(F.array_sort(F.collect_list("place")).alias("places"), F.sum("n").alias("n"), F.sum("v6").alias("v6")).withColumn("bits", F.lit(None).cast("binary"))
     of = lambda k, c="n": F.coalesce(F.sum(F.when(F.col("kind") == k, F.col(c))), F.lit(0))
     events = of("announced") + of("withdrawn")
     six = of("announced", "v6") + of("withdrawn", "v6")
     counters = [of("rrcs").alias("messages"), of("announced").alias("announcements"), of("withdrawn").alias("withdrawals"), (events - six).alias("v4_events"), six.alias("v6_events")]
-    return blocks.groupBy(*key).agg(*counters, collected())
+    prefixes = F.flatten(F.transform(F.filter("sets", lambda s: s["kind"].isin("announced", "withdrawn")), lambda s: F.transform(s["places"], lambda p: s["block"] * 32768 + p)))
+    return blocks.groupBy(*key).agg(*counters, collected()).withColumn("n_prefixes", F.size(F.array_distinct(prefixes)).cast("long"))
 
 
 def collected() -> Column:
-    """The sets of rows (kind, block, places, bits), each block in the form that suits it; places may be null."""
-    sparse = F.size("places") <= SPARSE
-    one = F.struct("kind", "block", F.when(sparse, F.col("places")).alias("places"), F.when(sparse, F.lit(None)).otherwise(F.col("bits")).alias("bits"))
+    """The sets of rows (kind, block, places, bits), in order; places or bits are null."""
+    one = F.struct("kind", "block", "places", "bits")
     return F.array_sort(F.collect_list(F.when(F.col("block") > 0, one)), lambda x, y: F.when(F.struct(x["kind"], x["block"]) < F.struct(y["kind"], y["block"]), -1).otherwise(1)).alias("sets")
 
 
@@ -182,7 +179,7 @@ def rollup(minutes: DataFrame, granularity: str) -> DataFrame:
 
 
 def set_sizes(minutes: DataFrame) -> DataFrame:
-    """Minutes with the size of each set instead of their bitmaps, row by row and without a shuffle."""
+    """Minutes with the size of each set instead of its members, row by row and without a shuffle."""
     of = lambda k: F.filter("sets", lambda s: s["kind"] == k)
     total = lambda sets: F.aggregate(sets, F.lit(0).cast("long"), lambda n, s: n + F.coalesce(F.size(s["places"]).cast("long"), F.bitmap_count(s["bits"])))
     return minutes.withColumns({f"n_{k}": total(of(k)) for k in SETS}).drop("sets")

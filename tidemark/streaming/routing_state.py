@@ -190,7 +190,7 @@ def closed(rows: DataFrame, granularity: str, now: Column, lateness_s: int = LAT
     size, key = F.lit(GRANULARITY[granularity]).cast("long"), [*KEY, "second"]
     floor = lambda c, to: F.col(c) - F.pmod(F.col(c), to)
     minutes = RS.minute_rows(rows.where("not rejected"), "at", keep=KEY).withColumn("second", F.unix_timestamp("bucket_start"))
-    sums = RS.sized(minutes.withColumn("second", floor("second", size)), key, {c: F.col(c) for c in RS.COUNTERS})
+    sums = RS.set_sizes(minutes) if granularity == "MINUTE" else RS.sized(minutes.withColumn("second", floor("second", size)), key, {c: F.col(c) for c in RS.COUNTERS})
     bad = rows.groupBy(*KEY, floor("second", size).alias("second")).agg(F.count_if("rejected").alias("rejected"))
     # The minutes that may close end at `_end`.
     spans = rows.groupBy(*KEY).agg(F.min(floor("second", F.lit(60))).alias("_first")).withColumn("_end", F.unix_timestamp(now) - lateness_s).withColumn("_end", floor("_end", F.lit(60)))
