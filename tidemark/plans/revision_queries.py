@@ -266,13 +266,18 @@ def guard_all(spark, d):
     return out.select(F.date_format("dataset_date", "yyyy-MM-dd").alias("day"), F.col("rows").alias("n_rows"), "verdict")
 
 
-@query("snapshot_fingerprints", "SELECT c_mktsegment AS segment, count(*) AS n_rows, true AS same FROM customer GROUP BY 1")
+@query(
+    "snapshot_fingerprints",
+    """WITH t AS (SELECT c_mktsegment, [CAST(c_custkey AS VARCHAR), c_name, CAST(c_acctbal AS VARCHAR)] AS v FROM customer), d AS (SELECT c_mktsegment, sha256(array_to_string(list_transform(v, lambda x: len(x) || ':' || x), ';')) AS h FROM t),
+    w AS (SELECT c_mktsegment, i, sum(('0x' || substr(h, 8 * i + 1, 8))::BIGINT) % 4294967296 AS s FROM d, range(8) r(i) GROUP BY 1, 2), n AS (SELECT c_mktsegment, count(*) AS n FROM d GROUP BY 1)
+    SELECT c_mktsegment AS segment, n AS n_rows, true AS same, sha256(n || '.' || string_agg(CAST(s AS BIGINT), '.' ORDER BY i)) AS fp FROM w JOIN n USING (c_mktsegment) GROUP BY 1, 2""",
+)
 def fingerprints(spark, d):
-    """Fingerprints of each segment's customers don't depend on the order or partitioning of rows."""
+    """Fingerprints of each segment's customers; they don't depend on the order or partitioning of rows."""
     c = table(spark, d, "customer")
     a = P.snapshot_fingerprint(c, ["c_mktsegment"], "c_custkey", ["c_name", "c_acctbal"])
     b = P.snapshot_fingerprint(c.repartition(7, "c_name"), ["c_mktsegment"], "c_custkey", ["c_name", "c_acctbal"]).select("c_mktsegment", F.col("fp").alias("fp2"))
-    return a.join(b, "c_mktsegment").select(F.col("c_mktsegment").alias("segment"), F.col("rows").alias("n_rows"), (F.col("fp") == F.col("fp2")).alias("same"))
+    return a.join(b, "c_mktsegment").select(F.col("c_mktsegment").alias("segment"), F.col("rows").alias("n_rows"), (F.col("fp") == F.col("fp2")).alias("same"), "fp")
 
 
 @query("invariant_audit", """SELECT 'duplicate_event_ids' AS invariant, count(*) AS violations, count(*) = 0 AS accepted FROM (SELECT event_id FROM events GROUP BY 1 HAVING count(*) > 1)
