@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import is_live
 from tidemark.operators.revisions import valid_to
+from tidemark.operators.routing import next_event
+from tidemark.operators.timeline import last_said
 
 
 def schedule_revisions(changes: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -32,28 +34,55 @@ def match_runs(expected: DataFrame, runs: DataFrame, key: Sequence[str]) -> Data
     return expected.join(one, [*key, "expected_at"], "left")
 
 
+#: Kinds of rows on the axis of a source's schedule, in the order in which those of one time are heard.
+ASKED, BEGINS, RAN = 0, 1, 2
+
+
+def anchors(schedules: DataFrame, runs: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Every anchor of every schedule row: key, schedule (struct of the row), anchor, ran, next (the schedule's next anchor).
+
+    Anchors are the start of a schedule, or its anchor_at, and every run that its cadence or bootstrap made inside it. Schedules
+    and runs are united on one time axis: a run hears the schedule that it lies in, and each anchor the run that comes next.
+    Schedule rows of one key don't overlap (`schedule_segments` makes them so).
+    """
+    row = F.struct("effective_from", "effective_to", "enabled", "interval_s", "grace_s", "origin", "anchor_at")
+    own = known_origin(schedules).select(*key, row.alias("s"))
+    initial = F.coalesce("s.anchor_at", "s.effective_from")
+    # A first anchor before its schedule hears the schedule's first run, even one at the very start.
+    heard = F.when(initial >= F.col("s.effective_from"), initial).otherwise(F.timestamp_micros(F.unix_micros("s.effective_from") - 1))
+    natural = runs.where(F.col("trigger").isin("SCHEDULED", "BOOTSTRAP") & F.col("scheduled_for").isNotNull()).select(*key, F.col("scheduled_for").cast("timestamp").alias("at")).distinct()
+    axis = (
+        own.select(*key, F.col("s.effective_from").alias("at"), F.lit(ASKED).alias("what"), "s", F.lit(None).cast("timestamp").alias("anchor"))
+        .unionByName(own.select(*key, heard.alias("at"), F.lit(BEGINS).alias("what"), "s", initial.alias("anchor")))
+        .unionByName(natural.select(*key, "at", F.lit(RAN).alias("what"), F.lit(None).cast(own.schema["s"].dataType).alias("s"), F.col("at").alias("anchor")))
+    )
+    heard_by = last_said(axis, key, "at", F.when(F.col("what") == ASKED, F.col("s")), "_in", F.col("what"))
+    ahead = next_event(heard_by, key, "at", F.col("what") == RAN, "_next", "DAY").where(F.col("what") != ASKED)
+    ahead = ahead.withColumn("schedule", F.when(F.col("what") == RAN, F.col("_in")).otherwise(F.col("s")))
+    inside = (F.col("what") == BEGINS) | F.col("schedule.effective_to").isNull() | (F.col("at") < F.col("schedule.effective_to"))
+    ahead = ahead.where(F.col("schedule").isNotNull() & inside)
+    begins = F.coalesce("schedule.anchor_at", "schedule.effective_from")
+    run = F.when(F.col("schedule.effective_to").isNull() | (F.col("_next") < F.col("schedule.effective_to")), F.col("_next"))
+    later = F.least(run, F.when(begins > F.col("anchor"), begins))
+    return ahead.select(*key, "schedule", "anchor", (F.col("what") == RAN).alias("ran"), later.alias("next"))
+
+
 def expected_times(schedules: DataFrame, runs: DataFrame, key: Sequence[str], start: str, end: str, now: Column, by_schedule: bool = False) -> DataFrame:
     """Mature expected times of [start, end): key, expected_at, grace_s (and effective_from of its schedule, if by_schedule).
 
-    Anchors are the start of a schedule, or its anchor_at where it has one, and every run that its cadence or bootstrap made
-    inside it; from each anchor the interval is counted up to the next one. A time within the grace of the next anchor is
-    absorbed by it. A schedule whose origin is UNKNOWN expects nothing.
+    From each anchor the interval is counted up to the next one. A time within the grace of the next anchor is absorbed by it;
+    runs are expected at their own times. A schedule that is off, has no interval, or whose origin is UNKNOWN expects nothing.
     """
     a, b = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
-    live = known_origin(schedules).where("enabled and interval_s is not null and origin <> 'UNKNOWN'").withColumns({"_from": F.greatest("effective_from", a), "_to": F.least(F.coalesce("effective_to", b), b)}).where("_from < _to")
-    natural = runs.where(F.col("trigger").isin("SCHEDULED", "BOOTSTRAP") & F.col("scheduled_for").isNotNull()).select(*key, "scheduled_for")
-    inside = live.join(natural, list(key)).where((F.col("scheduled_for") >= F.col("effective_from")) & (F.col("effective_to").isNull() | (F.col("scheduled_for") < F.col("effective_to"))))
-    columns = [*key, "effective_from", "interval_s", "grace_s", "_from", "_to"]
-    first_anchor = live.select(*columns, F.coalesce("anchor_at", "effective_from").alias("anchor"), F.lit(False).alias("_ran"))
-    anchors = first_anchor.union(inside.select(*columns, "scheduled_for", F.lit(True))).groupBy(*columns, "anchor").agg(F.bool_or("_ran").alias("_ran"))
-    anchors = anchors.withColumn("next", F.lead("anchor").over(Window.partitionBy(*key, "effective_from").orderBy("anchor")))
+    rows = anchors(schedules, runs, key).select(*key, "schedule.*", "anchor", "ran", "next").where("enabled and interval_s is not null and origin <> 'UNKNOWN'")
+    live = rows.withColumns({"_from": F.greatest("effective_from", a), "_to": F.least(F.coalesce("effective_to", b), b)}).where("_from < _to")
     t = lambda c: F.unix_timestamp(c)
     first = F.greatest(F.lit(0), F.ceil((t("_from") - t("anchor")) / F.col("interval_s")))
     stop = F.least(t("_to"), F.coalesce(t("next"), t("_to")))
     begin = t("anchor") + first * F.col("interval_s")
-    counted = anchors.where(begin < stop).withColumn("_s", F.explode(F.sequence(begin, stop - 1, F.col("interval_s").cast("bigint"))))
+    counted = live.where(begin < stop).withColumn("_s", F.explode(F.sequence(begin, stop - 1, F.col("interval_s").cast("bigint"))))
     counted = counted.where(F.col("next").isNull() | (F.abs(t("next") - F.col("_s")) > F.col("grace_s"))).withColumn("expected_at", F.timestamp_seconds("_s"))
-    own = anchors.where("_ran and anchor >= _from and anchor < _to").withColumn("expected_at", F.col("anchor"))
+    own = live.where("ran and anchor >= _from and anchor < _to").withColumn("expected_at", F.col("anchor"))
     out = [*key, "effective_from", "expected_at"] if by_schedule else [*key, "expected_at"]
     every = counted.select(*out, "grace_s").union(own.select(*out, "grace_s"))
     return every.where(t("expected_at") + F.col("grace_s") <= F.unix_timestamp(now)).groupBy(*out).agg(F.max("grace_s").alias("grace_s"))
@@ -115,13 +144,20 @@ def schedule_evaluation(schedules: DataFrame, runs: DataFrame, buckets: DataFram
     """Every bucket (key, bucket_start) under every schedule row that overlaps it: key, bucket_start, effective_from,
     expectation, status, evaluation, counts, and the sorted reasons. `combine_segments` makes one row a bucket of them.
 
-    Buckets meet the few schedule rows of their key. An UNKNOWN origin leaves the expectation open; a schedule that is off or
+    A bucket hears the schedule row that its start lies in, and meets those that begin inside it. An UNKNOWN origin leaves the expectation open; a schedule that is off or
     without an interval expects nothing, and is final at once.
     """
     counts = {"satisfied": "SATISFIED", "partial": "PARTIAL", "failed": "FAILED", "missing": "MISSING"}
     t = lambda c: F.unix_timestamp(c)
-    rows = buckets.select(*key, "bucket_start").join(known_origin(schedules), list(key))
-    rows = rows.where((t("effective_from") < t("bucket_start") + size_s) & (F.col("effective_to").isNull() | (F.col("effective_to") > F.col("bucket_start"))))
+    own = known_origin(schedules)
+    columns = [c for c in own.columns if c not in key]
+    said = own.select(*key, F.col("effective_from").alias("at"), F.lit(0).alias("what"), F.struct(*columns).alias("s"))
+    asks = buckets.select(*key, F.col("bucket_start").alias("at"), F.lit(1).alias("what"), F.lit(None).cast(said.schema["s"].dataType).alias("s"))
+    heard = last_said(said.unionByName(asks), key, "at", F.col("s"), "_in", F.col("what")).where("what = 1")
+    heard = heard.where(F.col("_in").isNotNull() & (F.col("_in.effective_to").isNull() | (F.col("_in.effective_to") > F.col("at")))).select(*key, F.col("at").alias("bucket_start"), "_in.*")
+    placed_at = F.timestamp_seconds(t("effective_from") - F.pmod(t("effective_from"), F.lit(size_s)))
+    begun = own.withColumn("bucket_start", placed_at).where(F.col("effective_from") > F.col("bucket_start")).join(buckets.select(*key, "bucket_start"), [*key, "bucket_start"])
+    rows = heard.unionByName(begun.select(heard.columns))
     matched = match_runs(expected_times(schedules, runs, key, start, end, now, by_schedule=True), runs, key)
     seconds = t("expected_at")
     placed = matched.select(*key, "effective_from", F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(size_s))).alias("bucket_start"), outcome(F.col("run")).alias("_o"), reason(F.col("run")).alias("_r"))
@@ -161,7 +197,7 @@ def combine_segments(segments: DataFrame, key: Sequence[str]) -> DataFrame:
 def acquisition_windows(runs: DataFrame, rules: DataFrame) -> DataFrame:
     """Windows that runs prove: by a source's rule, a fixed horizon before the run, the run's own dataset date, or a snapshot
     at its time. rules: source_key, kind (INTERVAL, DATASET_DATE, SNAPSHOT), horizon_s. Failed runs prove nothing."""
-    done = runs.where(F.col("state").isin("SUCCEEDED", "PARTIAL")).join(F.broadcast(rules), "source_key")
+    done = runs.where(F.col("state").isin("SUCCEEDED", "PARTIAL")).join(rules, "source_key")
     t = F.coalesce("scheduled_for", "created_at")
     return done.select(
         "source_key",
