@@ -96,3 +96,25 @@ def test_no_pair_of_schedules_and_runs_is_made(spark):
 
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert all("_span" in line for line in re.findall(r"Join .*", plan))
+
+
+def test_islands_are_brute_force(spark):
+    r = random.Random(5)
+    rows = []
+    for _ in range(400):
+        a = T0 + r.randint(0, 6 * 86400) // 600 * 600
+        b = a + r.choice([0, 600, 600, 1200, 5400]) if r.random() > 0.02 else a + 3 * 86400
+        rows.append((r.choice("ab"), float(a), float(b) if r.random() > 0.05 else None, r.choice(C.WORST_FIRST)))
+    df = stamps(spark.createDataFrame(rows, "k string, start double, end double, availability string"), "start", "end")
+    want = []
+    for k in "ab":
+        own = sorted((a, b, C.WORST_FIRST.index(v)) for k2, a, b, v in rows if k2 == k and b is not None and b > a)
+        merged = []
+        for a, b, v in own:
+            if merged and a <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]), merged[-1][2] + 1, min(v, merged[-1][3]))
+            else:
+                merged.append((a, b, 1, v))
+        want += [(k, a, b, n, C.WORST_FIRST[v]) for a, b, n, v in merged]
+    got = [(x.k, x.start.timestamp(), x.end.timestamp(), x.n, x.availability) for x in C.merged_windows(df, ["k"]).collect()]
+    assert sorted(got) == sorted(want) and len(want) > 10

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import is_live
 from tidemark.operators.revisions import valid_to
 from tidemark.operators.routing import next_event
-from tidemark.operators.timeline import last_said
+from tidemark.operators.timeline import islands, last_said
 
 
 def schedule_revisions(changes: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -194,16 +194,59 @@ def combine_segments(segments: DataFrame, key: Sequence[str]) -> DataFrame:
     return segments.groupBy(*key).agg(expectation.alias("expectation"), status.alias("status"), *[F.sum(c).alias(c) for c in ("expected", "satisfied", "partial", "failed", "missing") if c in segments.columns])
 
 
-def acquisition_windows(runs: DataFrame, rules: DataFrame) -> DataFrame:
-    """Windows that runs prove: by a source's rule, a fixed horizon before the run, the run's own dataset date, or a snapshot
-    at its time. rules: source_key, kind (INTERVAL, DATASET_DATE, SNAPSHOT), horizon_s. Failed runs prove nothing."""
-    done = runs.where(F.col("state").isin("SUCCEEDED", "PARTIAL")).join(rules, "source_key")
-    t = F.coalesce("scheduled_for", "created_at")
-    return done.select(
-        "source_key",
-        "kind",
-        F.when(F.col("kind") == "INTERVAL", F.timestamp_seconds(F.unix_timestamp(t) - F.col("horizon_s"))).when(F.col("kind") == "SNAPSHOT", t).alias("start"),
-        F.when(F.col("kind").isin("INTERVAL", "SNAPSHOT"), t).alias("end"),
-        F.when(F.col("kind") == "DATASET_DATE", F.to_date(t)).alias("dataset_date"),
-        F.when(F.col("state") == "SUCCEEDED", "AVAILABLE").otherwise("PARTIAL").alias("availability"),
-    )
+#: What a window's availability says of recovery, and availabilities from the worst to the best.
+RECOVERY = {"AVAILABLE": "COMPLETE", "PARTIAL": "PARTIAL", "UNAVAILABLE": "UNRECOVERABLE"}
+WORST_FIRST = ("UNAVAILABLE", "PARTIAL", "AVAILABLE")
+#: The time axis that each kind of rule proves.
+AXES = {"WORK_UNITS": "UPSTREAM_UPDATED_TIME", "MANIFEST": "SOURCE_DATASET_DATE", "DATASET_DATE": "SOURCE_DATASET_DATE", "INTERVAL": "SOURCE_EFFECTIVE_TIME", "SNAPSHOT": "NODE_RECEIVED_TIME"}
+MANIFEST_KIND = "EPSS_DATASET_MANIFEST"
+
+
+def unit_availability(state: Column) -> Column:
+    return F.when(state == "SUCCEEDED", "AVAILABLE").when(state.isin("FAILED", "CANCELLED"), "UNAVAILABLE").otherwise("PARTIAL")
+
+
+def acquisition_windows(runs: DataFrame, rules: DataFrame, units: DataFrame | None = None, manifests: DataFrame | None = None) -> DataFrame:
+    """Windows that runs prove, by the rule of their source: source_key, run_id, kind, axis, start, end, dataset_date,
+    availability, recovery.
+
+    rules: source_key, kind, horizon_s. INTERVAL is a fixed horizon before the run, SNAPSHOT its time, DATASET_DATE its own date.
+    WORK_UNITS takes the windows of the run's units (run_id, unit_id, state, window_start, window_end), each as available as its
+    own state says, and MANIFEST the dataset dates of the manifests that it brought (run_id, kind, dataset_date); units or
+    manifests without a window or date prove nothing. Other kinds of a run that neither succeeded nor is PARTIAL prove nothing.
+    """
+    at = F.coalesce("scheduled_for", "created_at").cast("timestamp")
+    ruled = runs.join(rules.select("source_key", "kind", "horizon_s"), "source_key").select("source_key", "run_id", "state", at.alias("at"), "kind", "horizon_s")
+    none = lambda kind: F.lit(None).cast(kind)
+    done = ruled.where(F.col("state").isin("SUCCEEDED", "PARTIAL"))
+    horizon = F.timestamp_seconds(F.unix_timestamp("at") - F.col("horizon_s"))
+    parts = [
+        done.where(F.col("kind").isin("INTERVAL", "SNAPSHOT", "DATASET_DATE")).select(
+            "source_key", "run_id", "kind",
+            F.when(F.col("kind") == "INTERVAL", horizon).when(F.col("kind") == "SNAPSHOT", F.col("at")).alias("start"),
+            F.when(F.col("kind").isin("INTERVAL", "SNAPSHOT"), F.col("at")).alias("end"),
+            F.when(F.col("kind") == "DATASET_DATE", F.to_date("at")).alias("dataset_date"),
+            unit_availability(F.col("state")).alias("availability"),
+        )
+    ]
+    if units is not None:
+        own = units.where("window_start is not null and window_end is not null").select("run_id", F.col("state").alias("_state"), "window_start", "window_end")
+        met = ruled.where(F.col("kind") == "WORK_UNITS").join(own, "run_id")
+        parts.append(met.select("source_key", "run_id", "kind", F.col("window_start").alias("start"), F.col("window_end").alias("end"), none("date").alias("dataset_date"), unit_availability(F.col("_state")).alias("availability")))
+    if manifests is not None:
+        dates = manifests.where((F.col("kind") == MANIFEST_KIND) & F.col("dataset_date").isNotNull()).select("run_id", F.col("dataset_date").cast("date").alias("dataset_date")).distinct()
+        met = ruled.where(F.col("kind") == "MANIFEST").join(dates, "run_id")
+        parts.append(met.select("source_key", "run_id", "kind", none("timestamp").alias("start"), none("timestamp").alias("end"), "dataset_date", unit_availability(F.col("state")).alias("availability")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    of = lambda names, c: F.coalesce(*[F.when(F.col(c) == k, v) for k, v in names.items()])
+    return whole.withColumns({"axis": of(AXES, "kind"), "recovery": of(RECOVERY, "availability")})
+
+
+def merged_windows(windows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Overlapping or touching windows (start, end, availability) as one, as available as the worst of them: key, start, end, n,
+    availability. Sources with many windows are dealt by time."""
+    rank = F.array_position(F.array(*[F.lit(x) for x in WORST_FIRST]), F.col("availability"))
+    worst = F.element_at(F.array(*[F.lit(x) for x in WORST_FIRST]), F.min(rank).cast("int"))
+    return islands(windows, key, "start", "end", {"availability": worst})

@@ -27,3 +27,25 @@ def last_said(rows: DataFrame, key: Sequence[str], at: str, said: Column, name:
     inside = Window.partitionBy(*key, "_span").orderBy(F.unix_micros(F.col(at).cast("timestamp")), "_rank").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     found = rows.withColumn("_own", F.last("_said", ignorenulls=True).over(inside)).join(earlier, [*key, "_span"])
     return found.withColumn(name, F.coalesce("_own", "_before")).drop("_span", "_said", "_rank", "_own", "_before")
+
+
+def greatest_before(rows: DataFrame, key: Sequence[str], at: str, value: Column, name: str, span: str = "DAY") -> DataFrame:
+    """rows with `name`: the greatest value of the rows of its key that are earlier than it (rows of the same time aren't)."""
+    rows = rows.withColumns({"_span": bucket_start(at, span), "_v": value})
+    per = rows.groupBy(*key, "_span").agg(F.max("_v").alias("_end"))
+    before = Window.partitionBy(*key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = per.withColumn("_before", F.max("_end").over(before)).drop("_end")
+    inside = Window.partitionBy(*key, "_span").orderBy(F.unix_micros(F.col(at).cast("timestamp"))).rangeBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn("_own", F.max("_v").over(inside)).join(earlier, [*key, "_span"])
+    return found.withColumn(name, F.greatest("_own", "_before")).drop("_span", "_v", "_own", "_before")
+
+
+def islands(intervals: DataFrame, key: Sequence[str], start: str, end: str, kept: dict[str, Column], span: str = "DAY") -> DataFrame:
+    """Overlapping or touching intervals of a key as one: key, start, end, n (how many it is made of), and the aggregates of
+    `kept`. Intervals without length or with an open end are left out."""
+    real = intervals.where(F.col(end) > F.col(start))
+    reach = greatest_before(real, key, start, F.col(end), "_reach", span)
+    begins = F.col("_reach").isNull() | (F.col("_reach") < F.col(start))
+    placed = last_said(reach, key, start, F.when(begins, F.col(start)), "_island", span=span)
+    out = placed.groupBy(*key, F.col("_island").alias(start)).agg(F.max(end).alias(end), F.count("*").alias("n"), *[c.alias(name) for name, c in kept.items()])
+    return out

@@ -339,6 +339,53 @@ def acquisition_windows(spark, d):
     return out.select("source_key", "kind", stamp("start").alias("w_start"), stamp("end").alias("w_end"), F.date_format("dataset_date", "yyyy-MM-dd").alias("dataset_date"), "availability")
 
 
+UNITS = """un AS (SELECT o_custkey AS run, o_orderkey AS unit, CASE o_orderstatus WHEN 'F' THEN 'SUCCEEDED' WHEN 'O' THEN CASE WHEN o_orderkey % 3 = 0 THEN 'CANCELLED' ELSE 'FAILED' END ELSE 'RUNNING' END AS state, o_orderdate AS a, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate + (o_orderkey % 40) * INTERVAL 1 DAY END AS b FROM orders),
+  uw AS (SELECT run % 50 AS src, run, unit, a, b, CASE WHEN state = 'SUCCEEDED' THEN 'AVAILABLE' WHEN state = 'RUNNING' THEN 'PARTIAL' ELSE 'UNAVAILABLE' END AS availability FROM un WHERE b IS NOT NULL AND run % 4 <> 3)"""
+
+
+def order_windows(spark, d):
+    """Customers are runs of fifty sources, their orders work units of 0 to 39 days; lines of the first number bring manifests."""
+    o, n = table(spark, d, "orders"), F.col("o_orderkey")
+    state = F.when(F.col("o_orderstatus") == "F", "SUCCEEDED").when(F.col("o_orderstatus") == "O", F.when(n % 3 == 0, "CANCELLED").otherwise("FAILED")).otherwise("RUNNING")
+    begin = F.col("o_orderdate").cast("timestamp")
+    units = o.select(F.col("o_custkey").alias("run_id"), n.alias("unit_id"), state.alias("state"), begin.alias("window_start"), F.when(n % 11 != 0, F.timestamp_seconds(F.unix_timestamp(begin) + (n % 40) * 86400)).alias("window_end"))
+    c = F.col("c_custkey")
+    own = table(spark, d, "customer").select(c.alias("run_id"), (c % 50).cast("string").alias("source_key"), F.when(c % 4 == 3, "FAILED").otherwise("SUCCEEDED").alias("state"), F.lit("2024-01-01").cast("timestamp").alias("scheduled_for"), F.lit("2024-01-01").cast("timestamp").alias("created_at"))
+    rules = own.select("source_key").distinct().select("source_key", F.lit("WORK_UNITS").alias("kind"), F.lit(None).cast("int").alias("horizon_s"))
+    return C.acquisition_windows(own.where("run_id % 4 <> 3"), rules, units)
+
+
+@query("work_unit_windows", f"WITH {UNITS} SELECT CAST(src AS VARCHAR) AS source_key, run AS run_id, strftime(a, {S}) AS w_start, strftime(b, {S}) AS w_end, availability, CASE availability WHEN 'AVAILABLE' THEN 'COMPLETE' WHEN 'PARTIAL' THEN 'PARTIAL' ELSE 'UNRECOVERABLE' END AS recovery, 'UPSTREAM_UPDATED_TIME' AS axis FROM uw")
+def work_unit_windows(spark, d):
+    """The windows that work units prove, each by its own state."""
+    return order_windows(spark, d).select("source_key", "run_id", stamp("start").alias("w_start"), stamp("end").alias("w_end"), "availability", "recovery", "axis")
+
+
+@query(
+    "merged_windows",
+    f"""WITH {UNITS}, r AS (SELECT *, max(b) OVER (PARTITION BY src ORDER BY epoch(a) RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM uw WHERE b > a), i AS (SELECT *, max(CASE WHEN reach IS NULL OR reach < a THEN a END) OVER (PARTITION BY src ORDER BY a RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM r)
+    SELECT CAST(src AS VARCHAR) AS source_key, strftime(island, {S}) AS w_start, strftime(max(b), {S}) AS w_end, count(*) AS n, CASE WHEN bool_or(availability = 'UNAVAILABLE') THEN 'UNAVAILABLE' WHEN bool_or(availability = 'PARTIAL') THEN 'PARTIAL' ELSE 'AVAILABLE' END AS availability FROM i GROUP BY src, island""",
+)
+def merged_windows(spark, d):
+    """Windows of each source that overlap or touch, as one; the worst of them counts."""
+    return C.merged_windows(order_windows(spark, d), KEY).select("source_key", stamp("start").alias("w_start"), stamp("end").alias("w_end"), "n", "availability")
+
+
+@query(
+    "manifest_windows",
+    """SELECT CAST(l_suppkey % 20 AS VARCHAR) AS source_key, l_suppkey AS run_id, strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS dataset_date, CASE l_suppkey % 3 WHEN 0 THEN 'AVAILABLE' WHEN 1 THEN 'PARTIAL' ELSE 'UNAVAILABLE' END AS availability
+    FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL""",
+)
+def manifest_windows(spark, d):
+    """The dataset dates that the manifests of each run name, once each; lines of other numbers are records of other kinds."""
+    s = F.col("s_suppkey")
+    own = table(spark, d, "supplier").select(s.alias("run_id"), (s % 20).cast("string").alias("source_key"), F.when(s % 3 == 0, "SUCCEEDED").when(s % 3 == 1, "PARTIAL").otherwise("FAILED").alias("state"), F.lit("2024-01-01").cast("timestamp").alias("scheduled_for"), F.lit("2024-01-01").cast("timestamp").alias("created_at"))
+    rules = own.select("source_key").distinct().select("source_key", F.lit("MANIFEST").alias("kind"), F.lit(None).cast("int").alias("horizon_s"))
+    brought = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("run_id"), F.when(F.col("l_linenumber") == 1, C.MANIFEST_KIND).otherwise("SCORE").alias("kind"), F.col("l_shipdate").cast("date").alias("dataset_date"))
+    out = C.acquisition_windows(own, rules, manifests=brought)
+    return out.select("source_key", "run_id", F.date_format("dataset_date", "yyyy-MM-dd").alias("dataset_date"), "availability")
+
+
 @query(
     "coverage_read",
     f"""WITH {EXPECTED_FEEDS} SELECT source_key, 'COVERAGE' AS kind, strftime(d, {S}) AS at, status FROM st WHERE d >= TIMESTAMP '2024-01-10' AND d < TIMESTAMP '2024-01-13'
