@@ -1,4 +1,4 @@
-"""Routing observations: exact set-valued minutes, their coverage, rollups, recovery, longest-prefix match.
+"""Routing observations: exact set-valued minutes, their coverage, rollups, recovery.
 
 Sets are kept exact. Distinct counts are taken from exploded (bucket, member) rows, which Spark pre-aggregates, so no task
 gathers the members of a busy minute from all rows; arrays are built from these distinct rows only.
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import address_bits, bucket_start, let
+from tidemark.functions.scalars import bucket_start
 from tidemark.operators.measure import GRANULARITY, overlap
 
 #: Minutes that a complete rollup has, and the lateness of a minute.
@@ -122,43 +122,6 @@ def routing_rollup(minutes: DataFrame, obs: DataFrame, granularity: str, at: str
     return out.withColumns(values).withColumn("missing", F.col("expected") - F.col("rows")).drop("_same", "_messages")
 
 
-def network_bits(prefix: str) -> Column:
-    """The family and the first bits of a prefix, as many as its length says; null if it is none. Host bits are masked."""
-    parts = F.split(prefix, "/")
-    length = F.get(parts, F.lit(1)).try_cast("int")
-    return F.when(F.size(parts) == 2, let(address_bits(parts[0]), lambda bits: F.when(length.between(0, F.length(bits) - 1), F.substr(bits, F.lit(1), length + 1))))
-
-
-def candidate_networks(ips: DataFrame, ip: str) -> DataFrame:
-    """ip, _net: every network that could hold each distinct address, 33 for IPv4 and 129 for IPv6."""
-    # Never null, so that no filter for nulls moves below the distinct and has every row's bits calculated.
-    own = ips.select(ip).distinct().withColumn("_bits", F.coalesce(address_bits(ip), F.lit("")))
-    tried = own.withColumn("_n", F.explode(F.sequence(F.lit(1), F.length("_bits")))).where(F.col("_n").between(1, F.length("_bits")))
-    return tried.select(ip, F.substr("_bits", F.lit(1), F.col("_n")).alias("_net"))
-
-
-def covering_prefix(ips: DataFrame, prefixes: DataFrame, ip: str = "ip", prefix: str = "prefix") -> DataFrame:
-    """ips with the most specific prefix that holds each (null: none). Candidates meet prefixes by equality."""
-    known = prefixes.select(prefix).distinct().withColumn("_net", F.coalesce(network_bits(prefix), F.lit(""))).groupBy("_net").agg(F.min(prefix).alias("covering"))
-    best = candidate_networks(ips, ip).join(known, "_net").groupBy(ip).agg(F.max_by("covering", F.length("_net")).alias("covering"))
-    return ips.join(best, ip, "left")
-
-
-def covering_minutes(ips: DataFrame, obs: DataFrame, ip: str = "ip", at: str = "observed_at") -> DataFrame:
-    """The most specific prefix of each minute that holds each address: ip, bucket_start, covering, announced, withdrawn.
-
-    A minute without such a prefix gives no row; of one network written in two ways, the smaller text is named.
-    """
-    kinds = F.concat(*[tagged(k, F.coalesce(F.col(k), F.array().cast("array<string>"))) for k in ("announced", "withdrawn")])
-    rows = obs.select(bucket_start(at, "MINUTE").alias("bucket_start"), F.explode(kinds).alias("m")).groupBy("bucket_start", F.col("m.member").alias("covering")).agg(
-        *[F.bool_or(F.col("m.kind") == k).alias(k) for k in ("announced", "withdrawn")]
-    )
-    known = rows.withColumn("_net", F.coalesce(network_bits("covering"), F.lit("")))
-    met = candidate_networks(ips, ip).join(known, "_net")
-    best = met.groupBy(ip, "bucket_start").agg(F.min(F.struct((-F.length("_net")).alias("_n"), "covering", "announced", "withdrawn")).alias("_b"))
-    return best.select(ip, "bucket_start", "_b.covering", "_b.announced", "_b.withdrawn")
-
-
 def due_buckets(buckets: DataFrame, granularity: str, now: Column) -> DataFrame:
     """Buckets that may be materialised: minutes always, larger ones once they have ended."""
     if granularity == "MINUTE":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import measure as M
+from tidemark.operators import prefixes as PX
 from tidemark.operators import routing as R
 from tidemark.operators import routing_sets as RS
 from tidemark.operators.revisions import heads
@@ -173,7 +174,7 @@ def covering_prefix(spark, d):
     """Longest-prefix match of addresses."""
     e = events(spark, d)
     ips = e.select(F.concat_ws(".", F.lit("10"), F.col("user_id") % 12, F.col("event_id") % 40, F.col("event_id") % 200).alias("ip")).distinct()
-    return R.covering_prefix(ips, routing(spark, d).select(F.explode("announced").alias("prefix")))
+    return PX.covering_prefix(ips, routing(spark, d).select(F.explode("announced").alias("prefix")))
 
 
 @query(
@@ -188,7 +189,7 @@ def covering_prefix(spark, d):
 def covering_minutes(spark, d):
     """The most specific prefix of each minute for each address."""
     ips = events(spark, d).select(F.concat_ws(".", F.lit("10"), F.col("user_id") % 12, F.col("event_id") % 40, F.lit("1")).alias("ip")).distinct()
-    return R.covering_minutes(ips, routing(spark, d)).select("ip", stamp("bucket_start").alias("minute"), "covering", "announced", "withdrawn")
+    return PX.covering_minutes(ips, routing(spark, d)).select("ip", stamp("bucket_start").alias("minute"), "covering", "announced", "withdrawn")
 
 
 @query(
@@ -203,7 +204,24 @@ def covering_prefix_v6(spark, d):
     ips = e.select(F.concat(F.lit("2001:db8:"), low("user_id", 300), F.lit("::"), low("event_id", 50)).alias("ip")).distinct()
     host = F.concat(F.lit("2001:DB8:"), low("user_id", 40), F.lit("::"), low("event_id", 20), F.lit("/128"))
     net = F.concat(F.lit("2001:0db8:"), low("user_id", 40), F.lit("::/48"))
-    return R.covering_prefix(ips, e.select(F.explode(F.array(host, net)).alias("prefix")))
+    return PX.covering_prefix(ips, e.select(F.explode(F.array(host, net)).alias("prefix")))
+
+
+@query(
+    "geo_assertions_by_prefix",
+    """WITH e AS (SELECT event_id, user_id % 12 AS a, event_id % 40 AS b FROM events), s AS (SELECT *, CASE WHEN a = 5 AND b < 20 THEN '10.' || a || '.' || b || '.0/24' WHEN a = 7 AND b % 2 = 0 THEN '10.7.' || b || '.0/24' WHEN a < 10 THEN '10.' || a || '.0.0/16' END AS covering FROM e)
+    SELECT event_id, covering, CASE WHEN a = 5 AND b < 20 THEN 'C' || (b % 5) ELSE 'N' || a END AS country FROM s WHERE covering IS NOT NULL AND NOT (a = 7 AND b % 2 = 0) AND NOT (a = 5 AND b < 20 AND b % 5 = 4)""",
+)
+def geo_by_prefix(spark, d):
+    """Countries by the most specific prefix: some narrow ones are bogons or have no country, and hide the wider one's."""
+    e = events(spark, d)
+    a, b = F.col("user_id") % 12, F.col("event_id") % 40
+    obs = e.select("event_id", F.concat_ws(".", F.lit("10"), a, b, F.col("event_id") % 200).alias("ip"))
+    rows = e.select(a.alias("a"), b.alias("b")).distinct()
+    wide = rows.where("a < 10").select(F.concat(F.lit("10."), "a", F.lit(".0.0/16")).alias("prefix"), F.concat(F.lit("N"), "a").alias("country"), F.lit(None).cast("boolean").alias("bogon"))
+    at = F.concat(F.lit("10."), "a", F.lit("."), "b", F.lit(".0/24"))
+    narrow = rows.where("a = 5 and b < 20").select(at, F.when(F.col("b") % 5 != 4, F.concat(F.lit("C"), F.col("b") % 5)), F.lit(False)).union(rows.where("a = 7 and b % 2 = 0").select(at, F.lit("X"), F.lit(True)))
+    return PX.geo_by_prefix(obs, wide.distinct().union(narrow)).select("event_id", "covering", "country")
 
 
 @query(
