@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import CWE, CVE, extract_ids, fingerprint, harvest_cvss, parse_date, parse_instant, scoped_key
+from tidemark.functions.json_texts import cvss_versions
+from tidemark.functions.scalars import CWE, CVE, extract_ids, fingerprint, parse_date, parse_instant, scoped_key
 from tidemark.operators.revisions import heads
 
 ENTRY = "cveID string, vendorProject string, product string, vulnerabilityName string, dateAdded string, shortDescription string, requiredAction string, dueDate string, knownRansomwareCampaignUse string, notes string, cwes array<string>"
@@ -61,7 +62,7 @@ def scan_paged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     one = lambda p: F.get_json_object("payload", p)
     rows = rows.select(
         one("$.id").alias("cve_id"), one("$.vulnStatus").alias("status"), parse_instant(one("$.published"), "ZONELESS").alias("published"), parse_instant(one("$.lastModified"), "ZONELESS").alias("modified"),
-        extract_ids("payload", CWE).alias("cwes"), harvest_cvss("payload").alias("cvss"), "payload",
+        extract_ids("payload", CWE).alias("cwes"), cvss_versions("payload").alias("cvss"), "payload",
     )
     totals = docs.agg(F.array_sort(F.collect_set("totalResults")).alias("totals")).where("size(totals) > 1")
     return rows, totals
