@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import bucket_start, fact, fingerprint
+from tidemark.operators.pages import page
 from tidemark.operators.revisions import heads
 
 #: The types of findings.
@@ -339,14 +340,67 @@ def lineage_graph(history: DataFrame, observations: DataFrame, buckets: DataFram
     return placed.join(flags, "entity_key").select("entity_key", "node_id", F.col("_n.type").alias("node_type"), "position", "truncated"), edges_out
 
 
-def related(canonical: DataFrame, entities: DataFrame, n: int, source_key: str | None = None, start: str | None = None, end: str | None = None, before: str | None = None) -> DataFrame:
-    """The newest n records that mention each wanted entity (kind, key): an exploded entity index and an equi join. Optional
-    filters: a source, a half-open range of time, and the record id that a page before this one ended at."""
+def related(canonical: DataFrame, entities: DataFrame, n: int, source_key: str | None = None, start: str | None = None, end: str | None = None, cursors: DataFrame | None = None) -> DataFrame:
+    """The newest n records that mention each wanted entity (kind, key): an exploded entity index and an equi join, with position
+    and next_cursor. Optional filters: a source and a half-open range of time. cursors (kind, key, cursor) ask for the pages
+    behind those that they were read from."""
+    return page(related_rows(canonical, entities, source_key, start, end), RELATED_KEY, RELATED_ORDER, n, cursors)
+
+
+#: What related records are listed by, and in which order.
+RELATED_KEY, RELATED_ORDER = ("kind", "key"), ("event_at", "source_record_id", "source_key")
+
+
+def related_rows(canonical: DataFrame, entities: DataFrame, source_key: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Every record that mentions a wanted entity, once for each: kind, key, source_key, source_record_id, event_at."""
     at = F.coalesce("effective_at", "published_at", "updated_at", "received_at")
-    conditions = [c for c in (source_key and F.col("source_key") == source_key, start and at >= F.lit(start).cast("timestamp"), end and at < F.lit(end).cast("timestamp"), before and F.col("source_record_id") < before) if c is not None]
+    conditions = [c for c in (source_key and F.col("source_key") == source_key, start and at >= F.lit(start).cast("timestamp"), end and at < F.lit(end).cast("timestamp")) if c is not None]
     for c in conditions:
         canonical = canonical.where(c)
-    index = canonical.select("source_key", "source_record_id", F.coalesce("effective_at", "published_at", "updated_at", "received_at").alias("event_at"), F.explode("entities").alias("e"))
-    found = index.select("source_key", "source_record_id", "event_at", F.col("e.kind").alias("kind"), F.col("e.key").alias("key")).join(entities, ["kind", "key"])
-    return heads(found.distinct(), ["kind", "key"], [F.desc("event_at"), F.desc("source_record_id")], n)
-
+    index = canonical.select("source_key", "source_record_id", at.alias("event_at"), F.explode("entities").alias("e"))
+    return index.select("source_key", "source_record_id", "event_at", F.col("e.kind").alias("kind"), F.col("e.key").alias("key")).join(entities, ["kind", "key"]).distinct()
+
+
+def between(df: DataFrame, at: str, start: str, end: str, entity_type: str | None) -> DataFrame:
+    inside = df.where((F.col(at) >= F.lit(start).cast("timestamp")) & (F.col(at) < F.lit(end).cast("timestamp")))
+    return inside if entity_type is None else inside.where(F.col("entity_type") == entity_type)
+
+
+def convergence_list(findings: DataFrame, members: DataFrame, start: str, end: str, n: int, cursors: DataFrame | None = None, entity_type: str | None = None, finding: str | None = None, minimum_origins: int = 1, source_class: str | None = None) -> DataFrame:
+    """A page of convergence findings (finding_id, bucket_start, origins, ...), newest window first. A source_class keeps those
+    whose bucket has a member of that class."""
+    rows = between(findings, "bucket_start", start, end, entity_type).where(F.col("origins") >= minimum_origins)
+    if finding is not None:
+        rows = rows.where(F.col("finding") == finding)
+    if source_class is not None:
+        own = members.where(F.col("source_class") == source_class).select("entity_key", "granularity", "bucket_start").distinct()
+        rows = rows.join(own, ["entity_key", "granularity", "bucket_start"], "left_semi")
+    return page(rows, (), ("bucket_start", "finding_id"), n, cursors)
+
+
+def novelty_list(findings: DataFrame, start: str, end: str, n: int, cursors: DataFrame | None = None, entity_type: str | None = None, historical: bool = False) -> DataFrame:
+    """A page of first sights (finding_id, first_seen, finding), newest first; discoveries of the past only if asked for."""
+    kinds = ("NEW_ENTITY", "HISTORICAL_DISCOVERY") if historical else ("NEW_ENTITY",)
+    return page(between(findings, "first_seen", start, end, entity_type).where(F.col("finding").isin(*kinds)), (), ("first_seen", "finding_id"), n, cursors)
+
+
+def composition_list(expansions: DataFrame, start: str, end: str, n: int, cursors: DataFrame | None = None, entity_type: str | None = None, movers: bool = False) -> DataFrame:
+    """A page of active expansions (finding_id, bucket_start, new_sources, new_origins, new_classes), newest window first, or
+    those that moved most first."""
+    rows = between(expansions.where("state = 'ACTIVE'"), "bucket_start", start, end, entity_type)
+    rows = rows.withColumns({f"n_{c}": F.size(f"new_{c}") for c in ("sources", "origins", "classes")})
+    return page(rows, (), (*(("n_origins", "n_classes", "n_sources") if movers else ()), "bucket_start", "finding_id"), n, cursors)
+
+
+def discovery_answer(findings: DataFrame, novelties: DataFrame, expansions: DataFrame, start: str, end: str, movers: int = 10) -> DataFrame:
+    """One row for a range: convergence (sorted array of finding and n), new_entities, expansions, and the top movers."""
+    part = lambda df, at: between(df, at, start, end, None)
+    counts = part(findings, "bucket_start").groupBy("finding").agg(F.count("*").alias("n")).agg(F.array_sort(F.collect_list(F.struct("finding", "n"))).alias("convergence"))
+    fresh = part(novelties, "first_seen").where("finding = 'NEW_ENTITY'").agg(F.count("*").alias("new_entities"))
+    grown = part(expansions.where("state = 'ACTIVE'"), "bucket_start").agg(F.count("*").alias("expansions"))
+    top = composition_list(expansions, start, end, movers, movers=True).agg(F.array_sort(F.collect_list(F.struct("position", "entity_key", "bucket_start", "n_origins", "n_classes", "n_sources"))).alias("movers"))
+    # Four rows side by side.
+    whole = counts.withColumn("_one", F.lit(1))
+    for df in (fresh, grown, top):
+        whole = whole.join(df.withColumn("_one", F.lit(1)), "_one")
+    return whole.drop("_one")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import entities as E
+from tidemark.operators.pages import cursors_of, numbered, walk
 from tidemark.operators.revisions import heads, latest, reconcile
 from tidemark.plans.bindings import EVENTS, OBSERVATIONS, SOURCES, events, observations, sources, stamp, table
-from tidemark.plans.registry import ORACLES, query
+from tidemark.plans.registry import query
 
 S = "'%Y-%m-%d %H:%M:%S'"
 CONTEXT = ["CONTEXT_KNOWLEDGE"]
@@ -204,7 +205,18 @@ def lineage(spark, d):
     return E.lineage(want, obs, act, E.convergence(act, 3600)).select("entity_key", "depth", "node_type", "node_key")
 
 
-query("lineage_nodes_all", ORACLES["lineage_nodes"])(lineage)
+@query(
+    "lineage_nodes_all",
+    f"""WITH {FINDINGS}, w AS (SELECT DISTINCT entity_key FROM obs), n AS (SELECT entity_key, 1 AS depth, 'OBSERVATION' AS t, CAST(observation_key AS VARCHAR) AS k, t0 AS x FROM obs UNION ALL SELECT entity_key, 2, 'BUCKET', granularity || '|' || strftime(b, {S}), b FROM act
+      UNION ALL SELECT entity_key, 3, 'FINDING', finding || '|' || granularity || '|' || strftime(b, {S}), b FROM fi), r AS (SELECT *, row_number() OVER (PARTITION BY entity_key, t ORDER BY x DESC, k) AS r FROM n)
+    SELECT entity_key, t AS node_type, count(*) AS n, max(k) AS greatest FROM (SELECT * FROM r WHERE r <= 1000000 UNION ALL SELECT entity_key, 0, 'ENTITY', CAST(entity_key AS VARCHAR), NULL, 1 FROM w) GROUP BY 1, 2""",
+)
+def lineage_whole(spark, d):
+    """The whole lineage of every entity, without the limits of the feature: nodes of each kind, and the greatest of them."""
+    obs, act = observations(spark, d), E.entity_activity(contributing(spark, d))
+    want = obs.select("entity_key").distinct()
+    out = E.lineage(want, obs, act, E.convergence(act, 3600), (1_000_000, 1_000_000, 1_000_000), 4_000_000)
+    return out.groupBy("entity_key", "node_type").agg(F.count("*").alias("n"), F.max("node_key").alias("greatest"))
 
 
 GRAPH = f"""{FINDINGS}, w AS (SELECT DISTINCT entity_key FROM obs),
@@ -281,23 +293,106 @@ def related(spark, d):
     return E.related(rows, asked, 25).select("kind", "key", "source_record_id", stamp("event_at").alias("event_at"))
 
 
-query("related_records_all", ORACLES["related_records"])(related)
+INDEX = f"""{EVENTS}, ix AS (SELECT event_id, ts, event_type, 'user' AS kind, CAST(user_id AS VARCHAR) AS key FROM ev UNION ALL SELECT event_id, ts, event_type, 'item', k FROM ev)"""
+PLACED = "row_number() OVER (PARTITION BY kind, key ORDER BY epoch_us(ts) DESC, CAST(event_id AS VARCHAR) DESC) AS r"
+
+
+def mentioned(rows):
+    return rows.select(F.explode("entities").alias("e")).select("e.kind", "e.key").where("key is not null").distinct()
+
+
+@query(
+    "related_records_all",
+    f"""WITH {INDEX}, r AS (SELECT *, {PLACED} FROM ix WHERE key IS NOT NULL) SELECT kind, key, CAST(event_id AS VARCHAR) AS source_record_id, CAST((r - 1) // 25 + 1 AS INTEGER) AS page, CAST((r - 1) % 25 + 1 AS INTEGER) AS position FROM r""",
+)
+def related_all(spark, d):
+    """Every record that mentions an entity, with the page of 25 on which a reader of its list finds it."""
+    rows = canonical(spark, d)
+    out = numbered(E.related_rows(rows, mentioned(rows)), E.RELATED_KEY, E.RELATED_ORDER, 25)
+    return out.select("kind", "key", "source_record_id", "page", "position")
+
+
+@query(
+    "related_records_walk",
+    f"""WITH {INDEX}, r AS (SELECT *, {PLACED} FROM ix WHERE key IS NOT NULL) SELECT kind, key, CAST(event_id AS VARCHAR) AS source_record_id, CAST((r - 1) // 4 + 1 AS INTEGER) AS page, CAST((r - 1) % 4 + 1 AS INTEGER) AS position FROM r WHERE r <= 12""",
+)
+def related_walk(spark, d):
+    """Three pages of four records for every entity, each page sought from the cursor of the one before it."""
+    rows = canonical(spark, d)
+    return walk(E.related_rows(rows, mentioned(rows)), E.RELATED_KEY, E.RELATED_ORDER, 4, 3).select("kind", "key", "source_record_id", "page", "position")
 
 
 @query(
     "related_records_filtered",
-    f"""WITH {EVENTS}, ix AS (SELECT event_id, ts, 'user' AS kind, CAST(user_id AS VARCHAR) AS key FROM ev WHERE event_type = 'click' UNION ALL SELECT event_id, ts, 'item', k FROM ev WHERE event_type = 'click'),
-    r AS (SELECT *, row_number() OVER (PARTITION BY kind, key ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS r FROM ix WHERE key IS NOT NULL AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' AND CAST(event_id AS VARCHAR) < '7')
-    SELECT kind, key, CAST(event_id AS VARCHAR) AS source_record_id, strftime(ts, {S}) AS event_at FROM r WHERE r <= 10""",
+    f"""WITH {INDEX}, r AS (SELECT *, {PLACED} FROM ix WHERE key IS NOT NULL AND event_type = 'click' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20') SELECT kind, key, CAST(event_id AS VARCHAR) AS source_record_id, strftime(ts, {S}) AS event_at FROM r WHERE r > 3 AND r <= 13""",
 )
 def related_filtered(spark, d):
-    """A page of ten: one source, a half-open range, and a cursor."""
+    """The page of ten behind the first three records: one source, a half-open range, and a cursor for each entity."""
     rows = canonical(spark, d)
-    asked = rows.select(F.explode("entities").alias("e")).select("e.kind", "e.key").where("key is not null").distinct()
-    out = E.related(rows, asked, 10, source_key="click", start="2024-01-10", end="2024-01-20", before="7")
+    some = {"source_key": "click", "start": "2024-01-10", "end": "2024-01-20"}
+    first = E.related(rows, mentioned(rows), 3, **some)
+    out = E.related(rows, mentioned(rows), 10, **some, cursors=cursors_of(first, E.RELATED_KEY))
     return out.select("kind", "key", "source_record_id", stamp("event_at").alias("event_at"))
 
 
+RANGE = ("2024-01-05 00:00:00", "2024-01-25 00:00:00")
+
+
+def finding_tables(spark, d):
+    """Convergence findings, first sights and expansions with their ids, and the members of activity buckets."""
+    own = contributing(spark, d)
+    at = stamp("bucket_start")
+    found = E.convergence(E.entity_activity(own), 3600).withColumns({"finding_id": F.concat_ws("|", "entity_key", "granularity", at, "finding"), "entity_type": (F.col("entity_key") % 3).cast("string")})
+    seen = E.entity_history(observations(spark, d)).withColumn("first_basis", F.when(F.col("entity_key") % 4 == 0, "INITIAL_BOOTSTRAP").otherwise("LIVE_INCREMENTAL"))
+    first = E.novelty(seen).withColumns({"finding_id": F.col("entity_key").cast("string"), "entity_type": (F.col("entity_key") % 3).cast("string")})
+    grown = E.composition(E.activity_members(own), "HOUR").withColumns({"finding_id": F.concat_ws("|", "entity_key", at), "entity_type": (F.col("entity_key") % 3).cast("string")})
+    return found, first, grown, E.activity_members(own)
+
+
+LISTS = f"""{FINDINGS}, cl AS (SELECT entity_key || '|' || granularity || '|' || strftime(b, {S}) || '|' || finding AS id, b AS t FROM fi WHERE b >= TIMESTAMP '{RANGE[0]}' AND b < TIMESTAMP '{RANGE[1]}' AND o >= 2 AND entity_key % 3 = 1 AND (entity_key, granularity, b) IN (SELECT (entity_key, granularity, b) FROM ac WHERE source_class = 'IDENTITY')),
+  nl AS (SELECT CAST(entity_key AS VARCHAR) AS id, min(t0) AS t FROM obs WHERE entity_key % 4 <> 0 GROUP BY entity_key HAVING min(t0) >= TIMESTAMP '2024-01-01'),
+  hs AS (SELECT entity_key, b, list_distinct(list(source_key)) AS s, list_distinct(list(origin)) AS o, list_distinct(list(source_class)) AS c FROM ac WHERE granularity = 'HOUR' GROUP BY 1, 2),
+  gr AS (SELECT h.entity_key, h.b, len(list_filter(h.s, lambda x: NOT list_contains(coalesce(p.s, []), x))) AS ns, len(list_filter(h.o, lambda x: NOT list_contains(coalesce(p.o, []), x))) AS no, len(list_filter(h.c, lambda x: NOT list_contains(coalesce(p.c, []), x))) AS nc FROM hs h LEFT JOIN hs p ON p.entity_key = h.entity_key AND p.b = h.b - INTERVAL 1 HOUR),
+  gl AS (SELECT entity_key || '|' || strftime(b, {S}) AS id, b AS t, entity_key, ns, no, nc FROM gr WHERE ns + no + nc > 0 AND b >= TIMESTAMP '{RANGE[0]}' AND b < TIMESTAMP '{RANGE[1]}')"""
+
+
+@query(
+    "finding_list_pages",
+    f"""WITH {LISTS}, p AS (SELECT 'convergence' AS list, id, row_number() OVER (ORDER BY t DESC, id DESC) AS r FROM cl UNION ALL SELECT 'new', id, row_number() OVER (ORDER BY t DESC, id DESC) FROM nl UNION ALL SELECT 'composition', id, row_number() OVER (ORDER BY t DESC, id DESC) FROM gl
+      UNION ALL SELECT 'movers', id, row_number() OVER (ORDER BY no DESC, nc DESC, ns DESC, t DESC, id DESC) FROM gl) SELECT list, id AS finding_id, CAST((r - 1) // 20 + 1 AS INTEGER) AS page, CAST((r - 1) % 20 + 1 AS INTEGER) AS position FROM p WHERE r <= 40""",
+)
+def finding_list_pages(spark, d):
+    """Two pages of the four lists of findings with their filters; the second is sought from the first one's cursor."""
+    found, first, grown, members = finding_tables(spark, d)
+    lists = {
+        "convergence": lambda c: E.convergence_list(found, members, *RANGE, 20, c, entity_type="1", minimum_origins=2, source_class="IDENTITY"),
+        "new": lambda c: E.novelty_list(first, "2024-01-01 00:00:00", "2024-02-01 00:00:00", 20, c),
+        "composition": lambda c: E.composition_list(grown, *RANGE, 20, c),
+        "movers": lambda c: E.composition_list(grown, *RANGE, 20, c, movers=True),
+    }
+    parts = []
+    for name, ask in lists.items():
+        one = ask(None)
+        parts += [df.select(F.lit(name).alias("list"), "finding_id", F.lit(i).alias("page"), "position") for i, df in ((1, one), (2, ask(cursors_of(one, ()))))]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+@query(
+    "discovery_answer",
+    f"""WITH {LISTS}, k AS (SELECT finding, count(*) AS n FROM fi WHERE b >= TIMESTAMP '{RANGE[0]}' AND b < TIMESTAMP '{RANGE[1]}' GROUP BY 1), m AS (SELECT *, row_number() OVER (ORDER BY no DESC, nc DESC, ns DESC, t DESC, id DESC) AS r FROM gl QUALIFY r <= 10)
+    SELECT (SELECT string_agg(finding || '=' || n, ',' ORDER BY finding) FROM k) AS convergence, (SELECT count(*) FROM nl WHERE t >= TIMESTAMP '{RANGE[0]}' AND t < TIMESTAMP '{RANGE[1]}') AS new_entities, (SELECT count(*) FROM gl) AS expansions, (SELECT string_agg(entity_key || ':' || no || ':' || nc || ':' || ns, ',' ORDER BY r) FROM m) AS movers""",
+)
+def discovery_answer(spark, d):
+    """One answer of four parts for a range: findings by type, new entities, expansions, and the top movers."""
+    found, first, grown, _ = finding_tables(spark, d)
+    out = E.discovery_answer(found, first, grown, *RANGE)
+    told = lambda c, *names: F.array_join(F.transform(c, lambda x: F.concat_ws("=" if len(names) == 2 else ":", *[x[n] for n in names])), ",").alias(c)
+    return out.select(told("convergence", "finding", "n"), "new_entities", "expansions", told("movers", "entity_key", "n_origins", "n_classes", "n_sources"))
+
+
 def canonical(spark, d):
     """Canonical records: the user is the first entity, the item the second."""
     e = events(spark, d)
