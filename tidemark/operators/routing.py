@@ -142,9 +142,10 @@ def late_minutes(obs: DataFrame, minutes: DataFrame, at: str = "observed_at") ->
     return both.where(~F.col("_seen").eqNullSafe(F.col("_had"))).select("bucket_start")
 
 
-def revised_minutes(obs: DataFrame, minutes: DataFrame, at: str = "observed_at") -> DataFrame:
-    """Minutes with late observations, counted anew from all that is kept of them; other minutes give no row."""
-    dirty = late_minutes(obs, minutes, at)
+def revised_minutes(obs: DataFrame, minutes: DataFrame, at: str = "observed_at", touched: DataFrame | None = None) -> DataFrame:
+    """Minutes with late observations, counted anew from all that is kept of them; other minutes give no row. touched, the
+    minutes (bucket_start) of newly arrived segments, spares the count of all observations: only these can be late."""
+    dirty = late_minutes(obs, minutes, at) if touched is None else touched.select("bucket_start").distinct()
     own = obs.withColumn("_m", bucket_start(at, "MINUTE")).join(dirty.withColumnRenamed("bucket_start", "_m"), "_m", "left_semi").drop("_m")
     return routing_minutes(own, at)
 

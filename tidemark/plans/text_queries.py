@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as X
+from tidemark.functions.hosts import with_ascii_hosts
 from tidemark.plans.bindings import events, table
 from tidemark.plans.registry import query
 
@@ -154,3 +155,16 @@ def contract_rejects(spark, d):
         urls.alias("reference_urls"),
     )
     return validate(rows)[1].select("doc_id", F.array_join("reasons", ",").alias("reasons"))
+
+
+#: Labels of other letters and their published forms.
+LABELS = {"b\u00fccher": "xn--bcher-kva", "m\u00fcnchen": "xn--mnchen-3ya", "fa\u00df": "xn--fa-hia", "\u0440\u0444": "xn--p1ai", "WWW": "www"}
+CODED = "CASE page_id % 5 " + " ".join(f"WHEN {i} THEN '{code}'" for i, code in enumerate(LABELS.values())) + " END"
+
+
+@query("ascii_hosts", f"SELECT page_id, {CODED} || '.' || lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)) AS host FROM pages")
+def ascii_hosts(spark, d):
+    """Hosts of pages under labels of other letters, written in ASCII."""
+    label = F.get(F.array(*[F.lit(x) for x in LABELS]), (F.col("page_id") % len(LABELS)).cast("int"))
+    rows = table(spark, d, "pages").select("page_id", F.concat(label, F.lit("."), F.regexp_extract("url", "^[a-z]+://([^/:?#]+)", 1)).alias("name"))
+    return with_ascii_hosts(rows, "name", "host").select("page_id", "host")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.scalars import bucket_start
+from tidemark.operators.parity import snapshot_fingerprint
 from tidemark.operators.routing import LATENESS_S
 from tidemark.sources.feeds import parse_messages
 
@@ -61,22 +62,58 @@ def write_minutes(minutes: DataFrame, path: str, checkpoint: str) -> StreamingQu
     return minutes.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+MANIFEST = "first_at timestamp, last_at timestamp, received_first timestamp, received_last timestamp, messages long, first_id string, last_id string, minutes array<timestamp>, content string"
+
+
+def describe(segment: DataFrame) -> DataFrame:
+    """One row about a written segment: times of the source and of receipt, counts, ids, the minutes that it touches, and
+    `content`, a digest of what its messages say that depends neither on their order nor on their files; a message that is in
+    it twice counts twice."""
+    received = "received_at" if "received_at" in segment.columns else None
+    edge = lambda f, c: f(c) if c else F.lit(None).cast("timestamp")
+    told = segment.agg(
+        F.min("observed_at").alias("first_at"), F.max("observed_at").alias("last_at"), edge(F.min, received).alias("received_first"), edge(F.max, received).alias("received_last"),
+        F.count("*").alias("messages"), F.min("message_id").alias("first_id"), F.max("message_id").alias("last_id"), F.array_sort(F.collect_set(bucket_start("observed_at", "MINUTE"))).alias("minutes"),
+    )
+    said = [c for c in ("observed_at", "rrc", "peer", "announced", "withdrawn", "origins") if c in segment.columns]
+    content = snapshot_fingerprint(segment, [], "message_id", [F.unix_micros(c) if c == "observed_at" else F.to_json(c) if c in ("announced", "withdrawn", "origins") else F.col(c) for c in said])
+    # Two rows side by side.
+    return told.withColumn("_one", F.lit(1)).join(content.select(F.col("fp").alias("content"), F.lit(1).alias("_one")), "_one").drop("_one")
+
+
+def commit_segment(spark: SparkSession, path: str, number: int) -> None:
+    """Describe the written segment of a batch and commit its manifest, unless one of another batch has the same content."""
+    told = describe(spark.read.parquet(f"{path}/segments/batch={number}"))
+    known = spark.read.schema(f"{MANIFEST}, batch long").parquet(f"{path}/manifests").where(F.col("batch") != number).select("content")
+    told.where("messages > 0").join(known, "content", "left_anti").select(*[c.split(" ")[0] for c in MANIFEST.split(", ")]).write.mode("overwrite").parquet(f"{path}/manifests/batch={number}")
+
+
 def write_segments(obs: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch as an immutable segment with a manifest row. A batch that is run again overwrites its own segment, so
-    a segment exists once."""
+    """Each micro-batch as an immutable segment, written once, and then a manifest taken from what was written. A batch that is
+    run again overwrites its own segment; a batch of the same content as an earlier one gets no manifest. Segments without a
+    manifest (repeated ones, or those of a run that failed between the two writes) aren't there for readers."""
+    obs.sparkSession.createDataFrame([], MANIFEST).write.mode("ignore").parquet(f"{path}/manifests/batch=-1")
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").option("compression", "gzip").parquet(f"{path}/segments/batch={number}")
-        seen = batch.agg(F.min("observed_at").alias("first_at"), F.max("observed_at").alias("last_at"), F.count("*").alias("messages"), F.min("message_id").alias("first_id"), F.max("message_id").alias("last_id"), F.bit_xor(F.xxhash64("message_id")).alias("content"))
-        seen.write.mode("overwrite").parquet(f"{path}/manifests/batch={number}")
+        commit_segment(batch.sparkSession, path, number)
 
     return obs.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def segments(spark: SparkSession, path: str) -> DataFrame:
-    """Manifests, one for each distinct content: a segment that was sent twice counts once."""
-    rows = spark.read.parquet(f"{path}/manifests")
-    return rows.groupBy("content", "messages", "first_id", "last_id").agg(F.min("batch").alias("batch"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+def segments(spark: SparkSession, path: str, after: int = -1) -> DataFrame:
+    """Manifests of the committed segments, with their batch; those after a batch only, if asked for."""
+    return spark.read.schema(f"{MANIFEST}, batch long").parquet(f"{path}/manifests").where(F.col("batch") > after)
+
+
+def kept(spark: SparkSession, path: str) -> DataFrame:
+    """The observations of all committed segments."""
+    return spark.read.parquet(f"{path}/segments").join(segments(spark, path).select(F.col("batch").cast("int").alias("batch")), "batch", "left_semi")
+
+
+def touched_minutes(spark: SparkSession, path: str, after: int) -> DataFrame:
+    """bucket_start of the minutes that segments after a batch touch, from their manifests alone."""
+    return segments(spark, path, after).select(F.explode("minutes").alias("bucket_start")).distinct()
 
 
 def redirty(sessions: DataFrame) -> DataFrame:
