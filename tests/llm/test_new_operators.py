@@ -315,3 +315,18 @@ def test_codes_of_few_and_no_vectors(vectors):
     assert got == brute_codes([r for r in rows if r[0] in (1, 2, 3)])
     assert vector_codes.compress(table.limit(0)).count() == 0
     assert vector_codes.compress(table.where("vec_id >= 300 and vec_id <> 305 and vec_id <> 306")).count() == 0
+
+
+def test_the_level_of_toxic_segments_is_that_of_clean_text():
+    """Clean random texts have a significant segment about as often as the level says: the law is fitted on tokens."""
+    from tidemark.llm.toxic_segments import ToxicModel, segment_rate
+
+    r = np.random.default_rng(4)
+    words, shares, scores = [b"t", b"u", b"c", b"x"], np.array([0.01, 0.03, 0.2, 0.76]), np.array([3.0, 1.5, -1.0])
+    model = ToxicModel(dict(zip(words, scores.tolist())), 0.5, segment_rate(scores, shares[:3], 0.5), 1.0)
+    texts = lambda n: [[words[k] for k in r.choice(4, 300, p=shares)] for _ in range(n)]
+    floor, sample = 4.0, texts(400)
+    over = sum(s >= floor for t in sample for _, _, s in model.segments(t))
+    model.k = (over + 0.5) / (400 * 300 * np.exp(-model.lam * floor))
+    share = np.mean([bool(model.significant(t)) for t in texts(1500)])
+    assert 0.015 <= share <= 0.1

@@ -111,29 +111,32 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     text_batches(docs.sparkSession)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """How many documents of each kind hold a word; the word '' counts documents and the word ' ' tokens."""
+        """How many documents of each kind hold a word, and how often; the word '' counts documents and the word ' ' tokens."""
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        often: dict[int, Counter] = {0: Counter(), 1: Counter()}
 
         def flush():
-            rows = [(w, n, kind) for kind, c in seen.items() for w, n in c.items()]
-            for c in seen.values():
+            rows = [(w, n, often[kind][w], kind) for kind, c in seen.items() for w, n in c.items()]
+            for c in (*seen.values(), *often.values()):
                 c.clear()
-            return pd.DataFrame(rows, columns=["word", "n", "label"])
+            return pd.DataFrame(rows, columns=["word", "n", "tokens", "label"])
 
         for frame in batches:
             for text, kind in zip(frame["text"], frame["label"]):
                 words = tokens(text)
                 seen[kind].update(set(words))
+                often[kind].update(words)
                 seen[kind][b""] += 1
                 seen[kind][b" "] += len(words)
             if len(seen[0]) + len(seen[1]) > COUNT_MEMORY:
                 yield flush()
         yield flush()
 
-    counted = sample.select("text", "label").mapInPandas(count, "word binary, n long, label int")
+    counted = sample.select("text", "label").mapInPandas(count, "word binary, n long, tokens long, label int")
     per_word = counted.groupBy("word").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
         F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"),
+        F.sum(F.when(F.col("label") == 0, F.col("tokens")).otherwise(0)).alias("often"),
     )
     plain = ~F.col("word").isin(bytearray(b""), bytearray(b" "))
     sizes = {bytes(r.word): (r.toxic, r.clean) for r in per_word.where(~plain).collect()}
@@ -151,7 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     if not (delta[on] > 0).any():
         return ToxicModel({}, 0.5, 1.0, 1.0)
     drift = 0.5
-    share = (clean[on] + prior_mass * (toxic + clean)[on] / (docs_t + docs_c) / docs_c) / max(tokens_c, 1)
+    # The law is one of tokens: how often clean text says a word, not in how many documents.
+    share = (rows["often"].to_numpy(float)[on] + prior_mass * (toxic + clean)[on] / (docs_t + docs_c) / docs_c) / max(tokens_c, 1)
     model = ToxicModel(lexicon, drift, segment_rate(delta[on], share, drift), 1.0)
 
     def study(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
