@@ -21,4 +21,4 @@ def query(name: str, sql: str | None = None) -> Callable:
     return put
 
 
-from tidemark.plans import entity_queries, invariant_queries, json_queries, measurement_queries, projection_queries, revision_queries, routing_queries, text_queries  # noqa: E402, F401
+from tidemark.plans import entity_queries, feed_queries, invariant_queries, json_queries, measurement_queries, projection_queries, revision_queries, routing_queries, text_queries  # noqa: E402, F401

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.json_texts import cvss_versions
 from tidemark.functions.scalars import CWE, CVE, extract_ids, fingerprint, parse_date, parse_instant, scoped_key
@@ -29,9 +30,19 @@ def struct_of(ddl: str) -> str:
     return "struct<" + ", ".join(":".join(x.split(" ", 1)) for x in ddl.split(", ")) + ">"
 
 
-def json_docs(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One row for each JSON document of a file or folder."""
-    return spark.read.option("multiLine", True).schema(schema).json(path)
+def json_docs(spark: SparkSession, path: str | DataFrame, schema: str) -> DataFrame:
+    """One row for each JSON document of a file or folder, or of a column `value` of texts; a document that is an array gives a
+    row for each member. Every reader of JSON takes either."""
+    if isinstance(path, str):
+        return spark.read.option("multiLine", True).schema(schema).json(path)
+    many = F.from_json("value", f"array<{struct_of_ddl(schema)}>")
+    one = F.array(F.from_json("value", schema))
+    return path.select(F.explode(F.when(F.trim("value").startswith("["), many).otherwise(one)).alias("d")).select("d.*")
+
+
+def struct_of_ddl(schema: str) -> str:
+    """The type of a row of this schema."""
+    return StructType.fromDDL(schema).simpleString()
 
 
 def manifest(rows: DataFrame, row_id: str) -> DataFrame:
@@ -44,7 +55,7 @@ def repeated_ids(rows: DataFrame, row_id: str) -> DataFrame:
     return rows.groupBy(row_id).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def scan_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def scan_catalog(spark: SparkSession, path: str | DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Entries, manifest, and violations (a declared count that is wrong, repeated ids) of a catalogue snapshot."""
     docs = json_docs(spark, path, CATALOG)
     entries = docs.select("catalogVersion", "dateReleased", F.explode("vulnerabilities").alias("v")).select("catalogVersion", "dateReleased", "v.*")
@@ -55,9 +66,9 @@ def scan_catalog(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame,
     return entries, manifest(entries, "cveID"), wrong.union(double).union(bad)
 
 
-def scan_paged(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def scan_paged(spark: SparkSession, path: str | DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records of a paged feed with their payload as text, and the totals if pages disagree on them."""
-    docs = spark.read.option("multiLine", True).schema("startIndex long, resultsPerPage long, totalResults long, vulnerabilities array<struct<cve:string>>").json(path)
+    docs = json_docs(spark, path, "startIndex long, resultsPerPage long, totalResults long, vulnerabilities array<struct<cve:string>>")
     rows = docs.select("startIndex", F.explode("vulnerabilities.cve").alias("payload"))
     one = lambda p: F.get_json_object("payload", p)
     rows = rows.select(
@@ -86,7 +97,7 @@ def scan_scores(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, D
     return rows, metadata, raw.where(~good), lacking.union(double)
 
 
-def scan_reports(spark: SparkSession, path: str, schema: str, row_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def scan_reports(spark: SparkSession, path: str | DataFrame, schema: str, row_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows of an envelope {query_status, data[]}, the manifest (count and first and last sight), and violations: envelopes of
     another status than ok, which give no rows, and repeated ids."""
     docs = json_docs(spark, path, f"query_status string, data array<{struct_of(schema)}>")
@@ -99,17 +110,17 @@ def scan_reports(spark: SparkSession, path: str, schema: str, row_id: str) -> tu
     return rows, summary, refused.union(double)
 
 
-def scan_ioc_reports(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def scan_ioc_reports(spark: SparkSession, path: str | DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return scan_reports(spark, path, IOC, "id")
 
 
-def scan_samples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def scan_samples(spark: SparkSession, path: str | DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return scan_reports(spark, path, SAMPLE, "sha256_hash")
 
 
-def scan_c2(spark: SparkSession, path: str) -> DataFrame:
+def scan_c2(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """Endpoints, identified by address, port, malware and first sight."""
-    return spark.read.option("multiLine", True).schema(C2).json(path).withColumn("record_id", fingerprint("ip_address", "port", "malware", "first_seen"))
+    return json_docs(spark, path, C2).withColumn("record_id", fingerprint("ip_address", "port", "malware", "first_seen"))
 
 
 def scan_certs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -121,17 +132,18 @@ def scan_certs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows.withColumn("listed_at", parse_instant("listing_date", "ZONELESS")).withColumn("sha1", F.lower("sha1")), updated
 
 
-def scan_advisories(spark: SparkSession, path: str) -> DataFrame:
+def scan_advisories(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """Package advisories, one row for each vulnerable package."""
     schema = "ghsa_id string, cve_id string, severity string, published_at string, updated_at string, vulnerabilities array<struct<package:struct<ecosystem:string,name:string>,vulnerable_version_range:string>>"
-    docs = spark.read.option("multiLine", True).schema(schema).json(path)
+    docs = json_docs(spark, path, schema)
     rows = docs.select("ghsa_id", "cve_id", "severity", parse_instant("published_at").alias("published"), parse_instant("updated_at").alias("updated"), F.explode_outer("vulnerabilities").alias("v"))
     return rows.select("ghsa_id", "cve_id", "severity", "published", "updated", F.col("v.package.ecosystem").alias("ecosystem"), F.col("v.package.name").alias("package"), F.col("v.vulnerable_version_range").alias("range"))
 
 
-def scan_csaf(spark: SparkSession, path: str) -> DataFrame:
+def scan_csaf(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """One row for each advisory document of a folder: identifier, title, sorted CVEs, CWEs and sectors, content hash and path."""
-    docs = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("payload"))
+    docs = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name()) if isinstance(path, str) else path.withColumn("path", F.lit(None).cast("string"))
+    docs = docs.select("path", F.col("value").alias("payload"))
     one = lambda p: F.get_json_object("payload", p)
     notes = F.from_json(one("$.document.notes"), "array<struct<title:string,text:string>>")
     sectors = F.flatten(F.transform(F.filter(F.coalesce(notes, F.array()), lambda n: F.lower(n["title"]) == SECTORS), lambda n: F.transform(F.split(n["text"], ","), lambda x: F.trim(x))))
@@ -141,17 +153,19 @@ def scan_csaf(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_xml_items(spark: SparkSession, path: str, schema: str, row_tag: str = "item") -> DataFrame:
+def scan_xml_items(spark: SparkSession, path: str | DataFrame, schema: str, row_tag: str = "item") -> DataFrame:
     """Rows of an XML feed (RDF or RSS) by their element."""
-    return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    if isinstance(path, str):
+        return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
+    return path.select(F.from_xml("value", schema).alias("x")).select("x.*")
 
 
-def scan_rdf(spark: SparkSession, path: str) -> DataFrame:
+def scan_rdf(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     rows = scan_xml_items(spark, path, "title string, link string, description string, `dc:date` string, `sec:identifier` string")
     return rows.select(F.col("`sec:identifier`").alias("record_id"), "title", "link", parse_instant("`dc:date`").alias("published"), extract_ids(F.concat_ws(" ", "title", "description")).alias("cves"))
 
 
-def scan_rss(spark: SparkSession, path: str) -> DataFrame:
+def scan_rss(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """Items of an RSS feed, the newest of each serial."""
     rows = scan_xml_items(spark, path, "title string, link string, description string, pubDate string, guid string")
     serial = F.coalesce(F.nullif(F.regexp_extract("title", r"([0-9]{4}-[0-9]{3,})", 1), F.lit("")), F.col("guid"), F.col("link"))
@@ -159,7 +173,7 @@ def scan_rss(spark: SparkSession, path: str) -> DataFrame:
     return heads(rows, ["serial"], [F.desc_nulls_last("published"), F.desc("link")])
 
 
-def scan_rolie(spark: SparkSession, path: str) -> DataFrame:
+def scan_rolie(spark: SparkSession, path: str | DataFrame) -> DataFrame:
     """Entries of a ROLIE feed; the advisory number, or a key of the entry's id."""
     entry = "id string, title string, published string, updated string, summary string"
     docs = json_docs(spark, path, f"feed struct<entry:array<{struct_of(entry)}>>")
@@ -168,7 +182,7 @@ def scan_rolie(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("record_id", F.coalesce(number, scoped_key("rolie:", "id"))).withColumn("cves", extract_ids(F.concat_ws(" ", "title", "summary")))
 
 
-def scan_stix(spark: SparkSession, path: str, source_name: str = "mitre-attack") -> DataFrame:
+def scan_stix(spark: SparkSession, path: str | DataFrame, source_name: str = "mitre-attack") -> DataFrame:
     """Attack patterns of a STIX bundle with their external id and tactics."""
     schema = "objects array<struct<type:string,id:string,name:string,revoked:boolean,external_references:array<struct<source_name:string,external_id:string>>,kill_chain_phases:array<struct<kill_chain_name:string,phase_name:string>>>>"
     rows = json_docs(spark, path, schema).select(F.explode("objects").alias("o")).select("o.*").where("type = 'attack-pattern'")
