@@ -109,17 +109,21 @@ def dataset_availability(windows: DataFrame, key: Sequence[str], date: str, stat
     return windows.groupBy(*key, date).agg(F.min_by(F.col(status), F.struct(rank, F.col(status))).alias("available"))
 
 
-def distribution(facts: DataFrame, key: Sequence[str], dimension: str, top: int) -> DataFrame:
-    """rank, member, n, share and is_other of each key: the top members, and OTHER for what remains. Multi-valued members
-    are split on |; order is by count, then member."""
+def distribution(facts: DataFrame, key: Sequence[str], dimension: str, top: int | None, include_other: bool = True) -> DataFrame:
+    """rank, member, n, share and is_other of each key: the top members (None: all), and OTHER for what remains, if it is asked
+    for. Multi-valued members are split on |; order is by count, then member; shares are those of the rows that are shown."""
     split = facts.withColumn("member", F.explode(members(dimension)))
     counts = split.groupBy(*key, "member").agg(F.count("*").alias("n"))
     ranked = counts.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("n"), F.asc("member"))))
+    total = F.sum("n").over(Window.partitionBy(*key))
+    if top is None or not include_other:
+        shown = ranked if top is None else ranked.where(F.col("r") <= top)
+        shown = shown.select(*key, F.col("r").cast("int").alias("rank"), "member", "n", F.lit(False).alias("is_other"))
+        return shown.withColumn("share", F.col("n") / total)
     other = F.col("r") > top
     shown = ranked.groupBy(*key, F.when(other, top + 1).otherwise(F.col("r")).cast("int").alias("rank")).agg(
         F.when(F.max(other.cast("int")) == 1, "OTHER").otherwise(F.max("member")).alias("member"), F.sum("n").alias("n"), (F.max(other.cast("int")) == 1).alias("is_other")
     )
-    total = F.sum("n").over(Window.partitionBy(*key))
     return shown.withColumn("share", F.col("n") / total)
 
 
@@ -170,6 +174,37 @@ def compare(facts: DataFrame, covered: DataFrame, key: Sequence[str], kind: str,
     ).drop("_cur", "_prev")
 
 
+#: Verdicts of a published comparison, in the order in which they are looked for, and their reasons.
+NO_POLICY, NOT_COVERED, OTHER_MODEL, NO_VALUE = "COMPARISON_POLICY_NONE", "CURRENT_OR_PREVIOUS_PERIOD_NOT_FULLY_COVERED", "SOURCE_MODEL_OR_POPULATION_PROFILE_CHANGED", "COMPARISON_VALUE_UNAVAILABLE"
+
+
+def compare_published(facts: DataFrame, covered: DataFrame, key: Sequence[str], kind: str, previous: str, start: str, end: str, same_model: bool = False, same_profile: bool = False) -> DataFrame:
+    """`compare` with the published verdicts: status, reason, value, previous_value, delta, percent. facts have model and profile
+    (null or empty: none). Values are only told where the periods are covered and, if asked for, the sets of models and of
+    profiles are those of the period before; one pass over the facts gives all of it."""
+    p, s, e = (F.lit(x).cast("timestamp") for x in (previous, start, end))
+    t = F.col("event_time")
+    now, before = t >= s, t < s
+    known = lambda c, on: F.array_sort(F.collect_set(F.when(on & (F.col(c) != ""), F.col(c))))
+    sums = facts.where((t >= p) & (t < e)).groupBy(*key).agg(
+        period_value(kind, now).alias("_cur"), period_value(kind, before).alias("_prev"), *[known(c, on).alias(f"_{c}_{n}") for c in ("model", "profile") for n, on in (("c", now), ("p", before))]
+    )
+    joined = covered.join(sums, list(key), "left")
+    zero = F.lit(0) if kind != "LAST_VALUE" else F.lit(None).cast("double")
+    cur, prev = F.coalesce("_cur", zero), F.coalesce("_prev", zero)
+    none = F.array().cast("array<string>")
+    differs = lambda c: F.coalesce(f"_{c}_c", none) != F.coalesce(f"_{c}_p", none)
+    other = (differs("model") if same_model else F.lit(False)) | (differs("profile") if same_profile else F.lit(False))
+    uncovered = ~(F.coalesce("current_ok", F.lit(False)) & F.coalesce("previous_ok", F.lit(False)))
+    reason = F.when(F.lit(kind == "NONE"), NO_POLICY).when(uncovered, NOT_COVERED).when(other, OTHER_MODEL).when(cur.isNull() | prev.isNull(), NO_VALUE)
+    status = F.when(F.col("reason").isNull(), "AVAILABLE").when(F.col("reason") == NOT_COVERED, "INSUFFICIENT_COVERAGE").when(F.col("reason") == OTHER_MODEL, "INCOMPATIBLE_SOURCE_MODEL").otherwise("UNSUPPORTED")
+    # A value that is there is told even where the other one isn't.
+    shown = F.col("reason").isNull() | (F.col("reason") == NO_VALUE)
+    out = joined.withColumn("reason", reason).withColumns({"status": status, "value": F.when(shown, cur), "previous_value": F.when(shown, prev)})
+    change = F.when(F.col("reason").isNull(), F.col("value") - F.col("previous_value"))
+    return out.withColumns({"delta": change, "percent": F.when(F.col("previous_value") != 0, change / F.col("previous_value") * 100)}).drop("_cur", "_prev", "_model_c", "_model_p", "_profile_c", "_profile_p")
+
+
 #: The periods of a summary, in days.
 PERIODS = {"24H": 1, "7D": 7, "30D": 30}
 

@@ -75,8 +75,11 @@ def definitions_frame(spark: SparkSession, definitions: list[Measurement] = CATA
 
 def fan_out(records: DataFrame, definitions: DataFrame) -> DataFrame:
     """Each record once for every measurement of its source, with the time of the measurement's axis; records without that
-    time are left out. The catalogue has as many rows as there are definitions, so it is broadcast."""
+    time are left out. Definitions with record_kinds (an empty list or a null: any) take only records of these kinds, by their
+    record_kind. The catalogue has as many rows as there are definitions, so it is broadcast."""
     joined = records.join(F.broadcast(definitions), "source_key")
+    if "record_kinds" in definitions.columns and "record_kind" in records.columns:
+        joined = joined.where(F.col("record_kinds").isNull() | (F.size("record_kinds") == 0) | F.array_contains("record_kinds", F.col("record_kind")))
     axis = F.col("axis")
     at = F.when(axis == "RECEIVED", F.col("received_at")).when(axis == "PUBLISHED", F.col("published_at")).when(axis == "UPSTREAM_UPDATED", F.col("updated_at")).otherwise(F.col("effective_at"))
     return joined.withColumn("event_time", at).where("event_time is not null")

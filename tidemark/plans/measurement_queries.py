@@ -427,3 +427,86 @@ def fan_out(spark, d):
     records = e.select(F.col("event_type").alias("source_key"), "user_id", F.col("ts").alias("received_at"), F.col("ts").alias("published_at"), F.when(F.col("event_id") % 3 == 0, F.col("ts")).alias("updated_at"), F.lit(None).cast("timestamp").alias("effective_at"))
     rows = fan(records, definitions_frame(spark, own))
     return rows.groupBy(F.element_at(F.split("measurement_key", "[.]"), 2).alias("measurement_key")).agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("entities"))
+
+
+@query(
+    "distribution_without_other",
+    f"""WITH c AS (SELECT date_trunc('day', ts) AS b, event_type AS member, count(*) AS n FROM events GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY n DESC, member) AS r FROM c)
+    SELECT 'top' AS kind, strftime(b, {S}) AS bucket, CAST(r AS INTEGER) AS rank, member, n, round(n / sum(n) OVER (PARTITION BY b), 9) AS share FROM (SELECT * FROM r WHERE r <= 2) UNION ALL SELECT 'all', strftime(b, {S}), CAST(r AS INTEGER), member, n, round(n / sum(n) OVER (PARTITION BY b), 9) FROM r""",
+)
+def distribution_without_other(spark, d):
+    """The first two members a day without the rest, and all of them; shares are those of what is shown."""
+    rows = M.with_buckets(facts(spark, d), "event_time", ["DAY"])
+    parts = [M.distribution(rows, ["bucket_start"], "source_key", top, include_other=False).withColumn("kind", F.lit(kind)) for kind, top in (("top", 2), ("all", None))]
+    return parts[0].unionByName(parts[1]).select("kind", stamp("bucket_start").alias("bucket"), "rank", "member", "n", F.round("share", 9).alias("share"))
+
+
+@query(
+    "published_comparison",
+    """WITH e AS (SELECT event_type || '/' || user_id AS source_key, user_id AS u, ts >= TIMESTAMP '2024-01-16' AS now, value, ts, event_id, CASE WHEN user_id % 5 = 0 AND ts >= TIMESTAMP '2024-01-16' THEN 'm2' WHEN user_id % 3 > 0 THEN 'm1' END AS model, CASE WHEN user_id % 7 = 0 AND event_id % 2 = 0 THEN 'p2' ELSE 'p1' END AS profile FROM events WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-30'),
+    k AS (SELECT DISTINCT event_type || '/' || user_id AS source_key, user_id AS u FROM events), g AS (SELECT source_key, arg_max(value, (ts, event_id)) FILTER (WHERE now) AS c, arg_max(value, (ts, event_id)) FILTER (WHERE NOT now) AS p,
+      list_sort(list_distinct(list(model) FILTER (WHERE now))) AS mc, list_sort(list_distinct(list(model) FILTER (WHERE NOT now))) AS mp, list_sort(list_distinct(list(profile) FILTER (WHERE now))) AS pc, list_sort(list_distinct(list(profile) FILTER (WHERE NOT now))) AS pp FROM e GROUP BY 1),
+    r AS (SELECT k.source_key, c, p, CASE WHEN u % 11 = 0 OR u % 13 = 0 THEN 'CURRENT_OR_PREVIOUS_PERIOD_NOT_FULLY_COVERED' WHEN coalesce(list_filter(mc, lambda x: x IS NOT NULL), []) <> coalesce(list_filter(mp, lambda x: x IS NOT NULL), []) OR coalesce(pc, []) <> coalesce(pp, []) THEN 'SOURCE_MODEL_OR_POPULATION_PROFILE_CHANGED' WHEN c IS NULL OR p IS NULL THEN 'COMPARISON_VALUE_UNAVAILABLE' END AS reason FROM k LEFT JOIN g USING (source_key))
+    SELECT source_key, CASE WHEN reason IS NULL THEN 'AVAILABLE' WHEN reason LIKE 'CURRENT%' THEN 'INSUFFICIENT_COVERAGE' WHEN reason LIKE 'SOURCE%' THEN 'INCOMPATIBLE_SOURCE_MODEL' ELSE 'UNSUPPORTED' END AS status, reason, CASE WHEN reason IS NULL OR reason LIKE 'COMPARISON%' THEN c END AS value, CASE WHEN reason IS NULL OR reason LIKE 'COMPARISON%' THEN p END AS previous_value,
+      round(CASE WHEN reason IS NULL AND p <> 0 THEN (c - p) / p * 100 END, 6) AS percent FROM r""",
+)
+def published_comparison(spark, d):
+    """The last value of two weeks against that of the two before, for every feed: covered, of one model and one profile."""
+    u, late = F.col("entity_key"), F.col("event_time") >= F.lit("2024-01-16").cast("timestamp")
+    rows = facts(spark, d).withColumns({"model": F.when((u % 5 == 0) & late, "m2").when(u % 3 > 0, "m1"), "profile": F.when((u % 7 == 0) & (F.col("fact_key") % 2 == 0), "p2").otherwise("p1"), "source_key": F.concat_ws("/", "source_key", "entity_key")})
+    n = F.substring_index("source_key", "/", -1).cast("long")
+    covered = feed_keys(spark, d).select("source_key", (n % 11 != 0).alias("current_ok"), (n % 13 != 0).alias("previous_ok"))
+    out = M.compare_published(rows, covered, KEY, "LAST_VALUE", "2024-01-02", "2024-01-16", "2024-01-30", same_model=True, same_profile=True)
+    return out.select("source_key", "status", "reason", "value", "previous_value", F.round("percent", 6).alias("percent"))
+
+
+@query(
+    "definition_reasons",
+    """WITH d AS (SELECT p_partkey AS n FROM part), r AS (SELECT n, unnest(list_filter([CASE WHEN n % 7 = 0 THEN 'MEASUREMENT_KEY_PATTERN' END, CASE WHEN n % 5 = 0 THEN 'CONTRACT_VERSION_PATTERN' END, CASE WHEN n % 11 = 0 THEN 'SOURCE_KEYS_COUNT' END, CASE WHEN n % 13 = 0 THEN 'GRANULARITY_UNKNOWN' END,
+      CASE WHEN n % 2 = 0 AND (n % 3 = 0 OR n % 13 = 0) THEN 'DATE_PRECISION_FINER_THAN_DAY' END, CASE WHEN n % 4 = 1 AND n % 9 > 0 THEN 'DISTRIBUTION_WITHOUT_DIMENSION' END], lambda x: x IS NOT NULL)) AS reason FROM d) SELECT reason, count(*) AS n FROM r GROUP BY 1""",
+)
+def definition_reasons(spark, d):
+    """Definitions that break the contract, by reason: patterns, counts, and rules between columns."""
+    from tidemark.operators.contracts import validate_definitions
+
+    n = F.col("p_partkey")
+    text = F.lit("x")
+    fine = F.when(n % 13 == 0, F.array(F.lit("WEEK"))).when(n % 3 == 0, F.array(F.lit("HOUR"), F.lit("DAY"))).otherwise(F.array(F.lit("DAY")))
+    rows = table(spark, d, "part").select(
+        F.concat(F.when(n % 7 == 0, "A.").otherwise("a."), n).alias("measurement_key"), F.when(n % 5 == 0, "2").otherwise("v2").alias("contract_version"), F.lit("COUNT").alias("unit"), *[text.alias(c) for c in ("display_label", "description", "represents", "does_not_represent")],
+        F.when(n % 11 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("NVD_CVE"))).alias("source_keys"), F.array().cast("array<string>").alias("record_kinds"), fine.alias("granularities"), F.when(n % 9 == 0, F.array(F.lit("D"))).otherwise(F.array().cast("array<string>")).alias("dimensions"),
+        F.when(n % 4 == 1, "DISTRIBUTION").otherwise("COUNT").alias("value_kind"), F.when(n % 2 == 0, "DATE").otherwise("INSTANT").alias("time_precision"),
+    )
+    return validate_definitions(rows)[1].select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    "fact_reasons",
+    """WITH r AS (SELECT unnest(list_filter([CASE WHEN event_id % 10 IN (0, 1) THEN 'TIME_EXACTLY_ONE' END, CASE WHEN event_id % 10 = 1 OR event_id % 10 = 2 THEN 'INSTANT_WITHOUT_TIME' END, CASE WHEN event_id % 10 = 3 THEN 'DATE_WITHOUT_DATE' END, CASE WHEN event_id % 10 = 4 THEN 'PRECISION_UNKNOWN' END, CASE WHEN event_id % 7 = 0 THEN 'STATE_UNKNOWN' END, CASE WHEN event_id % 9 = 0 THEN 'VALUE_NOT_FINITE' END], lambda x: x IS NOT NULL)) AS reason FROM events) SELECT reason, count(*) AS n FROM r GROUP BY 1""",
+)
+def fact_reasons(spark, d):
+    """Facts that break the contract, by reason: both times or none, times of another precision, unknown states, no number."""
+    from tidemark.operators.contracts import validate_facts
+
+    e = events(spark, d)
+    k = F.col("event_id") % 10
+    rows = e.select(
+        F.when(~k.isin(1, 2), F.col("ts")).alias("event_time"), F.when(k.isin(0, 2), F.to_date("ts")).alias("event_date"), F.when(k == 3, "DATE").when(k == 4, "WEEK").otherwise("INSTANT").alias("time_precision"),
+        F.when(F.col("event_id") % 7 == 0, "GONE").otherwise("ACTIVE").alias("fact_state"), F.when(F.col("event_id") % 18 == 0, float("nan")).when(F.col("event_id") % 9 == 0, float("inf")).otherwise(F.col("value")).alias("value"),
+    )
+    return validate_facts(rows)[1].select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    "fan_out_by_kind",
+    """SELECT m AS measurement_key, count(*) AS n FROM events, (VALUES ('any', ''), ('clicks', 'click'), ('both', 'click,view')) v(m, kinds) WHERE kinds = '' OR list_contains(string_split(kinds, ','), event_type) GROUP BY 1""",
+)
+def fan_out_by_kind(spark, d):
+    """Records times the measurements that take their kind."""
+    from tidemark.plans.catalogue import fan_out as fan
+
+    kinds = {"any": [], "clicks": ["click"], "both": ["click", "view"]}
+    definitions = spark.createDataFrame([("s", m, "EFFECTIVE", k) for m, k in kinds.items()], "source_key string, measurement_key string, axis string, record_kinds array<string>")
+    none = F.lit(None).cast("timestamp")
+    records = events(spark, d).select(F.lit("s").alias("source_key"), F.col("event_type").alias("record_kind"), F.col("ts").alias("effective_at"), none.alias("received_at"), none.alias("published_at"), none.alias("updated_at"))
+    return fan(records, definitions).groupBy("measurement_key").agg(F.count("*").alias("n"))

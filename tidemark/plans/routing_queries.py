@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import canonical_prefix, ip_version
 from tidemark.operators import measure as M
 from tidemark.operators import prefixes as PX
 from tidemark.operators import routing as R
@@ -370,3 +371,16 @@ def latest_prefix(spark, d):
     """The newest announcement of every peer."""
     rows = routing(spark, d).where("size(announced) > 0")
     return heads(rows, ["peer"], [F.desc("observed_at"), F.desc("event_id")]).select("peer", F.col("announced")[0].alias("prefix"))
+
+
+@query(
+    "canonical_prefixes",
+    """WITH x AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN ' 10.' || user_id % 256 || '.1.0/24 ' WHEN 1 THEN '2001:DB8:' || user_id || '::/48' WHEN 2 THEN '10.0.0.0' WHEN 3 THEN repeat('1', 70) || '/8' ELSE '10.0.0.' || user_id || '/33x' END AS p, event_id % 5 AS k FROM events)
+    SELECT event_id, CASE WHEN k < 2 THEN lower(trim(p)) END AS prefix, CASE k WHEN 0 THEN 4 WHEN 1 THEN 6 END AS version FROM x""",
+)
+def canonical_prefixes(spark, d):
+    """Prefixes in lower case with their family; what doesn't look like one is null."""
+    n, u = F.col("event_id") % 5, F.col("user_id")
+    text = F.when(n == 0, F.concat(F.lit(" 10."), u % 256, F.lit(".1.0/24 "))).when(n == 1, F.concat(F.lit("2001:DB8:"), u, F.lit("::/48"))).when(n == 2, "10.0.0.0").when(n == 3, "1" * 70 + "/8").otherwise(F.concat(F.lit("10.0.0."), u, F.lit("/33x")))
+    out = events(spark, d).select("event_id", canonical_prefix(text).alias("prefix"))
+    return out.withColumn("version", F.when(F.col("prefix").isNotNull(), ip_version("prefix")))
