@@ -361,17 +361,20 @@ def test_language_model_against_brute_force(docs, empty):
 
 
 def test_predictive_probabilities_sum_to_one(spark):
+    """In the start's restaurant, in the fullest one, and in one that nobody has entered: over all words and a new dish."""
     docs = spark.createDataFrame([(i, prose(i % 9, 50)) for i in range(40)], "doc_id long, text string")
-    model, history = pitman_yor.train(docs.select(F.col("doc_id").alias("id"), "text"))
-    rows = model.collect()
-    for k in (pitman_yor.START, zlib.crc32(rows[0].w) % pitman_yor.CONTEXTS):
-        total = 0.0
-        for s, h in enumerate(history):
-            up = h.share_up()[k]
-            total += up * h.new_dish() / len(history)
-        for r in rows:
-            own = {int(e["k"]): float(e["q"]) for e in np.frombuffer(r.entries, pitman_yor.ENTRY)}
-            total += own.get(k, sum(h.share_up()[k] * p for h, p in zip(history, r.ps)) / len(history))
+    model = pitman_yor.fit(docs.select(F.col("doc_id").alias("id"), "text"), 1, 2)
+    samples = range(len(model.history))
+    words = {r.w: r.ps for r in model.words.collect()}
+    contexts = {r.k: (r.customers, r.ups) for r in model.contexts.collect()}
+    known = {(r.k, r.w): r.q for r in model.probabilities(model.pairs).collect()}
+    fullest = max((k for k in contexts if k != pitman_yor.START), key=lambda k: contexts[k][0])
+    absent = next(k for k in range(10**6) if k not in contexts)
+    assert contexts[fullest][0] > 1
+    for k in (pitman_yor.START, fullest, absent):
+        ups = contexts[k][1] if k in contexts else [1.0] * len(samples)
+        mean = lambda of: sum(ups[s] * of(s) for s in samples) / len(samples)
+        total = mean(lambda s: model.history[s].new_dish()) + sum(known.get((k, w), mean(lambda s: ps[s])) for w, ps in words.items())
         assert isclose(total, 1, rel_tol=1e-3)
 
 

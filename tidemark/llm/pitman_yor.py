@@ -40,7 +40,6 @@ AT_ONCE = 3_000_000
 SEATED_AT_ONCE, ROWS_OUT = 200_000, 50_000
 #: Customers that are seated draw by draw; for later ones the wait for the next new table is drawn.
 ONE_BY_ONE = 48
-ENTRY = np.dtype([("k", "<i8"), ("q", "<f8")])
 SUM = np.dtype([("doc", "<u2"), ("known", "<u4"), ("base", "<f8"), ("score", "<f8")])
 TEXT = np.dtype([("doc", "<u2"), ("none", "?"), ("id", "<i8"), ("n", "<i8"), ("known", "<i8"), ("base", "<f8"), ("score", "<f8")])
 #: Texts that a task packs at once, so that a text's number takes two bytes.
@@ -116,40 +115,18 @@ def count_pairs(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Totals:
-    """Figures of one seating: discounts, words, tables in all; share_up looks up restaurants in the table of contexts."""
+    """Figures of one seating: discounts, words, tables in all."""
 
     d1: float
     d0: float
     words: int
     top: float
-    contexts: DataFrame | None = None
-    sample: int = 0
-    shares: "Shares | None" = None
-
-    def share_up(self) -> "Shares":
-        """For each restaurant, the probability of a new table."""
-        if self.shares is None:
-            self.shares = Shares(self.contexts, self.sample)
-        return self.shares
 
     def new_dish(self) -> float:
         """The parent's mass for a word that nobody has ordered."""
         return float((THETA0 + self.d0 * self.words) / (THETA0 + self.top))
 
 
-class Shares(dict):
-    """Probabilities of a new table by context, read when asked for; an empty restaurant always opens one."""
-
-    def __init__(self, contexts: DataFrame, sample: int):
-        super().__init__()
-        self.contexts, self.sample = contexts, sample
-
-    def __missing__(self, k: int) -> float:
-        row = self.contexts.where(F.col("k") == k).first()
-        value = self[k] = float(row.ups[self.sample]) if row else 1.0
-        return value
-
-
 @dataclass
 class Model:
     """n and the seatings' totals; contexts (k, customers, ups), words (w, cw, ps), pairs (k, w, c, ts), an array item a seating."""
@@ -273,7 +250,7 @@ def fit(docs: DataFrame, burn_in: int = 1, kept: int = 2) -> Model:
         if held is not None:
             discard(held)
         held = many
-        totals = Totals(d1, d0, words[0], float(ones + (many.agg(F.sum("t")).first()[0] or 0)), None, len(history))
+        totals = Totals(d1, d0, words[0], float(ones + (many.agg(F.sum("t")).first()[0] or 0)))
         if keep:
             history.append(totals)
 
@@ -286,31 +263,11 @@ def fit(docs: DataFrame, burn_in: int = 1, kept: int = 2) -> Model:
     contexts = written(tables("k").select("k", "customers", ups.alias("ups")), "contexts")
     known = written(tables("w").select("w", F.col("customers").alias("cw"), ps.alias("ps")), "words")
     single = counts.where("c = 1").select("k", "w", "c", F.array_repeat(F.lit(1).cast("long"), kept).alias("ts"))
-    for h in history:
-        h.contexts = contexts
     for df in sums.values():
         discard(df)
     return Model(seen[0] or 0, history, contexts, known, single.unionByName(many.select("k", "w", "c", "ts")))
 
 
-def train(docs: DataFrame, burn_in: int = 1, kept: int = 2) -> tuple[DataFrame, list[Totals]]:
-    """The model to look at: a row for each word (w, its number in bytes; c, entries, ps), and the totals of the kept sweeps.
-
-    Scores do not pass here: a common word's row holds all its contexts.
-    """
-    model = fit(docs, burn_in, kept)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            entries = [np.array([(e["k"], e["q"]) for e in own], dtype=ENTRY).tobytes() for own in batch.column("own").to_pylist()]
-            numbers = [w.to_bytes(8, "little") for w in batch.column("w").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.binary()), batch.column("c"), pa.array(entries, pa.binary()), batch.column("ps")], names=["w", "c", "entries", "ps"])
-
-    own = model.probabilities(model.pairs).groupBy("w").agg(F.collect_list(F.struct("k", "q")).alias("own"))
-    by_word = own.join(model.words, "w").select("w", F.col("cw").alias("c"), "own", "ps")
-    return by_word.mapInArrow(pack, "w binary, c long, entries binary, ps array<double>"), model.history
-
-
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 2, folds: int = 7, burn_in: int = 1, kept: int = 2) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
