@@ -48,6 +48,7 @@ def test_ids_members_and_urls(spark):
     assert one(spark, None, X.extract_ids("v")) == []
     assert one(spark, " a ||b| ", X.members("v")) == ["a", "b"]
     assert one(spark, "see https://a.b/c), http://u:p@x.y/ and https://a.b/c.", X.harvest_urls("v")) == ["https://a.b/c"]
+    assert one(spark, "HTTPS://A.B; (http://x.y:80?q=1), [https://a.b/]} https://ü.de http:///x http://x.y/a\"b " + "http://x.y/" + "z" * 2048, X.harvest_urls("v")) == ["https://a.b/", "http://x.y:80/?q=1", "http://x.y/a%22b"]
 
 
 def test_fingerprint_tells_null_from_empty(spark):

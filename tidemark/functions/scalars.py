@@ -15,7 +15,6 @@ OWN_BASIS = ("INITIAL_BOOTSTRAP", "HISTORICAL_BACKFILL", "RESYNC", "REPAIR")
 
 CVE = r"(?i)\bCVE-[0-9]{4}-[0-9]{4,}\b"
 CWE = r"CWE-[0-9]+"
-URL = r"https?://[^\s<>\"'\x60{}|\\^\[\]]+"
 
 
 def col(c: Column | str) -> Column:
@@ -63,12 +62,27 @@ def extract_ids(c: Column | str, pattern: str = CVE) -> Column:
     return F.array_sort(F.array_distinct(F.transform(found, F.upper)))
 
 
+#: Marks that are no part of an address behind it, its longest length, and what a path writes in another way.
+TRAILING, LONGEST_URL = r"[\])},.]+$", 2048
+ESCAPED = {'"': "%22", "<": "%3C", ">": "%3E", "`": "%60", "{": "%7B", "}": "%7D"}
+
+
 def harvest_urls(c: Column | str, cap: int = 63) -> Column:
-    """http(s) addresses in order of first sight, without trailing punctuation, without credentials, `cap` at most."""
-    found = F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(URL), F.lit(0))
-    trimmed = F.transform(found, lambda u: F.regexp_replace(u, r"[).,;:!?]+$", ""))
-    plain = F.filter(trimmed, lambda u: ~u.rlike(r"^https?://[^/]*@") & u.rlike(r"^https?://[^/?#]"))
-    return F.slice(F.array_distinct(plain), 1, cap)
+    """http(s) addresses of a prose text, in their normal form (scheme and host in lower case, a path of at least /), in order of
+    first sight, `cap` at most. Marks behind an address are cut; longer ones than LONGEST_URL, those with credentials, and those
+    whose host isn't plain ASCII are left out."""
+    found = F.regexp_extract_all(F.coalesce(col(c), F.lit("")), F.lit(r"(?i)https?://[^\s;]+"), F.lit(0))
+    trimmed = F.filter(F.transform(found, lambda u: F.regexp_replace(u, TRAILING, "")), lambda u: F.length(u) <= LONGEST_URL)
+    plain = F.filter(trimmed, lambda u: u.rlike(r"(?i)^https?://[a-z0-9._~-]+(:[0-9]{1,5})?([/?#]|$)"))
+
+    def normal(u: Column) -> Column:
+        begin = F.lower(F.regexp_extract(u, r"(?i)^(https?://[^/?#]+)", 1))
+        rest = F.regexp_replace(u, r"(?i)^https?://[^/?#]+", "")
+        for mark, code in ESCAPED.items():
+            rest = F.replace(rest, F.lit(mark), F.lit(code))
+        return F.concat(begin, F.when(F.startswith(rest, F.lit("/")), rest).otherwise(F.concat(F.lit("/"), rest)))
+
+    return F.slice(F.array_distinct(F.transform(plain, normal)), 1, cap)
 
 
 def normalize_indicator(kind: Column | str, value: Column | str) -> Column:

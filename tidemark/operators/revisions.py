@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -146,11 +145,13 @@ def reconcile(expected: DataFrame, active: DataFrame, key: Sequence[str], fp: st
     return both.withColumn("action", action).where("action is not null").select(*key, "action")
 
 
-def rebuild_range(spark, start: str, end: str, granularity: str, size_s: int) -> DataFrame:
-    """All buckets of a range as dirty; the range is spread over the cluster, not listed on the driver."""
-    first, last = (int(datetime.fromisoformat(x).replace(tzinfo=timezone.utc).timestamp()) for x in (start, end))
-    spine = spark.range(first, last, size_s)
-    return spine.select(F.lit(granularity).alias("granularity"), F.timestamp_seconds("id").alias("bucket_start"))
+def rebuild_range(spans: DataFrame, granularity: str, size_s: int) -> DataFrame:
+    """All buckets of each span (start, end) as dirty, once each: granularity, bucket_start. A span may come from a table, so that
+    nothing is read before the buckets are."""
+    first, last = F.unix_timestamp("start"), F.unix_timestamp("end") - 1
+    begun = first - F.pmod(first, F.lit(size_s))
+    rows = spans.where(last >= first).select(F.explode(F.sequence(begun, last, F.lit(size_s).cast("long"))).alias("_s"))
+    return rows.distinct().select(F.lit(granularity).alias("granularity"), F.timestamp_seconds("_s").alias("bucket_start"))
 
 
 def removals(manifests: DataFrame, key: Sequence[str], at: str, member: str) -> DataFrame:

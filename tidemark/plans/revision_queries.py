@@ -114,8 +114,8 @@ def emitted(spark, d):
 @query("rebuild_range", f"SELECT 'HOUR' AS granularity, strftime(h, {S}) AS bucket FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', (SELECT date_trunc('day', max(ts)) FROM events), INTERVAL 1 HOUR)) AS h) WHERE h < (SELECT date_trunc('day', max(ts)) FROM events)")
 def rebuild(spark, d):
     """All hours from the first day to the day of the newest event."""
-    last = events(spark, d).agg(F.date_format(F.max("ts"), "yyyy-MM-dd 00:00:00")).first()[0]
-    return R.rebuild_range(spark, "2024-01-01 00:00:00", last or "2024-01-01 00:00:00", "HOUR", 3600).select("granularity", stamp("bucket_start").alias("bucket"))
+    span = events(spark, d).agg(F.lit("2024-01-01").cast("timestamp").alias("start"), F.date_trunc("day", F.max("ts")).alias("end"))
+    return R.rebuild_range(span, "HOUR", 3600).select("granularity", stamp("bucket_start").alias("bucket"))
 
 
 @query("new_records_only", "SELECT DISTINCT user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-03' AND (user_id, event_type) NOT IN (SELECT (user_id, event_type) FROM events WHERE ts < TIMESTAMP '2024-01-03')")

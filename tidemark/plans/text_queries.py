@@ -45,8 +45,12 @@ def address_mentions(spark, d):
     return rows.where("size(a) > 0").select("doc_id", F.array_join("a", ",").alias("addresses"))
 
 
-@query("harvested_urls", r"""WITH h AS (SELECT page_id, regexp_extract_all(html, 'https?://[^\s<>"''`{}|\\^\[\]]+') AS u FROM pages), t AS (SELECT page_id, list_transform(u, lambda x: regexp_replace(x, '[).,;:!?]+$', '')) AS u FROM h),
-  f AS (SELECT page_id, list_filter(u, lambda x: NOT regexp_matches(x, '^https?://[^/]*@') AND regexp_matches(x, '^https?://[^/?#]')) AS u FROM t) SELECT page_id, CAST(len(list_distinct(u)) AS INTEGER) AS n, u[1] AS first FROM f""")
+@query(
+    "harvested_urls",
+    r"""WITH h AS (SELECT page_id, regexp_extract_all(html, '(?i)https?://[^\s;]+') AS u FROM pages), t AS (SELECT page_id, list_filter(list_transform(u, lambda x: regexp_replace(x, '[\])},.]+$', '')), lambda x: length(x) <= 2048 AND regexp_matches(x, '(?i)^https?://[a-z0-9._~-]+(:[0-9]{1,5})?([/?#]|$)')) AS u FROM h),
+      n AS (SELECT page_id, list_transform(u, lambda x: [lower(regexp_extract(x, '(?i)^(https?://[^/?#]+)', 1)), replace(replace(replace(replace(replace(replace(regexp_replace(x, '(?i)^https?://[^/?#]+', ''), '"', '%22'), '<', '%3C'), '>', '%3E'), '`', '%60'), '{', '%7B'), '}', '%7D')]) AS u FROM t),
+      f AS (SELECT page_id, list_transform(u, lambda x: x[1] || CASE WHEN starts_with(x[2], '/') THEN '' ELSE '/' END || x[2]) AS u FROM n) SELECT page_id, CAST(least(len(list_distinct(u)), 63) AS INTEGER) AS n, u[1] AS first FROM f""",
+)
 def urls(spark, d):
     """Addresses in page sources; the list's cap of 63 is the feature's."""
     rows = table(spark, d, "pages").select("page_id", X.harvest_urls("html").alias("u"))

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import extract_ids, fingerprint, normalize_indicator, scoped_key, union_refs
+from tidemark.functions.scalars import extract_ids, fingerprint, harvest_urls, normalize_indicator, scoped_key, union_refs
 
 ENTITY = "array<struct<kind:string,key:string,label:string>>"
 FACT = "array<struct<predicate:string,value:string>>"
@@ -85,7 +85,7 @@ def present(rows: DataFrame, values: dict[str, Column | str]) -> dict[str, Colum
 def normalize(rows: DataFrame, m: Mapping) -> DataFrame:
     """Canonical records of a source."""
     at = lambda c: (F.lit(None) if c is None or isinstance(c, str) and c not in rows.columns else F.col(c) if isinstance(c, str) else c).cast("timestamp")
-    references = [note_urls(F.col(r)) if isinstance(r, str) else r for r in m.references if not isinstance(r, str) or r in rows.columns]
+    references = [harvest_urls(r) if isinstance(r, str) else r for r in m.references if not isinstance(r, str) or r in rows.columns]
     listed = F.array_compact(F.array(*m.entities)).cast(ENTITY) if m.entities else F.array().cast(ENTITY)
     if m.mentioned is not None:
         cves = F.transform(m.mentioned, lambda x: F.struct(F.lit("CVE").alias("kind"), x.alias("key"), x.alias("label")))
@@ -125,12 +125,6 @@ def web(c: Column) -> Column:
     return F.when(c.rlike(r"^https?://\S+$"), c)
 
 
-def note_urls(c: Column) -> Column:
-    """Addresses that a note names, without the marks behind them, in order of first sight, at most 63."""
-    found = F.transform(F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(?i)https?://[^\s;]+"), F.lit(0)), lambda u: F.regexp_replace(u, r"[\])},.]+$", ""))
-    return F.slice(F.array_distinct(F.filter(found, lambda u: (F.length(u) <= 2048) & ~u.rlike(r"^https?://[^/]*@"))), 1, 63)
-
-
 def feodo_identity() -> Column:
     """The digest of an endpoint's canonical JSON, keys in order."""
     return F.sha2(F.to_json(F.struct(F.col("first_seen").alias("firstSeen"), F.col("ip_address").alias("ip"), "malware", "port")), 256)
