@@ -46,25 +46,25 @@ def anchors(schedules: DataFrame, runs: DataFrame, key: Sequence[str]) -> DataFr
     Schedule rows of one key don't overlap (`schedule_segments` makes them so).
     """
     row = F.struct("effective_from", "effective_to", "enabled", "interval_s", "grace_s", "origin", "anchor_at")
-    own = known_origin(schedules).select(*key, row.alias("s"))
-    initial = F.coalesce("s.anchor_at", "s.effective_from")
+    own = known_origin(schedules).select(*key, row.alias("_row"))
+    initial = F.coalesce("_row.anchor_at", "_row.effective_from")
     # A first anchor before its schedule hears the schedule's first run, even one at the very start.
-    heard = F.when(initial >= F.col("s.effective_from"), initial).otherwise(F.timestamp_micros(F.unix_micros("s.effective_from") - 1))
-    natural = runs.where(F.col("trigger").isin("SCHEDULED", "BOOTSTRAP") & F.col("scheduled_for").isNotNull()).select(*key, F.col("scheduled_for").cast("timestamp").alias("at")).distinct()
+    heard = F.when(initial >= F.col("_row.effective_from"), initial).otherwise(F.timestamp_micros(F.unix_micros("_row.effective_from") - 1))
+    natural = runs.where(F.col("trigger").isin("SCHEDULED", "BOOTSTRAP") & F.col("scheduled_for").isNotNull()).select(*key, F.col("scheduled_for").cast("timestamp").alias("_at")).distinct()
     axis = (
-        own.select(*key, F.col("s.effective_from").alias("at"), F.lit(ASKED).alias("what"), "s", F.lit(None).cast("timestamp").alias("anchor"))
-        .unionByName(own.select(*key, heard.alias("at"), F.lit(BEGINS).alias("what"), "s", initial.alias("anchor")))
-        .unionByName(natural.select(*key, "at", F.lit(RAN).alias("what"), F.lit(None).cast(own.schema["s"].dataType).alias("s"), F.col("at").alias("anchor")))
+        own.select(*key, F.col("_row.effective_from").alias("_at"), F.lit(ASKED).alias("_what"), "_row", F.lit(None).cast("timestamp").alias("anchor"))
+        .unionByName(own.select(*key, heard.alias("_at"), F.lit(BEGINS).alias("_what"), "_row", initial.alias("anchor")))
+        .unionByName(natural.select(*key, "_at", F.lit(RAN).alias("_what"), F.lit(None).cast(own.schema["_row"].dataType).alias("_row"), F.col("_at").alias("anchor")))
     )
-    heard_by = last_said(axis, key, "at", F.when(F.col("what") == ASKED, F.col("s")), "_in", F.col("what"))
-    ahead = next_event(heard_by, key, "at", F.col("what") == RAN, "_next", "DAY").where(F.col("what") != ASKED)
-    ahead = ahead.withColumn("schedule", F.when(F.col("what") == RAN, F.col("_in")).otherwise(F.col("s")))
-    inside = (F.col("what") == BEGINS) | F.col("schedule.effective_to").isNull() | (F.col("at") < F.col("schedule.effective_to"))
+    heard_by = last_said(axis, key, "_at", F.when(F.col("_what") == ASKED, F.col("_row")), "_in", F.col("_what"))
+    ahead = next_event(heard_by, key, "_at", F.col("_what") == RAN, "_next", "DAY").where(F.col("_what") != ASKED)
+    ahead = ahead.withColumn("schedule", F.when(F.col("_what") == RAN, F.col("_in")).otherwise(F.col("_row")))
+    inside = (F.col("_what") == BEGINS) | F.col("schedule.effective_to").isNull() | (F.col("_at") < F.col("schedule.effective_to"))
     ahead = ahead.where(F.col("schedule").isNotNull() & inside)
     begins = F.coalesce("schedule.anchor_at", "schedule.effective_from")
     run = F.when(F.col("schedule.effective_to").isNull() | (F.col("_next") < F.col("schedule.effective_to")), F.col("_next"))
     later = F.least(run, F.when(begins > F.col("anchor"), begins))
-    return ahead.select(*key, "schedule", "anchor", (F.col("what") == RAN).alias("ran"), later.alias("next"))
+    return ahead.select(*key, "schedule", "anchor", (F.col("_what") == RAN).alias("ran"), later.alias("next"))
 
 
 def expected_times(schedules: DataFrame, runs: DataFrame, key: Sequence[str], start: str, end: str, now: Column, by_schedule: bool = False) -> DataFrame:
@@ -151,10 +151,10 @@ def schedule_evaluation(schedules: DataFrame, runs: DataFrame, buckets: DataFram
     t = lambda c: F.unix_timestamp(c)
     own = known_origin(schedules)
     columns = [c for c in own.columns if c not in key]
-    said = own.select(*key, F.col("effective_from").alias("at"), F.lit(0).alias("what"), F.struct(*columns).alias("s"))
-    asks = buckets.select(*key, F.col("bucket_start").alias("at"), F.lit(1).alias("what"), F.lit(None).cast(said.schema["s"].dataType).alias("s"))
-    heard = last_said(said.unionByName(asks), key, "at", F.col("s"), "_in", F.col("what")).where("what = 1")
-    heard = heard.where(F.col("_in").isNotNull() & (F.col("_in.effective_to").isNull() | (F.col("_in.effective_to") > F.col("at")))).select(*key, F.col("at").alias("bucket_start"), "_in.*")
+    said = own.select(*key, F.col("effective_from").alias("_at"), F.lit(0).alias("_what"), F.struct(*columns).alias("_row"))
+    asks = buckets.select(*key, F.col("bucket_start").alias("_at"), F.lit(1).alias("_what"), F.lit(None).cast(said.schema["_row"].dataType).alias("_row"))
+    heard = last_said(said.unionByName(asks), key, "_at", F.col("_row"), "_in", F.col("_what")).where("_what = 1")
+    heard = heard.where(F.col("_in").isNotNull() & (F.col("_in.effective_to").isNull() | (F.col("_in.effective_to") > F.col("_at")))).select(*key, F.col("_at").alias("bucket_start"), "_in.*")
     placed_at = F.timestamp_seconds(t("effective_from") - F.pmod(t("effective_from"), F.lit(size_s)))
     begun = own.withColumn("bucket_start", placed_at).where(F.col("effective_from") > F.col("bucket_start")).join(buckets.select(*key, "bucket_start"), [*key, "bucket_start"])
     rows = heard.unionByName(begun.select(heard.columns))
