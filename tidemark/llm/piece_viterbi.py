@@ -264,7 +264,10 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
 
 
 def decode_ids(encoded: DataFrame, model_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """id and text of every array of ids; null ids give a null text, and null or unknown numbers inside count as nothing."""
+    """id and text of every array of ids; null ids give a null text, and null or unknown numbers inside count as nothing.
+
+    Repeated rows and null document ids give a row each, arrays of any length are decoded whole, other columns don't matter, and
+    an empty table gives an empty table."""
     text_batches(encoded.sparkSession)
 
     @F.pandas_udf("string")
@@ -279,7 +282,8 @@ def decode_ids(encoded: DataFrame, model_file: str, id_col: str = "doc_id", ids_
 def encoding_digest(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_ids, ids_crc32 (little-endian 32-bit ids), decoded_sha256 and round_trip of every whole text (null: empty).
 
-    round_trip says that decoding gives the text back; a text with the mark U+2581 in it comes back with spaces there.
+    round_trip says that decoding gives the text back; a text with the mark U+2581 in it comes back with spaces there. Repeated
+    rows and null ids give a row each, other columns don't matter, and an empty table gives an empty table.
     """
     text_batches(docs.sparkSession)
 
