@@ -47,12 +47,17 @@ def networks(prefixes: DataFrame, prefix: str) -> DataFrame:
     return own.withColumns({"_family": F.col("_p.family"), "_hi": hi, "_lo": lo}).drop("_p")
 
 
+def once(rows: DataFrame, text: str) -> DataFrame:
+    """The distinct texts of a column, as an aggregate's output."""
+    return rows.groupBy(F.col(text).alias("_text")).agg(F.max(text).alias(text)).select(text)
+
+
 def tried(ips: DataFrame, ip: str, known: DataFrame) -> DataFrame:
     """Each distinct address with NET of every network that could hold it and whose length occurs in `known`."""
     lengths = known.groupBy("_family").agg(F.collect_set("_n").alias("_lengths"))  # two rows of at most 33 and 129 lengths
-    # Never null, so that no filter for nulls moves below the distinct and packs every row's address.
+    # Packed from an aggregate's output, so that no filter moves below it and packs every row's address.
     none = F.struct(F.lit("").alias("family"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("hi"), F.lit(0).cast("long").alias("lo"))
-    own = ips.select(ip).distinct().withColumn("_p", F.coalesce(packed(F.col(ip)), none)).withColumn("_family", F.col("_p.family"))
+    own = once(ips, ip).withColumn("_p", F.coalesce(packed(F.col(ip)), none)).withColumn("_family", F.col("_p.family"))
     met = own.join(F.broadcast(lengths), "_family").select(ip, "_family", "_p", F.explode("_lengths").alias("_n"))
     hi, lo = masked(F.col("_p.hi"), F.col("_p.lo"), F.col("_n"))
     return met.select(ip, "_family", "_n", hi.alias("_hi"), lo.alias("_lo"))
@@ -70,7 +75,7 @@ def longest(ips: DataFrame, ip: str, table: DataFrame, prefix: str, keep: Sequen
 
 def covering_prefix(ips: DataFrame, prefixes: DataFrame, ip: str = "ip", prefix: str = "prefix") -> DataFrame:
     """ips with the most specific prefix that holds each (null: none)."""
-    return ips.join(longest(ips, ip, prefixes.select(prefix).distinct(), prefix), ip, "left")
+    return ips.join(longest(ips, ip, once(prefixes, prefix), prefix), ip, "left")
 
 
 def covering_minutes(ips: DataFrame, obs: DataFrame, ip: str = "ip", at: str = "observed_at") -> DataFrame:
