@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import GRANULARITY, bucket_end, bucket_start, members
 from tidemark.operators.revisions import heads
+from tidemark.operators.timeline import looked_up
 
 LIVE_POLICIES = ("SOURCE_COVERAGE_REQUIRED", "SNAPSHOT_CONFIRMATION_REQUIRED")
 
@@ -85,7 +86,8 @@ def overlap(intervals: DataFrame, key: Sequence[str], start: str, end: str, gran
 def interval_availability(buckets: DataFrame, windows: DataFrame, key: Sequence[str], granularity: str, status: str = "availability") -> DataFrame:
     """buckets with `available`: AVAILABLE, PARTIAL or UNAVAILABLE, by a sweep over the clipped windows in (start, end) order.
 
-    A gap or an end short of the bucket's makes it PARTIAL; so does a PARTIAL window met before the bucket is full.
+    A gap or an end short of the bucket's makes it PARTIAL; so does a PARTIAL window met before the bucket is full. Windows expanded
+    to their buckets are many more than Spark estimates, so they are looked up and not joined, which might broadcast them.
     """
     on = [*key, "bucket_start"]
     clipped = overlap(windows.where(F.col(status).isin("AVAILABLE", "PARTIAL")), key, "start", "end", granularity)
@@ -98,7 +100,7 @@ def interval_availability(buckets: DataFrame, windows: DataFrame, key: Sequence[
         F.max("clip_end").alias("_end"),
         F.bool_or(F.col("_met") & (F.col(status) == "PARTIAL")).alias("_part"),
     )
-    joined = buckets.join(per, on, "left")
+    joined = looked_up(buckets, per, on)
     state = F.when(F.col("_end").isNull(), "UNAVAILABLE").when(F.col("_gap") | (F.col("_end") < finish) | F.col("_part"), "PARTIAL").otherwise("AVAILABLE")
     return joined.withColumn("available", state).drop("_gap", "_end", "_part")
 
@@ -136,7 +138,7 @@ def series(keys: DataFrame, buckets: DataFrame, key: Sequence[str], start: str,
     """The gap-filled series: a bucket's own value, or 0 where a zero is proven, or NULL. available: key, bucket_start,
     available and, for live policies, coverage."""
     on = [*key, "bucket_start"]
-    grid = spine(keys, start, end, granularity).join(buckets, on, "left").join(available, on, "left")
+    grid = spine(keys, start, end, granularity).join(buckets.hint("merge"), on, "left").join(available.hint("merge"), on, "left")
     coverage = F.col("coverage") if "coverage" in available.columns else F.lit(None).cast("string")
     known = F.col("available") if "available" in available.columns else F.lit(None).cast("string")
     if policy == "SOURCE_TIME_AVAILABILITY_REQUIRED":  # a bucket with facts was looked at, whatever its windows say

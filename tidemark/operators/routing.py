@@ -150,12 +150,16 @@ def revised_minutes(obs: DataFrame, minutes: DataFrame, at: str = "observed_at",
     return routing_minutes(own, at)
 
 
-def next_event(rows: DataFrame, key: Sequence[str], at: str, wanted: Column, name: str, span: str = "HOUR") -> DataFrame:
+def next_event(rows: DataFrame, key: Sequence[str], at: str, wanted: Column, name: str, span: str | None = "HOUR") -> DataFrame:
     """The time of the first wanted row later than each row of its key (forward as-of join; a row of the same time isn't later).
 
     Rows are ordered inside a span of time only, newest first, by a running minimum; what lies in later spans comes from one
-    row for each span. So a busy key is dealt by time, and the work is linear.
+    row for each span. So a busy key is dealt by time, and the work is linear. Without a span a key is ordered as a whole, as
+    in `last_said`.
     """
+    if span is None:
+        whole = Window.partitionBy(*key).orderBy(F.unix_micros(F.col(at).cast("timestamp")).desc()).rangeBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(name, F.min(F.when(wanted, F.col(at))).over(whole))
     rows = rows.withColumns({"_span": bucket_start(at, span), "_w": F.when(wanted, F.col(at))})
     after = Window.partitionBy(*key).orderBy(F.desc("_span")).rowsBetween(Window.unboundedPreceding, -1)
     later = rows.groupBy(*key, "_span").agg(F.min("_w").alias("_first")).withColumn("_later", F.min("_first").over(after)).drop("_first")
