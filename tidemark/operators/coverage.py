@@ -1,4 +1,9 @@
-"""Did we look? Schedules as slowly changing rows, expected times, matching with runs, coverage of buckets."""
+"""Did we look? Schedules as slowly changing rows, expected times, matching with runs, coverage of buckets.
+
+Schedules, runs and buckets are often made of a short list of keys by formulas. Spark's estimate of such rows is that of the list,
+so joins of them would be broadcast, millions of rows by way of the driver; unions and windows, or a merge, do without. A source
+has a run for each step of its cadence at most: its axis is ordered as a whole, and what lies by key stays where it is.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import is_live
 from tidemark.operators.revisions import valid_to
 from tidemark.operators.routing import next_event
-from tidemark.operators.timeline import islands, last_said
+from tidemark.operators.timeline import islands, last_said, looked_up
 
 
 def schedule_revisions(changes: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -31,7 +36,7 @@ def match_runs(expected: DataFrame, runs: DataFrame, key: Sequence[str]) -> Data
     pending = ~F.col("state").isin("SUCCEEDED", "PARTIAL", "FAILED", "CANCELLED")
     order = F.struct(pending.alias("p"), F.when(pending, -F.unix_micros("created_at")).otherwise(F.unix_micros("created_at")).alias("t"), "run_id")
     one = runs.groupBy(*key, F.col("scheduled_for").alias("expected_at")).agg(F.min_by(F.struct("state", "trigger", "purpose"), order).alias("run"))
-    return expected.join(one, [*key, "expected_at"], "left")
+    return looked_up(expected, one, [*key, "expected_at"])
 
 
 #: Kinds of rows on the axis of a source's schedule, in the order in which those of one time are heard.
@@ -56,8 +61,8 @@ def anchors(schedules: DataFrame, runs: DataFrame, key: Sequence[str]) -> DataFr
         .unionByName(own.select(*key, heard.alias("_at"), F.lit(BEGINS).alias("_what"), "_row", initial.alias("anchor")))
         .unionByName(natural.select(*key, "_at", F.lit(RAN).alias("_what"), F.lit(None).cast(own.schema["_row"].dataType).alias("_row"), F.col("_at").alias("anchor")))
     )
-    heard_by = last_said(axis, key, "_at", F.when(F.col("_what") == ASKED, F.col("_row")), "_in", F.col("_what"))
-    ahead = next_event(heard_by, key, "_at", F.col("_what") == RAN, "_next", "DAY").where(F.col("_what") != ASKED)
+    heard_by = last_said(axis, key, "_at", F.when(F.col("_what") == ASKED, F.col("_row")), "_in", F.col("_what"), span=None)
+    ahead = next_event(heard_by, key, "_at", F.col("_what") == RAN, "_next", span=None).where(F.col("_what") != ASKED)
     ahead = ahead.withColumn("schedule", F.when(F.col("_what") == RAN, F.col("_in")).otherwise(F.col("_row")))
     inside = (F.col("_what") == BEGINS) | F.col("schedule.effective_to").isNull() | (F.col("_at") < F.col("schedule.effective_to"))
     ahead = ahead.where(F.col("schedule").isNotNull() & inside)
@@ -122,7 +127,7 @@ def schedule_coverage(schedules: DataFrame, runs: DataFrame, buckets: DataFrame,
     placed = matched.withColumn("bucket_start", F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(size_s))))
     kinds = {"satisfied": "SATISFIED", "partial": "PARTIAL", "failed": "FAILED", "missing": "MISSING"}
     sums = placed.groupBy(*key, "bucket_start").agg(F.count("*").alias("expected"), F.max("grace_s").alias("grace_s"), *[F.count_if(F.col("_o") == v).alias(k) for k, v in kinds.items()])
-    out = buckets.join(sums, [*key, "bucket_start"], "left").fillna(0, ["expected", *kinds])
+    out = looked_up(buckets, sums, [*key, "bucket_start"]).fillna(0, ["expected", *kinds])
     open_end = F.unix_timestamp("bucket_start") + size_s + F.coalesce("grace_s", F.lit(60))
     return out.withColumns(
         {"status": coverage_status(F.col("expected"), F.col("satisfied"), F.col("partial"), F.col("failed")), "evaluation": F.when(F.unix_timestamp(now) < open_end, "PROVISIONAL").otherwise("FINAL")}
@@ -153,16 +158,16 @@ def schedule_evaluation(schedules: DataFrame, runs: DataFrame, buckets: DataFram
     columns = [c for c in own.columns if c not in key]
     said = own.select(*key, F.col("effective_from").alias("_at"), F.lit(0).alias("_what"), F.struct(*columns).alias("_row"))
     asks = buckets.select(*key, F.col("bucket_start").alias("_at"), F.lit(1).alias("_what"), F.lit(None).cast(said.schema["_row"].dataType).alias("_row"))
-    heard = last_said(said.unionByName(asks), key, "_at", F.col("_row"), "_in", F.col("_what")).where("_what = 1")
+    heard = last_said(said.unionByName(asks), key, "_at", F.col("_row"), "_in", F.col("_what"), span=None).where("_what = 1")
     heard = heard.where(F.col("_in").isNotNull() & (F.col("_in.effective_to").isNull() | (F.col("_in.effective_to") > F.col("_at")))).select(*key, F.col("_at").alias("bucket_start"), "_in.*")
     placed_at = F.timestamp_seconds(t("effective_from") - F.pmod(t("effective_from"), F.lit(size_s)))
-    begun = own.withColumn("bucket_start", placed_at).where(F.col("effective_from") > F.col("bucket_start")).join(buckets.select(*key, "bucket_start"), [*key, "bucket_start"])
+    begun = own.withColumn("bucket_start", placed_at).where(F.col("effective_from") > F.col("bucket_start")).join(buckets.select(*key, "bucket_start").hint("merge"), [*key, "bucket_start"])
     rows = heard.unionByName(begun.select(heard.columns))
     matched = match_runs(expected_times(schedules, runs, key, start, end, now, by_schedule=True), runs, key)
     seconds = t("expected_at")
     placed = matched.select(*key, "effective_from", F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(size_s))).alias("bucket_start"), outcome(F.col("run")).alias("_o"), reason(F.col("run")).alias("_r"))
     sums = placed.groupBy(*key, "effective_from", "bucket_start").agg(F.count("*").alias("expected"), *[F.count_if(F.col("_o") == v).alias(k) for k, v in counts.items()], F.array_sort(F.collect_set("_r")).alias("_reasons"))
-    out = rows.join(sums, [*key, "effective_from", "bucket_start"], "left").fillna(0, ["expected", *counts])
+    out = looked_up(rows, sums, [*key, "effective_from", "bucket_start"]).fillna(0, ["expected", *counts])
     unknown, idle = F.col("origin") == "UNKNOWN", ~F.col("enabled") | F.col("interval_s").isNull()
     open_end = t("bucket_start") + size_s + F.col("grace_s")
     why = (
