@@ -34,3 +34,11 @@ def test_looked_up_is_a_left_join(spark):
 )
 def test_rows_made_of_keys_are_never_broadcast(spark, name):
     assert "Broadcast" not in plan(registry.QUERIES[name](spark, str(DATA)))
+
+
+def test_whole_lineage_has_a_row_for_every_node(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    nodes = registry.QUERIES["lineage_nodes_all"](spark, str(DATA))
+    assert nodes.columns == ["entity_key", "depth", "node_type", "node_key"]
+    assert nodes.where("node_type = 'OBSERVATION'").distinct().count() == events.select("event_id").distinct().count()
+    assert "<= 1000000" not in registry.ORACLES["lineage_nodes_all"]
