@@ -32,6 +32,7 @@ def test_looked_up_is_a_left_join(spark):
         "schedule_evaluation_daily",
         "coverage_rollup_weekly",
         "gated_by_coverage_daily_all",
+        "coverage_read",
     ],
 )
 def test_rows_made_of_keys_are_never_broadcast(spark, name):
