@@ -50,6 +50,14 @@ def test_walk_is_the_first_pages(rows):
     assert got == want
 
 
+def test_a_busy_key_is_cut_before_its_rows_meet(spark, rows):
+    near = P.nearest(rows.union(rows), ("k",), ("t", "id"), 4)
+    best = {(r.k, r.id) for r in P.numbered(rows, ("k",), ("t", "id"), 4).where("page = 1").collect()}
+    assert sorted((r.k, r.id) for r in near.collect()) == sorted([*best, *best])
+    told = P.walk(rows, ("k",), ("t", "id"), 5, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in told and "RepartitionByExpression" in told
+
+
 def test_keys_without_a_cursor_have_no_further_page(spark, rows):
     one = P.cursors_of(P.page(rows, ("k",), ("t", "id"), 3), ("k",)).where("k = 'a'")
     assert {r.k for r in P.page(rows, ("k",), ("t", "id"), 3, one).collect()} == {"a"}
