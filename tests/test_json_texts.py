@@ -111,6 +111,16 @@ def test_configurations_of_seven_levels_and_more(spark):
     assert got == {i: brute_counts(v.get("configurations") if isinstance(v, dict) else None) for i, v in enumerate(values)}
 
 
+def test_counts_take_one_pass_and_sum_rows_of_a_key(spark):
+    """Without a job for each level; rows of one key, null too, count together."""
+    deep = '{"configurations":' + '[{"children":' * 40 + '[{"cpeMatch":[1,null]},null]' + "}]" * 40 + "}"
+    rows = [(1, deep), (1, '{"configurations":{"cpeMatch":{"nodes":[{"cpeMatch":[[{"nodes":[1]}]]}]}}}'), (None, deep), (2, "{")]
+    out = J.configuration_counts(spark.createDataFrame(rows, "id int, j string"), ["id"], "j")
+    assert "UnionLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    each = brute_counts(json.loads(deep)["configurations"])
+    assert {(r.id, r.nodes, r.matches) for r in out.collect()} == {(1, each[0] + 1, each[1] + 1), (None, *each)}
+
+
 @pytest.mark.parametrize("text, want", [('{"metrics":{"cvssMetricV31":[]}}', ["3.1"]), ('{"a":[{"b":{"X_CVSSMETRICV2":1,"cvssmetricv40":2}}]}', ["2.0", "4.0"]), ('{"a":"cvssMetricV31"}', []), ('{"a":"say \\"cvssMetricV30\\": 1"}', []), ('{"cvssMetricV30" : 1, "cvssMetricV2":2}', ["2.0", "3.0"]), (None, [])])
 def test_versions_by_containment_at_any_depth(spark, text, want):
     assert (one(spark, [text], J.cvss_versions("j"))[0] or []) == want

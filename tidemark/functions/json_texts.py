@@ -96,14 +96,41 @@ def walk(df: DataFrame, key: Sequence[str], json: str, only: str | None = None,
     return rows.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(key)], "depth", "path", "name", "at", kind.alias("kind"), F.col("v").alias("value"))
 
 
+#: What a value below configurations is.
+PLAIN, NODE, MATCH = 0, 1, 2
+
+
+def inside(value: Column) -> Column:
+    """Values one step below a value of configurations, each with what it is; nulls among them where there are none."""
+    within = lambda path: F.try_variant_get(value, path, "array<variant>")
+    told = lambda v, what: F.struct(v.alias("v"), F.lit(what).alias("what"))
+    elements = lambda path, what: F.transform(within(path), lambda x: told(x, what))
+    # A member that is no array may hold objects with arrays, but is no node or criterion itself.
+    member = lambda name, what: F.coalesce(elements(f"$.{name}", what), F.array(told(F.try_variant_get(value, f"$.{name}", "variant"), PLAIN)))
+    return F.coalesce(elements("$", PLAIN), F.concat(member("nodes", NODE), member("children", NODE), member("cpeMatch", MATCH)))
+
+
 def configuration_counts(df: DataFrame, key: Sequence[str], json: str, root: str = "configurations") -> DataFrame:
     """key, nodes, matches of the configurations that each JSON text holds, nested to any depth: elements of `nodes` and
     `children` count as nodes, elements of `cpeMatch` of every object on the way as match criteria. Texts without any have
-    zeros; texts that aren't JSON give no row."""
-    inside = df.select(*key, F.to_json(F.try_variant_get(F.try_parse_json(F.col(json)), f"$.{root}", "variant")).alias("_c"))
-    seen = walk(inside.where("_c is not null"), key, "_c", "^(nodes|children|cpeMatch)$")
-    # Members of match criteria are no configurations: what lies below a cpeMatch is left out, its elements are counted.
-    below = F.regexp_like("path", F.lit(r"\.cpeMatch\[[0-9]+\]."))
-    parent = F.regexp_extract("path", r"\.(nodes|children|cpeMatch)\[[0-9]+\]$", 1)
-    counted = seen.where(~below).groupBy(*key).agg(F.count_if(parent.isin("nodes", "children")).cast("long").alias("nodes"), F.count_if(parent == "cpeMatch").cast("long").alias("matches"))
-    return df.where(F.try_parse_json(F.col(json)).isNotNull()).select(*key).distinct().join(counted, list(key), "left").fillna(0, ["nodes", "matches"])
+    zeros; texts that aren't JSON give no row.
+
+    Each text is gone down by itself, level by level: a level is the array of values that the one before holds. A text has no
+    more levels than opening brackets, and levels behind the last are empty.
+    """
+    count = lambda level, what: F.size(F.filter(level, lambda x: x["what"] == what)).cast("long")
+
+    def down(so_far: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(F.filter(so_far["level"], lambda x: (x["what"] != MATCH) & x["v"].isNotNull()), lambda x: inside(x["v"])))
+        level = F.filter(below, lambda x: x["v"].isNotNull())
+        after = F.struct(level.alias("level"), (so_far["nodes"] + count(so_far["level"], NODE)).alias("nodes"), (so_far["matches"] + count(so_far["level"], MATCH)).alias("matches"))
+        return F.when(F.size(so_far["level"]) > 0, after).otherwise(so_far)
+
+    def counted(parsed: Column) -> Column:
+        first = F.array(F.struct(F.try_variant_get(parsed, f"$.{root}", "variant").alias("v"), F.lit(PLAIN).alias("what")))
+        start = F.struct(first.alias("level"), F.lit(0).cast("long").alias("nodes"), F.lit(0).cast("long").alias("matches"))
+        levels = F.length(json) - F.length(F.translate(json, "[{", "")) + 2
+        return F.when(parsed.isNotNull(), F.aggregate(F.sequence(F.lit(1), levels), start, down, lambda x: F.struct(x["nodes"], x["matches"])))
+
+    whole = df.select(*key, let(F.try_parse_json(F.col(json)), counted).alias("_n"))
+    return whole.groupBy(*key).agg(F.sum("_n.nodes").alias("nodes"), F.sum("_n.matches").alias("matches")).where("nodes is not null")

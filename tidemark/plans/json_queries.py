@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions import json_texts as J
-from tidemark.plans.bindings import EVENTS, events, table
+from tidemark.plans.bindings import EVENTS, WIDER, events, table
 from tidemark.plans.registry import query
 
 
@@ -51,7 +51,9 @@ def nested(spark, d):
     deep, wide = (F.col("user_id") % 12).cast("int"), (F.col("event_id") % 4).cast("int")
     inner = F.concat(F.lit('{"cpeMatch":['), F.array_join(F.array_repeat(F.lit('{"criteria":"x","children":[7]}'), wide), ","), F.lit("]}"))
     text = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"configurations":[{"nodes":['), F.repeat(F.lit('{"operator":"OR","cpeMatch":[{"criteria":"c"}],"children":['), deep), inner, F.repeat(F.lit("]}"), deep), F.lit("]}]}"))
-    return events(spark, d).select("event_id", text.alias("j"))
+    # An event becomes a text of a kilobyte and is read level by level: events are dealt wider than their own size asks for.
+    parts = WIDER * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return events(spark, d).select("event_id", "user_id").repartition(parts, "event_id").select("event_id", text.alias("j"))
 
 
 @query("configuration_counts_any_depth", f"WITH {EVENTS}, {NESTED} SELECT event_id, 1 + deep AS nodes, len(regexp_extract_all(j, 'criteria')) AS matches FROM cf")
