@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from tidemark.operators.entities import lineage_graph
 from tidemark.operators.timeline import looked_up
 from tidemark.plans import registry
 
@@ -45,3 +46,20 @@ def test_whole_lineage_has_a_row_for_every_node(spark):
     assert nodes.columns == ["entity_key", "depth", "node_type", "node_key"]
     assert nodes.where("node_type = 'OBSERVATION'").distinct().count() == events.select("event_id").distinct().count()
     assert "<= 1000000" not in registry.ORACLES["lineage_nodes_all"]
+
+
+def test_lineage_graph_meets_by_entity_once(spark):
+    told = plan(registry.QUERIES["lineage_graph_nodes"](spark, str(DATA)))
+    assert "SortMergeJoin" not in told and told.count("BroadcastHashJoin") == 2
+
+
+def test_lineage_graph_of_an_entity_with_two_histories(spark):
+    at = "timestamp'2024-01-01'"
+    history = spark.sql("select * from values (1, 'a'), (1, 'b'), (2, 'c') t(entity_key, history_id)")
+    seen = spark.sql(f"select 1 entity_key, 'o' observation_id, cast(null as string) canonical_id, 'r' raw_id, 's' source_key, {at} at union all select 3, 'p', 'c', 'r', 's', {at}")
+    buckets = spark.sql(f"select 1 entity_key, 'k' bucket_id, {at} at")
+    findings = spark.sql(f"select 1 entity_key, id finding_id, b bucket_id, {at} at from values ('f', 'k'), ('g', 'lost') t(id, b)")
+    nodes, edges = lineage_graph(history, seen, buckets, findings)
+    assert [r.node_id for r in nodes.where("entity_key = 1").orderBy("position").collect()] == ["entity:1", "history:a", "history:b", "observation:o", "raw:r", "source:s", "activity:k", "finding:f", "finding:g"]
+    assert [(r.source, r.target) for r in edges.where("entity_key = 1").orderBy("position").collect()] == [("entity:1", "history:a"), ("entity:1", "history:b"), ("observation:o", "entity:1"), ("raw:r", "source:s"), ("entity:1", "activity:k"), ("activity:k", "finding:f")]
+    assert {(r.entity_key, r.truncated) for r in nodes.collect()} == {(1, False), (2, False)}
