@@ -4,10 +4,12 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.entities import lineage_graph
 from tidemark.operators.timeline import looked_up
 from tidemark.plans import registry
+from tidemark.plans.bindings import FEEDS_AT_ONCE, feed_keys
 
 DATA = Path("/root/testdata/sf0.001")
 
@@ -40,6 +42,14 @@ def test_rows_made_of_keys_are_never_broadcast(spark, name):
     assert "Broadcast" not in plan(registry.QUERIES[name](spark, str(DATA)))
 
 
+def test_more_feeds_make_more_tasks_not_larger_ones(spark, tmp_path):
+    rows = spark.range(40_000).selectExpr("id event_id", "timestamp'2024-01-02' ts", "id user_id", "'view' event_type", "1.0d value", "'' props")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    keys = feed_keys(spark, str(tmp_path))
+    held = [r["count"] for r in keys.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 40_000 and max(held) < 1.25 * FEEDS_AT_ONCE
+
+
 def test_whole_lineage_has_a_row_for_every_node(spark):
     events = spark.read.parquet(f"{DATA}/events.parquet")
     nodes = registry.QUERIES["lineage_nodes_all"](spark, str(DATA))
