@@ -42,6 +42,11 @@ def test_rows_made_of_keys_are_never_broadcast(spark, name):
     assert "Broadcast" not in plan(registry.QUERIES[name](spark, str(DATA)))
 
 
+def test_coverage_of_a_series_is_not_shuffled(spark):
+    told = plan(registry.QUERIES["gated_by_coverage_daily_all"](spark, str(DATA)))
+    assert told.count("SortMergeJoin") == 1
+
+
 def test_more_feeds_make_more_tasks_not_larger_ones(spark, tmp_path):
     rows = spark.range(40_000).selectExpr("id event_id", "timestamp'2024-01-02' ts", "id user_id", "'view' event_type", "1.0d value", "'' props")
     rows.write.parquet(f"{tmp_path}/events.parquet")

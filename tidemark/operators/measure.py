@@ -136,9 +136,10 @@ def series_as_of(revisions: DataFrame, key: Sequence[str], as_of: Column) -> Dat
 
 def series(keys: DataFrame, buckets: DataFrame, key: Sequence[str], start: str, end: str, granularity: str, policy: str, available: DataFrame) -> DataFrame:
     """The gap-filled series: a bucket's own value, or 0 where a zero is proven, or NULL. available: key, bucket_start,
-    available and, for live policies, coverage."""
+    available and, for live policies, coverage; one row a bucket. It is looked up before buckets are joined, as it often lies where
+    the keys do, and then needs no shuffle."""
     on = [*key, "bucket_start"]
-    grid = spine(keys, start, end, granularity).join(buckets.hint("merge"), on, "left").join(available.hint("merge"), on, "left")
+    grid = looked_up(spine(keys, start, end, granularity), available, on).join(buckets.hint("merge"), on, "left")
     coverage = F.col("coverage") if "coverage" in available.columns else F.lit(None).cast("string")
     known = F.col("available") if "available" in available.columns else F.lit(None).cast("string")
     if policy == "SOURCE_TIME_AVAILABILITY_REQUIRED":  # a bucket with facts was looked at, whatever its windows say
