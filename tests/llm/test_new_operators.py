@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, periodic_runs, queries, vector_codes
+from tidemark.llm import language_id, periodic_runs, pitman_yor, queries, vector_codes
 
 CLASH = ("id", "x", "v", "l", "label_error", "code", "runs", "score", "lang_pred", "word", "n", "part", "entry")
 
@@ -330,3 +330,18 @@ def test_the_level_of_toxic_segments_is_that_of_clean_text():
     model.k = (over + 0.5) / (400 * 300 * np.exp(-model.lam * floor))
     share = np.mean([bool(model.significant(t)) for t in texts(1500)])
     assert 0.015 <= share <= 0.1
+
+
+def test_language_model_shares(spark, monkeypatch):
+    """Pairs lie packed, a row of them for each share, below 16 bytes a pair; more shares give the scores of one."""
+    texts = [" ".join(f"w{(i * 37 + j * j) % 300} the" for j in range(80)) + f" v{i}" for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = []
+    for size in (1 << 30, 4000):
+        monkeypatch.setattr(pitman_yor, "SHARE_BYTES", size)
+        model = pitman_yor.fit(docs)
+        pairs = model.tables[0].collect()
+        assert len(pairs) <= len(model.grid) and (size > 4000) == (len(model.grid) == 1)
+        assert sum(len(part) for r in pairs for part in r.parts) < 16 * sum(r.seen[3] for r in pairs) or len(pairs) > 1
+        got.append({r.id: r.score for r in pitman_yor.weighed(docs, model).collect()})
+    assert all(math.isclose(got[0][i], got[1][i], rel_tol=1e-9) for i in range(80))
