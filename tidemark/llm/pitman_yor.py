@@ -324,9 +324,10 @@ class Model:
 
     @property
     def shares(self) -> DataFrame:
-        """PAIRS, SEATS and the totals of contexts and words (customers, tables of each seating)."""
+        """PAIRS, the tables alone of SEATS, and the totals of contexts and words (customers, tables of each seating)."""
         pairs, seats, totals = self.tables
-        return pairs.union(seats).union(totals.where("share >= 0"))
+        tables = seats.withColumn("parts", F.slice("parts", 10, len(self.history)))
+        return pairs.union(tables).union(totals.where("share >= 0"))
 
     @property
     def pairs(self) -> DataFrame:
@@ -369,7 +370,7 @@ class Share:
         self.ts = [np.ones(len(self.c), dtype=np.int64) for _ in range(kept)]
         for row in by[SEATS]:
             for s in range(kept):
-                self.ts[s][self.c > 1] = got(row[3][9 + s])
+                self.ts[s][self.c > 1] = got(row[3][s])
         empty = [np.zeros(0, np.int64)] * (1 + kept)
         self.of_k = answers(grid, self.block.contexts, OF_K, by[REPLY_K]) or empty
         self.of_w = answers(grid, self.block.words, OF_W, by[REPLY_W]) or empty
@@ -530,10 +531,9 @@ def tell(grid: Grid, table: DataFrame, values, asks: bool) -> DataFrame:
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
-    """df written; the shuffle files behind it go when the driver's garbage does."""
-    out = written(df, name)
+    """df written; first the shuffle files behind what was written before go with the driver's garbage."""
     df.sparkSession._jvm.System.gc()
-    return out
+    return written(df, name)
 
 
 def fit(docs: DataFrame, burn_in: int = 1, kept: int = 2) -> Model:
@@ -756,8 +756,8 @@ def weighed(slim: DataFrame, model: Model) -> DataFrame:
             yield flush()
 
     weigh_schema = "kind long, k long, w long, chunk long, payload binary"
-    dealt = grid.deal(model.shares.union(slim.mapInArrow(split, PACKED)))
-    sums = settled(dealt.mapInArrow(within, weigh_schema), "weighed")
+    sums = settled(grid.deal(model.shares.union(slim.mapInArrow(split, PACKED))).mapInArrow(within, weigh_schema), "weighed")
+    slim.sparkSession._jvm.System.gc()
     # A share knows the context and word of each pair that it holds. A pair that the model lacks gets its restaurant's share of
     # new tables times the parent's probability.
     other = sums.where(F.col("kind") == OF_TOKENS).select("k", "w", "chunk", "payload")
